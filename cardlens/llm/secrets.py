@@ -52,6 +52,7 @@ def keyboard() -> dict[str, set[str]]:
 
 
 NEAR = keyboard()
+PLACE = {key: (r, i) for r, row in enumerate(ROWS) for i, key in enumerate(row)}
 
 
 def char_cost(c: str) -> float:
@@ -81,7 +82,7 @@ def span_cost(s: str) -> float | None:
     if len(s) >= 3:
         keys = s.lower().translate(SHIFTED)
         if all(b in NEAR.get(a, ()) for a, b in zip(keys, keys[1:], strict=False)):
-            steps = [ord(b) - ord(a) for a, b in zip(keys, keys[1:], strict=False)]
+            steps = [(PLACE[b][0] - PLACE[a][0], PLACE[b][1] - PLACE[a][1]) for a, b in zip(keys, keys[1:], strict=False)]
             turns = 1 + sum(a != b for a, b in zip(steps, steps[1:], strict=False))
             costs.append(math.log10(47) + turns * math.log10(6) + math.log10(len(s)))
     known = [c for c in costs if c is not None]
