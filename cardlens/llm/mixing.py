@@ -7,8 +7,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from cardlens.llm.common import durable, salted_rank
+from cardlens.llm.common import salted_rank
 
 BLOCK = 16  # documents
 SALTS = 64
@@ -86,42 +87,57 @@ def schedule(docs: DataFrame, weights: Mapping[str, float] | None = None, block:
 
 
 def scheduled(rows: DataFrame, shares: Mapping[str, int], block: int, salts: int) -> DataFrame:
-    spark = rows.sparkSession
+    return with_slots(salted_rank(rows, "source", ["doc_id"], salts, "_rank"), shares, block).drop("_rank")
+
+
+def with_slots(ranked: DataFrame, shares: Mapping[str, int], block: int) -> DataFrame:
+    """Rows (source, _rank) with block, place, release, deadline and slot, by arithmetic from one period's schedule."""
+    spark = ranked.sparkSession
     period = sum(shares.values())
-    table = spark.createDataFrame(
-        [(s, k, r, d, t, shares[s]) for s, k, r, d, t in pfair_period(shares)], "source string, _k long, _release long, _deadline long, _slot long, _share long"
-    )
-    ranked = salted_rank(rows, "source", ["doc_id"], salts, "_rank")
+    table = spark.createDataFrame([(s, k, r, d, t) for s, k, r, d, t in pfair_period(shares)], "source string, _k long, _release long, _deadline long, _slot long")
     known = F.broadcast(spark.createDataFrame(list(shares.items()), "source string, _own long"))
     blocks = ranked.withColumn("block", F.floor(F.col("_rank") / block)).withColumn("place", F.pmod("_rank", F.lit(block)).cast("int")).join(known, "source")
     blocks = blocks.withColumn("_k", F.pmod("block", F.col("_own"))).withColumn("_round", F.floor(F.col("block") / F.col("_own")) * period)
-    placed = blocks.join(F.broadcast(table.drop("_share")), ["source", "_k"])
+    placed = blocks.join(F.broadcast(table), ["source", "_k"])
     for name in ("release", "deadline", "slot"):
         placed = placed.withColumn(name, F.col("_round") + F.col(f"_{name}"))
-    return placed.drop("_rank", "_own", "_k", "_round", "_release", "_deadline", "_slot")
+    return placed.drop("_own", "_k", "_round", "_release", "_deadline", "_slot")
 
 
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK, partitions: int | None = None) -> DataFrame:
-    """docs in the order of the schedule, all columns kept: rows are dealt by ranges of slots and sorted in each partition.
+    """docs in the order of the schedule, all columns kept: partition p holds the p-th range of slots, in order of slots.
 
-    Texts are shuffled once to rank them in salted groups and once to their range of slots. The number of slots is
-    known from counts, so no sampling pass is needed.
+    Texts are shuffled once. A source's documents are dealt over salted groups, in whose order they are ranked; counts
+    of the groups (sources x salts rows) tell where in the schedule each group begins, and so its partition, before
+    any text moves; ranks within are counted there. A group that reaches over the end of a range stays in the range.
     """
     spark = docs.sparkSession
-    n = docs.count()
-    if not n:
+    parts = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    salts = 4 * parts
+    names = docs.columns
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_whole"), F.col("doc_id").cast("long").alias("_id"), F.coalesce(F.col("source"), F.lit("")).alias("source"))
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int"))
+    counts = rows.groupBy("source", "_salt").agg(F.count(F.lit(1)).alias("n")).limit(MOST_SOURCES * salts).collect()
+    if not counts:
         return docs
-    own = counted_weights(docs.select("source"))
+    own: dict[str, int] = {}
+    firsts = []
+    for r in sorted(counts, key=lambda r: (r["source"], r["_salt"])):
+        firsts.append((r["source"], r["_salt"], own.get(r["source"], 0)))
+        own[r["source"]] = own.get(r["source"], 0) + r["n"]
     if weights is not None:
         least = min([w for w in weights.values() if w > 0], default=1.0)
         shares = whole_shares({k: weights.get(k, 0) or least for k in own})
     else:
         shares = whole_shares(own)
-    names = docs.columns
-    hidden = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_whole"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source"), F.lit("")).alias("source"))
-    placed = scheduled(hidden, shares, block, SALTS)
-    last = max(-(-int(c) // block) * sum(shares.values()) / shares[s] for s, c in own.items())
-    parts = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    to = F.least(F.floor(F.col("slot") * parts / F.lit(float(last) + 1)), F.lit(parts - 1)).cast("int")
-    ordered = placed.withColumn("_to", to).repartitionById(parts, F.col("_to")).sortWithinPartitions("slot", "place")
-    return ordered.select("_whole.*")
+    period = sum(shares.values())
+    last = max(-(-n // block) * period / shares[s] for s, n in own.items()) + 1
+    to = {(s, salt): min(parts - 1, int(first // block * period / shares[s] * parts / last)) for s, salt, first in firsts}
+    base: dict[tuple[str, int], int] = {}
+    for s, salt, first in firsts:
+        base.setdefault((s, to[s, salt]), first)
+    groups = spark.createDataFrame([(s, salt, to[s, salt], base[s, to[s, salt]]) for s, salt, _ in firsts], "source string, _salt int, _to int, _base long")
+    dealt = rows.join(F.broadcast(groups), ["source", "_salt"]).repartitionById(parts, F.col("_to"))
+    order = Window.partitionBy("_to", "source").orderBy("_salt", "_id")
+    ranked = dealt.withColumn("_rank", F.col("_base") + F.row_number().over(order) - 1)
+    return with_slots(ranked, shares, block).sortWithinPartitions("_to", "slot", "place").select("_whole.*")
