@@ -115,7 +115,8 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.
     groups = near_groups(docs, words, similarity)
     kept = durable(groups.select(F.col("kept_id").alias("doc_id")).distinct(), "kept")
     extra = [c for c in docs.columns if c != "doc_id"]
-    chosen = docs.join(kept.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    # the list of kept ids grows with docs, so it is never broadcast
+    chosen = docs.join(kept.withColumnRenamed("doc_id", "_kept").hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
     return once(chosen, extra)
 
 
