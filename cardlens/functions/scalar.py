@@ -52,7 +52,7 @@ def to_number(value: Column) -> Column:
     """A finite double, or null for blanks, text that is no plain number, NaN and infinities. Booleans are 1 and 0."""
     text = F.trim(value.cast("string"))
     plain = text.rlike(r"^[+-]?(?:\d[\d_]*\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$")
-    number = F.when(F.lower(text).isin("true", "false"), (F.lower(text) == "true").cast("double")).when(plain, F.expr("try_cast(1 as double)") * text.try_cast("double"))
+    number = F.when(F.lower(text).isin("true", "false"), (F.lower(text) == "true").cast("double")).when(plain, text.try_cast("double"))
     return null_nonfinite(number)
 
 

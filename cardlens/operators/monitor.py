@@ -252,7 +252,6 @@ def request_rules(known: list[str] | None = None, extra: str | None = None) -> d
 
 def constraint_violations(tx: DataFrame, labels: DataFrame, parents: dict[str, DataFrame], id_pattern: str = "^[0-9a-f]{32}$") -> DataFrame:
     """(rule, violations): ids' form, amounts, labels and one row per foreign key."""
-    spark = tx.sparkSession
     first = tx.agg(F.sum((~F.col("id").cast("string").rlike(id_pattern)).cast("long")).alias("a"), F.sum((~(F.col("amount_usd") > 0)).cast("long")).alias("b"))
     parts = [first.select(F.lit("id_format").alias("rule"), F.coalesce("a", F.lit(0)).alias("violations")), first.select(F.lit("amount_positive").alias("rule"), F.coalesce("b", F.lit(0)).alias("violations"))]
     parts.append(labels.agg(F.coalesce(F.sum((~F.col("label").isin(0, 1)).cast("long")), F.lit(0)).alias("violations")).select(F.lit("label_binary").alias("rule"), "violations"))
@@ -262,7 +261,7 @@ def constraint_violations(tx: DataFrame, labels: DataFrame, parents: dict[str, D
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out if spark else out
+    return out
 
 
 def check_source(tx: DataFrame, labels: DataFrame) -> DataFrame:
