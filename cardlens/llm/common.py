@@ -45,6 +45,11 @@ def empty_if_null(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of df as one struct, so that names used along the way can't clash with theirs."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def salted_rank(df: DataFrame, key: str, order: Sequence[str], salts: int, out: str = "rank") -> DataFrame:
     """A 0-based rank of each row among the rows of its key, without ever gathering a key in one task.
 
@@ -52,18 +57,24 @@ def salted_rank(df: DataFrame, key: str, order: Sequence[str], salts: int, out:
     the buckets before (keys x salts rows) are added. The order is by bucket, then by `order`. Key must not be null.
     """
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
-    before = Window.partitionBy(key).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
+    return ranked_within(salted, key, ("_salt",), order, out).drop("_salt")
+
+
+def ranked_within(df: DataFrame, key: str, groups: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
+    """A 0-based rank of each row among the rows of its key, by groups, then order: made in each group and completed by
+    the counts of the groups before. A key's groups, not its rows, meet in one task. Key and groups must not be null."""
+    before = Window.partitionBy(key).orderBy(*groups).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        salted.groupBy(key, "_salt")
+        df.groupBy(key, *groups)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(key, "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        .select(key, *groups, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
-    within = Window.partitionBy(key, "_salt").orderBy(*order)
+    own = Window.partitionBy(key, *groups).orderBy(*order)
     return (
-        salted.withColumn("_row_in_salt", F.row_number().over(within).cast("long"))
-        .join(offsets, [key, "_salt"])
-        .withColumn(out, F.col("_before") + F.col("_row_in_salt") - 1)
-        .drop("_salt", "_row_in_salt", "_before")
+        df.withColumn("_row_in_group", F.row_number().over(own).cast("long"))
+        .join(offsets, [key, *groups])
+        .withColumn(out, F.col("_before") + F.col("_row_in_group") - 1)
+        .drop("_row_in_group", "_before")
     )
 
 

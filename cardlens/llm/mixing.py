@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cardlens.llm.common import salted_rank
+from cardlens.llm.common import salted_rank, whole_row
 
 BLOCK = 16  # documents
 SALTS = 64
@@ -114,8 +114,7 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int
     spark = docs.sparkSession
     parts = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     salts = 4 * parts
-    names = docs.columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_whole"), F.col("doc_id").cast("long").alias("_id"), F.coalesce(F.col("source"), F.lit("")).alias("source"))
+    rows = docs.select(whole_row(docs).alias("_whole"), F.col("doc_id").cast("long").alias("_id"), F.coalesce(F.col("source"), F.lit("")).alias("source"))
     rows = rows.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int"))
     counts = rows.groupBy("source", "_salt").agg(F.count(F.lit(1)).alias("n")).limit(MOST_SOURCES * salts).collect()
     if not counts:

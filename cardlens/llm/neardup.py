@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlens.llm.bktree import shard_roots
-from cardlens.llm.common import bound_batches, components, durable, empty_if_null
+from cardlens.llm.common import bound_batches, components, durable, empty_if_null, whole_row
 from cardlens.llm.simhash import group_bounds, grouped, shingle_hashes, simhash
 
 MINIMA = 128
@@ -113,19 +113,18 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.
     columns are kept.
     """
     groups = near_groups(docs, words, similarity)
-    kept = durable(groups.select(F.col("kept_id").alias("doc_id")).distinct(), "kept")
-    extra = [c for c in docs.columns if c != "doc_id"]
+    kept = durable(groups.select(F.col("kept_id").alias("_kept")).distinct(), "kept").hint("merge")
     # the list of kept ids grows with docs, so it is never broadcast
-    chosen = docs.join(kept.withColumnRenamed("doc_id", "_kept").hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
-    return once(chosen, extra)
+    chosen = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_kept"]), "left_semi")
+    return once(chosen)
 
 
-def once(docs: DataFrame, extra: list[str]) -> DataFrame:
+def once(docs: DataFrame) -> DataFrame:
     """One row per doc_id, where ids repeat: the rows are grouped only for ids that come more than once."""
-    counts = durable(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("doc_id"), "repeats")
+    counts = durable(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col("doc_id").alias("_d")), "repeats")
     if not counts.take(1):
         return docs
-    single = docs.join(counts.withColumnRenamed("doc_id", "_d"), F.col("doc_id").eqNullSafe(F.col("_d")), "left_anti")
-    many = docs.join(counts.withColumnRenamed("doc_id", "_d"), F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi")
-    firsts = many.groupBy("doc_id").agg(F.first(F.struct(*extra)).alias("_row")).select("doc_id", "_row.*").select(docs.columns)
+    repeats = docs["doc_id"].eqNullSafe(counts["_d"])
+    single, many = docs.join(counts, repeats, "left_anti"), docs.join(counts, repeats, "left_semi")
+    firsts = many.groupBy("doc_id").agg(F.first(whole_row(docs)).alias("_row")).select("_row.*")
     return single.unionByName(firsts)

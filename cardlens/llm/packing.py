@@ -9,10 +9,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardlens.llm.common import bound_batches, durable, empty_if_null, salted_rank
+from cardlens.llm.common import bound_batches, durable, empty_if_null, ranked_within, salted_rank
 
 CAPACITY = 1024
 SALTS = 64
@@ -139,8 +140,10 @@ def slots(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, i
     return out
 
 
-def pack(cut: DataFrame, capacity: int = CAPACITY, salts: int = SALTS, order: tuple[str, ...] = ("doc_id", "start", "ids_crc32")) -> DataFrame:
-    """Give each row of pieces its sequence_id and offset.
+def pack(
+    cut: DataFrame, capacity: int = CAPACITY, salts: int = SALTS, order: tuple[str, ...] = ("doc_id", "start", "ids_crc32"), within: tuple[str, ...] = ()
+) -> DataFrame:
+    """Give each row of pieces its sequence_id and offset. Rows are ranked by a salt, or, if given, by `within`, then `order`.
 
     Only the histogram (at most `capacity` rows) comes to the driver, and only the slots (from patterns, whose number
     follows the number of lengths, not of rows) go back. A length's rows get ranks over salted buckets.
@@ -148,12 +151,46 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, salts: int = SALTS, order: tu
     spark = cut.sparkSession
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     table = spark.createDataFrame(slots(shortest_pack_first(histogram, capacity)), "length long, lo long, hi long, first_sequence long, offset long")
-    ranked = salted_rank(cut, "length", list(order), salts, "_rank")
+    ranked = ranked_within(cut, "length", within, order, "_rank") if within else salted_rank(cut, "length", list(order), salts, "_rank")
     inside = (F.col("_rank") >= F.col("lo")) & (F.col("_rank") < F.col("hi"))
     placed = ranked.join(F.broadcast(table.withColumnRenamed("length", "_length")), (F.col("length") == F.col("_length")) & inside)
     return placed.withColumn("sequence_id", F.col("first_sequence") + F.col("_rank") - F.col("lo")).drop("_rank", "_length", "lo", "hi", "first_sequence")
 
 
+def with_place(docs: DataFrame) -> DataFrame:
+    """doc_id and text of docs with _part, _file, _stretch and _row: where a row stands in the files that docs is read from.
+
+    Files are in the order of the number that Spark's writer gives them and are counted in stretches of 2^20 rows. Rows
+    that come from no file are in the order of partitions.
+    """
+    rows = docs.select("doc_id", "text")
+    try:
+        at = docs.metadataColumn("_metadata")
+        rows = docs.select("doc_id", "text", at["file_name"].alias("_file"), at["row_index"].alias("_row"))
+        rows.schema  # noqa: B018
+    except AnalysisException:
+        rows = rows.withColumn("_file", F.lit("")).withColumn("_row", F.monotonically_increasing_id())
+    number = F.regexp_extract("_file", r"^part-([0-9]+)", 1)
+    return rows.withColumn("_part", F.when(number != "", number.cast("long")).otherwise(0)).withColumn("_stretch", F.shiftright("_row", 20))
+
+
+def pack_in_order(docs: DataFrame, capacity: int = CAPACITY, tokenizer: tuple[str, str, str] | None = None) -> DataFrame:
+    """pack_documents, with sequences numbered in the order in which docs stands in its files.
+
+    A length's pieces are ranked in that order, so pieces that follow each other get sequences of one pattern that
+    follow each other; a sequence then stands where its first piece does. Ranks and numbers are made in each stretch
+    of a file and completed by the stretches' counts; texts are not shuffled.
+    """
+    stretch = ("_part", "_file", "_stretch")
+    cut = durable(pieces(with_place(docs), capacity, tokenizer, keep=(*stretch, "_row")), "pieces")
+    packed = durable(pack(cut, capacity, order=("_row", "start"), within=stretch), "packed")
+    first = packed.groupBy("sequence_id").agg(F.min(F.struct(*stretch, "_row")).alias("_first")).select("sequence_id", "_first.*")
+    numbered = ranked_within(first.withColumn("_all", F.lit(0)), "_all", stretch, ("_row", "sequence_id"), "_number")
+    return packed.join(numbered.select("sequence_id", "_number"), "sequence_id").select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", F.col("_number").alias("sequence_id"), "offset"
+    )
+
+
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer: tuple[str, str, str] | None = None) -> DataFrame:
     """Tokenise, cut and pack all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 

@@ -11,8 +11,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from cardlens.llm.common import bound_batches, empty_if_null
+from cardlens.llm.common import bound_batches, empty_if_null, whole_row
 
 DECAY = 0.6  # what each step of a subsequence costs, gaps included
 WINDOW = 24  # longer words are looked at in windows of so many characters, half overlapping
@@ -304,11 +305,16 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.float64()), *others], ["doc_id", "score", *keep])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), empty_if_null(text_col).alias("_scored"), *keep)
-    kinds = "".join(f", {k} {rows.schema[k].dataType.simpleString()}" for k in keep)
-    scored = rows.mapInArrow(score, "doc_id long, score double" + kinds)
+    scored = rows.mapInArrow(score, StructType([StructField("doc_id", LongType()), StructField("score", DoubleType()), *(rows.schema[k] for k in keep)]))
     return scored.select("doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *keep)
 
 
+def drop_toxic_documents(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs that the model doesn't reject, with all their columns, whatever their names."""
+    rows = docs.select("doc_id", "text", whole_row(docs).alias("_whole"))
+    return score_documents(rows, model, keep=("_whole",)).where("predicted = 0").select("_whole.*")
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1000, max_chars: int = 40_000_000, landmarks: int = 20) -> Model:
     """Fit on a bounded sample: per_class texts of either class, max_chars in all (the two documented bounds)."""
     share = training_labels(labels).agg(F.avg(F.col("toxic").cast("double"))).first()[0]

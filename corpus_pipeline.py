@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlens.llm import mixing, neardup, packing, pii, toxicity
-from cardlens.llm.common import durable, read_table
+from cardlens.llm.common import durable, empty_if_null, read_table, whole_row
 
 #: Trained models, sketches and tokenizers have no SQL form; tests hold the stages against plain versions.
 ORACLE_SQL = None
@@ -15,8 +15,7 @@ ORACLE_SQL = None
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity machine, fitted on their labels, doesn't reject."""
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    return toxicity.score_documents(docs, model, keep=others).where("predicted = 0").select(docs.columns)
+    return toxicity.drop_toxic_documents(docs, model)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,9 +28,12 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     found = pii.find(docs).where("size(base) + size(learned) > 0")
     spans = F.concat(F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))), "learned")
     marked = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), spans.alias("_spans")).dropDuplicates(["_id", "_hash"])
-    key = docs.doc_id.cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(docs.text, F.lit(""))) == F.col("_hash"))
-    masked = docs.join(marked, key, "left").withColumn("_new", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(pii.redact(F.col("text"), F.col("_spans"))))
-    return masked.select(*[F.col("_new").alias("text") if c == "text" else F.length("_new").cast(t).alias(c) if c == "n_chars" else F.col(c) for c, t in docs.dtypes])
+    rows = docs.select(whole_row(docs).alias("_whole"))
+    key = F.col("_whole.doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(empty_if_null("_whole.text")) == F.col("_hash"))
+    text = F.col("_whole.text")
+    masked = rows.join(marked, key, "left").withColumn("_new", F.when(F.col("_spans").isNull(), text).otherwise(pii.redact(text, F.col("_spans"))))
+    new = {"text": F.col("_new"), "n_chars": F.length("_new")}
+    return masked.select(*[new.get(c, F.col(f"_whole.`{c}`")).cast(t).alias(c) for c, t in docs.dtypes])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +42,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' tokens with their places in sequences."""
-    return packing.pack_documents(docs)
+    """Pieces of the documents' tokens with their places in sequences, which are numbered in the mixing stage's order."""
+    return packing.pack_in_order(docs)
 
 
 STAGES = [

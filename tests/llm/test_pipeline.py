@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cardlens.llm import neardup, toxicity
+from cardlens.llm import neardup, packing, toxicity
+from cardlens.llm.common import durable
 
 SF = "/root/testdata/sf0.01"
 
@@ -51,6 +52,37 @@ def test_stages_keep_columns_and_take_effect(spark, docs):
     assert mixed.schema == docs.schema and mixed.exceptAll(docs).count() == 0 == docs.exceptAll(mixed).count()
 
 
+CLASHING = "_whole _id _hash _spans _new _kept _n _d _row _file _part _number _metadata _to _salt _rank score predicted held_out _scored code h bands sketch kept_id slot place block base learned".split()
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None), (None, "no id"), (2, ""), (2, "two rows of one id"), (3, "call a.b@c.de now " + "y " * 9000), (4, "call a.b@c.de now " + "y " * 9000)]])
+def test_stages_bear_odd_rows_and_clashing_names(spark, rows):
+    frame = spark.createDataFrame([(i, t, "en", None if i == 2 else "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    frame = frame.withColumns({c: F.lit(7) for c in CLASHING})
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, frame, SF)
+        if name == "packing":
+            assert got.groupBy("doc_id", "start").count().count() >= len({i for i, _ in rows})
+        else:
+            assert got.dtypes == frame.dtypes and got.count() == len(rows) - (2 if rows and name == "near_duplicates" else 0), name
+            assert got.where("_metadata <> 7 or score <> 7").count() == 0
+
+
+def test_sequences_follow_the_mix(spark, docs):
+    mixed = durable(corpus_pipeline.mix_sources(spark, docs, SF), "mixed")
+    place = {r.doc_id: i for i, r in enumerate(packing.with_place(mixed).orderBy("_part", "_file", "_row").select("doc_id").collect())}
+    got = corpus_pipeline.pack(spark, mixed, SF).toPandas()
+    first = got.assign(at=got.doc_id.map(place)).groupby("sequence_id").at.min()
+    assert first.is_monotonic_increasing and sorted(first.index) == list(range(len(first)))
+    plain = packing.pack_documents(docs).toPandas()
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    assert sorted(map(tuple, got[columns].values)) == sorted(map(tuple, plain[columns].values))
+    assert got.sequence_id.nunique() == plain.sequence_id.nunique()
+    for _, s in got.groupby("sequence_id"):
+        s = s.sort_values("offset")
+        assert s.offset.tolist() == [0, *s.length.cumsum()[:-1]] and s.length.sum() <= 1024
+
+
 def test_run_packs_what_stages_keep(spark, docs):
     got = corpus_pipeline.run(spark, SF)
     model = toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
