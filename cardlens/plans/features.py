@@ -6,33 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardlens import schemas
-from cardlens.functions import scalar, windows
+from cardlens.functions import scalar
+from cardlens.operators import history
 from cardlens.operators.joins import join_star, semi_active_history, time_slice
 
 
-def build_features(tx: DataFrame, users: DataFrame, cards: DataFrame, merchants: DataFrame, start=None, end=None) -> DataFrame:
+def build_features(
+    tx: DataFrame, users: DataFrame, cards: DataFrame, merchants: DataFrame, start=None, end=None, hot_rows: int = history.HOT_ROWS
+) -> DataFrame:
     """The 39 feature columns of each transaction of [start, end), or of all; no feature looks past its transaction.
 
     For a slice, only cards and users active in it are read back in full, and the slice is cut after the windows. The
-    card's six frames share one shuffle and sort, the user's another.
+    card's frames share one shuffle and sort, the user's another. Cards and users of hot_rows transactions or more are
+    done day by day instead, see history.
     """
     scope = tx if start is None and end is None else semi_active_history(tx, start, end)
     scope = scope.withColumn("amount_usd", F.col("amount_usd").cast("double"))
     ctx = join_star(scope, users, cards, merchants)
     t, c = F.col("created_at"), F.col
-    rows = ctx.select(
-        "*",
-        windows.trailing_count("card_id", "1 hour").alias("card_tx_count_1h"),
-        windows.trailing_count("card_id", "24 hours").alias("card_tx_count_24h"),
-        windows.trailing_sum("amount_usd", "card_id", "24 hours").alias("card_amount_sum_24h"),
-        windows.gap_seconds("card_id").alias("card_seconds_since_last_tx"),
-        windows.prior_zscore("amount_usd", "card_id").alias("card_amount_zscore"),
-        windows.sequence("card_id").alias("card_tx_seq"),
-        windows.trailing_declines("card_id", "24 hours").alias("card_declines_24h"),
-        windows.trailing_count("user_id", "24 hours").alias("user_tx_count_24h"),
-        windows.trailing_sum("amount_usd", "user_id", "24 hours").alias("user_amount_sum_24h"),
-        windows.gap_seconds("user_id").alias("user_seconds_since_last_tx"),
-    )
+    rows = history.with_history(ctx, "card_id", history.CARD_FIELDS, history.hot_keys(tx, "card_id", hot_rows))
+    rows = history.with_history(rows, "user_id", history.USER_FIELDS, history.hot_keys(tx, "user_id", hot_rows))
     rows = time_slice(rows, "created_at", start, end)
     full = rows.select(
         "*",
