@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+import math
+from collections import defaultdict
+from collections.abc import Iterable, Iterator, Mapping
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,14 +17,14 @@ from cardlens.llm.common import salted_rank, whole_row
 
 BLOCK = 16  # documents
 SALTS = 64
-SHARES = 1000  # weights are whole numbers that add up to this
-MOST_SOURCES = 500
+SHARES = 1000  # of whole_shares
+CHUNK = 64  # blocks of a source whose slots are broadcast in one row
 
 
 def whole_shares(weights: Mapping[str, float], total: int = SHARES) -> dict[str, int]:
     """Weights as whole numbers of at least 1 that add up to total, by largest remainders, ties by name."""
-    if len(weights) > min(total, MOST_SOURCES):
-        raise ValueError(f"{len(weights)} sources; at most {min(total, MOST_SOURCES)} have a share in a period")
+    if len(weights) > total:
+        raise ValueError(f"{len(weights)} sources; at most {total} have a whole share")
     whole = sum(weights.values())
     exact = {k: w * total / whole for k, w in weights.items()}
     shares = {k: max(1, int(x)) for k, x in exact.items()}
@@ -34,74 +38,95 @@ def whole_shares(weights: Mapping[str, float], total: int = SHARES) -> dict[str,
     return shares
 
 
-def pfair_period(shares: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]:
-    """One period of the schedule: rows (source, k, release, deadline, slot), k from 0 in its source.
+def pfair(weights: Mapping[str, float], blocks: Mapping[str, int]) -> Iterator[tuple[str, int, int, int, int]]:
+    """The schedule of so many blocks of each source, by slots: rows (source, k, release, deadline, slot), k from 0 in its source.
 
-    Block k of a source with share w of W slots may run from floor(kW/w) and must run before ceil((k+1)W/w). In each
-    slot the released block of the earliest deadline runs (ties: smaller share's name). With whole shares that add up
-    to W this meets every deadline, so a source's blocks so far differ from its due share by less than one, and the
-    schedule repeats after W slots.
+    Block k of a source with weight w of W in all may run from floor(kW/w) and must run before ceil((k+1)W/w). In each
+    slot the released block of the earliest deadline runs (ties: smaller source's name). Weights are taken as exact
+    fractions, so this meets every deadline, and while no source has run out a source's blocks so far differ from its
+    due share by less than one, however long the schedule. The blocks of a source that has run out are missing: the
+    others keep their windows, and slots without a released block stay empty.
     """
-    period = sum(shares.values())
-    coming = sorted((k * period // w, -(-(k + 1) * period // w), name, k) for name, w in shares.items() for k in range(w))
+    exact = {name: Fraction(w) for name, w in weights.items() if blocks.get(name)}
+    scale = math.lcm(*(x.denominator for x in exact.values()))
+    own = {name: int(x * scale) for name, x in exact.items()}
+    whole = int(sum(map(Fraction, weights.values())) * scale)
+    coming = [(0, -(-whole // w), name, 0) for name, w in own.items()]
+    heapq.heapify(coming)
     ready: list[tuple[int, str, int, int]] = []
-    out, at = [], 0
-    for slot in range(period):
-        while at < len(coming) and coming[at][0] <= slot:
-            release, deadline, name, k = coming[at]
+    slot = 0
+    while coming or ready:
+        if not ready:
+            slot = max(slot, coming[0][0])
+        while coming and coming[0][0] <= slot:
+            release, deadline, name, k = heapq.heappop(coming)
             heapq.heappush(ready, (deadline, name, k, release))
-            at += 1
         deadline, name, k, release = heapq.heappop(ready)
         if slot >= deadline:
             raise AssertionError("a deadline is missed")
-        out.append((name, k, release, deadline, slot))
-    return out
+        yield name, k, release, deadline, slot
+        if k + 1 < blocks[name]:
+            heapq.heappush(coming, ((k + 1) * whole // own[name], -(-(k + 2) * whole // own[name]), name, k + 1))
+        slot += 1
+
+
+def pfair_period(shares: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]:
+    """The schedule of whole shares up to where it repeats, after as many slots as they add up to."""
+    return list(pfair(shares, shares))
 
 
 def counted_weights(docs: DataFrame, source_col: str = "source", power: float = 1.0) -> dict[str, float]:
     """Documents of each source to the power; 1 keeps the sources' own proportions. One row per source comes to the driver."""
-    rows = docs.groupBy(F.coalesce(F.col(source_col), F.lit("")).alias("source")).agg(F.count(F.lit(1)).alias("n")).limit(MOST_SOURCES + 1).collect()
+    rows = docs.groupBy(F.coalesce(F.col(source_col), F.lit("")).alias("source")).agg(F.count(F.lit(1)).alias("n")).collect()
     return {r["source"]: float(r["n"]) ** power for r in rows}
 
 
+def filled(weights: Mapping[str, float] | None, counts: Mapping[str, float]) -> dict[str, float]:
+    """A weight for each counted source: the given one, the least of the given ones, or without any its count."""
+    if weights is None:
+        return dict(counts)
+    least = min([w for w in weights.values() if w > 0], default=1.0)
+    return {k: weights.get(k, 0) or least for k in counts}
+
+
 def schedule(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK, id_col: str = "doc_id", source_col: str = "source", salts: int = SALTS) -> DataFrame:
     """One row per row of docs: doc_id, source, block, release, deadline, slot, place (0-based within its block).
 
-    A source's documents get blocks of `block` in a fixed pseudo-random order; block b of a source with share w of a
-    period has its slot, release and deadline by arithmetic from one period's schedule, which is broadcast (SHARES
-    rows). All documents are kept; while every source has blocks, each prefix of slots holds the target weights to
-    less than one block. When a source has run out its slots stay empty and the rest goes on in order. A null source
-    counts as the source ''. Sources without a weight get the smallest share. Without weights the sources' own
-    proportions are the target, under which all run out together. Repeated rows have places of their own.
+    A source's documents get blocks of `block` in a fixed pseudo-random order; every block has its slot, release and
+    deadline in the schedule of all blocks under the exact weights. All documents are kept; while every source has
+    blocks, each prefix of slots holds the target weights to less than one block. When a source has run out the rest
+    goes on in order within its windows. A null source counts as the source ''. Sources without a weight get the
+    smallest weight. Without weights the sources' own proportions are the target, under which all run out together.
+    Repeated rows have places of their own.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(source_col), F.lit("")).alias("source"))
-    own = counted_weights(rows)
-    if not own:
+    counts = counted_weights(rows)
+    if not counts:
         return spark.createDataFrame([], "doc_id long, source string, block long, release long, deadline long, slot long, place int")
-    if weights is not None:
-        least = min([w for w in weights.values() if w > 0], default=1.0)
-        own = {k: weights.get(k, 0) or least for k in own}
-    shares = whole_shares(own)
-    return scheduled(rows, shares, block, salts)
+    blocks = {k: -(-int(n) // block) for k, n in counts.items()}
+    ranked = salted_rank(rows, "source", ["doc_id"], salts, "_rank")
+    return with_slots(ranked, pfair(filled(weights, counts), blocks), block, ("release", "deadline", "slot")).drop("_rank")
 
 
-def scheduled(rows: DataFrame, shares: Mapping[str, int], block: int, salts: int) -> DataFrame:
-    return with_slots(salted_rank(rows, "source", ["doc_id"], salts, "_rank"), shares, block).drop("_rank")
+def with_slots(ranked: DataFrame, scheduled: Iterable[tuple[str, int, int, int, int]], block: int, names: tuple[str, ...]) -> DataFrame:
+    """Rows (source, _rank) with block, place and the named ones of release, deadline and slot.
 
-
-def with_slots(ranked: DataFrame, shares: Mapping[str, int], block: int) -> DataFrame:
-    """Rows (source, _rank) with block, place, release, deadline and slot, by arithmetic from one period's schedule."""
-    spark = ranked.sparkSession
-    period = sum(shares.values())
-    table = spark.createDataFrame([(s, k, r, d, t) for s, k, r, d, t in pfair_period(shares)], "source string, _k long, _release long, _deadline long, _slot long")
-    known = F.broadcast(spark.createDataFrame(list(shares.items()), "source string, _own long"))
-    blocks = ranked.withColumn("block", F.floor(F.col("_rank") / block)).withColumn("place", F.pmod("_rank", F.lit(block)).cast("int")).join(known, "source")
-    blocks = blocks.withColumn("_k", F.pmod("block", F.col("_own"))).withColumn("_round", F.floor(F.col("block") / F.col("_own")) * period)
-    placed = blocks.join(F.broadcast(table), ["source", "_k"])
-    for name in ("release", "deadline", "slot"):
-        placed = placed.withColumn(name, F.col("_round") + F.col(f"_{name}"))
-    return placed.drop("_own", "_k", "_round", "_release", "_deadline", "_slot")
+    They are broadcast as arrays over CHUNK blocks of a source: 8 bytes a block and name.
+    """
+    picked = [("release", "deadline", "slot").index(n) + 2 for n in names]
+    lists: dict[tuple[str, int], list[list[int]]] = defaultdict(lambda: [[] for _ in names])
+    for row in scheduled:
+        for values, i in zip(lists[row[0], row[1] // CHUNK], picked, strict=True):
+            values.append(row[i])
+    keys = list(lists)
+    columns = [pa.array([s for s, _ in keys], pa.string()), pa.array([c for _, c in keys], pa.int64())]
+    columns += [pa.array([lists[key][i] for key in keys], pa.list_(pa.int64())) for i in range(len(names))]
+    table = ranked.sparkSession.createDataFrame(pa.Table.from_arrays(columns, ["source", "_chunk", *[f"_{n}" for n in names]]))
+    blocks = ranked.withColumn("block", F.floor(F.col("_rank") / block)).withColumn("place", F.pmod("_rank", F.lit(block)).cast("int")).withColumn("_chunk", F.floor(F.col("block") / CHUNK))
+    at = F.pmod("block", F.lit(CHUNK)).cast("int")
+    others = [c for c in blocks.columns if c not in ("source", "_chunk", "place")]
+    return blocks.join(F.broadcast(table), ["source", "_chunk"]).select("source", *others, *[F.get(F.col(f"_{n}"), at).alias(n) for n in names], "place")
 
 
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK, partitions: int | None = None) -> DataFrame:
@@ -116,7 +141,7 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int
     salts = 4 * parts
     rows = docs.select(whole_row(docs).alias("_whole"), F.col("doc_id").cast("long").alias("_id"), F.coalesce(F.col("source"), F.lit("")).alias("source"))
     rows = rows.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int"))
-    counts = rows.groupBy("source", "_salt").agg(F.count(F.lit(1)).alias("n")).limit(MOST_SOURCES * salts).collect()
+    counts = rows.groupBy("source", "_salt").agg(F.count(F.lit(1)).alias("n")).collect()
     if not counts:
         return docs
     own: dict[str, int] = {}
@@ -124,14 +149,9 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int
     for r in sorted(counts, key=lambda r: (r["source"], r["_salt"])):
         firsts.append((r["source"], r["_salt"], own.get(r["source"], 0)))
         own[r["source"]] = own.get(r["source"], 0) + r["n"]
-    if weights is not None:
-        least = min([w for w in weights.values() if w > 0], default=1.0)
-        shares = whole_shares({k: weights.get(k, 0) or least for k in own})
-    else:
-        shares = whole_shares(own)
-    period = sum(shares.values())
-    last = max(-(-n // block) * period / shares[s] for s, n in own.items()) + 1
-    to = {(s, salt): min(parts - 1, int(first // block * period / shares[s] * parts / last)) for s, salt, first in firsts}
+    plan = list(pfair(filled(weights, own), {s: -(-n // block) for s, n in own.items()}))
+    slots = {(s, k): slot for s, k, _, _, slot in plan}
+    to = {(s, salt): min(parts - 1, slots[s, first // block] * parts // (plan[-1][4] + 1)) for s, salt, first in firsts}
     base: dict[tuple[str, int], int] = {}
     for s, salt, first in firsts:
         base.setdefault((s, to[s, salt]), first)
@@ -139,4 +159,4 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int
     dealt = rows.join(F.broadcast(groups), ["source", "_salt"]).repartitionById(parts, F.col("_to"))
     order = Window.partitionBy("_to", "source").orderBy("_salt", "_id")
     ranked = dealt.withColumn("_rank", F.col("_base") + F.row_number().over(order) - 1)
-    return with_slots(ranked, shares, block).sortWithinPartitions("_to", "slot", "place").select("_whole.*")
+    return with_slots(ranked, plan, block, ("slot",)).sortWithinPartitions("_to", "slot", "place").select("_whole.*")

@@ -345,6 +345,27 @@ def test_pfair_keeps_within_a_block():
         assert all(abs(done[s] - w * (t + 1) / 100) < 1 for s, w in shares.items())
 
 
+def test_weights_are_exact():
+    """A long schedule keeps to the weights themselves, which are not whole thousandths; 700 sources have shares."""
+    weights = {"hot": 2400.0**0.5} | {f"s{i:02d}": 40.0**0.5 * (1 + i / 97) for i in range(20)}
+    whole = sum(weights.values())
+    done = dict.fromkeys(weights, 0)
+    for n, (name, k, release, deadline, slot) in enumerate(mixing.pfair(weights, dict.fromkeys(weights, 10**9)), 1):
+        assert slot == n - 1 and release <= slot < deadline and k == done[name]
+        done[name] += 1
+        if n % 997 == 0 or n > 20_000:
+            assert all(abs(done[s] - w * n / whole) < 1 + 1e-6 for s, w in weights.items())
+        if n == 20_100:
+            break
+    many = list(mixing.pfair({f"s{i}": 1.0 for i in range(700)}, {f"s{i}": 2 for i in range(700)}))
+    assert [r[4] for r in many] == list(range(1400))
+
+
+def test_schedule_of_many_sources(spark):
+    docs = spark.range(2100).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 700).alias("source"))
+    assert mixing.schedule(docs, block=2).toPandas().groupby("source").size().eq(3).all()
+
+
 def test_schedule_covers_all(docs):
     got = mixing.schedule(docs).toPandas()
     assert sorted(got.doc_id) == sorted(r.doc_id for r in docs.collect())
