@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import heapq
 import math
 from collections import defaultdict
@@ -132,31 +133,54 @@ def with_slots(ranked: DataFrame, scheduled: Iterable[tuple[str, int, int, int,
 def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK, partitions: int | None = None) -> DataFrame:
     """docs in the order of the schedule, all columns kept: partition p holds the p-th range of slots, in order of slots.
 
-    Texts are shuffled once. A source's documents are dealt over salted groups, in whose order they are ranked; counts
-    of the groups (sources x salts rows) tell where in the schedule each group begins, and so its partition, before
-    any text moves; ranks within are counted there. A group that reaches over the end of a range stays in the range.
+    Texts are shuffled once. A source's documents are ordered by a hash of the id and the row; where the ranges of
+    slots begin in this order is found from counts of salted groups (sources x salts rows) and, in the groups that
+    reach over the end of a range, from the ranks of their rows without texts. So each row goes to the range of its
+    own slot. Only rows that are equal in all columns stay together.
     """
     spark = docs.sparkSession
     parts = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     salts = 4 * parts
     rows = docs.select(whole_row(docs).alias("_whole"), F.col("doc_id").cast("long").alias("_id"), F.coalesce(F.col("source"), F.lit("")).alias("source"))
-    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int"))
+    rows = rows.withColumn("_key", F.xxhash64("_id", "_whole")).withColumn("_salt", F.pmod("_key", F.lit(salts)).cast("int"))
     counts = rows.groupBy("source", "_salt").agg(F.count(F.lit(1)).alias("n")).collect()
     if not counts:
         return docs
     own: dict[str, int] = {}
-    firsts = []
+    groups = []
     for r in sorted(counts, key=lambda r: (r["source"], r["_salt"])):
-        firsts.append((r["source"], r["_salt"], own.get(r["source"], 0)))
+        groups.append((r["source"], r["_salt"], own.get(r["source"], 0), r["n"]))
         own[r["source"]] = own.get(r["source"], 0) + r["n"]
     plan = list(pfair(filled(weights, own), {s: -(-n // block) for s, n in own.items()}))
-    slots = {(s, k): slot for s, k, _, _, slot in plan}
-    to = {(s, salt): min(parts - 1, slots[s, first // block] * parts // (plan[-1][4] + 1)) for s, salt, first in firsts}
-    base: dict[tuple[str, int], int] = {}
-    for s, salt, first in firsts:
-        base.setdefault((s, to[s, salt]), first)
-    groups = spark.createDataFrame([(s, salt, to[s, salt], base[s, to[s, salt]]) for s, salt, _ in firsts], "source string, _salt int, _to int, _base long")
-    dealt = rows.join(F.broadcast(groups), ["source", "_salt"]).repartitionById(parts, F.col("_to"))
-    order = Window.partitionBy("_to", "source").orderBy("_salt", "_id")
+    size = -(-len(plan) // parts)
+    # the first ranks of a source in the ranges that hold some of it
+    begins: dict[str, list[tuple[int, int]]] = defaultdict(list)
+    for i, (s, k, *_) in enumerate(plan):
+        if not begins[s] or begins[s][-1][1] < i // size:
+            begins[s].append((k * block, i // size))
+    cut = [(s, salt, first, [x for x, _ in begins[s] if first < x < first + n]) for s, salt, first, n in groups]
+    split = spark.createDataFrame([(s, salt, first, c) for s, salt, first, c in cut if c], "source string, _salt int, _first long, _cuts array<long>")
+    within = Window.partitionBy("source", "_salt").orderBy("_key")
+    found = rows.select("source", "_salt", "_key").join(F.broadcast(split), ["source", "_salt"])
+    found = found.withColumn("_rank", F.col("_first") + F.row_number().over(within) - 1).withColumn("_least", F.col("_first") + F.rank().over(within) - 1)
+    at: dict[tuple[str, int], list[tuple[int, int, int]]] = defaultdict(list)
+    for r in found.where(F.array_contains("_cuts", F.col("_rank"))).collect():
+        at[r["source"], r["_salt"]].append((r["_rank"], r["_key"], r["_least"]))
+    table, base = [], {}
+    for s, salt, first, _ in cut:
+        starts, ranges = [x for x, _ in begins[s]], [p for _, p in begins[s]]
+        to = ranges[bisect.bisect_right(starts, first) - 1]
+        base.setdefault((s, to), first)
+        keys, tos = [], [to]
+        for rank, key, least in sorted(at.get((s, salt), [])):
+            keys.append(key)
+            tos.append(ranges[bisect.bisect_right(starts, rank) - 1])
+            base[s, tos[-1]] = least
+        table.append((s, salt, keys, tos, [base[s, t] for t in tos]))
+    known = spark.createDataFrame(table, "source string, _salt int, _keys array<long>, _tos array<int>, _bases array<long>")
+    over = F.size(F.filter("_keys", lambda k: k <= F.col("_key")))
+    dealt = rows.join(F.broadcast(known), ["source", "_salt"]).withColumn("_to", F.get("_tos", over)).withColumn("_base", F.get("_bases", over))
+    dealt = dealt.drop("_keys", "_tos", "_bases").repartitionById(parts, F.col("_to"))
+    order = Window.partitionBy("_to", "source").orderBy("_salt", "_key")
     ranked = dealt.withColumn("_rank", F.col("_base") + F.row_number().over(order) - 1)
     return with_slots(ranked, plan, block, ("slot",)).sortWithinPartitions("_to", "slot", "place").select("_whole.*")

@@ -366,6 +366,22 @@ def test_schedule_of_many_sources(spark):
     assert mixing.schedule(docs, block=2).toPandas().groupby("source").size().eq(3).all()
 
 
+def test_mix_keeps_the_schedule_over_range_ends(spark):
+    """Every prefix of the output, through all ranges, holds the sources' shares to within a block (and one in progress)."""
+    n = {"a": 6000, "b": 3000, "c": 1111}
+    ids = [(i, s) for i, s in enumerate(s for s, k in n.items() for _ in range(k))]
+    frame = spark.createDataFrame(ids, "doc_id long, source string")
+    got = [r.source for r in mixing.mix(frame, partitions=16).collect()]
+    assert len(got) == len(ids)
+    done = dict.fromkeys(n, 0)
+    for t, s in enumerate(got[:-64], 1):
+        done[s] += 1
+        assert all(abs(done[k] - w * t / len(ids)) < 2 * mixing.BLOCK for k, w in n.items()), t
+    assert sorted(r.doc_id for r in mixing.mix(frame, partitions=16).collect()) == list(range(len(ids)))
+    blocks = [got[i : i + mixing.BLOCK] for i in range(0, 5000, mixing.BLOCK)]
+    assert all(len(set(b)) == 1 for b in blocks)
+
+
 def test_schedule_covers_all(docs):
     got = mixing.schedule(docs).toPandas()
     assert sorted(got.doc_id) == sorted(r.doc_id for r in docs.collect())
