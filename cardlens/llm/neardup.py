@@ -34,7 +34,7 @@ def minima(hashes: np.ndarray, by: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, code long, sketch binary, bands array<long>) of every row; empty texts have no bands."""
+    """(doc_id, code long, sketch binary, bands array<long>) of every row, all of distinct shingles; empty texts have no bands."""
     bound_batches(docs.sparkSession)
     starts = list(range(0, MINIMA - BAND + 1, BAND))
 
@@ -43,7 +43,7 @@ def sketches(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str
         for batch in batches:
             codes, sketch, bands = [], [], []
             for text in batch.column(1).to_pylist():
-                h = shingle_hashes(text, words)
+                h = np.unique(shingle_hashes(text, words))
                 codes.append(simhash(h))
                 if not len(h):
                     sketch.append(b"")
@@ -88,8 +88,11 @@ def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col
                 own = np.frombuffer(b"".join(table.column("sketch").slice(lo, hi - lo).to_pylist()), "<u2").reshape(hi - lo, MINIMA)
                 roots = shard_roots(codes[lo:hi], RADIUS, lambda i, j, own=own: alike(own, i, j, least), block=16)
                 moved = np.flatnonzero(roots != np.arange(hi - lo))
-                a.append(h[lo:hi][moved])
-                b.append(h[lo:hi][roots[moved]])
+                _, same = np.unique(own.view(f"V{own.itemsize * MINIMA}").ravel(), return_inverse=True)
+                order = np.argsort(same, kind="stable")
+                equal = np.flatnonzero(same[order][1:] == same[order][:-1])
+                a += [h[lo:hi][moved], h[lo:hi][order[equal + 1]]]
+                b += [h[lo:hi][roots[moved]], h[lo:hi][order[equal]]]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
     linked = components(placed.mapInArrow(link, "a long, b long").distinct()).toDF("h", "root")

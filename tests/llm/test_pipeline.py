@@ -42,6 +42,27 @@ def test_near_copies_leave_one(spark):
     assert kept == left
 
 
+def test_repeated_lines_do_not_hide_copies(spark):
+    """Texts of the same distinct shingles, whose lines are repeated differently often, are near copies."""
+    rng = random.Random(8)
+    texts = []
+    for _ in range(40):
+        lines = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(40)) for _ in range(12)]
+        for _ in range(2):
+            often = rng.sample(range(12), 2)
+            texts.append(" ".join(" ".join([line] * (200 if i in often else 2)) for i, line in enumerate(lines)))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.kept_id for r in neardup.near_groups(frame).collect()}
+
+    def shingles(text):
+        w = text.split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    for i in range(0, len(texts), 2):
+        x, y = shingles(texts[i]), shingles(texts[i + 1])
+        assert len(x & y) / len(x | y) >= 0.8 and got[i + 1] == i
+
+
 def test_stages_keep_columns_and_take_effect(spark, docs):
     toxic = corpus_pipeline.drop_toxic(spark, docs, SF)
     assert toxic.schema == docs.schema and 0 < docs.count() - toxic.count() < 0.2 * docs.count()
