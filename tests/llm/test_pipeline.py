@@ -42,6 +42,21 @@ def test_near_copies_leave_one(spark):
     assert kept == left
 
 
+def test_near_copies_at_the_border(spark):
+    """Pairs just above and just below the similarity are told apart exactly."""
+    rng = random.Random(7)
+    texts, want = [], []
+    for i in range(120):
+        # n shingles each, 5 words of an end changed at a time: Jaccard (n - d) / (n + d)
+        own = [f"w{rng.randrange(10**9)}" for _ in range(204)]
+        d = 21 + i % 3  # of 200: 0.810, 0.802, 0.794
+        texts += [" ".join(own), " ".join(own[:-d] + [f"w{rng.randrange(10**9)}" for _ in range(d)])]
+        want += [2 * i, 2 * i if (200 - d) / (200 + d) >= 0.8 else 2 * i + 1]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.kept_id for r in neardup.near_groups(frame).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def test_repeated_lines_do_not_hide_copies(spark):
     """Texts of the same distinct shingles, whose lines are repeated differently often, are near copies."""
     rng = random.Random(8)
