@@ -241,26 +241,56 @@ def test_redact(spark):
 
 def test_kernel_matches_plain():
     def plain(s, t):
+        s, t = toxicity.padded(s), toxicity.padded(t)
         total = 0.0
-        for i in itertools.combinations(range(len(s)), 3):
-            for j in itertools.combinations(range(len(t)), 3):
-                if all(s[a] == t[b] for a, b in zip(i, j, strict=True)):
-                    total += toxicity.DECAY ** (i[2] - i[0] + j[2] - j[0])
+        for p in (3, 4):
+            for i in itertools.combinations(range(len(s)), p):
+                for j in itertools.combinations(range(len(t)), p):
+                    near = i[-1] - i[0] < toxicity.SPAN and j[-1] - j[0] < toxicity.SPAN
+                    if near and all(s[a] == t[b] for a, b in zip(i, j, strict=True)):
+                        total += toxicity.DECAY ** (i[-1] - i[0] + j[-1] - j[0] - 2 * (p - 1))
         return total
 
-    for s, t in (("idiot", "id-iot"), ("clown", "crown"), ("aaa", "aaaa"), ("abc", "xyz")):
-        a, b = toxicity.as_codes([s], 8)[0], toxicity.as_codes([t], 8)[0]
-        assert toxicity.kernel(a, b)[0] == pytest.approx(plain(s, t), rel=1e-4)
+    for s, t in (("idiot", "id-iot"), ("clown", "crown"), ("aaa", "aaaa"), ("abc", "xyz"), ("réeuxpa", "réeuxment")):
+        assert toxicity.kernel(s, t) == pytest.approx(plain(s, t) / (plain(s, s) * plain(t, t)) ** 0.5, rel=1e-6, abs=1e-9)
+    assert toxicity.kernel("idiot", "id-iot") > 2 * toxicity.kernel("idiot", "pilot")
+
+
+def test_kernel_is_positive_semidefinite(docs):
+    words = sorted(toxicity.words_of(" ".join(r.text for r in docs.limit(20).collect())))[:300]
+    gram = np.array([toxicity.Sparse(words).times(toxicity.Sparse(words).of(i)) for i in range(len(words))])
+    assert np.linalg.eigvalsh((gram + gram.T) / 2).min() > -1e-6 and np.allclose(np.diag(gram), 1)
 
 
 def test_toxicity_held_out(spark):
+    """Held-out toxic texts are caught in each language, and clean ones left alone."""
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
-    scored = toxicity.score_documents(docs, toxicity.fit(docs, labels)).join(labels, "doc_id").where("held_out").toPandas()
-    hit = scored[scored.predicted == 1]
-    assert hit.toxic.mean() > 0.9 and len(hit) > 0.45 * scored.toxic.sum()
     model = toxicity.fit(docs, labels)
-    clean, gapped, spaced = model.scorer().scores(["a fine day for a walk", "such a mor-on he is", "you i d i o t you"])
-    assert clean < 0.1 and gapped > 3 * clean and spaced > 0.5
+    scored = toxicity.score_documents(docs, model).join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id").where("held_out").toPandas()
+    toxic, clean = scored[scored.toxic == 1], scored[scored.toxic == 0]
+    assert (toxic.predicted == 1).mean() >= 0.9 and (clean.predicted == 0).mean() >= 0.98
+    assert (toxic.groupby("lang").predicted.mean() >= 0.8).all()
+    usual, gapped, spaced, inserted = model.scorer().scores(["a fine day for a walk", "such a mor-on he is, a s.t.u.p.i.d one", "you i d i o t you", "an idio7t and a stuppid man"])
+    assert usual < 0.1 and gapped > 0.5 and spaced > 0.5 and inserted > 3 * usual
+
+
+def test_toxicity_labels_of_all_kinds(spark):
+    docs = spark.createDataFrame([(i, "you idiot you moron" if i % 2 else "a nice day out", "en", "s", 9) for i in range(40)] + [(7, None, "en", "s", 0)], DOCS)
+    kinds = "doc_id long, toxic int"
+    for held in ([], [(i, 0) for i in range(40)], [(i, 1) for i in range(40)], [(i, None) for i in range(40)]):
+        got = toxicity.score_documents(docs, toxicity.fit(docs, spark.createDataFrame(held, kinds))).toPandas()
+        assert len(got) == 41 and got.score.between(0, 1).all() and got.score.nunique() == 1
+    # of labels that differ for one doc_id the larger counts
+    repeated = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(i, 0) for i in range(40)], kinds)
+    got = toxicity.score_documents(docs, toxicity.fit(docs, repeated)).where("doc_id <> 7").toPandas()
+    assert (got.predicted == got.doc_id % 2).all()
+
+
+def test_labelled_sample_bounds(spark):
+    docs = spark.createDataFrame([(i, "x" * (50_000 if i < 4 else 10), "en", "s", 9) for i in range(30)], DOCS)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, toxic int")
+    got = toxicity.labelled_sample(docs, labels, 5, 1000)
+    assert all(len(t) == 10 for t, _ in got) and 0 < len(got) <= 10
 
 
 # 7
