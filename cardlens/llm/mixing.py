@@ -16,10 +16,13 @@ from pyspark.sql.window import Window
 
 from cardlens.llm.common import salted_rank, whole_row
 
-BLOCK = 16  # documents
-SALTS = 64
-SHARES = 1000  # of whole_shares
+BLOCK = 16  # documents; more where there would be over MOST_BLOCKS blocks
+MOST_BLOCKS = 1 << 20  # that the driver schedules
+MOST_CUTS = 1 << 20  # sources x ranges of slots, in `mix`
+GROUP = 1 << 16  # rows of a source that are ranked in one task, about
 CHUNK = 64  # blocks of a source whose slots are broadcast in one row
+SHARES = 1000  # of whole_shares
+ENDS = ("repeat", "stop", "rest")
 
 
 def whole_shares(weights: Mapping[str, float], total: int = SHARES) -> dict[str, int]:
@@ -39,24 +42,33 @@ def whole_shares(weights: Mapping[str, float], total: int = SHARES) -> dict[str,
     return shares
 
 
-def pfair(weights: Mapping[str, float], blocks: Mapping[str, int]) -> Iterator[tuple[str, int, int, int, int]]:
+def pfair(weights: Mapping[str, float], blocks: Mapping[str, int], end: str = "rest") -> Iterator[tuple[str, int, int, int, int]]:
     """The schedule of so many blocks of each source, by slots: rows (source, k, release, deadline, slot), k from 0 in its source.
 
     Block k of a source with weight w of W in all may run from floor(kW/w) and must run before ceil((k+1)W/w). In each
     slot the released block of the earliest deadline runs (ties: smaller source's name). Weights are taken as exact
     fractions, so this meets every deadline, and while no source has run out a source's blocks so far differ from its
-    due share by less than one, however long the schedule. The blocks of a source that has run out are missing: the
-    others keep their windows, and slots without a released block stay empty.
+    due share by less than one, however long the schedule. What happens when a source has run out is the caller's choice:
+
+    repeat: it begins anew, and k goes on, until every source has run once; the weights hold to the last slot.
+    stop: the schedule ends before the first slot that would need a missing block; the weights hold to there.
+    rest: its blocks are missing, the others keep their windows, and slots without a released block stay empty; every
+    block runs once, and the weights hold until the first source has run out.
     """
+    if end not in ENDS:
+        raise ValueError(f"{end!r} is none of {ENDS}")
     exact = {name: Fraction(w) for name, w in weights.items() if blocks.get(name)}
+    if not exact:
+        return
     scale = math.lcm(*(x.denominator for x in exact.values()))
     own = {name: int(x * scale) for name, x in exact.items()}
-    whole = int(sum(map(Fraction, weights.values())) * scale)
+    whole = sum(own.values()) if end == "repeat" else int(sum(map(Fraction, weights.values())) * scale)
+    last = max(-(-blocks[name] * whole // w) for name, w in own.items()) if end == "repeat" else None
     coming = [(0, -(-whole // w), name, 0) for name, w in own.items()]
     heapq.heapify(coming)
     ready: list[tuple[int, str, int, int]] = []
     slot = 0
-    while coming or ready:
+    while (coming or ready) and slot != last:
         if not ready:
             slot = max(slot, coming[0][0])
         while coming and coming[0][0] <= slot:
@@ -65,15 +77,17 @@ def pfair(weights: Mapping[str, float], blocks: Mapping[str, int]) -> Iterator[t
         deadline, name, k, release = heapq.heappop(ready)
         if slot >= deadline:
             raise AssertionError("a deadline is missed")
+        if end == "stop" and k >= blocks[name]:
+            return
         yield name, k, release, deadline, slot
-        if k + 1 < blocks[name]:
+        if end != "rest" or k + 1 < blocks[name]:
             heapq.heappush(coming, ((k + 1) * whole // own[name], -(-(k + 2) * whole // own[name]), name, k + 1))
         slot += 1
 
 
 def pfair_period(shares: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]:
     """The schedule of whole shares up to where it repeats, after as many slots as they add up to."""
-    return list(pfair(shares, shares))
+    return list(pfair(shares, shares, "stop"))
 
 
 def counted_weights(docs: DataFrame, source_col: str = "source", power: float = 1.0) -> dict[str, float]:
@@ -82,36 +96,69 @@ def counted_weights(docs: DataFrame, source_col: str = "source", power: float =
     return {r["source"]: float(r["n"]) ** power for r in rows}
 
 
-def filled(weights: Mapping[str, float] | None, counts: Mapping[str, float]) -> dict[str, float]:
-    """A weight for each counted source: the given one, the least of the given ones, or without any its count."""
-    if weights is None:
-        return dict(counts)
-    least = min([w for w in weights.values() if w > 0], default=1.0)
-    return {k: weights.get(k, 0) or least for k in counts}
-
-
-def schedule(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK, id_col: str = "doc_id", source_col: str = "source", salts: int = SALTS) -> DataFrame:
-    """One row per row of docs: doc_id, source, block, release, deadline, slot, place (0-based within its block).
+def targets(weights: Mapping[str, float] | None, counts: Mapping[str, float], block: int, end: str) -> tuple[dict[str, float], int, dict[str, int]]:
+    """A weight for each counted source, the block size, and each source's blocks.
 
-    A source's documents get blocks of `block` in a fixed pseudo-random order; every block has its slot, release and
-    deadline in the schedule of all blocks under the exact weights. All documents are kept; while every source has
-    blocks, each prefix of slots holds the target weights to less than one block. When a source has run out the rest
-    goes on in order within its windows. A null source counts as the source ''. Sources without a weight get the
-    smallest weight. Without weights the sources' own proportions are the target, under which all run out together.
-    Repeated rows have places of their own.
+    A source's weight is the given one or, where it is missing or not positive, the least of the given ones; without
+    weights it is the source's own count of blocks, so that all run out together. Blocks hold `block` documents, or so
+    many more that all epochs of all sources make at most MOST_BLOCKS blocks (and one a source).
+    """
+    least = min([w for w in weights.values() if w > 0], default=1.0) if weights else 1.0
+    given = {s: weights[s] if weights.get(s, 0) > 0 else least for s in counts} if weights is not None else None
+    documents = sum(counts.values())
+    if given and end == "repeat":
+        documents = max(counts[s] * sum(given.values()) / given[s] for s in counts)
+    block = max(block, math.ceil(documents / MOST_BLOCKS))
+    blocks = {s: -(-int(n) // block) for s, n in counts.items()}
+    return given or {s: float(n) for s, n in blocks.items()}, block, blocks
+
+
+def schedule(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK, id_col: str = "doc_id", source_col: str = "source", end: str = "repeat") -> DataFrame:
+    """One row per document and epoch: doc_id, source, epoch, block, release, deadline, slot, place, deviation.
+
+    A source's documents get blocks of `block` (see targets) in a fixed pseudo-random order; every block has its slot,
+    release and deadline in the schedule of all blocks under the exact weights; place is 0-based within the block;
+    deviation is how many blocks the source is ahead of its due share after the slot, always between -1 and 1 while the
+    weights hold. With `end` "repeat" (see pfair) every document comes at least once and the target weights hold over the
+    whole output; with "rest" every document comes once; with "stop" those after the first source's end are left out.
+    A null source counts as the source ''. Sources without a weight get the smallest weight. Without weights the sources'
+    own proportions are the target, under which all run out together. Repeated rows have places of their own.
+
+    One row per source comes to the driver; it schedules at most MOST_BLOCKS blocks, whose slots are broadcast.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(source_col), F.lit("")).alias("source"))
     counts = counted_weights(rows)
     if not counts:
-        return spark.createDataFrame([], "doc_id long, source string, block long, release long, deadline long, slot long, place int")
-    blocks = {k: -(-int(n) // block) for k, n in counts.items()}
-    ranked = salted_rank(rows, "source", ["doc_id"], salts, "_rank")
-    return with_slots(ranked, pfair(filled(weights, counts), blocks), block, ("release", "deadline", "slot")).drop("_rank")
+        return spark.createDataFrame([], "doc_id long, source string, epoch long, block long, release long, deadline long, slot long, place int, deviation double")
+    target, block, blocks = targets(weights, counts, block, end)
+    plan = list(pfair(target, blocks, end))
+    ranked = salted_rank(rows, "source", ["doc_id"], max(1, -(-int(max(counts.values())) // GROUP)), "_rank")
+    again = in_epochs(ranked, plan, blocks, block)
+    due = spark.createDataFrame([(s, target[s] / sum(target.values())) for s in counts], "source string, _due double")
+    placed = with_slots(again, plan, block, ("release", "deadline", "slot")).join(F.broadcast(due), "source")
+    return placed.select(
+        "doc_id", "source", "epoch", (F.col("block") - F.col("epoch") * F.col("_blocks")).alias("block"), "release", "deadline", "slot", "place", (F.col("block") + 1 - F.col("_due") * (F.col("slot") + 1)).alias("deviation")
+    )
+
+
+def epochs_of(plan: Iterable[tuple[str, int, int, int, int]], blocks: Mapping[str, int]) -> dict[str, int]:
+    """How often each source begins in a schedule."""
+    epochs = dict.fromkeys(blocks, 0)
+    for s, k, *_ in plan:
+        epochs[s] = max(epochs[s], k // blocks[s] + 1)
+    return epochs
+
+
+def in_epochs(ranked: DataFrame, plan: list[tuple[str, int, int, int, int]], blocks: Mapping[str, int], block: int) -> DataFrame:
+    """Rows (source, _rank) once for each epoch of their source, _rank going on from epoch to epoch."""
+    table = [(s, e, blocks[s]) for s, n in epochs_of(plan, blocks).items() for e in range(n)]
+    epochs = ranked.sparkSession.createDataFrame(table, "source string, epoch long, _blocks long")
+    return ranked.join(F.broadcast(epochs), "source").withColumn("_rank", F.col("_rank") + F.col("epoch") * F.col("_blocks") * block)
 
 
 def with_slots(ranked: DataFrame, scheduled: Iterable[tuple[str, int, int, int, int]], block: int, names: tuple[str, ...]) -> DataFrame:
-    """Rows (source, _rank) with block, place and the named ones of release, deadline and slot.
+    """Rows (source, _rank) with block, place and the named ones of release, deadline and slot; rows without a slot go.
 
     They are broadcast as arrays over CHUNK blocks of a source: 8 bytes a block and name.
     """
@@ -127,60 +174,70 @@ def with_slots(ranked: DataFrame, scheduled: Iterable[tuple[str, int, int, int,
     blocks = ranked.withColumn("block", F.floor(F.col("_rank") / block)).withColumn("place", F.pmod("_rank", F.lit(block)).cast("int")).withColumn("_chunk", F.floor(F.col("block") / CHUNK))
     at = F.pmod("block", F.lit(CHUNK)).cast("int")
     others = [c for c in blocks.columns if c not in ("source", "_chunk", "place")]
-    return blocks.join(F.broadcast(table), ["source", "_chunk"]).select("source", *others, *[F.get(F.col(f"_{n}"), at).alias(n) for n in names], "place")
+    found = blocks.join(F.broadcast(table), ["source", "_chunk"]).select("source", *others, *[F.get(F.col(f"_{n}"), at).alias(n) for n in names], "place")
+    return found.where(F.col(names[-1]).isNotNull())
 
 
-def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK, partitions: int | None = None) -> DataFrame:
+def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK, partitions: int | None = None, end: str = "repeat") -> DataFrame:
     """docs in the order of the schedule, all columns kept: partition p holds the p-th range of slots, in order of slots.
 
-    Texts are shuffled once. A source's documents are ordered by a hash of the id and the row; where the ranges of
-    slots begin in this order is found from counts of salted groups (sources x salts rows) and, in the groups that
-    reach over the end of a range, from the ranks of their rows without texts. So each row goes to the range of its
-    own slot. Only rows that are equal in all columns stay together.
+    `weights` and `end` are those of `schedule`: with "repeat" documents of sources that run out come again. Texts are
+    shuffled once. A source's documents are ordered by a hash of the id and the row; where the ranges of slots begin in
+    this order is found from counts of salted groups (about 4 a partition and one a source) and, in the groups that
+    reach over the end of a range, from the ranks of their rows without texts. So each row goes to the range of its own
+    slot. Ranges are so many that sources x ranges are at most MOST_CUTS, which with the groups bounds what the driver
+    holds. Only rows that are equal in all columns stay together.
     """
     spark = docs.sparkSession
-    parts = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    salts = 4 * parts
     rows = docs.select(whole_row(docs).alias("_whole"), F.col("doc_id").cast("long").alias("_id"), F.coalesce(F.col("source"), F.lit("")).alias("source"))
-    rows = rows.withColumn("_key", F.xxhash64("_id", "_whole")).withColumn("_salt", F.pmod("_key", F.lit(salts)).cast("int"))
-    counts = rows.groupBy("source", "_salt").agg(F.count(F.lit(1)).alias("n")).collect()
-    if not counts:
+    own = {s: int(n) for s, n in counted_weights(docs).items()}
+    if not own:
         return docs
-    own: dict[str, int] = {}
-    groups = []
-    for r in sorted(counts, key=lambda r: (r["source"], r["_salt"])):
-        groups.append((r["source"], r["_salt"], own.get(r["source"], 0), r["n"]))
-        own[r["source"]] = own.get(r["source"], 0) + r["n"]
-    plan = list(pfair(filled(weights, own), {s: -(-n // block) for s, n in own.items()}))
+    parts = min(partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), max(1, MOST_CUTS // len(own)))
+    a_group = -(-sum(own.values()) // (4 * parts))
+    salts = spark.createDataFrame([(s, -(-n // a_group)) for s, n in own.items()], "source string, _salts long")
+    rows = rows.join(F.broadcast(salts), "source").withColumn("_key", F.xxhash64("_id", "_whole")).withColumn("_salt", F.pmod("_key", F.col("_salts")).cast("int"))
+    counts = rows.groupBy("source", "_salt").agg(F.count(F.lit(1)).alias("n")).collect()
+    target, block, blocks = targets(weights, own, block, end)
+    plan = list(pfair(target, blocks, end))
     size = -(-len(plan) // parts)
     # the first ranks of a source in the ranges that hold some of it
     begins: dict[str, list[tuple[int, int]]] = defaultdict(list)
     for i, (s, k, *_) in enumerate(plan):
         if not begins[s] or begins[s][-1][1] < i // size:
             begins[s].append((k * block, i // size))
-    cut = [(s, salt, first, [x for x, _ in begins[s] if first < x < first + n]) for s, salt, first, n in groups]
-    split = spark.createDataFrame([(s, salt, first, c) for s, salt, first, c in cut if c], "source string, _salt int, _first long, _cuts array<long>")
-    within = Window.partitionBy("source", "_salt").orderBy("_key")
+    epochs = epochs_of(plan, blocks)
+    seen: dict[str, int] = dict.fromkeys(own, 0)
+    groups = []
+    for r in sorted(counts, key=lambda r: (r["source"], r["_salt"])):
+        s, salt, n = r["source"], r["_salt"], r["n"]
+        groups += [(s, salt, e, seen[s] + e * blocks[s] * block, n) for e in range(epochs[s])]
+        seen[s] += n
+    groups.sort(key=lambda g: (g[0], g[3]))
+    starts = {s: [x for x, _ in pairs] for s, pairs in begins.items()}
+    ranges = {s: [p for _, p in pairs] for s, pairs in begins.items()}
+    cut = [(s, salt, e, first, starts[s][bisect.bisect_right(starts[s], first) : bisect.bisect_left(starts[s], first + n)]) for s, salt, e, first, n in groups]
+    split = spark.createDataFrame([(s, salt, e, first, c) for s, salt, e, first, c in cut if c], "source string, _salt int, _epoch int, _first long, _cuts array<long>")
+    within = Window.partitionBy("source", "_salt", "_epoch").orderBy("_key")
     found = rows.select("source", "_salt", "_key").join(F.broadcast(split), ["source", "_salt"])
     found = found.withColumn("_rank", F.col("_first") + F.row_number().over(within) - 1).withColumn("_least", F.col("_first") + F.rank().over(within) - 1)
-    at: dict[tuple[str, int], list[tuple[int, int, int]]] = defaultdict(list)
+    at: dict[tuple[str, int, int], list[tuple[int, int, int]]] = defaultdict(list)
     for r in found.where(F.array_contains("_cuts", F.col("_rank"))).collect():
-        at[r["source"], r["_salt"]].append((r["_rank"], r["_key"], r["_least"]))
+        at[r["source"], r["_salt"], r["_epoch"]].append((r["_rank"], r["_key"], r["_least"]))
     table, base = [], {}
-    for s, salt, first, _ in cut:
-        starts, ranges = [x for x, _ in begins[s]], [p for _, p in begins[s]]
-        to = ranges[bisect.bisect_right(starts, first) - 1]
-        base.setdefault((s, to), first)
+    for s, salt, e, first, _ in cut:
+        to = ranges[s][bisect.bisect_right(starts[s], first) - 1]
+        base.setdefault((s, e, to), first)
         keys, tos = [], [to]
-        for rank, key, least in sorted(at.get((s, salt), [])):
+        for rank, key, least in sorted(at.get((s, salt, e), [])):
             keys.append(key)
-            tos.append(ranges[bisect.bisect_right(starts, rank) - 1])
-            base[s, tos[-1]] = least
-        table.append((s, salt, keys, tos, [base[s, t] for t in tos]))
-    known = spark.createDataFrame(table, "source string, _salt int, _keys array<long>, _tos array<int>, _bases array<long>")
+            tos.append(ranges[s][bisect.bisect_right(starts[s], rank) - 1])
+            base[s, e, tos[-1]] = least
+        table.append((s, salt, e, keys, tos, [base[s, e, t] for t in tos]))
+    known = spark.createDataFrame(table, "source string, _salt int, _epoch int, _keys array<long>, _tos array<int>, _bases array<long>")
     over = F.size(F.filter("_keys", lambda k: k <= F.col("_key")))
     dealt = rows.join(F.broadcast(known), ["source", "_salt"]).withColumn("_to", F.get("_tos", over)).withColumn("_base", F.get("_bases", over))
-    dealt = dealt.drop("_keys", "_tos", "_bases").repartitionById(parts, F.col("_to"))
-    order = Window.partitionBy("_to", "source").orderBy("_salt", "_key")
+    dealt = dealt.drop("_keys", "_tos", "_bases", "_salts").repartitionById(parts, F.col("_to"))
+    order = Window.partitionBy("_to", "source", "_epoch").orderBy("_salt", "_key")
     ranked = dealt.withColumn("_rank", F.col("_base") + F.row_number().over(order) - 1)
     return with_slots(ranked, plan, block, ("slot",)).sortWithinPartitions("_to", "slot", "place").select("_whole.*")

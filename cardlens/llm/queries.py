@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from cardlens.llm import ann, editprint, mixing, packing, pii, secrets, simhash, toxicity, urlrules, warc
+from cardlens.llm import pipeline as corpus
 from cardlens.llm.common import read_table
 
 
@@ -79,7 +79,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus_pipeline.run(spark, sf_dir)
+    return corpus.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -130,6 +130,6 @@ FROM s LEFT JOIN fit USING (page_id) LEFT JOIN v USING (page_id)
 
 def oracle_sql() -> dict[str, str]:
     sql = {"op7_warc_salvage": OP7_SQL, "op10_url_rules": OP10_SQL}
-    if corpus_pipeline.ORACLE_SQL:
-        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    if corpus.ORACLE_SQL:
+        sql["pipeline"] = corpus.ORACLE_SQL
     return sql

@@ -74,7 +74,7 @@ def norms(keys: np.ndarray, decays: np.ndarray) -> np.ndarray:
     return np.sqrt(np.bincount(row, (upto - before) ** 2, minlength=len(keys)))
 
 
-def by_length(words: Sequence[str], part: int = 4096) -> Iterator[np.ndarray]:
+def by_length(words: Sequence[str], part: int = 1024) -> Iterator[np.ndarray]:
     """Positions of words of three characters or more, in parts of one length."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     for n in np.unique(lengths[lengths >= 3]):
@@ -291,7 +291,7 @@ def fit_svm(x: np.ndarray, positive: np.ndarray, negative: np.ndarray, c: float,
     return w
 
 
-def train(sample: list[tuple[str, int]], landmarks: int = 500, most_words: int = 60_000, candidates: int = 4000, c: float = 30_000.0, prior: float | None = None) -> Model:
+def train(sample: list[tuple[str, int]], landmarks: int = 500, most_words: int = 40_000, candidates: int = 4000, c: float = 30_000.0, prior: float | None = None) -> Model:
     """Fit on labelled texts.
 
     The words of a labelled text's sentences are the instances: a word is met as positive by the share of class 1's
@@ -320,7 +320,8 @@ def train(sample: list[tuple[str, int]], landmarks: int = 500, most_words: int =
     np.add.at(own, (sparse.row, column), sparse.value)
     values, vectors = np.linalg.eigh((own @ own.T).astype(float))
     kept = values > 1e-6
-    to_map = (own.T @ (vectors[:, kept] / np.sqrt(values[kept]))).astype(np.float32)  # subsequences to Nystroem features
+    to_map = own.T @ (vectors[:, kept] / np.sqrt(values[kept])).astype(np.float32)  # subsequences to Nystroem features
+    del own, sparse
     place = np.zeros(TRIPLES + HASHED, np.int64)
     place[keys] = np.arange(1, len(keys) + 1)
     rows = np.vstack([np.zeros((1, to_map.shape[1]), np.float32), to_map])

@@ -1,7 +1,9 @@
 """Training-data operators against plain versions on small inputs, and their edge cases."""
 
+import fractions
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -43,7 +45,7 @@ def test_edge_rows_of_all_document_operators(spark, odd):
             assert got.count() == len(ODD), f
     model = toxicity.train([("you idiot", 1), ("a nice day", 0)] * 5)
     assert toxicity.score_documents(odd, model).count() == len(ODD) and toxicity.score_documents(empty, model).count() == 0
-    assert mixing.mix(odd).count() == len(ODD) and mixing.mix(empty).count() == 0
+    assert mixing.mix(odd, end="rest").count() == len(ODD) and mixing.mix(empty).count() == 0
     assert neardup.drop_near_duplicates(odd).schema == odd.schema
 
 
@@ -457,12 +459,66 @@ def test_schedule_of_many_sources(spark):
     assert mixing.schedule(docs, block=2).toPandas().groupby("source").size().eq(3).all()
 
 
+def brute_schedule(weights, blocks, end):
+    """Slot by slot: of all released blocks the one of the earliest deadline, found by looking at every source."""
+    exact = {s: fractions.Fraction(w) for s, w in weights.items()}
+    whole = sum(exact.values())
+    done, out, slot = dict.fromkeys(weights, 0), [], 0
+    while True:
+        if end == "repeat" and all(done[s] >= b for s, b in blocks.items()) and slot >= max(math.ceil(b * whole / exact[s]) for s, b in blocks.items()):
+            return out
+        if end == "rest" and all(done[s] == b for s, b in blocks.items()):
+            return out
+        ready = [(math.ceil((done[s] + 1) * whole / w), s) for s, w in exact.items() if math.floor(done[s] * whole / w) <= slot and (end != "rest" or done[s] < blocks[s])]
+        if ready:
+            deadline, s = min(ready)
+            if end == "stop" and done[s] == blocks[s]:
+                return out
+            out.append((s, done[s], math.floor(done[s] * whole / exact[s]), deadline, slot))
+            done[s] += 1
+        slot += 1
+
+
+@pytest.mark.parametrize("end", mixing.ENDS)
+def test_schedule_of_unequal_sources(spark, end):
+    """Unequal sources and weights, against a brute-force scheduler; the weights hold over the whole output."""
+    n, weights = {"a": 1800, "b": 200, "c": 530, "d": 7}, {"a": 1.0, "b": 1.0, "c": 0.37, "d": 0.11}
+    assert list(mixing.pfair(weights, {s: -(-k // 16) for s, k in n.items()}, end)) == (want := brute_schedule(weights, {s: -(-k // 16) for s, k in n.items()}, end))
+    frame = spark.createDataFrame([(10_000 * i + j, s) for i, (s, k) in enumerate(n.items()) for j in range(k)], "doc_id long, source string")
+    got = mixing.schedule(frame, weights, end=end).toPandas()
+    blocks = {s: -(-k // 16) for s, k in n.items()}
+    assert {(r.source, r.epoch * blocks[r.source] + r.block, r.release, r.deadline, r.slot) for r in got.itertuples()} == set(want)
+    per_epoch = got.groupby(["source", "epoch"]).doc_id.nunique()
+    assert (got.groupby(["source", "epoch"]).size() == per_epoch).all() and not got.duplicated(["slot", "place"]).any()
+    if end == "stop":
+        assert got.doc_id.is_unique and len(got) < len(frame.collect())
+    else:
+        assert got.doc_id.nunique() == sum(n.values()) and (end == "repeat" or got.doc_id.is_unique)
+    if end != "rest":
+        assert got.deviation.abs().max() < 1
+        share = {s: w / sum(weights.values()) for s, w in weights.items()}
+        slots = got.slot.max() + 1
+        for s, own in got.groupby("source"):
+            assert abs(own.slot.nunique() - share[s] * slots) < 1
+    mixed = mixing.mix(frame, weights, partitions=5, end=end).toPandas()
+    # blocks that are not full stand elsewhere, as the order within a source is another one
+    assert len(mixed) == pytest.approx(len(got), abs=40) and mixed.doc_id.is_unique == got.doc_id.is_unique
+    assert end == "stop" or set(mixed.doc_id) == set(got.doc_id)
+    if end == "rest":
+        assert mixed.source.tolist() == got.sort_values(["slot", "place"]).source.tolist()
+
+
+def test_blocks_grow_with_the_table():
+    target, block, blocks = mixing.targets({"a": 1.0, "b": 3.0}, {"a": 2 * 10**9, "b": 10**9}, 16, "repeat")
+    assert block > 16 and sum(1 for _ in itertools.islice(mixing.pfair(target, blocks, "repeat"), 3 << 20)) <= mixing.MOST_BLOCKS + 2
+
+
 def test_mix_keeps_the_schedule_over_range_ends(spark):
     """Every prefix of the output, through all ranges, holds the sources' shares to within a block (and one in progress)."""
     n = {"a": 6000, "b": 3000, "c": 1111}
     ids = [(i, s) for i, s in enumerate(s for s, k in n.items() for _ in range(k))]
     frame = spark.createDataFrame(ids, "doc_id long, source string")
-    got = [r.source for r in mixing.mix(frame, partitions=16).collect()]
+    got = [r.source for r in mixing.mix(frame, partitions=16, end="rest").collect()]
     assert len(got) == len(ids)
     done = dict.fromkeys(n, 0)
     for t, s in enumerate(got[:-64], 1):
