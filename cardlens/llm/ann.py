@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,46 +15,85 @@ from pyspark.sql.window import Window
 
 from cardlens.llm.common import durable
 
-SAMPLE = 8192  # vectors the rotation and the radius are fitted on
+SAMPLE = 8192  # vectors that tables and radius are fitted on
+LEARNED = 2048  # of these the rotations
 BLOCK = 16_384  # vectors indexed together
-QUERIES = 16_384  # queries broadcast together
-PARTS = 4
+TABLES = (4, 8, 16, 32, 48)  # substrings to choose from; 16 bits each
+PROBE = 1e-8  # seconds a probe and
+RERANK = 1e-7  # a fetched code take, about: what the choice of tables weighs
 
 
 @dataclass
 class Codes:
+    """Binary codes of `tables` substrings of 16 bits: signs under learned rotations of the centred vectors.
+
+    Probes reach substrings within `reach` bits, so by the pigeonhole principle they retrieve every code within
+    tables x (reach + 1) - 1 bits of the query's, and many farther ones; those within `radius` bits are reranked.
+    """
+
     mean: np.ndarray
     rotation: np.ndarray  # dimension x bits
+    reach: int
     radius: int
 
+    @property
+    def tables(self) -> int:
+        return self.rotation.shape[1] // 16
+
     def encode(self, x: np.ndarray) -> np.ndarray:
+        """(vectors, tables) substrings."""
         bits = ((x - self.mean) @ self.rotation > 0).astype(np.uint8)
-        return np.packbits(bits, axis=1, bitorder="little").view("<u8")[:, 0]
+        return np.packbits(bits, axis=1, bitorder="little").view("<u2")
 
 
-def fit_codes(sample: np.ndarray, k: int, target: float = 0.95, rounds: int = 30, seed: int = 7) -> Codes:
-    """64-bit codes: the rotation that least changes the (padded) centred vectors when they are rounded to signs,
-    found by turns as in iterative quantisation; the radius is the smallest that finds `target` of the sample's own
-    k nearest. A denser full table has nearer neighbours, so the radius errs on the large side."""
-    mean = sample.mean(0)
-    x = sample - mean
+def rotations(x: np.ndarray, bits: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
+    """Rotations, 64 bits at a time, that change the centred vectors least when they are rounded to signs, found by turns
+    as in iterative quantisation, each from its own start."""
     _, _, axes = np.linalg.svd(x, full_matrices=False)
-    x = x @ axes[:64].T
-    rng = np.random.default_rng(seed)
     project = np.pad(axes[:64].T, ((0, 0), (0, 64 - min(64, len(axes)))))
-    spread = np.pad(x, ((0, 0), (0, 64 - x.shape[1])))
-    turn = np.linalg.qr(rng.standard_normal((64, 64)))[0]
-    for _ in range(rounds):
-        u, _, v = np.linalg.svd(np.where(spread @ turn > 0, 1.0, -1.0).T @ spread)
-        turn = (u @ v).T
-    codes = Codes(mean, project @ turn, 64)
-    own = codes.encode(sample)
-    asked = sample[:: max(1, len(sample) // 256)]
-    score = asked @ sample.T
-    top = np.argpartition(-score, min(k, len(sample) - 1), axis=1)[:, : k + 1]
-    far = np.bitwise_count(codes.encode(asked)[:, None] ^ np.take(own, top)).astype(int).ravel()
-    codes.radius = int(np.quantile(far, target, method="higher")) if len(far) else 64
-    return codes
+    spread = x @ project
+    rng = np.random.default_rng(seed)
+    out = []
+    for _ in range(-(-bits // 64)):
+        turn = np.linalg.qr(rng.standard_normal((64, 64)))[0]
+        for _ in range(rounds):
+            u, _, v = np.linalg.svd(np.where(spread @ turn > 0, 1.0, -1.0).T @ spread)
+            turn = (u @ v).T
+        out.append(project @ turn)
+    return np.hstack(out)[:, :bits]
+
+
+def fit_codes(sample: np.ndarray, k: int, total: int, target: float = 0.96) -> Codes:
+    """Codes for the k nearest among `total` vectors, of which sample holds some.
+
+    The nearest of the whole table are as near as a smaller number of nearest in the sample; twice that number is taken,
+    to err on the far side. Of all choices of tables and reach that find `target` of those, the one that costs least
+    counts, by its probes and by the share of other pairs that it fetches; the radius holds 99 % of them.
+    """
+    mean = sample.mean(0)
+    turned = rotations(sample[:LEARNED] - mean, 16 * max(TABLES))
+    own = Codes(mean, turned, 0, 0).encode(sample)
+    asked = np.arange(0, len(sample), max(1, len(sample) // 256))
+    score = sample[asked] @ sample.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    near = min(len(sample) - 1, k, max(1, math.ceil(2 * k * len(sample) / max(total, 1))))
+    if near < 1:
+        return Codes(mean, turned[:, :64], 16, 64)
+    top = np.argpartition(-score, near - 1, axis=1)[:, :near]
+    far = np.bitwise_count(own[np.repeat(asked, near)] ^ own[top.ravel()])
+    others = np.random.default_rng(1).integers(0, len(sample), (2, 4096))
+    apart = np.bitwise_count(own[others[0]] ^ own[others[1]])
+    best = (math.inf, max(TABLES), 16)
+    for tables in TABLES:
+        for reach in range(17):
+            if (far[:, :tables] <= reach).any(1).mean() >= target:
+                share = (apart[:, :tables] <= reach).any(1).mean()
+                cost = tables * sum(math.comb(16, i) for i in range(reach + 1)) * PROBE + share * min(total, BLOCK) * RERANK
+                best = min(best, (cost, tables, reach))
+                break
+    _, tables, reach = best
+    radius = int(np.quantile(far[:, :tables].astype(int).sum(1), 0.99, method="higher"))
+    return Codes(mean, turned[:, : 16 * tables], reach, radius)
 
 
 class SubstringIndex:
@@ -61,39 +101,38 @@ class SubstringIndex:
 
     def __init__(self, codes: np.ndarray):
         self.codes = codes
-        self.orders, self.bounds = [], []
-        for p in range(PARTS):
-            part = (codes >> np.uint64(16 * p)).astype(np.uint16)
-            order = np.argsort(part, kind="stable")
-            self.orders.append(order)
-            self.bounds.append(np.searchsorted(part[order], np.arange(65537)))
+        self.words = np.ascontiguousarray(codes).view("<u8")  # tables come in fours
+        self.orders = np.argsort(codes, axis=0, kind="stable").T.astype(np.int32)
+        values = np.arange(65537)
+        self.bounds = np.concatenate([np.searchsorted(codes[order, t], values) + t * len(codes) for t, order in enumerate(self.orders)]).astype(np.int32)
+        self.orders = self.orders.ravel()
 
     @staticmethod
     def masks(bits: int) -> np.ndarray:
         return np.array([sum(1 << b for b in c) for n in range(bits + 1) for c in itertools.combinations(range(16), n)], np.uint16)
 
-    def within(self, code: np.uint64, radius: int, masks: np.ndarray) -> np.ndarray:
-        """Positions of all codes within the radius: one of the parts differs in at most radius // PARTS bits."""
-        found = []
-        for p in range(PARTS):
-            probes = (np.uint16((int(code) >> (16 * p)) & 0xFFFF) ^ masks).astype(np.int64)
-            lo, n = self.bounds[p][probes], self.bounds[p][probes + 1] - self.bounds[p][probes]
-            some = n > 0
-            lo, n = lo[some], n[some]
-            at = np.arange(n.sum()) + np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) if len(n) else np.empty(0, int)
-            found.append(self.orders[p][at])
+    def fetch(self, code: np.ndarray, masks: np.ndarray) -> np.ndarray:
+        """Positions of all codes of which a substring is the query's under one of the masks."""
+        probes = (code[:, None] ^ masks[None, :]).astype(np.int32)
+        probes += 65537 * np.arange(len(code), dtype=np.int32)[:, None]
+        low = self.bounds[probes.ravel()]
+        n = self.bounds[probes.ravel() + 1] - low
+        some = np.flatnonzero(n)
+        low, n = low[some], n[some]
         seen = np.zeros(len(self.codes), bool)
-        for f in found:
-            seen[f] = True
-        got = np.flatnonzero(seen)
-        return got[np.bitwise_count(self.codes[got] ^ code) <= radius]
+        if len(n):
+            seen[self.orders[np.arange(n.sum()) + np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n)]] = True
+        return np.flatnonzero(seen)
+
+    def within(self, code: np.ndarray, masks: np.ndarray, radius: int) -> np.ndarray:
+        """What is fetched and lies within the radius."""
+        got = self.fetch(code, masks)
+        return got[np.bitwise_count(self.words[got] ^ np.ascontiguousarray(code).view("<u8")).sum(1, dtype=np.int64) <= radius]
 
 
 def valid_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(vec_id, v array<double>) of the rows that take part: not null, no null or non-finite component, not zero."""
-    v = F.col(vector_col)
-    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    rows = table.select(F.col(id_col).cast("long").alias("vec_id"), v.cast("array<double>").alias("v"))
+    rows = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     return rows.where("vec_id is not null and v is not null").where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))).where(F.exists("v", lambda x: x != 0))
 
 
@@ -106,12 +145,12 @@ def nearest(table: DataFrame, k: int = 20, query_modulus: int = 20, id_col: str
 
     Rows query_id, rank, vec_id, score (double precision on the original vectors; ties to the smaller vec_id). The
     query's own vec_id is no candidate. Vectors that are null, zero or hold null or non-finite components, and those
-    with a null id, take no part; of several rows with one vec_id each is a candidate; only vectors of a query's own
-    length are its candidates. An empty table gives no rows.
+    with a null id, take no part; of several rows with one vec_id each is a candidate, and of equal queries one is
+    asked; only vectors of a query's own length are its candidates. An empty table gives no rows.
 
-    Queries are broadcast in blocks of a fixed size and meet every block of vectors there, whose codes are indexed by
-    substring; each block gives its k best, so what is shuffled follows queries x blocks. A query for which fewer
-    than k codes lie within the radius is asked again without a radius.
+    Vectors are dealt to blocks by a hash, and each query is sent to every block, in one shuffle. A task indexes its
+    block by substrings, then takes the queries as they come, and gives each one's k best of the block. A query for
+    which fewer than k candidates come back is asked again of all vectors.
     """
     spark = table.sparkSession
     rows = durable(valid_vectors(table, id_col, vector_col).withColumn("width", F.size("v")), "vectors")
@@ -120,72 +159,56 @@ def nearest(table: DataFrame, k: int = 20, query_modulus: int = 20, id_col: str
     for width, n in sorted(counts.items()):
         own = rows.where(F.col("width") == width).select("vec_id", "v")
         sample = np.array([r["v"] for r in own.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()], float)
-        codes = fit_codes(sample, k)
-        dealt = own.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(-(-n // BLOCK))).cast("int")).repartition(max(1, -(-n // BLOCK)), "block").sortWithinPartitions("block", "vec_id")
-        dealt = durable(dealt.select("block", "vec_id", "v"), "blocks")
-        asked = own.where(F.col("vec_id") % query_modulus == 0).select("vec_id", "v")
-        first = search(dealt, asked, codes, k, width)
-        short = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") < min(k, n)).select("query_id")
-        missing = asked.join(first.select("query_id").distinct(), F.col("vec_id") == F.col("query_id"), "left_anti").select(F.col("vec_id").alias("query_id"))
-        again_ids = durable(short.union(missing), "short")
-        if n > k and again_ids.take(1):
-            again = search(dealt, asked.join(again_ids, F.col("vec_id") == F.col("query_id"), "left_semi"), Codes(codes.mean, codes.rotation, 64), k, width)
-            first = first.join(again_ids, "query_id", "left_anti").union(again)
+        codes = fit_codes(sample, k, n)
+        asked = own.where(F.col("vec_id") % query_modulus == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+        first = search(own, asked, codes, k, width, n)
+        found = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min(k, n)).select("query_id")
+        short = durable(asked.join(found, F.col("vec_id") == F.col("query_id"), "left_anti"), "short")
+        if n > 1 and short.take(1):
+            again = search(own, short, None, k, width, n)
+            first = first.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").union(again)
         results = first if results is None else results.union(first)
     if results is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     return results.select("query_id", "rank", "vec_id", "score")
 
 
-def search(dealt: DataFrame, asked: DataFrame, codes: Codes, k: int, width: int) -> DataFrame:
-    """k best within the radius for each query of `asked`, over blocks (block, vec_id, v)."""
-    spark = dealt.sparkSession
-    total = asked.count()
-    parts = None
-    for b in range(max(1, -(-total // QUERIES))):
-        block = asked if total <= QUERIES else asked.where(F.pmod(F.xxhash64("vec_id", F.lit(2)), F.lit(-(-total // QUERIES))) == b)
-        held = block.orderBy("vec_id").collect()
-        ids = np.array([r["vec_id"] for r in held], np.int64)
-        vectors = np.array([r["v"] for r in held], np.float64).reshape(-1, width)
-        sent = spark.sparkContext.broadcast((ids, vectors))
-
-        def find(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            query_ids, queries = sent.value
-            asked_codes = codes.encode(queries) if len(queries) else np.empty(0, np.uint64)
-            masks = SubstringIndex.masks(min(16, codes.radius // PARTS))
-
-            def best(own: list[np.ndarray], own_ids: list[np.ndarray]) -> pa.RecordBatch:
-                x, xid = np.concatenate(own), np.concatenate(own_ids)
-                index = SubstringIndex(codes.encode(x))
-                out: tuple[list, list, list] = ([], [], [])
-                for q in range(len(query_ids)):
-                    got = np.arange(len(x)) if codes.radius >= 64 else index.within(asked_codes[q], codes.radius, masks)
-                    got = got[xid[got] != query_ids[q]]
-                    score = (x[got] * queries[q]).sum(1)
-                    if len(got) > k:
-                        edge = np.partition(score, len(score) - k)[len(score) - k]
-                        near = score >= edge
-                        got, score = got[near], score[near]
-                    top = np.lexsort((xid[got], -score))[:k]
-                    out[0].append(np.full(len(top), query_ids[q]))
-                    out[1].append(xid[got[top]])
-                    out[2].append(score[top])
-                return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else np.empty(0, t), k_) for c, t, k_ in zip(out, (np.int64, np.int64, float), (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "vec_id", "score"])
-
-            own, own_ids, held_rows = [], [], 0
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                own.append(matrix(batch.column(1), width))
-                own_ids.append(batch.column(0).to_numpy())
-                held_rows += batch.num_rows
-                if held_rows >= 2 * BLOCK:
-                    yield best(own, own_ids)
-                    own, own_ids, held_rows = [], [], 0
-            if held_rows:
-                yield best(own, own_ids)
-
-        part = dealt.select("vec_id", "v").mapInArrow(find, "query_id long, vec_id long, score double")
-        parts = part if parts is None else parts.union(part)
+def search(own: DataFrame, asked: DataFrame, codes: Codes | None, k: int, width: int, total: int) -> DataFrame:
+    """k best for each query of `asked` among own (both vec_id, v): by the index, or without codes by all products."""
+    blocks = max(1, -(-total // BLOCK))
+    dealt = own.select(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("asks"), "vec_id", "v")
+    sent = asked.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("asks"), "vec_id", "v")
+    placed = dealt.union(sent).repartitionById(blocks, F.col("block")).sortWithinPartitions("block", "asks", "vec_id")
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        masks = SubstringIndex.masks(codes.reach) if codes else None
+        vectors, ids = [], []
+        x = xid = index = None
+        for batch in batches:
+            kinds = batch.column(1).to_numpy()
+            cut = int(np.searchsorted(kinds, 1))
+            if cut:
+                vectors.append(matrix(batch.column(3).slice(0, cut), width))
+                ids.append(batch.column(2).to_numpy()[:cut])
+            if cut == batch.num_rows or not ids:
+                continue
+            if x is None:
+                x, xid = np.concatenate(vectors), np.concatenate(ids)
+                index = SubstringIndex(codes.encode(x)) if codes else None
+            queries, query_ids = matrix(batch.column(3).slice(cut), width), batch.column(2).to_numpy()[cut:]
+            asked_codes = codes.encode(queries) if codes else None
+            out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            for q, query_id in enumerate(query_ids):
+                got = index.within(asked_codes[q], masks, codes.radius) if codes else np.arange(len(x))
+                got = got[xid[got] != query_id]
+                score = (x[got] * queries[q]).sum(1)
+                if len(got) > k:
+                    near = score >= np.partition(score, len(score) - k)[len(score) - k]
+                    got, score = got[near], score[near]
+                top = np.lexsort((xid[got], -score))[:k]
+                out.append((np.full(len(top), query_id), xid[got[top]], score[top]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
+
+    best = placed.mapInArrow(find, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return durable(parts.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "nearest")
+    return durable(best.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "nearest")

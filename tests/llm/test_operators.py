@@ -206,14 +206,43 @@ def test_neighbours_edge_vectors(spark):
     assert ann.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
-def test_substring_index_is_exact():
+def test_neighbours_of_repeated_ids_and_clashing_names(spark):
+    rng = np.random.default_rng(6)
+    held = [(i, rng.standard_normal(8).tolist()) for i in range(200)]
+    held += [(40, held[40][1]), (41, held[3][1]), (41, held[3][1])]  # equal queries, and candidates of one id
+    frame = spark.createDataFrame(held, "vec_id long, embedding array<double>").withColumns({c: F.lit(7) for c in ("block", "asks", "v", "width", "rank", "query_id", "score", "n")})
+    got = ann.nearest(frame, k=5)
+    for q in (40, 60):
+        score = [(-sum(a * b for a, b in zip(held[q][1], v, strict=True)), i) for i, v in held if i != q]
+        found = [(-r.score, r.vec_id) for r in got.where(f"query_id = {q}").orderBy("rank").collect()]
+        assert found == sorted(found) and len(found) == 5 and all(min(abs(a - x) for x, j in score if j == i) < 1e-9 for a, i in found)
+        assert len({i for _, i in found} & {i for _, i in sorted(score)[:5]}) >= 3
+
+
+def test_substring_index_fetches_every_code_within_the_pigeonhole_radius():
     rng = np.random.default_rng(1)
-    codes = rng.integers(0, 1 << 62, 3000, dtype=np.uint64)
-    codes[:50] = codes[0] ^ (np.uint64(1) << rng.integers(0, 64, 50).astype(np.uint64))
+    codes = rng.integers(0, 1 << 16, (3000, 8), dtype=np.uint16)
+    codes[:200] = codes[0] ^ (np.uint16(1) << rng.integers(0, 16, (200, 8)).astype(np.uint16)) * (rng.random((200, 8)) < 0.7)
     index = ann.SubstringIndex(codes)
-    for radius in (0, 3, 8, 20):
-        want = np.flatnonzero(np.bitwise_count(codes ^ codes[0]) <= radius)
-        assert (index.within(codes[0], radius, index.masks(radius // ann.PARTS)) == want).all()
+    far = np.bitwise_count(codes ^ codes[0]).sum(1, dtype=int)
+    for reach in (0, 1, 2):
+        radius = 8 * (reach + 1) - 1
+        got = index.fetch(codes[0], index.masks(reach))
+        assert set(np.flatnonzero(far <= radius)) <= set(got)
+        assert (np.sort(index.within(codes[0], index.masks(reach), radius)) == np.flatnonzero(far <= radius)).all()
+
+
+def test_index_prunes_what_is_far():
+    """On vectors with clusters the index fetches little; the share is small and nearly all nearest are in it."""
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.standard_normal((400, 64)), 40, axis=0) + 0.3 * rng.standard_normal((16_000, 64))
+    codes = ann.fit_codes(x[rng.permutation(len(x))[:4000]], 20, len(x))
+    index, masks = ann.SubstringIndex(codes.encode(x)), ann.SubstringIndex.masks(codes.reach)
+    asked = np.arange(0, len(x), 400)
+    fetched = [index.fetch(c, masks) for c in codes.encode(x[asked])]
+    assert np.mean([len(f) for f in fetched]) < 0.05 * len(x)
+    hits = [len(set(np.argsort(-(x @ x[q]))[1:21]) & set(f.tolist())) / 20 for q, f in zip(asked, fetched, strict=True)]
+    assert np.mean(hits) > 0.95
 
 
 # 5
