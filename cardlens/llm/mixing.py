@@ -19,7 +19,7 @@ from cardlens.llm.common import salted_rank, whole_row
 BLOCK = 16  # documents; more where there would be over MOST_BLOCKS blocks
 MOST_BLOCKS = 1 << 20  # that the driver schedules
 MOST_CUTS = 1 << 20  # sources x ranges of slots, in `mix`
-GROUP = 1 << 16  # rows of a source that are ranked in one task, about
+GROUP = 1 << 12  # rows of a source that are ranked in one task, about
 CHUNK = 64  # blocks of a source whose slots are broadcast in one row
 SHARES = 1000  # of whole_shares
 ENDS = ("repeat", "stop", "rest")

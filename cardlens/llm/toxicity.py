@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
@@ -240,29 +241,30 @@ def training_labels(labels: DataFrame) -> DataFrame:
     return labels.where("toxic is not null and doc_id is not null").where(~held_out("doc_id")).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, max_chars: int) -> list[tuple[str, int]]:
-    """At most per_class labelled texts of each class, by a hash of the id; held-out ids (crc32 mod 5 = 0) never.
-
-    max_chars bounds what the driver holds of each class: whole texts are taken in the order of the hash while they
-    fit, and a text that doesn't fit is passed over.
-    """
-    spark = docs.sparkSession
+def labelled_texts(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
+    """(toxic, doc_id, text) of at most per_class labelled ids of each class, by a hash of the id, in one partition and in
+    that order; held-out ids (crc32 mod 5 = 0) never."""
     chosen = None
     for y in (0, 1):
         part = training_labels(labels).where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.union(part)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), empty_if_null("text").alias("text"))
     texts = rows.join(F.broadcast(chosen.withColumn("doc_id", F.col("doc_id").cast("long"))), "doc_id")
-    sizes = texts.groupBy("doc_id", "toxic").agg(F.sum(F.length("text")).alias("n"), F.count(F.lit(1)).alias("k")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
-    held, taken = {0: 0, 1: 0}, []
-    for r in sizes:
-        if held[r["toxic"]] + r["n"] <= max_chars and r["k"] <= per_class:
-            held[r["toxic"]] += r["n"]
-            taken.append((r["doc_id"],))
-    if not taken:
-        return []
-    ids = F.broadcast(spark.createDataFrame(taken, "doc_id long"))
-    return [(r["text"], r["toxic"]) for r in texts.join(ids, "doc_id").select("doc_id", "text", "toxic").distinct().orderBy("doc_id", "text").collect()]
+    return texts.select("toxic", "doc_id", "text").repartition(1).sortWithinPartitions("toxic", F.xxhash64("doc_id"), "doc_id", "text")
+
+
+def that_fit(rows: Iterable[tuple[int, int, str]], per_class: int, max_chars: int) -> list[tuple[str, int]]:
+    """(text, toxic) of whole texts, in the order given, while per_class texts and max_chars characters of their class are
+    not exceeded; a text that doesn't fit is passed over, and a repeated row counts once."""
+    size, number, before, taken = [0, 0], [0, 0], None, []
+    for row in rows:
+        y, _, text = row
+        if row != before and number[y] < per_class and size[y] + len(text) <= max_chars:
+            size[y] += len(text)
+            number[y] += 1
+            taken.append((text, y))
+        before = row
+    return taken
 
 
 def held_out(id_col: str):
@@ -390,8 +392,17 @@ def drop_toxic_documents(docs: DataFrame, model: Model) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_chars: int = 20_000_000, landmarks: int = 500) -> Model:
     """Fit on a bounded sample: per_class texts and max_chars characters of either class (the two documented bounds).
 
-    The link takes class 1 for as frequent as in the labels, and at least for LEAST_PRIOR. An empty labels table and
-    one of a single class teach nothing.
+    One task holds the sample and trains; only the model comes to the driver. The link takes class 1 for as frequent as
+    in the labels, and at least for LEAST_PRIOR. An empty labels table and one of a single class teach nothing.
     """
+    bound_batches(docs.sparkSession)
     share = training_labels(labels).agg(F.avg(F.col("toxic").cast("double"))).first()[0]
-    return train(labelled_sample(docs, labels, per_class, max_chars), landmarks, prior=min(max(share or 0.0, LEAST_PRIOR), 0.99))
+    prior = min(max(share or 0.0, LEAST_PRIOR), 0.99)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        model = train(that_fit(rows, per_class, max_chars), landmarks, prior=prior)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    learned = labelled_texts(docs, labels, per_class).mapInArrow(learn, "model binary").first()
+    return pickle.loads(learned["model"]) if learned else NOTHING_LEARNED
