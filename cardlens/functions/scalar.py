@@ -10,24 +10,35 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DAY_US = 86_400_000_000
+HOUR_US = 3_600_000_000
 
 
 def log_amount(amount: Column) -> Column:
     return F.log1p(amount)
 
 
+def utc_date(ts: Column) -> Column:
+    """The day in UTC, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(ts) / F.lit(DAY_US)).cast("int"))
+
+
+def utc_hour_start(ts: Column) -> Column:
+    us = F.unix_micros(ts)
+    return F.timestamp_micros(us - F.pmod(us, F.lit(HOUR_US)))
+
+
 def hour_utc(ts: Column) -> Column:
-    """Hour of the day; the session's time zone is UTC."""
-    return F.hour(ts).cast("int")
+    """Hour of the day in UTC, whatever the session's time zone."""
+    return F.floor(F.pmod(F.unix_micros(ts), F.lit(DAY_US)) / F.lit(HOUR_US)).cast("int")
 
 
 def weekday(ts: Column) -> Column:
-    """Monday is 0."""
-    return F.weekday(ts).cast("int")
+    """In UTC; Monday is 0, and the first day of the epoch was a Thursday."""
+    return F.pmod(F.floor(F.unix_micros(ts) / F.lit(DAY_US)) + 3, F.lit(7)).cast("int")
 
 
 def is_night(ts: Column) -> Column:
-    return ((F.hour(ts) < 6) | (F.hour(ts) >= 23)).cast("int")
+    return ((hour_utc(ts) < 6) | (hour_utc(ts) >= 23)).cast("int")
 
 
 def age_days(ts: Column, since: Column) -> Column:
@@ -90,7 +101,7 @@ def localize(text: Column, zone: str = "Asia/Ho_Chi_Minh") -> Column:
 
 
 def drift_band(distance: Column) -> Column:
-    return F.when(distance < 0.1, "none").when(distance < 0.25, "moderate").otherwise("significant")
+    return F.when(distance < 0.1, "no_drift").when(distance < 0.25, "moderate_drift").otherwise("significant_drift")
 
 
 def zscore(x: Column, n: Column, total: Column, squares: Column) -> Column:
@@ -113,7 +124,7 @@ def amount_cents(amount: Column) -> Column:
 
 
 def is_weekend(ts: Column) -> Column:
-    return (F.weekday(ts) >= 5).cast("int")
+    return (weekday(ts) >= 5).cast("int")
 
 
 def is_late(arrived: Column, happened: Column, seconds: int = 60) -> Column:
@@ -141,7 +152,8 @@ def uid_keys(parts: list[Column]) -> list[Column]:
 
 
 def uid_hash(*parts: Column) -> Column:
-    return F.xxhash64(*parts)
+    """A 60-bit key: the first 15 hex digits of the MD5 of the joined parts."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *[p.cast("string") for p in parts])), 1, 15), 16, 10).cast("long")
 
 
 def pseudonym(value: Column, salt: str) -> Column:
@@ -150,7 +162,8 @@ def pseudonym(value: Column, salt: str) -> Column:
 
 def traffic_arm(key: Column, share: int = 20) -> Column:
     """Arm b for `share` of 100 hash slots."""
-    return F.when(F.pmod(F.xxhash64(key), F.lit(100)) < share, "b").otherwise("a")
+    slot = F.pmod(F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("long"), F.lit(100))
+    return F.when(slot < share, "b").otherwise("a")
 
 
 def three_way(score: Column, high: float, step_up: float) -> Column:

@@ -38,11 +38,27 @@ def plain_field(kind: str, span: str, key: str) -> Column:
     return windows.sequence(key) if kind == "sequence" else trailing_field(kind, span, key)
 
 
-def hot_keys(tx: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """(_hot, _base): keys with hot_rows rows or more and their least amount; None if there are none."""
-    counts = tx.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(F.col("amount_usd").cast("double")).alias("_base"))
-    hot = counts.where((F.col("_n") >= hot_rows) & F.col(key).isNotNull()).select(F.col(key).alias("_hot"), F.coalesce("_base", F.lit(0.0)).alias("_base"))
-    return hot if tx.count() >= hot_rows and hot.take(1) else None
+def hot_keys(rows: DataFrame, keys: tuple[str, ...], hot_rows: int = HOT_ROWS) -> dict[str, DataFrame]:
+    """For each key column that has any: (_hot, _base), its values with hot_rows rows or more and their least amount.
+
+    One pass counts all key columns; what comes to the driver is at most len(keys) * rows / hot_rows values.
+    """
+    kinds = dict(rows.dtypes)
+    pairs = rows.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("value")) for k in keys])).alias("k"), F.col("amount_usd").cast("double").alias("amount"))
+    counts = pairs.groupBy("k.kind", "k.value").agg(F.count(F.lit(1)).alias("n"), F.min("amount").alias("base"))
+    found = counts.where((F.col("n") >= hot_rows) & F.col("value").isNotNull()).collect()
+    out = {}
+    for k in keys:
+        held = [(r["value"], r["base"] or 0.0) for r in found if r["kind"] == k]
+        if held:
+            out[k] = rows.sparkSession.createDataFrame(held, "_hot string, _base double").withColumn("_hot", F.col("_hot").cast(kinds[k]))
+    return out
+
+
+def with_field(tx: DataFrame, key: str, fields: dict[str, tuple[str, str]], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(id, fields) of transactions from one key's history."""
+    rows = tx.select("id", key, "created_at", F.col("amount_usd").cast("double").alias("amount_usd"), "status")
+    return with_history(rows, key, fields, hot_keys(rows, (key,), hot_rows).get(key)).select("id", *fields)
 
 
 def with_history(rows: DataFrame, key: str, fields: dict[str, tuple[str, str]], hot: DataFrame | None = None) -> DataFrame:

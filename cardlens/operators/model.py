@@ -23,13 +23,17 @@ def input_columns(contract: dict) -> list[str]:
     return [*contract["columns"], *[f"{c}_missing" for c in contract["columns"]]]
 
 
-def train_classifier(train: DataFrame, val: DataFrame, contract: dict, label: str = "label", rounds: int = 30, depth: int = 4, seed: int = 42) -> PipelineModel:
-    """Boosted trees with the rare class weighed up and early stopping on val."""
+def train_classifier(train: DataFrame, val: DataFrame | None, contract: dict, label: str = "label", rounds: int = 30, depth: int = 4, seed: int = 42) -> PipelineModel:
+    """Boosted trees with the rare class weighed up and, if val is given, early stopping on it."""
     counts = train.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col(label) == 1).cast("long")).alias("p")).first()
     weight = (counts["n"] - (counts["p"] or 0)) / max(1, counts["p"] or 0)
-    both = train.withColumn("_val", F.lit(False)).unionByName(val.withColumn("_val", F.lit(True)))
+    both = train.withColumn("_val", F.lit(False))
+    if val is not None:
+        both = both.unionByName(val.withColumn("_val", F.lit(True)))
     rows = prepare(both, contract, (label, "_val")).withColumn(label, F.col(label).cast("double")).withColumn("_w", F.when(F.col(label) == 1, weight).otherwise(1.0))
-    trees = GBTClassifier(featuresCol="features", labelCol=label, weightCol="_w", validationIndicatorCol="_val", maxIter=rounds, maxDepth=depth, seed=seed)
+    trees = GBTClassifier(featuresCol="features", labelCol=label, weightCol="_w", maxIter=rounds, maxDepth=depth, seed=seed)
+    if val is not None:
+        trees = trees.setValidationIndicatorCol("_val")
     return Pipeline(stages=[VectorAssembler(inputCols=input_columns(contract), outputCol="features"), trees]).fit(rows)
 
 
@@ -37,8 +41,7 @@ def two_phase_fit(train: DataFrame, val: DataFrame, contract: dict, label: str =
     """Early stopping first; then all rows with a tenth more rounds than it chose."""
     first = train_classifier(train, val, contract, label, rounds, **kw)
     chosen = max(1, round(first.stages[-1].getNumTrees * 1.1))
-    every = train.unionByName(val)
-    return train_classifier(every, every.limit(0), contract, label, chosen, **kw) if not every.isEmpty() else first
+    return train_classifier(train.unionByName(val), None, contract, label, chosen, **kw)
 
 
 def score_batch(df: DataFrame, model: PipelineModel, contract: dict, keep: tuple[str, ...], out: str = "fraud_score") -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cardlens.functions.scalar import drift_band
-from cardlens.operators.ordered import cumulative_shares
+from cardlens.functions.scalar import drift_band, utc_date, utc_hour_start
+from cardlens.operators.ordered import cumulative_shares, exact_percentiles
 
 
 def drift_moments(base: DataFrame, current: DataFrame, column: str) -> DataFrame:
@@ -43,7 +43,8 @@ def drift_report(base: DataFrame, current: DataFrame, column: str, threshold: fl
 
 def psi(base: DataFrame, current: DataFrame, column: str, bins: int = 10, floor: float = 1e-4) -> DataFrame:
     """Population stability index over quantile bins of the base."""
-    edges = base.agg(F.percentile(F.col(column), F.array(*[F.lit(i / bins) for i in range(1, bins)])).alias("e"))
+    names = {f"e{i}": i / bins for i in range(1, bins)}
+    edges = exact_percentiles(base, column, names).select(F.array(*names).alias("e"))
 
     def shares(df: DataFrame, name: str) -> DataFrame:
         binned = df.where(F.col(column).isNotNull()).crossJoin(F.broadcast(edges)).select(F.size(F.filter("e", lambda c: c < F.col(column))).alias("bin"))
@@ -69,15 +70,16 @@ def kl(base: DataFrame, current: DataFrame, column: str, bins: int = 20, smooth:
 
 
 def daily_requests(logs: DataFrame) -> DataFrame:
-    return logs.groupBy(F.to_date("created_at").alias("day")).agg(F.count(F.lit(1)).alias("requests"))
+    return logs.groupBy(utc_date(F.col("created_at")).alias("day")).agg(F.count(F.lit(1)).alias("requests"))
 
 
-def percentiles(column: str, **names: float) -> list[Column]:
-    return [F.round(F.expr(f"percentile_cont({p}) WITHIN GROUP (ORDER BY {column})"), 6).alias(n) for n, p in names.items()]
+def percentiles(df: DataFrame, column: str, groups: tuple[str, ...] = (), **names: float) -> DataFrame:
+    """Exact percentiles to 6 places."""
+    return exact_percentiles(df, column, names, groups).select(*groups, *[F.round(n, 6).alias(n) for n in names])
 
 
 def latency_percentiles(logs: DataFrame) -> DataFrame:
-    return logs.agg(*percentiles("latency_ms", p90=0.9, p95=0.95, p99=0.99))
+    return percentiles(logs, "latency_ms", p90=0.9, p95=0.95, p99=0.99)
 
 
 def review_rate(logs: DataFrame) -> DataFrame:
@@ -103,8 +105,8 @@ def flags_by_version(logs: DataFrame, span: str = "1 hour") -> DataFrame:
 
 
 def latency_by_version(logs: DataFrame, span: str = "1 hour") -> DataFrame:
-    grouped = logs.where("model_version is not null").groupBy(F.window("created_at", span).alias("w"), "model_version").agg(*percentiles("latency_ms", p50=0.5, p99=0.99))
-    return grouped.select(F.col("w.start").alias("bucket"), "model_version", "p50", "p99")
+    timed = logs.where("model_version is not null").select(F.window("created_at", span)["start"].alias("bucket"), "model_version", "latency_ms")
+    return percentiles(timed, "latency_ms", ("bucket", "model_version"), p50=0.5, p99=0.99)
 
 
 # Reports.
@@ -144,12 +146,12 @@ def top_merchant_share(tx: DataFrame, tiles: int = 100) -> DataFrame:
 
 
 def card_hour_burst(tx: DataFrame) -> DataFrame:
-    per = tx.groupBy("card_id", F.date_trunc("hour", "created_at").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    per = tx.groupBy("card_id", utc_hour_start(F.col("created_at")).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
     return per.agg(F.max("n").alias("max_tx"), F.round(F.avg("n"), 6).alias("mean_tx"))
 
 
 def card_hour_merchants(tx: DataFrame) -> DataFrame:
-    per = tx.select("card_id", F.date_trunc("hour", "created_at").alias("hour"), "merchant_id").distinct().groupBy("card_id", "hour").agg(F.count("merchant_id").alias("n"))
+    per = tx.select("card_id", utc_hour_start(F.col("created_at")).alias("hour"), "merchant_id").distinct().groupBy("card_id", "hour").agg(F.count("merchant_id").alias("n"))
     return per.agg(F.max("n").alias("max_merchants"))
 
 
@@ -169,7 +171,7 @@ def recipient_fanout(tx: DataFrame) -> DataFrame:
 
 
 def median_amount(tx: DataFrame) -> DataFrame:
-    return tx.agg(*percentiles("amount_usd", median=0.5))
+    return percentiles(tx, "amount_usd", median=0.5)
 
 
 def status_label_matrix(tx: DataFrame, labels: DataFrame) -> DataFrame:
@@ -185,9 +187,9 @@ def status_label_matrix(tx: DataFrame, labels: DataFrame) -> DataFrame:
 
 def ab_proxy_metrics(logs: DataFrame) -> DataFrame:
     rate = F.round(F.avg((F.col("prediction") == 1).cast("double")), 6).alias("alert_rate")
-    return logs.where("model_version is not null").groupBy("model_version").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("fraud_score"), 6).alias("mean_score"), *percentiles("fraud_score", p50=0.5, p95=0.95), rate, F.round(F.avg("latency_ms"), 6).alias("mean_latency")
-    )
+    known = logs.where("model_version is not null")
+    sums = known.groupBy("model_version").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("fraud_score"), 6).alias("mean_score"), rate, F.round(F.avg("latency_ms"), 6).alias("mean_latency"))
+    return sums.join(percentiles(known, "fraud_score", ("model_version",), p50=0.5, p95=0.95), "model_version", "left")
 
 
 def ab_truth_metrics(logs: DataFrame, labels: DataFrame) -> DataFrame:

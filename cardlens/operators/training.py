@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cardlens.functions.scalar import encode_categorical, null_nonfinite, to_number
+from cardlens.functions.scalar import encode_categorical, null_nonfinite, to_number, utc_date
 from cardlens.operators.joins import asof_join, spine
-from cardlens.operators.ordered import ordered_prefix
+from cardlens.operators.ordered import exact_percentiles, ordered_prefix
 
 MOST_CATEGORIES = 10_000
 
@@ -63,6 +63,11 @@ def dedupe_by_id(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_n = 1").drop("_n")
 
 
+def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
+    """n rows in a fixed pseudo-random order of their keys; each partition gives its own first n."""
+    return df.orderBy(F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)))), key).limit(n)
+
+
 def training_frame(feats: DataFrame, labels: DataFrame, start=None, end=None, point_in_time: bool = False) -> DataFrame:
     """Labelled feature rows of the window, with event_timestamp; by id, or by the latest row of (user, card) in time."""
     s = spine(feats, labels, start, end)
@@ -81,32 +86,63 @@ def score_levels(df: DataFrame, label: str, score: str) -> DataFrame:
     return ordered_prefix(levels, "s", ["p", "n"])
 
 
+def ranking(df: DataFrame, label: str, score: str, tie: str | None = None, fractions: dict[str, float] | None = None) -> DataFrame:
+    """One row: roc_auc (ties count half; null without both classes), average_precision (sum over falling thresholds of the
+    gain in recall times the precision), n, positives, and for each name the share of positives among the
+    max(1, int(n * fraction)) highest scores, ties by `tie`.
+
+    Everything comes from counts per score, run up range by range; only rows of the one score at a cut are ranked.
+    """
+    run = score_levels(df, label, score)
+    total = run.agg(F.sum("p").alias("tp"), F.sum("n").alias("tn"))
+    p, n, tp, tn = (F.col(c) for c in ("p", "n", "tp", "tn"))
+    rows = run.crossJoin(F.broadcast(total))
+    above_p, above_n = tp - F.col("p_before"), tn - F.col("n_before")  # at this score and above
+    won = F.sum(p.cast("double") * (F.col("n_before") + n / 2))
+    gain = p / F.nullif(tp.cast("double"), F.lit(0.0)) * above_p / (above_p + above_n)
+    out = [
+        F.round(won / F.nullif(F.max(tp).cast("double") * F.max(tn), F.lit(0.0)), 6).alias("roc_auc"),
+        F.round(F.sum(gain), 6).alias("average_precision"),
+        F.coalesce(F.max(tp + tn), F.lit(0)).alias("n"),
+        F.coalesce(F.max(tp), F.lit(0)).alias("positives"),
+    ]
+    for name, fraction in (fractions or {}).items():
+        k = F.greatest(F.lit(1), F.floor((tp + tn) * F.lit(fraction))).cast("long")
+        higher = above_p + above_n - p - n
+        cut = (higher < k) & (k <= above_p + above_n)
+        out += [
+            F.max(k).alias(f"_k_{name}"),
+            F.max(F.when(cut, F.col("s"))).alias(f"_cut_{name}"),
+            F.max(F.when(cut, k - higher)).alias(f"_left_{name}"),
+            F.coalesce(F.sum(F.when(above_p + above_n < k, p)), F.lit(0)).alias(f"_higher_{name}"),
+        ]
+    one = rows.agg(*out)
+    if not fractions:
+        return one
+    held = df.where(F.col(label).isNotNull() & F.col(score).isNotNull()).select(F.col(score).cast("double").alias("_s"), (F.col(label) == 1).alias("_y"), F.col(tie).alias("_tie"))
+    cuts = [F.col(f"_cut_{name}") for name in fractions]
+    at_cut = held.join(F.broadcast(one.select([f"_{c}_{name}" for name in fractions for c in ("cut", "left")])), F.col("_s").isin(*cuts))
+    ranked = at_cut.withColumn("_r", F.row_number().over(Window.partitionBy("_s").orderBy("_tie")))
+    tied = ranked.agg(*[F.coalesce(F.sum(((F.col("_s") == F.col(f"_cut_{name}")) & (F.col("_r") <= F.col(f"_left_{name}")) & F.col("_y")).cast("long")), F.lit(0)).alias(f"_tied_{name}") for name in fractions])
+    both = one.crossJoin(F.broadcast(tied))
+    return both.select("roc_auc", "average_precision", "n", "positives", *[F.round((F.col(f"_higher_{name}") + F.col(f"_tied_{name}")) / F.col(f"_k_{name}"), 6).alias(name) for name in fractions])
+
+
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Rank AUC; ties count half. Null without both classes."""
-    won = F.sum(F.col("p").cast("double") * (F.col("n_before") + F.col("n") / 2))
-    return score_levels(df, label, score).agg(F.round(won / F.nullif(F.sum("p").cast("double") * F.sum("n"), F.lit(0.0)), 6).alias("roc_auc"))
+    return ranking(df, label, score).select("roc_auc")
 
 
 def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Sum over falling thresholds of the gain in recall times the precision."""
-    run = score_levels(df, label, score)
-    total = run.agg(F.sum("p").alias("tp"), F.sum("n").alias("tn"))
-    above_p, above_n = F.col("tp") - F.col("p_before"), F.col("tn") - F.col("n_before")
-    step = F.col("p") / F.nullif(F.col("tp").cast("double"), F.lit(0.0)) * above_p / (above_p + above_n)
-    return run.crossJoin(F.broadcast(total)).agg(F.round(F.sum(step), 6).alias("average_precision"))
+    return ranking(df, label, score).select("average_precision")
 
 
 def precision_at_k(df: DataFrame, label: str, score: str, k_frac: float, tie: str) -> DataFrame:
     """Share of positives among the max(1, int(n k_frac)) highest scores."""
-    k = max(1, int(df.count() * k_frac))
-    return df.orderBy(F.desc(score), tie).limit(k).agg(F.round(F.sum((F.col(label) == 1).cast("double")) / k, 6).alias("precision_at_k"))
+    return ranking(df, label, score, tie, {"precision_at_k": k_frac}).select("precision_at_k")
 
 
 def evaluate(df: DataFrame, label: str, score: str, tie: str) -> DataFrame:
-    one = roc_auc(df, label, score).crossJoin(average_precision(df, label, score))
-    for name, k in (("p_at_1pct", 0.01), ("p_at_05pct", 0.005)):
-        one = one.crossJoin(precision_at_k(df, label, score, k, tie).withColumnRenamed("precision_at_k", name))
-    return one.crossJoin(df.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col(label) == 1).cast("long")).alias("positives")))
+    return ranking(df, label, score, tie, {"p_at_1pct": 0.01, "p_at_05pct": 0.005})
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
@@ -188,7 +224,7 @@ def dynamic_cutoff(tx: DataFrame, labels: DataFrame, least: float = 60.0) -> Dat
     """max(least, 95th percentile of the report delay in days)."""
     both = tx.select("id", "created_at").join(labels.select(F.col("transaction_id").alias("id"), F.col("created_at").alias("labelled_at")), "id")
     delay = (F.unix_micros("labelled_at") - F.unix_micros("created_at")) / 86_400e6
-    return both.select(delay.alias("d")).agg(F.greatest(F.lit(least), F.expr("percentile_cont(0.95) WITHIN GROUP (ORDER BY d)")).alias("cutoff_days"))
+    return exact_percentiles(both.select(delay.alias("d")), "d", {"q": 0.95}).select(F.greatest(F.lit(least), F.col("q")).alias("cutoff_days"))
 
 
 def gapped_split(df: DataFrame, ts: str, train_end, val_end, gap_days: int) -> DataFrame:
@@ -208,13 +244,13 @@ def reliability(df: DataFrame, label: str, score: str, bins: int = 10) -> DataFr
 
 def tune_thresholds(df: DataFrame, label: str, score: str, fpr: float = 0.005, step_up: float = 0.08) -> DataFrame:
     """Thresholds that at most fpr and fpr + step_up of the legitimate scores lie above."""
-    q = lambda p, n: F.expr(f"percentile_cont({p}) WITHIN GROUP (ORDER BY {score})").alias(n)
-    return df.where(F.col(label) == 0).agg(q(1 - fpr, "high"), q(1 - fpr - step_up, "step_up")).select(F.round("high", 6).alias("high"), F.round("step_up", 6).alias("step_up"))
+    found = exact_percentiles(df.where(F.col(label) == 0), score, {"high": 1 - fpr, "step_up": 1 - fpr - step_up})
+    return found.select(F.round("high", 6).alias("high"), F.round("step_up", 6).alias("step_up"))
 
 
 def chargeback_rate(tx: DataFrame, labels: DataFrame, key: str = "merchant_id", days: int = 30, mature_by=None) -> DataFrame:
     """Per day and key: share of label 1 among the key's transactions of the trailing days whose label was in by then."""
-    both = tx.select("id", key, F.to_date("created_at").alias("day")).join(labels.select(F.col("transaction_id").alias("id"), "label", F.col("created_at").alias("labelled_at")), "id")
+    both = tx.select("id", key, utc_date(F.col("created_at")).alias("day")).join(labels.select(F.col("transaction_id").alias("id"), "label", F.col("created_at").alias("labelled_at")), "id")
     if mature_by is not None:
         both = both.where(F.col("labelled_at") <= F.lit(mature_by).cast("timestamp"))
     daily = both.groupBy(key, "day").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("label").cast("long")).alias("bad"))
@@ -223,7 +259,7 @@ def chargeback_rate(tx: DataFrame, labels: DataFrame, key: str = "merchant_id",
 
 
 def daily_precision_at_k(df: DataFrame, ts: str, label: str, score: str, tie: str, k_frac: float = 0.01) -> DataFrame:
-    day = df.withColumn("day", F.to_date(ts))
+    day = df.withColumn("day", utc_date(F.col(ts)))
     ranked = day.withColumn("_r", F.row_number().over(Window.partitionBy("day").orderBy(F.desc(score), tie))).withColumn("_k", F.greatest(F.lit(1), F.floor(F.count(F.lit(1)).over(Window.partitionBy("day")) * k_frac)))
     return ranked.where("_r <= _k").groupBy("day").agg(F.round(F.avg((F.col(label) == 1).cast("double")), 6).alias("precision"))
 
@@ -236,7 +272,7 @@ def gap_median(tx: DataFrame, key: str, span: str = "1 hour") -> DataFrame:
 
 
 def daily_kpi(tx: DataFrame) -> DataFrame:
-    return tx.groupBy(F.to_date("created_at").alias("day")).agg(F.count(F.lit(1)).alias("n_tx"), F.round(F.sum("amount_usd"), 4).alias("volume"), F.round(F.avg((F.col("status") == "declined").cast("double")), 6).alias("decline_rate"))
+    return tx.groupBy(utc_date(F.col("created_at")).alias("day")).agg(F.count(F.lit(1)).alias("n_tx"), F.round(F.sum("amount_usd"), 4).alias("volume"), F.round(F.avg((F.col("status") == "declined").cast("double")), 6).alias("decline_rate"))
 
 
 def merchant_leaderboard(tx: DataFrame, labels: DataFrame, k: int = 10) -> DataFrame:

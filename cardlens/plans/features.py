@@ -24,8 +24,9 @@ def build_features(
     scope = scope.withColumn("amount_usd", F.col("amount_usd").cast("double"))
     ctx = join_star(scope, users, cards, merchants)
     t, c = F.col("created_at"), F.col
-    rows = history.with_history(ctx, "card_id", history.CARD_FIELDS, history.hot_keys(tx, "card_id", hot_rows))
-    rows = history.with_history(rows, "user_id", history.USER_FIELDS, history.hot_keys(tx, "user_id", hot_rows))
+    hot = history.hot_keys(scope, ("card_id", "user_id"), hot_rows)
+    rows = history.with_history(ctx, "card_id", history.CARD_FIELDS, hot.get("card_id"))
+    rows = history.with_history(rows, "user_id", history.USER_FIELDS, hot.get("user_id"))
     rows = time_slice(rows, "created_at", start, end)
     full = rows.select(
         "*",

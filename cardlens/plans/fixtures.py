@@ -35,26 +35,33 @@ VIEWS = {
 }
 BASE_TABLES = ("customer", "supplier", "events")
 
-FEATS = """SELECT t.id AS transaction_id, t.created_at, t.user_id, t.card_id, t.merchant_id, t.device_id, t.amount_usd, ln(1 + amount_usd) AS log_amount,
-  CAST(hour(t.created_at) AS INT) AS hour, CAST(isodow(t.created_at) - 1 AS INT) AS weekday, CAST(hour(t.created_at) < 6 OR hour(t.created_at) >= 23 AS INT) AS is_night,
-  channel, c.brand AS card_brand, c.type AS card_type, is_virtual, customer_segment, kyc_level, email_verified, m.category AS merchant_category, m.risk_level AS merchant_risk_level,
-  u.country_code AS user_country, u.created_at AS account_created_at, c.created_at AS card_created_at,
-  CAST(floor((epoch_us(t.created_at) - epoch_us(u.created_at)) / 86400000000) AS INT) AS account_age_days,
-  CAST(floor((epoch_us(t.created_at) - epoch_us(c.created_at)) / 86400000000) AS INT) AS card_age_days,
-  CAST(billing_country_code IS DISTINCT FROM ip_country_code AS INT) AS geo_mismatch, CAST(ip_country_code IS DISTINCT FROM u.country_code AS INT) AS foreign_ip,
-  CAST(email_recipient IS NOT NULL AND email_recipient IS DISTINCT FROM email_purchaser AS INT) AS recipient_differs, CAST(status = 'declined' AS INT) AS is_declined,
-  CAST(count(*) OVER c1 AS INT) AS card_tx_count_1h, CAST(count(*) OVER c24 AS INT) AS card_tx_count_24h, sum(amount_usd) OVER c24 AS card_amount_sum_24h,
-  (epoch_us(t.created_at) - lag(epoch_us(t.created_at)) OVER cw) / 1e6 AS card_seconds_since_last_tx,
-  (amount_usd - avg(amount_usd) OVER cp) / nullif(stddev_samp(amount_usd) OVER cp, 0) AS card_amount_zscore, CAST(row_number() OVER cw AS INT) AS card_tx_seq,
-  CAST(greatest(sum(CAST(status = 'declined' AS INT)) OVER c24 - CAST(status = 'declined' AS INT), 0) AS INT) AS card_declines_24h,
-  CAST(count(*) OVER u24 AS INT) AS user_tx_count_24h, sum(amount_usd) OVER u24 AS user_amount_sum_24h,
-  (epoch_us(t.created_at) - lag(epoch_us(t.created_at)) OVER uw) / 1e6 AS user_seconds_since_last_tx
-  FROM f_tx t JOIN f_users u ON u.id = t.user_id JOIN f_cards c ON c.id = t.card_id JOIN f_merchants m ON m.id = t.merchant_id
-  WINDOW cw AS (PARTITION BY t.card_id ORDER BY t.created_at, t.id), uw AS (PARTITION BY t.user_id ORDER BY t.created_at, t.id),
-  c1 AS (PARTITION BY t.card_id ORDER BY t.created_at RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW),
-  c24 AS (PARTITION BY t.card_id ORDER BY t.created_at RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND CURRENT ROW),
-  cp AS (PARTITION BY t.card_id ORDER BY t.created_at, t.id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
-  u24 AS (PARTITION BY t.user_id ORDER BY t.created_at RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND CURRENT ROW)"""
+#: The oracle of the feature build finds a row's past by joining each transaction with those of its card and user up to it,
+#: not by windows as the build does.
+PAST = """SELECT now.id, {columns} FROM f_tx now JOIN f_tx old ON old.{key} = now.{key} AND old.created_at <= now.created_at GROUP BY now.id, now.created_at, now.amount_usd"""
+WITHIN = "FILTER (WHERE old.created_at >= now.created_at - INTERVAL {0} HOUR)"
+OTHERS = "FILTER (WHERE old.created_at >= now.created_at - INTERVAL 24 HOUR AND old.id <> now.id AND old.status = 'declined')"
+EARLIER = "FILTER (WHERE old.created_at < now.created_at OR old.id < now.id)"
+GAP = f"date_diff('microsecond', max(old.created_at) {EARLIER}, now.created_at) / 1000000.0"
+CARD_PAST = PAST.format(
+    key="card_id",
+    columns=f"""count(*) {WITHIN.format(1)} AS n_1h, count(*) {WITHIN.format(24)} AS n_24h, sum(old.amount_usd) {WITHIN.format(24)} AS sum_24h, count(*) {OTHERS} AS declines,
+  {GAP} AS gap, (now.amount_usd - avg(old.amount_usd) {EARLIER}) / nullif(stddev_samp(old.amount_usd) {EARLIER}, 0) AS z, 1 + count(*) {EARLIER} AS seq""",
+)
+USER_PAST = PAST.format(key="user_id", columns=f"count(*) {WITHIN.format(24)} AS n_24h, sum(old.amount_usd) {WITHIN.format(24)} AS sum_24h, {GAP} AS gap")
+FEATS = f"""SELECT f_tx.id AS transaction_id, f_tx.created_at, f_tx.user_id, f_tx.card_id, f_tx.merchant_id, f_tx.device_id, f_tx.amount_usd, ln(1 + f_tx.amount_usd) AS log_amount,
+  CAST(date_part('hour', f_tx.created_at) AS INT) AS hour, CAST((date_part('dow', f_tx.created_at) + 6) % 7 AS INT) AS weekday,
+  CASE WHEN date_part('hour', f_tx.created_at) IN (0, 1, 2, 3, 4, 5, 23) THEN 1 ELSE 0 END AS is_night, f_tx.channel, f_cards.brand AS card_brand, f_cards.type AS card_type, f_cards.is_virtual,
+  f_users.customer_segment, f_users.kyc_level, f_users.email_verified, f_merchants.category AS merchant_category, f_merchants.risk_level AS merchant_risk_level,
+  f_users.country_code AS user_country, f_users.created_at AS account_created_at, f_cards.created_at AS card_created_at,
+  CAST(floor(date_diff('microsecond', f_users.created_at, f_tx.created_at) / (24 * 3600 * 1000000.0)) AS INT) AS account_age_days,
+  CAST(floor(date_diff('microsecond', f_cards.created_at, f_tx.created_at) / (24 * 3600 * 1000000.0)) AS INT) AS card_age_days,
+  CASE WHEN billing_country_code = ip_country_code THEN 0 ELSE 1 END AS geo_mismatch, CASE WHEN ip_country_code = f_users.country_code THEN 0 ELSE 1 END AS foreign_ip,
+  CASE WHEN email_recipient = email_purchaser OR email_recipient IS NULL THEN 0 ELSE 1 END AS recipient_differs, CASE f_tx.status WHEN 'declined' THEN 1 ELSE 0 END AS is_declined,
+  CAST(of_card.n_1h AS INT) AS card_tx_count_1h, CAST(of_card.n_24h AS INT) AS card_tx_count_24h, of_card.sum_24h AS card_amount_sum_24h, of_card.gap AS card_seconds_since_last_tx,
+  of_card.z AS card_amount_zscore, CAST(of_card.seq AS INT) AS card_tx_seq, CAST(of_card.declines AS INT) AS card_declines_24h,
+  CAST(of_user.n_24h AS INT) AS user_tx_count_24h, of_user.sum_24h AS user_amount_sum_24h, of_user.gap AS user_seconds_since_last_tx
+  FROM f_tx, f_users, f_cards, f_merchants, ({CARD_PAST}) of_card, ({USER_PAST}) of_user
+  WHERE f_users.id = f_tx.user_id AND f_cards.id = f_tx.card_id AND f_merchants.id = f_tx.merchant_id AND of_card.id = f_tx.id AND of_user.id = f_tx.id"""
 
 
 def oracle(body: str) -> str:

@@ -10,8 +10,9 @@ from pyspark.sql.window import Window
 
 from cardlens import schemas
 from cardlens.functions import scalar, windows
-from cardlens.operators import joins, monitor, ordered, training
+from cardlens.operators import history, joins, monitor, ordered, training
 from cardlens.plans.fixtures import Payments, oracle
+from cardlens.sources import tables
 from cardlens.streaming import ingest
 
 START, END, REF = "2024-01-10 00:00:00", "2024-01-12 00:00:00", "2024-01-31 00:00:00"
@@ -52,7 +53,51 @@ TX = "id, user_id, card_id, merchant_id, device_id, round(amount_usd, 6) AS amou
 
 query("features_point_in_time", f"SELECT {FEATURE_LIST} FROM feats")(lambda p: p.features())
 query("features_incremental", f"SELECT {FEATURE_LIST} FROM feats WHERE created_at >= TIMESTAMP '{START}' AND created_at < TIMESTAMP '{END}'")(lambda p: p.features(START, END))
-query("overwrite_slice", f"SELECT {FEATURE_LIST} FROM feats")(lambda p: p.features(None, None))
+
+
+def _stored(p: Payments, name: str, marked: bool = False) -> str:
+    """A table of all feature rows by date; marked: with amounts of the slice that a rewrite has to put right."""
+    path = tables.work_folder(p.spark, name)
+    rows = p.features().withColumn("date", scalar.utc_date(C("created_at")))
+    if marked:
+        rows = rows.withColumn("amount_usd", F.when(C("created_at").between(START, END), -1.0).otherwise(C("amount_usd")))
+    tables.bulk_load(rows, path, "date")
+    return path
+
+
+def _read_back(p: Payments, path: str) -> DataFrame:
+    return p.spark.read.parquet(path).select(*schemas.FEATURE_COLUMNS)
+
+
+@query("overwrite_slice", f"SELECT {FEATURE_LIST} FROM feats")
+def overwrite_slice(p: Payments) -> DataFrame:
+    path = _stored(p, "features", marked=True)
+    tables.overwrite_slice(p.features(START, END).withColumn("date", scalar.utc_date(C("created_at"))), path, "date")
+    return _read_back(p, path)
+
+
+@query("d_backfill", f"SELECT {FEATURE_LIST} FROM feats")
+def d_backfill(p: Payments) -> DataFrame:
+    path = _stored(p, "backfilled", marked=True)
+    tables.backfill(p.features, path, START, END)
+    return _read_back(p, path)
+
+
+@query("bulk_load", f"SELECT {FEATURE_LIST} FROM feats")
+def bulk_load(p: Payments) -> DataFrame:
+    return _read_back(p, _stored(p, "loaded"))
+
+
+@query("write_training_snapshot", "SELECT count(*) AS n, CAST(sum(label) AS BIGINT) AS positives, round(sum(card_tx_seq), 6) AS seq, 1 AS versions FROM feats JOIN f_labels USING (transaction_id)")
+def write_training_snapshot(p: Payments) -> DataFrame:
+    path = tables.work_folder(p.spark, "snapshots")
+    frame = training.training_frame(p.features(), p.labels).select("transaction_id", "label", "card_tx_seq")
+    for rows in (frame, frame.repartition(3)):
+        tables.write_snapshot(rows, path)
+    back = p.spark.read.parquet(path)
+    return back.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives"), F.sum(C("card_tx_seq").cast("double")).alias("seq"), F.count_distinct("version").cast("int").alias("versions"))
+
+
 query("project_feature_row", f"SELECT {FEATURE_LIST} FROM feats")(lambda p: p.features().select(*schemas.FEATURE_COLUMNS))
 
 
@@ -83,10 +128,18 @@ def insert_if_absent(p: Payments) -> DataFrame:
 query("anti_existing", f"SELECT {TX} FROM f_tx WHERE id NOT IN (SELECT transaction_id FROM f_labels)")(lambda p: joins.new_rows(p.tx, p.labels.select(C("transaction_id").alias("id")), "id"))
 SNAP = " ".join(schemas.SNAPSHOT_COLUMNS)
 query("materialize_latest", f"SELECT user_id, card_id, {rounded(SNAP)}, created_at FROM (SELECT *, row_number() OVER (PARTITION BY user_id, card_id ORDER BY created_at DESC) AS n FROM feats WHERE created_at <= TIMESTAMP '{MID}') WHERE n = 1")(
-    lambda p: joins.latest_snapshot(p.features(), ["user_id", "card_id"], list(schemas.SNAPSHOT_COLUMNS), MID, order=("created_at",))
+    lambda p: materialize(p)
 )
 
 
+def materialize(p: Payments) -> DataFrame:
+    """A snapshot as of START is written, then merged with the rows that came up to MID."""
+    make = lambda rows, until, previous=None: joins.latest_snapshot(rows, ["user_id", "card_id"], list(schemas.SNAPSHOT_COLUMNS), until, previous, order=("created_at",))
+    path = tables.work_folder(p.spark, "snapshot")
+    make(p.features(), START).write.parquet(path)
+    return make(joins.time_slice(p.features(START, None), "created_at", START), MID, p.spark.read.parquet(path))
+
+
 @query("lookup_online", f"WITH s AS (SELECT *, row_number() OVER (PARTITION BY user_id, card_id ORDER BY created_at DESC) AS n FROM feats WHERE created_at <= TIMESTAMP '2024-01-05 00:00:00') SELECT t.id, {', '.join('s.' + c for c in schemas.SNAPSHOT_COLUMNS)} FROM f_tx t LEFT JOIN s ON s.n = 1 AND s.user_id = t.user_id AND s.card_id = t.card_id")
 def lookup_online(p: Payments) -> DataFrame:
     snapshot = joins.latest_snapshot(p.features(), ["user_id", "card_id"], list(schemas.SNAPSHOT_COLUMNS), "2024-01-05 00:00:00", order=("created_at",))
@@ -97,6 +150,13 @@ query("delete_tagged", f"SELECT {TX} FROM f_tx WHERE NOT starts_with(CAST(id AS
 
 # Projections.
 
+
+def past(p: Payments, key: str, field: str) -> DataFrame:
+    """(id, field): one field of the key's history; keys with very many rows are done day by day."""
+    fields = history.CARD_FIELDS if key == "card_id" else history.USER_FIELDS
+    return history.with_field(p.tx, key, {field: fields[field]})
+
+
 FIELDS = {
     "f_log_amount": ("log_amount", lambda p: p.tx.select("id", scalar.log_amount(C("amount_usd")).alias("log_amount"))),
     "f_hour_utc": ("hour", lambda p: p.tx.select("id", scalar.hour_utc(C("created_at")).alias("hour"))),
@@ -108,16 +168,16 @@ FIELDS = {
     "f_account_age_days": ("account_age_days", lambda p: p.tx.join(p.users.select(C("id").alias("user_id"), C("created_at").alias("since")), "user_id").select("id", scalar.age_days(C("created_at"), C("since")).alias("account_age_days"))),
     "f_card_age_days": ("card_age_days", lambda p: p.tx.join(p.cards.select(C("id").alias("card_id"), C("created_at").alias("since")), "card_id").select("id", scalar.age_days(C("created_at"), C("since")).alias("card_age_days"))),
     "f_foreign_ip": ("foreign_ip", lambda p: p.tx.join(p.users.select(C("id").alias("user_id"), "country_code"), "user_id").select("id", scalar.differs(C("ip_country_code"), C("country_code")).alias("foreign_ip"))),
-    "w_card_count_1h": ("card_tx_count_1h", lambda p: p.tx.select("id", windows.trailing_count("card_id", "1 hour").alias("card_tx_count_1h"))),
-    "w_card_count_24h": ("card_tx_count_24h", lambda p: p.tx.select("id", windows.trailing_count("card_id", "24 hours").alias("card_tx_count_24h"))),
-    "w_card_sum_24h": ("card_amount_sum_24h", lambda p: p.tx.select("id", windows.trailing_sum("amount_usd", "card_id", "24 hours").alias("card_amount_sum_24h"))),
-    "w_card_gap_s": ("card_seconds_since_last_tx", lambda p: p.tx.select("id", windows.gap_seconds("card_id").alias("card_seconds_since_last_tx"))),
-    "w_card_zscore": ("card_amount_zscore", lambda p: p.tx.select("id", windows.prior_zscore("amount_usd", "card_id").alias("card_amount_zscore"))),
-    "w_card_seq": ("card_tx_seq", lambda p: p.tx.select("id", windows.sequence("card_id").alias("card_tx_seq"))),
-    "w_card_declines_24h": ("card_declines_24h", lambda p: p.tx.select("id", windows.trailing_declines("card_id", "24 hours").alias("card_declines_24h"))),
-    "w_user_count_24h": ("user_tx_count_24h", lambda p: p.tx.select("id", windows.trailing_count("user_id", "24 hours").alias("user_tx_count_24h"))),
-    "w_user_sum_24h": ("user_amount_sum_24h", lambda p: p.tx.select("id", windows.trailing_sum("amount_usd", "user_id", "24 hours").alias("user_amount_sum_24h"))),
-    "w_user_gap_s": ("user_seconds_since_last_tx", lambda p: p.tx.select("id", windows.gap_seconds("user_id").alias("user_seconds_since_last_tx"))),
+    "w_card_count_1h": ("card_tx_count_1h", lambda p: past(p, "card_id", "card_tx_count_1h")),
+    "w_card_count_24h": ("card_tx_count_24h", lambda p: past(p, "card_id", "card_tx_count_24h")),
+    "w_card_sum_24h": ("card_amount_sum_24h", lambda p: past(p, "card_id", "card_amount_sum_24h")),
+    "w_card_gap_s": ("card_seconds_since_last_tx", lambda p: past(p, "card_id", "card_seconds_since_last_tx")),
+    "w_card_zscore": ("card_amount_zscore", lambda p: past(p, "card_id", "card_amount_zscore")),
+    "w_card_seq": ("card_tx_seq", lambda p: past(p, "card_id", "card_tx_seq")),
+    "w_card_declines_24h": ("card_declines_24h", lambda p: past(p, "card_id", "card_declines_24h")),
+    "w_user_count_24h": ("user_tx_count_24h", lambda p: past(p, "user_id", "user_tx_count_24h")),
+    "w_user_sum_24h": ("user_amount_sum_24h", lambda p: past(p, "user_id", "user_amount_sum_24h")),
+    "w_user_gap_s": ("user_seconds_since_last_tx", lambda p: past(p, "user_id", "user_seconds_since_last_tx")),
 }
 for _name, (_field, _f) in FIELDS.items():
     query(_name, f"SELECT transaction_id AS id, {f'round({_field}, 6)' if 'log' in _field or 'sum' in _field or 'seconds' in _field or 'zscore' in _field else _field} AS {_field} FROM feats")(_f)
@@ -162,7 +222,7 @@ def validate_requests(p: Payments) -> DataFrame:
 query("validate_constraints", "SELECT 'id_format' AS rule, count(*) AS violations FROM f_tx UNION ALL SELECT 'amount_positive', count(*) FROM f_tx WHERE NOT amount_usd > 0 UNION ALL SELECT 'label_binary', 0 UNION ALL SELECT 'fk_user_id', count(*) FROM f_tx WHERE user_id NOT IN (SELECT id FROM f_users) UNION ALL SELECT 'fk_merchant_id', count(*) FROM f_tx WHERE merchant_id NOT IN (SELECT id FROM f_merchants)")(
     lambda p: monitor.constraint_violations(p.tx, p.labels, {"user_id": p.users, "merchant_id": p.merchants})
 )
-query("band_drift", "SELECT transaction_id, CASE WHEN fraud_score < 0.1 THEN 'none' WHEN fraud_score < 0.25 THEN 'moderate' ELSE 'significant' END AS band FROM f_logs")(lambda p: p.logs.select("transaction_id", scalar.drift_band(C("fraud_score")).alias("band")))
+query("band_drift", "SELECT transaction_id, CASE WHEN fraud_score < 0.1 THEN 'no_drift' WHEN fraud_score < 0.25 THEN 'moderate_drift' ELSE 'significant_drift' END AS band FROM f_logs")(lambda p: p.logs.select("transaction_id", scalar.drift_band(C("fraud_score")).alias("band")))
 
 
 @query("zscore_from_moments", "SELECT transaction_id AS id, round(card_amount_zscore, 6) AS z FROM feats WHERE card_tx_seq > 3")
@@ -173,11 +233,34 @@ def zscore_from_moments(p: Payments) -> DataFrame:
     return rows.where("n >= 3").select("id", scalar.zscore(x, C("n"), C("s"), C("q")).alias("z"))
 
 
-query("assemble_velocity", "SELECT transaction_id AS id, card_tx_count_24h AS tx_count, round(card_amount_sum_24h, 6) AS amount_sum, card_tx_seq AS seq FROM feats")(
-    lambda p: p.tx.select("id", (windows.trailing_count("card_id", "24 hours") - 1).alias("n"), (windows.trailing_sum("amount_usd", "card_id", "24 hours") - C("amount_usd")).alias("s"), (windows.sequence("card_id") - 1).alias("before"), "amount_usd").select(
-        "id", (C("n") + 1).alias("tx_count"), (C("s") + C("amount_usd")).alias("amount_sum"), (C("before") + 1).alias("seq")
-    )
+SERVED = ["card_brand", "customer_segment", "user_country"]
+
+
+def _online(p: Payments) -> DataFrame:
+    """Every transaction as a request: served attributes as of MID, velocity features of its own time, cold_start."""
+    snapshot = joins.latest_snapshot(p.features(), ["user_id", "card_id"], SERVED, MID, order=("created_at",))
+    velocity = history.with_field(p.tx, "card_id", {f: history.CARD_FIELDS[f] for f in ("card_tx_count_24h", "card_amount_sum_24h", "card_tx_seq")})
+    return ingest.assemble(p.tx.select("id", "user_id", "card_id", "amount_usd", "channel", "created_at"), velocity, snapshot, SERVED)
+
+
+ONLINE = f"s AS (SELECT *, row_number() OVER (PARTITION BY user_id, card_id ORDER BY created_at DESC) AS n FROM feats WHERE created_at <= TIMESTAMP '{MID}'), o AS (SELECT t.id, s.card_brand, s.customer_segment, s.user_country, f.card_tx_count_24h, f.card_amount_sum_24h, f.card_tx_seq, s.card_brand IS NULL AND s.customer_segment IS NULL AND s.user_country IS NULL AS cold_start, t.channel, t.amount_usd FROM f_tx t LEFT JOIN s ON s.n = 1 AND s.user_id = t.user_id AND s.card_id = t.card_id JOIN feats f ON f.transaction_id = t.id)"
+query("assemble_velocity", f"WITH {ONLINE} SELECT id, card_brand, customer_segment, user_country, card_tx_count_24h, round(card_amount_sum_24h, 6) AS card_amount_sum_24h, card_tx_seq, cold_start FROM o")(
+    lambda p: _online(p).select("id", *SERVED, "card_tx_count_24h", "card_amount_sum_24h", "card_tx_seq", "cold_start")
 )
+
+
+@query("stream_score", f"WITH {ONLINE}, k AS (SELECT *, ln(1 + card_amount_sum_24h) / (ln(1 + card_amount_sum_24h) + CASE channel WHEN 'mobile_app' THEN 0 WHEN 'pos' THEN 1 ELSE 2 END + 2) AS s FROM o) SELECT CAST(id AS VARCHAR) AS transaction_id, round(s, 6) AS fraud_score, CAST(s >= 0.6 AS INT) AS prediction, CAST(0.6 AS DOUBLE) AS threshold, cold_start FROM k")
+def stream_score(p: Payments) -> DataFrame:
+    """The online path on every transaction: assemble, encode by the contract, score, decide."""
+
+    def predict(df: DataFrame) -> DataFrame:
+        coded = training.build_model_vector(df, {"columns": ["card_amount_sum_24h", "channel"], "encoders": {"channel": CONTRACT["encoders"]["channel"]}}, ("id", "cold_start"))
+        size = F.log1p("card_amount_sum_24h")
+        return coded.withColumn("fraud_score", size / (size + C("channel") + 2))
+
+    return ingest.score(_online(p), predict, 0.6).select(C("id").cast("string").alias("transaction_id"), "fraud_score", "prediction", "threshold", "cold_start")
+
+
 query("flag_cold_pair", "SELECT t.id, c.brand IS NULL AS cold FROM f_tx t LEFT JOIN (SELECT * FROM f_cards WHERE id % 4 = 0) c ON c.id = t.card_id")(
     lambda p: p.tx.select("id", "card_id").join(p.cards.where("id % 4 = 0").select(C("id").alias("card_id"), "brand", "type"), "card_id", "left").select("id", scalar.cold_pair(["brand", "type"]).alias("cold"))
 )
@@ -185,18 +268,28 @@ query("flag_cold_pair", "SELECT t.id, c.brand IS NULL AS cold FROM f_tx t LEFT J
 
 def _messages(p: Payments) -> DataFrame:
     names = [c.split() for c in schemas.MESSAGE.split(", ")]
-    have = {"request_id": C("id").cast("string"), "created_at": F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"), "fraud_score": C("amount_usd") / (C("amount_usd") + 30), "currency": F.lit("USD")}
+    have = {"request_id": F.concat(F.lit("r"), C("id").cast("string")), "transaction_id": C("id"), "transaction_time": F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"), "fraud_score": C("amount_usd") / (C("amount_usd") + 30), "currency": F.lit("USD")}
     return p.tx.select(*[have.get(n, C(n) if n in p.tx.columns else F.lit(None)).cast(k).alias(n) for n, k in names])
 
 
-query("encode_message", "SELECT CAST(id AS VARCHAR) AS key, 20 AS n_keys FROM f_tx")(lambda p: ingest.encode(_messages(p).drop("threshold"), [c for c in _messages(p).columns if c != "threshold"]).select("key", F.json_object_keys("value").alias("k")).select("key", F.size("k").alias("n_keys")))
-query("decode_message", "SELECT CAST(id AS VARCHAR) AS request_id, round(amount_usd, 6) AS amount_usd, date_trunc('second', created_at) AS created_at, CAST(0 AS DOUBLE) AS latency_ms, status FROM f_tx")(
-    lambda p: ingest.decode(ingest.encode(_messages(p)))[0].select("request_id", "amount_usd", "created_at", "latency_ms", "status")
+query("encode_message", "SELECT 'r' || CAST(id AS VARCHAR) AS key, 21 AS n_keys, CAST(id AS VARCHAR) AS transaction_id FROM f_tx")(
+    lambda p: ingest.encode(_messages(p)).select("key", F.size(F.json_object_keys("value")).alias("n_keys"), F.get_json_object("value", "$.transaction_id").alias("transaction_id"))
 )
-query("quarantine_bad_records", "SELECT CAST(id AS VARCHAR) AS request_id FROM f_tx WHERE id % 13 = 0")(
-    lambda p: ingest.decode(ingest.encode(_messages(p)).select(F.expr("CASE WHEN CAST(key AS BIGINT) % 13 = 0 THEN concat('bad ', key) ELSE value END").alias("value")))[1].select(F.regexp_extract("value", "bad (.*)", 1).alias("request_id"))
+DECODED = "SELECT CAST(id AS VARCHAR) AS transaction_id, round(amount_usd, 6) AS amount_usd, date_trunc('second', created_at) AS created_at, CAST(0 AS DOUBLE) AS latency_ms, status FROM f_tx"
+query("decode_message", DECODED)(lambda p: ingest.decode(ingest.encode(_messages(p)))[0].select("transaction_id", "amount_usd", "created_at", "latency_ms", "status"))
+query("quarantine_bad_records", "SELECT 'r' || CAST(id AS VARCHAR) AS request_id FROM f_tx WHERE id % 13 = 0")(
+    lambda p: ingest.decode(ingest.encode(_messages(p)).select(F.expr("CASE WHEN CAST(substr(key, 2) AS BIGINT) % 13 = 0 THEN concat('bad ', key) ELSE value END").alias("value")))[1].select(F.regexp_extract("value", "bad (.*)", 1).alias("request_id"))
 )
 
+
+@query("sink_json_stream", DECODED)
+def sink_json_stream(p: Payments) -> DataFrame:
+    """Publish all messages, read what was published and decode it."""
+    path = tables.work_folder(p.spark, "messages")
+    ingest.publish(_messages(p), {"format": "text", "path": path})
+    return ingest.decode(p.spark.read.text(path))[0].select("transaction_id", "amount_usd", "created_at", "latency_ms", "status")
+
+
 # Filters and joins.
 
 query("filter_active_entities", f"SELECT {TX} FROM f_tx WHERE card_id IN (SELECT card_id FROM f_tx WHERE created_at >= TIMESTAMP '{START}' AND created_at < TIMESTAMP '{END}') OR user_id IN (SELECT user_id FROM f_tx WHERE created_at >= TIMESTAMP '{START}' AND created_at < TIMESTAMP '{END}')")(
@@ -266,7 +359,7 @@ def _samples(p: Payments) -> tuple[DataFrame, DataFrame]:
 
 query("drift_moments", f"WITH {BASE} SELECT * FROM ({MOMENTS.format('baseline', 'base')}) CROSS JOIN ({MOMENTS.format('current', 'cur')})")(lambda p: monitor.drift_moments(*_samples(p), "amount_usd"))
 query("drift_wasserstein", WASSERSTEIN + " SELECT wasserstein FROM w")(lambda p: monitor.wasserstein(*_samples(p), "amount_usd"))
-query("drift_report", WASSERSTEIN + f" SELECT *, CASE WHEN wasserstein < 0.1 THEN 'none' WHEN wasserstein < 0.25 THEN 'moderate' ELSE 'significant' END AS band, wasserstein >= 0.1 AS drift_detected, CAST(0.1 AS DOUBLE) AS threshold FROM w CROSS JOIN ({MOMENTS.format('baseline', 'base')}) CROSS JOIN ({MOMENTS.format('current', 'cur')})")(
+query("drift_report", WASSERSTEIN + f" SELECT *, CASE WHEN wasserstein < 0.1 THEN 'no_drift' WHEN wasserstein < 0.25 THEN 'moderate_drift' ELSE 'significant_drift' END AS band, wasserstein >= 0.1 AS drift_detected, CAST(0.1 AS DOUBLE) AS threshold FROM w CROSS JOIN ({MOMENTS.format('baseline', 'base')}) CROSS JOIN ({MOMENTS.format('current', 'cur')})")(
     lambda p: monitor.drift_report(*_samples(p), "amount_usd")
 )
 query("union_samples", f"WITH {BASE} SELECT v, CAST(sum(a) AS BIGINT) AS a, CAST(sum(b) AS BIGINT) AS b FROM (SELECT round(amount_usd, 6) AS v, 1 AS a, 0 AS b FROM base UNION ALL SELECT round(amount_usd, 6), 0, 1 FROM cur) GROUP BY v")(
@@ -315,7 +408,7 @@ query("dedupe_by_id", "SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM (SEL
 query("split_by_time", "WITH r AS (SELECT id, row_number() OVER (ORDER BY created_at, id) AS n FROM f_tx) SELECT id, CASE WHEN n <= floor((SELECT count(*) FROM r) * 0.8 + 1e-9) THEN 'train' ELSE 'val' END AS part FROM r")(
     lambda p: (lambda t, v: t.select("id", F.lit("train").alias("part")).unionByName(v.select("id", F.lit("val").alias("part"))))(*ordered.split_by_time(p.tx.select("id", "created_at"), "created_at", "id"))
 )
-query("sample_random", None)(lambda p: p.cards.orderBy(F.xxhash64("id", F.lit(42)), "id").limit(50).select("id"))
+query("sample_random", "SELECT id FROM f_cards ORDER BY md5(CAST(id AS VARCHAR) || '|42'), id LIMIT 50")(lambda p: training.sample_rows(p.cards, "id", 50, seed=42).select("id"))
 query("union_train_score", "SELECT transaction_id AS id, label FROM f_labels UNION ALL SELECT id, NULL FROM f_tx WHERE id NOT IN (SELECT transaction_id FROM f_labels)")(
     lambda p: p.labels.select(C("transaction_id").alias("id"), "label").unionByName(p.tx.join(p.labels.select(C("transaction_id").alias("id")), "id", "left_anti").select("id"), allowMissingColumns=True)
 )
@@ -382,9 +475,36 @@ query("d_reliability", f"WITH {SCORED} SELECT CAST(least(floor(s * 10), 9) AS IN
 query("d_three_way_decision", "SELECT transaction_id, CASE WHEN fraud_score >= 0.8 THEN 'decline' WHEN fraud_score >= 0.5 THEN 'step_up' ELSE 'approve' END AS decision FROM f_logs")(lambda p: p.logs.select("transaction_id", scalar.three_way(C("fraud_score"), 0.8, 0.5).alias("decision")))
 query("d_tune_thresholds", f"WITH {SCORED} SELECT round(quantile_cont(s, 0.995), 6) AS high, round(quantile_cont(s, 0.915), 6) AS step_up FROM sc WHERE label = 0")(lambda p: training.tune_thresholds(_scored(p), "label", "s"))
 query("d_cold_start", "SELECT transaction_id, CASE WHEN transaction_id % 4 = 0 AND fraud_score < 0.8 THEN 'approve' WHEN fraud_score >= 0.8 THEN 'decline' WHEN fraud_score >= 0.4 THEN 'step_up' ELSE 'approve' END AS decision FROM f_logs")(lambda p: p.logs.select("transaction_id", scalar.cold_start_decision(C("fraud_score"), C("transaction_id") % 4 == 0, 0.8).alias("decision")))
-query("d_retrain_rule", "SELECT transaction_id, CASE WHEN latency_ms / 1000 - 0.03 > 0.01 OR fraud_score - 0.5 < -0.05 THEN 'retrain' WHEN fraud_score > 0.2 THEN 'watch' ELSE 'keep' END AS action FROM f_logs")(lambda p: p.logs.select("transaction_id", monitor.retrain_rule(C("fraud_score"), C("latency_ms") / 1000 - 0.03, C("fraud_score") - 0.5).alias("action")))
-query("d_calibration_vs_drift", "SELECT transaction_id, CASE WHEN fraud_score > 0.2 THEN 'watch' ELSE 'keep' END AS action FROM f_logs")(lambda p: p.logs.select("transaction_id", monitor.retrain_rule(C("fraud_score"), F.lit(0.0), F.lit(0.0)).alias("action")))
-query("d_promotion_gate", "SELECT transaction_id, fraud_score >= 0.6 - 0.02 AND latency_ms / 1000 <= 0.05 AS promoted FROM f_logs")(lambda p: p.logs.select("transaction_id", monitor.promotion_gate(C("fraud_score"), F.lit(0.6), C("latency_ms") / 1000).alias("promoted")))
+
+
+def _metrics(p: Payments) -> DataFrame:
+    """One row: PSI of scores, and the changes of Brier score and precision at 1 % from before MID to after."""
+    scored = _scored(p)
+    old, new = joins.time_slice(scored, "created_at", None, MID), joins.time_slice(scored, "created_at", MID)
+    one = monitor.psi(old, new, "s")
+    for name, df in (("old", old), ("new", new)):
+        one = one.crossJoin(training.brier(df, "label", "s").toDF(f"brier_{name}")).crossJoin(training.precision_at_k(df, "label", "s", 0.01, "transaction_id").toDF(f"precision_{name}"))
+    return one
+
+
+_HALVES = {"old": f"(SELECT * FROM sc WHERE created_at < TIMESTAMP '{MID}')", "new": f"(SELECT * FROM sc WHERE created_at >= TIMESTAMP '{MID}')"}
+_AT_1 = "(SELECT round(avg(label), 6) FROM (SELECT label, row_number() OVER (ORDER BY s DESC, transaction_id) AS n FROM {0} h) WHERE n <= greatest(1, floor((SELECT count(*) FROM {0} h) * 0.01)))"
+METRICS = (
+    f"{SCORED}, ed AS (SELECT quantile_cont(s, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e FROM {_HALVES['old']} h), "
+    + ", ".join(f"bins_{k} AS (SELECT len(list_filter(e, lambda c: c < s)) AS bin, count(*) AS n FROM {h} h, ed GROUP BY 1)" for k, h in _HALVES.items())
+    + ", sh AS (SELECT greatest(coalesce(o.n / (SELECT sum(n) FROM bins_old), 0), 1e-4) AS p, greatest(coalesce(w.n / (SELECT sum(n) FROM bins_new), 0), 1e-4) AS q FROM bins_old o FULL JOIN bins_new w USING (bin)), "
+    + "mt AS (SELECT (SELECT round(sum((q - p) * ln(q / p)), 6) FROM sh) AS psi, "
+    + ", ".join(f"(SELECT round(avg(pow(s - label, 2)), 6) FROM {h} h) AS brier_{k}, {_AT_1.format(h)} AS precision_{k}" for k, h in _HALVES.items())
+    + ")"
+)
+ACTION = "CASE WHEN brier_new - brier_old > 0.01 OR precision_new - precision_old < -0.05 THEN 'retrain' WHEN psi > 0.2 THEN 'watch' ELSE 'keep' END AS action"
+query("d_retrain_rule", f"WITH {METRICS} SELECT *, {ACTION} FROM mt")(lambda p: _metrics(p).withColumn("action", monitor.retrain_rule(C("psi"), C("brier_new") - C("brier_old"), C("precision_new") - C("precision_old"))))
+query("d_calibration_vs_drift", f"WITH {METRICS} SELECT psi, psi > 0.2 AS inputs_moved, brier_new - brier_old > 0.01 AS calibration_worse, {ACTION} FROM mt")(
+    lambda p: _metrics(p).select("psi", (C("psi") > 0.2).alias("inputs_moved"), (C("brier_new") - C("brier_old") > 0.01).alias("calibration_worse"), monitor.retrain_rule(C("psi"), C("brier_new") - C("brier_old"), C("precision_new") - C("precision_old")).alias("action"))
+)
+query("d_promotion_gate", f"WITH {METRICS} SELECT precision_new AS candidate, precision_old AS champion, brier_new AS brier, precision_new >= precision_old - 0.02 AND brier_new <= 0.05 AS promoted FROM mt")(
+    lambda p: _metrics(p).select(C("precision_new").alias("candidate"), C("precision_old").alias("champion"), C("brier_new").alias("brier")).withColumn("promoted", monitor.promotion_gate(C("candidate"), C("champion"), C("brier")))
+)
 query("d_dq_suite", "SELECT 'duplicate_ids' AS check_name, CAST(count(*) - count(DISTINCT id) AS DOUBLE) AS value, count(*) = count(DISTINCT id) AS passed FROM f_tx UNION ALL SELECT 'amount_in_range', round(avg(CAST(amount_usd > 0 AS DOUBLE)), 6), avg(CAST(amount_usd > 0 AS DOUBLE)) >= 1 FROM f_tx UNION ALL SELECT 'null_ip_country', round(avg(CAST(ip_country_code IS NULL AS DOUBLE)), 6), avg(CAST(ip_country_code IS NULL AS DOUBLE)) <= 0.08 FROM f_tx UNION ALL SELECT 'fk_user', round(avg(CAST(user_id IN (SELECT id FROM f_users) AS DOUBLE)), 6), avg(CAST(user_id IN (SELECT id FROM f_users) AS DOUBLE)) >= 0.995 FROM f_tx UNION ALL SELECT 'null_feature', round(avg(CAST(log_amount IS NULL AS DOUBLE)), 6), avg(CAST(log_amount IS NULL AS DOUBLE)) <= 0.01 FROM feats")(
     lambda p: monitor.dq_suite(p.tx, p.users, p.features())
 )
@@ -393,14 +513,23 @@ query("d_merchant_leaderboard", "SELECT merchant_id, count(*) AS n_tx, round(sum
 query("d_decision_audit", "SELECT transaction_id, model_version, round(fraud_score, 6) AS fraud_score, prediction, threshold, label FROM f_logs LEFT JOIN f_labels USING (transaction_id)")(
     lambda p: p.logs.select("transaction_id", "model_version", "fraud_score", "prediction", "threshold").join(p.labels.select("transaction_id", "label"), "transaction_id", "left")
 )
-query("d_label_patch", f"SELECT f.transaction_id, f.card_tx_seq, l.label FROM feats f JOIN f_labels l USING (transaction_id) WHERE l.created_at >= TIMESTAMP '{START}' AND l.created_at < TIMESTAMP '{END}'")(lambda p: training.label_patch(p.features().select("transaction_id", "card_tx_seq"), p.labels, START, END))
-query("d_traffic_hash", None)(lambda p: p.tx.select("id", scalar.traffic_arm(C("id")).alias("arm")))
-query("d_uid_hash", None)(lambda p: p.tx.select("id", scalar.uid_hash(C("card_id"), C("device_id")).alias("uid")))
+
+
+@query("d_label_patch", f"SELECT f.transaction_id, f.card_tx_seq, CASE WHEN l.created_at >= TIMESTAMP '{START}' AND l.created_at < TIMESTAMP '{END}' THEN l.label END AS label FROM feats f LEFT JOIN f_labels l USING (transaction_id)")
+def d_label_patch(p: Payments) -> DataFrame:
+    path = tables.work_folder(p.spark, "labelled")
+    rows = p.features().select("transaction_id", "card_tx_seq", F.lit(None).cast("int").alias("label"), scalar.utc_date(C("created_at")).alias("date"))
+    tables.bulk_load(rows, path, "date")
+    tables.patch_labels(path, p.labels, START, END)
+    return p.spark.read.parquet(path).select("transaction_id", "card_tx_seq", "label")
+
+
+query("d_traffic_hash", "SELECT id, CASE WHEN CAST('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 20 THEN 'b' ELSE 'a' END AS arm FROM f_tx")(lambda p: p.tx.select("id", scalar.traffic_arm(C("id")).alias("arm")))
+query("d_uid_hash", "SELECT id, CAST('0x' || substr(md5(card_id || '|' || device_id), 1, 15) AS BIGINT) AS uid FROM f_tx")(lambda p: p.tx.select("id", scalar.uid_hash(C("card_id"), C("device_id")).alias("uid")))
 query("d_pseudonymize", "SELECT id, sha256('salt' || email_purchaser) AS email_hash, right(CAST(card_id AS VARCHAR), 4) AS last_four FROM f_tx")(lambda p: p.tx.select("id", scalar.pseudonym(C("email_purchaser"), "salt").alias("email_hash"), F.right(C("card_id").cast("string"), F.lit(4)).alias("last_four")))
 query("d_daily_precision_at_k", f"WITH {SCORED}, r AS (SELECT CAST(created_at AS DATE) AS day, label, row_number() OVER (PARTITION BY CAST(created_at AS DATE) ORDER BY s DESC, transaction_id) AS n, greatest(1, floor(count(*) OVER (PARTITION BY CAST(created_at AS DATE)) * 0.01)) AS k FROM sc) SELECT CAST(day AS VARCHAR) AS day, round(avg(label), 6) AS precision FROM r WHERE n <= k GROUP BY day")(
     lambda p: training.daily_precision_at_k(_scored(p), "created_at", "label", "s", "transaction_id")
 )
-query("d_backfill", f"SELECT CAST(CAST(created_at AS DATE) AS VARCHAR) AS day, count(*) AS n FROM feats WHERE created_at >= TIMESTAMP '{START}' AND created_at < TIMESTAMP '{END}' GROUP BY 1")(lambda p: p.features(START, END).groupBy(F.to_date("created_at").alias("day")).agg(F.count(F.lit(1)).alias("n")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -33,9 +33,9 @@ REQUEST = (
     "ip_country_code string, email_purchaser string, email_recipient string, created_at string"
 )
 MESSAGE = (
-    "request_id string, user_id string, card_id string, merchant_id string, device_id string, amount_usd double, currency string, channel string, billing_country_code string, "
-    "ip_country_code string, email_purchaser string, email_recipient string, status string, created_at string, model_name string, model_version string, fraud_score double, "
-    "prediction int, threshold double, latency_ms double, cold_start boolean"
+    "request_id string, transaction_id string, user_id string, card_id string, merchant_id string, device_id string, amount_usd double, currency string, channel string, "
+    "billing_country_code string, ip_country_code string, email_purchaser string, email_recipient string, status string, transaction_time string, fraud_score double, "
+    "prediction int, latency_ms double, model_name string, model_version string, threshold double"
 )
 
 

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import json
+import tempfile
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlens import schemas
-from cardlens.operators.joins import new_rows
+from cardlens.functions.scalar import utc_date
+from cardlens.operators.joins import new_rows, time_slice
 
 
 def scan_table(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -53,9 +57,18 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def insert_if_absent(batch: DataFrame, path: str, key: str, order: list[str] | None = None, partition_by: str | None = None) -> int:
-    """Append the batch's rows whose key the table lacks; returns how many. A second run of a batch adds nothing."""
+    """Append the batch's rows whose key the table lacks; returns how many. A second run of a batch adds nothing.
+
+    With partition_by, a column that follows from the key's row (such as its date), only the partitions that the batch has
+    rows of are read for known keys.
+    """
     spark = batch.sparkSession
-    existing = spark.read.parquet(path).select(key) if exists(spark, path) else batch.select(key).limit(0)
+    existing = batch.select(key).limit(0)
+    if exists(spark, path):
+        table = spark.read.parquet(path)
+        if partition_by:
+            table = table.where(F.col(partition_by).isin([r[0] for r in batch.select(partition_by).distinct().collect()]))
+        existing = table.select(F.col(key).cast(dict(batch.dtypes)[key]))
     rows = new_rows(batch, existing, key, order).persist()
     try:
         n = rows.count()
@@ -66,6 +79,65 @@ def insert_if_absent(batch: DataFrame, path: str, key: str, order: list[str] | N
         rows.unpersist()
 
 
+def insert_if_absent_jdbc(batch: DataFrame, url: str, table: str, key: str, order: list[str] | None = None, partitions: int = 8, **options: str) -> int:
+    """insert_if_absent for a database table: known keys between the batch's least and largest are read, and only new rows
+    are written. The table's own key constraint stays the last word between writers; needs the driver's jar."""
+    spark = batch.sparkSession
+    ends = batch.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+    if ends["lo"] is None:
+        return 0
+    quote = (lambda v: "'" + str(v).replace("'", "''") + "'") if dict(batch.dtypes)[key] == "string" else str
+    inside = f"(SELECT {key} FROM {table} WHERE {key} >= {quote(ends['lo'])} AND {key} <= {quote(ends['hi'])}) known"
+    existing = spark.read.format("jdbc").options(url=url, dbtable=inside, **options).load().toDF(key)
+    rows = new_rows(batch, existing, key, order).persist()
+    try:
+        n = rows.count()
+        if n:
+            rows.repartition(partitions).write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
+        return n
+    finally:
+        rows.unpersist()
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder of this name for results of a job, in spark.checkpoint.dir, the folder that the cluster shares; only a
+    local session without that setting gets a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
+        folder = "file://" + tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def backfill(build: Callable[..., DataFrame], path: str, start: str, end: str, partition_by: str = "date") -> list:
+    """Build the rows of [start, end) again and replace their partitions; returns the partitions that were written."""
+    rows = build(start, end).withColumn(partition_by, utc_date(F.col("created_at"))).persist()
+    try:
+        overwrite_slice(rows, path, partition_by)
+        return sorted(r[0] for r in rows.select(partition_by).distinct().collect())
+    finally:
+        rows.unpersist()
+
+
+def patch_labels(path: str, labels: DataFrame, since, until, partition_by: str = "date") -> None:
+    """Give the stored rows (transaction_id, label, ...) under path the labels that came in [since, until): only the
+    partitions that hold such rows are read and written again."""
+    spark = labels.sparkSession
+    new = time_slice(labels, "created_at", since, until).select("transaction_id", F.col("label").alias("_new"))
+    stored = spark.read.parquet(path)
+    touched = [r[0] for r in stored.select("transaction_id", partition_by).join(new, "transaction_id", "left_semi").select(partition_by).distinct().collect()]
+    if touched:
+        kind = dict(stored.dtypes)["label"]
+        merged = stored.where(F.col(partition_by).isin(touched)).join(new, "transaction_id", "left")
+        patched = merged.withColumn("label", F.coalesce(F.col("_new"), F.col("label")).cast(kind)).select(stored.columns)
+        # written aside first: a partition can't be read and replaced at once
+        aside = f"{path.rstrip('/')}_patch_{uuid.uuid4().hex}"
+        patched.write.parquet(aside)
+        overwrite_slice(spark.read.schema(patched.schema).parquet(aside), path, partition_by)
+
+
 def overwrite_slice(df: DataFrame, path: str, partition_by: str) -> None:
     """Replace just the partitions that df has rows of."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)

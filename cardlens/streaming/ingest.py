@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cardlens import schemas
-from cardlens.functions.scalar import cold_pair, decide, null_nonfinite
+from cardlens.functions.scalar import cold_pair, decide, null_nonfinite, parse_iso_utc, utc_date
 from cardlens.operators.joins import lookup
 from cardlens.sources.tables import insert_if_absent
 
@@ -23,10 +23,12 @@ def read_messages(spark: SparkSession, source: dict) -> DataFrame:
 
 
 def decode(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Messages by the fixed schema, and those that can't be read (value, reason). A missing latency counts as 0."""
+    """Messages by the fixed schema, and those that can't be read (value, reason). A missing latency counts as 0; the
+    message's transaction_time becomes created_at, and a time without an offset is UTC."""
     parsed = raw.select("value", F.from_json("value", schemas.MESSAGE + ", _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("m"))
-    bad = F.col("m").isNull() | F.col("m._corrupt").isNotNull() | F.col("m.request_id").isNull() | F.try_to_timestamp(F.col("m.created_at")).isNull()
-    good = parsed.where(~bad).select("m.*").drop("_corrupt").withColumn("latency_ms", F.coalesce("latency_ms", F.lit(0.0))).withColumn("created_at", F.try_to_timestamp("created_at"))
+    at = parse_iso_utc(F.col("m.transaction_time"))
+    bad = F.col("m").isNull() | F.col("m._corrupt").isNotNull() | F.col("m.transaction_id").isNull() | at.isNull()
+    good = parsed.where(~bad).select("m.*", at.alias("created_at")).drop("_corrupt").withColumn("latency_ms", F.coalesce("latency_ms", F.lit(0.0)))
     return good, parsed.where(bad).select("value", F.when(F.col("m._corrupt").isNotNull(), "no JSON").otherwise("no id or time").alias("reason"))
 
 
@@ -36,23 +38,43 @@ def encode(df: DataFrame, columns: list[str] | None = None, key: str = "request_
     return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*[F.col(c) for c in names]), {"ignoreNullFields": "false"}).alias("value"))
 
 
+def publish(scored: DataFrame, sink: dict) -> None:
+    """Send a batch's messages: to a Kafka topic keyed by request, or appended to text files where a folder is given.
+
+    `scored` has the message's columns; what is missing is null. Called for a micro-batch it is sent again if the batch
+    is, so readers tell messages apart by transaction_id.
+    """
+    names = [c.split() for c in schemas.MESSAGE.split(", ")]
+    rows = encode(scored.select(*[(F.col(n) if n in scored.columns else F.lit(None)).cast(k).alias(n) for n, k in names]))
+    if sink.get("format", "kafka") == "kafka":
+        rows.write.format("kafka").option("kafka.bootstrap.servers", sink["servers"]).option("topic", sink["topic"]).save()
+    else:
+        rows.select("value").write.mode("append").text(sink["path"])
+
+
+def publish_stream(scored: DataFrame, sink: dict, checkpoint: str, **trigger) -> StreamingQuery:
+    """publish() for every micro-batch of a stream."""
+    return scored.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, _: publish(df, sink)).trigger(**(trigger or {"availableNow": True})).start()
+
+
 def transactions_of(messages: DataFrame) -> DataFrame:
     names = ["user_id", "card_id", "merchant_id", "device_id", "amount_usd", "currency", "channel", "billing_country_code", "ip_country_code", "email_purchaser", "email_recipient", "status", "created_at"]
-    return messages.select(F.col("request_id").alias("id"), *names)
+    return messages.select(F.col("transaction_id").alias("id"), *names)
 
 
 def logs_of(messages: DataFrame) -> DataFrame:
-    return messages.select(F.col("request_id").alias("transaction_id"), "model_name", "model_version", "fraud_score", "prediction", "threshold", "latency_ms", "created_at")
+    return messages.select("transaction_id", "model_name", "model_version", "fraud_score", "prediction", "threshold", "latency_ms", "created_at")
 
 
 def write_batch(raw: DataFrame, tx_path: str, log_path: str, bad_path: str, batch_id: int) -> None:
     """One micro-batch: new transactions and new log rows by their keys, unreadable messages to quarantine under the
-    batch's id. A batch that comes again adds nothing."""
+    batch's id. A batch that comes again adds nothing. Tables are partitioned by date, and only the dates that the batch
+    holds are looked up for known keys, so a batch's cost follows the batch and its days."""
     raw.persist()
     try:
         good, bad = decode(raw)
-        insert_if_absent(transactions_of(good), tx_path, "id", ["created_at"])
-        insert_if_absent(logs_of(good), log_path, "transaction_id", ["created_at"])
+        for rows, path, key in ((transactions_of(good), tx_path, "id"), (logs_of(good), log_path, "transaction_id")):
+            insert_if_absent(rows.withColumn("date", utc_date(F.col("created_at"))), path, key, ["created_at"], "date")
         bad.write.mode("overwrite").parquet(f"{bad_path}/batch_id={batch_id}")
     finally:
         raw.unpersist()
@@ -65,7 +87,7 @@ def ingest(stream: DataFrame, tx_path: str, log_path: str, bad_path: str, checkp
 
 def to_partitions(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Append to date partitions."""
-    dated = stream.withColumn("date", F.to_date("created_at"))
+    dated = stream.withColumn("date", utc_date(F.col("created_at")))
     return dated.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy("date").outputMode("append").trigger(**(trigger or {"availableNow": True})).start()
 
 

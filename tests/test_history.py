@@ -17,6 +17,6 @@ def test_days_of_hot_keys_add_up(spark):
     tx = p.tx.withColumn("amount_usd", F.when(F.col("card_id") % 3 == 0, 20.1).otherwise(F.col("amount_usd")))
     whole = build_features(tx, p.users, p.cards, p.merchants)
     split = build_features(tx, p.users, p.cards, p.merchants, hot_rows=8)
-    assert history.hot_keys(tx, "card_id", 8).count() > 0 and history.hot_keys(tx, "card_id") is None
+    assert history.hot_keys(tx, ("card_id",), 8)["card_id"].count() > 0 and not history.hot_keys(tx, ("card_id", "user_id"))
     assert split.schema.simpleString() == whole.schema.simpleString()
     assert rounded(split) == rounded(whole)

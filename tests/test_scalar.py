@@ -67,3 +67,14 @@ def test_golden_times(spark):
 def test_encoders_of_nulls(spark):
     df = spark.createDataFrame([("b",), (None,), ("a",)], "c string")
     assert training.fit_encoders(df, ["c"]) == {"c": {"a": 0, "b": 1, "missing": 2}}
+
+
+def test_days_and_hours_are_utc_in_any_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        t = F.timestamp_seconds(F.lit(1_782_948_600))  # 2026-07-01T23:30:00Z
+        row = spark.range(1).select(scalar.hour_utc(t), scalar.weekday(t), scalar.is_night(t), scalar.utc_date(t).cast("string"), F.unix_seconds(scalar.utc_hour_start(t)), scalar.is_weekend(t)).first()
+        assert tuple(row) == (23, 2, 1, "2026-07-01", 1_782_946_800, 0)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

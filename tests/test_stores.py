@@ -68,3 +68,50 @@ def test_asof_tolerance_and_ties(spark):
     assert sorted(map(tuple, got), key=str) == [(10, "c"), (3, "b"), (5, None)]
     near = joins.asof_join(left, right, ["k"], "t", "rt", ["v"], tie="tie", tolerance="0 seconds").select("v").collect()
     assert {r.v for r in near} == {None}
+
+
+def test_two_phases_and_recalibration(spark):
+    """The second fit takes all rows and a tenth more rounds; a recalibrated score keeps its order and nears the rate."""
+    p = Payments(spark, SF)
+    frame = training.training_frame(p.features(), p.labels)
+    train, val = ordered.split_by_time(frame, "event_timestamp", "transaction_id")
+    contract = {"columns": ["amount_usd", "channel"], "encoders": {"channel": {"mobile_app": 0, "pos": 1, "web": 2}}}
+    fitted = model.two_phase_fit(train, val, contract, rounds=4, depth=2)
+    assert 1 <= fitted.stages[-1].getNumTrees <= 5
+    scored = model.score_batch(val, fitted, contract, ("transaction_id", "label")).withColumn("fraud_score", F.col("fraud_score") / 3)
+    linked = model.platt(scored, "label", "fraud_score")
+    assert linked.coefficients[0] > 0
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    got = linked.transform(VectorAssembler(inputCols=["fraud_score"], outputCol="x").transform(scored)).select(F.avg(vector_to_array("probability")[1]), F.avg("label")).first()
+    assert abs(got[0] - got[1]) < 0.01
+
+
+def test_jdbc_insert_if_absent(spark):
+    """Into the database that comes with Spark: a batch that comes again adds nothing."""
+    url = "jdbc:derby:memory:cards;create=true"
+    rows = spark.createDataFrame([("a'1", 1.0), ("b", 2.0), ("b", 3.0)], "id string, amount double")
+    rows.limit(0).write.format("jdbc").options(url=url, dbtable="tx").mode("append").save()
+    assert tables.insert_if_absent_jdbc(rows, url, "tx", "id", ["amount"]) == 2
+    assert tables.insert_if_absent_jdbc(rows.union(spark.createDataFrame([("c", 4.0)], rows.schema)), url, "tx", "id", ["amount"]) == 1
+    numbered = spark.range(10).withColumn("x", F.lit(1))
+    numbered.write.format("jdbc").options(url=url, dbtable="n").save()
+    back = tables.scan_jdbc(spark, url, "n", "id", 0, 10, 3)
+    assert back.rdd.getNumPartitions() == 3 and back.count() == 10
+
+
+def test_percentiles_of_many_ranges(spark):
+    rows = spark.range(1000).select((F.col("id") % 7).alias("g"), (F.col("id") * 37 % 101 / 7).alias("x"))
+    want = {r.g: (r.a, r.b) for r in rows.groupBy("g").agg(F.percentile("x", 0.5).alias("a"), F.percentile("x", 0.99).alias("b")).collect()}
+    got = {r.g: (r.a, r.b) for r in ordered.exact_percentiles(rows, "x", {"a": 0.5, "b": 0.99}, ("g",), range_rows=40).collect()}
+    assert set(got) == set(want) and all(abs(x - y) < 1e-9 for g in want for x, y in zip(want[g], got[g], strict=True))
+
+
+def test_precision_among_ties(spark):
+    rows = spark.createDataFrame([(i, 0.5 if i < 60 else i / 1000, int(i % 3 == 0)) for i in range(100)], "t int, s double, y int")
+    for frac in (0.01, 0.3, 0.99):
+        k = max(1, int(100 * frac))
+        want = sum(r.y for r in sorted(rows.collect(), key=lambda r: (-r.s, r.t))[:k]) / k
+        assert abs(training.precision_at_k(rows, "y", "s", frac, "t").first()[0] - want) < 1e-6
+    assert training.precision_at_k(rows.where("false"), "y", "s", 0.1, "t").first()[0] is None

@@ -1,5 +1,8 @@
 """Streams: parity of velocity state with the window features, retries, status events, ingest."""
 
+import json
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +11,7 @@ from cardlens.plans.fixtures import Payments
 from cardlens.streaming import ingest, velocity
 
 SF = "/root/testdata/sf0.001"
+EVENTS = "card_id long, id string, amount double, at long, declined boolean, kind string"
 
 
 def replay(spark, rows, key, tmp_path, cuts, initial=None):
@@ -61,8 +65,8 @@ def test_retry_and_status(spark, tmp_path):
 
 
 def test_ingest_is_idempotent_and_quarantines(spark, tmp_path):
-    good = '{"request_id":"%s","user_id":"u","card_id":"c","amount_usd":1.5,"status":"approved","created_at":"2024-01-01T00:00:0%dZ","model_version":"v","fraud_score":0.1,"prediction":0}'
-    lines = [good % ("r1", 1), good % ("r2", 2), good % ("r1", 1), "not json", '{"request_id":null}']
+    good = '{"request_id":"r","transaction_id":"%s","user_id":"u","card_id":"c","amount_usd":1.5,"status":"approved","transaction_time":"2024-01-01T00:00:0%dZ","model_version":"v","fraud_score":0.1,"prediction":0}'
+    lines = [good % ("t1", 1), good % ("t2", 2), good % ("t1", 1), "not json", '{"transaction_id":null}']
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "1.txt").write_text("\n".join(lines))
     where = [f"file://{tmp_path}/{x}" for x in ("tx", "logs", "bad")]
@@ -73,6 +77,89 @@ def test_ingest_is_idempotent_and_quarantines(spark, tmp_path):
     assert spark.read.parquet(where[0]).count() == 2 and spark.read.parquet(where[1]).count() == 2
     assert spark.read.parquet(where[2]).count() == 2
     assert spark.read.parquet(where[1]).where("latency_ms = 0").count() == 2
+    assert {r.id for r in spark.read.parquet(where[0]).collect()} == {"t1", "t2"}
+
+
+def test_a_published_message_decodes(spark, tmp_path):
+    """All 21 keys of a scored message, as it is published, come back from what was sent."""
+    message = {
+        "request_id": "req-1", "transaction_id": "tx-1", "user_id": "u", "card_id": "c", "merchant_id": "m", "device_id": "d", "amount_usd": 50.5, "currency": "VND", "channel": "web",
+        "billing_country_code": "VN", "ip_country_code": "US", "email_purchaser": "a@b.co", "email_recipient": "r@b.co", "status": "approved", "transaction_time": "2026-07-01T13:30:00+00:00",
+        "fraud_score": 0.91, "prediction": 1, "latency_ms": 64.2, "model_name": "risk", "model_version": "v_a", "threshold": 0.8,
+    }
+    path = f"{tmp_path}/in"
+    spark.createDataFrame([(json.dumps(message),)], "value string").write.text(path)
+    good, bad = ingest.decode(spark.read.text(path))
+    row = good.select("*", F.unix_seconds("created_at").alias("at")).first()
+    assert bad.count() == 0 and row.at == 1782912600 and {k: row[k] for k in message} == message
+    ingest.publish(good, {"format": "text", "path": f"{tmp_path}/out"})
+    again = ingest.decode(spark.read.text(f"{tmp_path}/out"))[0]
+    assert again.drop("created_at").exceptAll(good.drop("created_at")).count() == 0 and again.count() == 1
+    assert ingest.transactions_of(good).first().id == "tx-1" and ingest.logs_of(good).first().transaction_id == "tx-1"
+
+
+def test_members_leave_after_their_retention(spark, tmp_path):
+    """A member of 25 hours ago is no longer in the state; lifetime moments stay."""
+    hour, t = velocity.HOUR, 1_700_000_000_000_000
+    rows = [(1, "a", 10.0, t, False, "transaction"), (1, "b", 20.0, t + 24 * hour, False, "transaction"), (1, "c", 5.0, t + 26 * hour, False, "transaction"), (1, "a", 10.0, t + 26 * hour + 1, False, "transaction")]
+    got = replay(spark, spark.createDataFrame(rows, EVENTS), "card_id", tmp_path, [t, t + 1, t + 25 * hour, t + 26 * hour + 1, t + 27 * hour]).toPandas()
+    assert got.tx_count_24h.tolist()[:3] == [1, 2, 2] and got.tx_seq.tolist()[:3] == [1, 2, 3]
+    # "a" has left, so its second coming is taken for a new transaction
+    assert got.tx_seq.tolist()[3] == 4 and got.amount_sum_24h.tolist()[3] == 35.0
+
+
+def test_state_with_a_time_to_live(spark, tmp_path):
+    t = 1_700_000_000_000_000
+    rows = spark.createDataFrame([(1, "a", 10.0, t, False, "transaction"), (1, "b", 20.0, t + 1, False, "transaction")], EVENTS)
+    rows.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
+    q = velocity.velocity_stream(stream, "card_id", ttl_days=90).writeStream.format("memory").queryName("ttl90").outputMode("append").option("checkpointLocation", f"{tmp_path}/ck").start()
+    try:  # by processing time a stream goes on by itself
+        until = time.time() + 60
+        while time.time() < until and spark.table("ttl90").count() < 2:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    assert sorted(r.tx_seq for r in spark.table("ttl90").collect()) == [1, 2]
+
+
+def test_scoring_stream(spark, tmp_path):
+    """Requests are met with the snapshot of served attributes, scored and published; a failing publisher loses nothing."""
+    requests = spark.createDataFrame([("r1", "u1", "c1", 900.0), ("r2", "u2", "c2", 5.0)], "request_id string, user_id string, card_id string, amount_usd double")
+    requests.coalesce(1).write.parquet(f"{tmp_path}/in")
+    snapshot = spark.createDataFrame([("u1", "c1", "Visa")], "user_id string, card_id string, card_brand string")
+    predict = lambda df: df.withColumn("fraud_score", F.when(F.col("amount_usd") > 100, 0.9).otherwise(F.lit(float("nan"))))
+    seen, fail = [], [True]
+
+    def publish(df, k):
+        if fail[0]:
+            raise RuntimeError("the sink is down")
+        seen.extend(df.collect())
+
+    def start():
+        stream = spark.readStream.schema(requests.schema).parquet(f"{tmp_path}/in")
+        return ingest.score_stream(stream, lambda: snapshot, ["card_brand"], predict, publish, f"{tmp_path}/ck")
+
+    with pytest.raises(Exception, match="the sink is down"):
+        start().awaitTermination()
+    fail[0] = False
+    start().awaitTermination()
+    got = {r.request_id: (r.card_brand, r.cold_start, r.fraud_score, r.prediction, r.threshold) for r in seen}
+    assert got == {"r1": ("Visa", False, 0.9, 1, 0.8), "r2": (None, True, None, None, 0.8)}
+    scored = spark.createDataFrame(seen)
+    ingest.publish(scored.withColumn("transaction_id", F.col("request_id")), {"format": "text", "path": f"{tmp_path}/sent"})
+    assert spark.read.text(f"{tmp_path}/sent").count() == 2
+
+
+def test_stream_to_date_partitions(spark, tmp_path):
+    rows = Payments(spark, SF).tx.select("id", "created_at")
+    rows.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
+    for _ in range(2):  # a second run finds nothing new
+        ingest.to_partitions(stream, f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination()
+    back = spark.read.parquet(f"{tmp_path}/out")
+    assert back.count() == rows.count() and back.where("date <> CAST(created_at AS DATE)").count() == 0
+    assert len(back.inputFiles()) >= back.select("date").distinct().count() > 10
 
 
 def test_windowed_counts_drop_late_rows(spark, tmp_path):
