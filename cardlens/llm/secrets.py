@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,13 +21,17 @@ BASE = {
 #: Words that announce a credential, and what may stand between them and the value.
 CONTEXT = re.compile(
     r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_\x20-]?key|access[_\x20-]?key|private[_\x20-]?key|client[_\x20-]?secret|credentials?|authorization|bearer|login|pin)"""
-    r"""(?![A-Za-z])["']?(?:[\x20\t]*(?:[:=]=?|=>|->)[\x20\t]*|[\x20\t]+(?:is|was)[\x20\t]+)(?:bearer[\x20\t]+|basic[\x20\t]+)?("[^"\n]+"|'[^'\n]+'|[^\s"'<>,;]+)""",
+    r"""(?![A-Za-z])["']?(?:(?P<sign>[\x20\t]*(?:[:=]=?|=>|->)[\x20\t]*)|[\x20\t]+(?:is|was)[\x20\t]+)(?:bearer[\x20\t]+|basic[\x20\t]+)?(?P<value>"[^"\n]+"|'[^'\n]+'|[^\s"'<>,;]+)""",
     re.I | re.A,
 )
 GUESSES = 8.0  # log10; a value that takes more is taken for a secret
-LOOKBACK = 64  # a word, date, repeat or walk is at most so long; longer ones are several
+MOST_WORDS = 20_000  # of the corpus, that count as words
+LONGEST_WORD = 20
+PERIODS = 8  # of repeats inside a value; a repeat that is the whole value may have any
+HELD_WORDS = 200_000  # counted in a task before they are handed on
+CUT = math.log10(2)  # that a known span costs besides its own guesses
 
-# Usual words of passwords and their neighbours, by rank, and keyboard rows.
+# Usual words of passwords and their neighbours, by rank, and keyboard rows. Words of the corpus come behind.
 WORDS = """password admin welcome login master dragon monkey letmein qwerty football baseball shadow sunshine princess
 summer winter spring autumn secret access hello freedom whatever trust batman superman computer internet service
 server default change please user root guest test demo example sample value token key pass love happy family friend
@@ -41,6 +46,9 @@ LEET = str.maketrans("4@8301!$57", "aabeoiisst")
 DATE = re.compile(r"(?:19|20)\d{2}([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:(?:19|20)\d{2}|\d{2})|(?:19|20)\d{2}")
 
 
+DATES = (4, 6, 8, 10)  # lengths of what it matches
+
+
 def keyboard() -> dict[str, set[str]]:
     """Neighbours of each key, rows shifted by half a key."""
     near: dict[str, set[str]] = {}
@@ -60,50 +68,140 @@ def char_cost(c: str) -> float:
     return math.log10(10 if c.isdigit() else 26 if c.isascii() and c.isalpha() else 33 if c.isascii() else 100)
 
 
-def word_cost(s: str) -> float | None:
+def word_cost(s: str, ranks: Mapping[str, int] = RANK) -> float | None:
+    """Of a word in any case, or with digits and signs for letters that look like them."""
     low = s.lower()
-    plain = low if low in RANK else low.translate(LEET)
-    if plain not in RANK:
+    plain = low if low in ranks else low.translate(LEET)
+    if plain not in ranks or len(low) != len(s):
         return None
     changed = sum(a != b for a, b in zip(low, plain, strict=True))
     shape = 0.0 if s == low else 0.301 if s in (low.capitalize(), s.upper()) else sum(c.isupper() for c in s) * 0.5
-    return math.log10(RANK[plain] + 1) + shape + changed * 0.4
+    return math.log10(ranks[plain] + 1) + shape + changed * 0.4
 
 
-def span_cost(s: str) -> float | None:
-    """log10 of the guesses for s as one word, date, repeat or keyboard walk; None if it is none of these."""
-    costs = [word_cost(s)]
-    if DATE.fullmatch(s):
-        costs.append(math.log10(365 * 120 * 4) if len(s) > 4 else math.log10(120))
-    for period in range(1, min(8, len(s) // 2) + 1):
+def date_cost(s: str) -> float | None:
+    return None if not DATE.fullmatch(s) else math.log10(365 * 120 * 4) if len(s) > 4 else math.log10(120)
+
+
+def repeat_cost(s: str) -> float | None:
+    for period in range(1, min(PERIODS, len(s) // 2) + 1):
         if s[period:] == s[:-period]:
-            costs.append(sum(map(char_cost, s[:period])) + math.log10(len(s)))
-            break
-    if len(s) >= 3:
-        keys = s.lower().translate(SHIFTED)
-        if all(b in NEAR.get(a, ()) for a, b in zip(keys, keys[1:], strict=False)):
-            steps = [(PLACE[b][0] - PLACE[a][0], PLACE[b][1] - PLACE[a][1]) for a, b in zip(keys, keys[1:], strict=False)]
-            turns = 1 + sum(a != b for a, b in zip(steps, steps[1:], strict=False))
-            costs.append(math.log10(47) + turns * math.log10(6) + math.log10(len(s)))
-    known = [c for c in costs if c is not None]
+            return sum(map(char_cost, s[:period])) + math.log10(len(s))
+    return None
+
+
+def step(a: str, b: str) -> tuple[int, int] | None:
+    """From a key to a neighbouring one."""
+    if b not in NEAR.get(a, ()):
+        return None
+    return PLACE[b][0] - PLACE[a][0], PLACE[b][1] - PLACE[a][1]
+
+
+def walk_cost(s: str) -> float | None:
+    keys = s.lower().translate(SHIFTED)
+    steps = [step(a, b) for a, b in zip(keys, keys[1:], strict=False)]
+    if len(s) < 3 or len(keys) != len(s) or None in steps:
+        return None
+    turns = 1 + sum(a != b for a, b in zip(steps, steps[1:], strict=False))
+    return math.log10(47) + turns * math.log10(6) + math.log10(len(s))
+
+
+def span_cost(s: str, ranks: Mapping[str, int] = RANK) -> float | None:
+    """log10 of the guesses for s as one word, date, repeat or keyboard walk; None if it is none of these."""
+    known = [c for c in (word_cost(s, ranks), date_cost(s), repeat_cost(s), walk_cost(s)) if c is not None]
     return min(known) if known else None
 
 
-def guess_cost(value: str) -> float:
-    """log10 of the guesses for value: the least over all ways to cut it into spans.
+def smallest_period(s: str) -> int:
+    """By the table of borders, in linear time."""
+    border, k = [0] * len(s), 0
+    for i in range(1, len(s)):
+        while k and s[i] != s[k]:
+            k = border[k - 1]
+        k += s[i] == s[k]
+        border[i] = k
+    return len(s) - border[-1] if s else 0
+
 
-    A dynamic program over ends: best[j] is the least over the last span, either one more brute-force character or a
-    known span of at most LOOKBACK characters. Cutting costs log10(2) a known span. Its time is linear in the length.
+def guess_cost(value: str, ranks: Mapping[str, int] = RANK) -> float:
+    """log10 of the guesses for value: the least over all ways to cut it into spans, and 0.3 a known span.
+
+    A dynamic program over ends: the last span is a brute-force character, a word, a date, a repeat or a walk. Words and
+    dates end within a few characters of their start. Repeats (a period each) and walks are carried along: the cheapest
+    start that the run at hand still covers goes on, so time is linear in the length. A value that as a whole repeats a
+    longer part costs that part.
     """
-    best = [0.0] + [math.inf] * len(value)
-    for j in range(1, len(value) + 1):
-        best[j] = best[j - 1] + char_cost(value[j - 1])
-        for i in range(max(0, j - LOOKBACK), j - 1):
-            if best[i] + 0.6 < best[j] and (c := span_cost(value[i:j])) is not None:
-                best[j] = min(best[j], best[i] + c + math.log10(2))
+    period = smallest_period(value)
+    if PERIODS < period <= len(value) // 2:
+        return guess_cost(value[:period], ranks) + math.log10(len(value)) + CUT
+    n = len(value)
+    low = value.lower() if len(value.lower()) == n else value
+    plain = low.translate(LEET)
+    keys = low.translate(SHIFTED)
+    single = [char_cost(c) for c in value]
+    upto = [0.0]
+    for c in single:
+        upto.append(upto[-1] + c)
+    best = [0.0] + [math.inf] * n
+    run = [0] * (PERIODS + 1)  # characters that equal the one a period before
+    repeat: list[tuple[float, int]] = [(math.inf, 0)] * (PERIODS + 1)  # cost without length, and start
+    walk, walk_start, before = math.inf, 0, None
+    for j in range(1, n + 1):
+        c = best[j - 1] + single[j - 1]
+        for length in range(2, min(LONGEST_WORD, j) + 1):
+            i = j - length
+            if (low[i:j] in ranks or plain[i:j] in ranks) and best[i] + CUT < c and (w := word_cost(value[i:j], ranks)) is not None:
+                c = min(c, best[i] + w + CUT)
+        for length in DATES if value[j - 1].isdigit() else ():
+            if length <= j and (d := date_cost(value[j - length : j])) is not None:
+                c = min(c, best[j - length] + d + CUT)
+        for p in range(1, min(PERIODS, j - 1) + 1):
+            if value[j - 1] != value[j - 1 - p]:
+                run[p], repeat[p] = 0, (math.inf, 0)
+                continue
+            run[p] += 1
+            if run[p] >= p:
+                i = j - 2 * p
+                repeat[p] = min(repeat[p], (best[i] + upto[i + p] - upto[i], i))
+                c = min(c, repeat[p][0] + math.log10(j - repeat[p][1]) + CUT)
+        way = step(keys[j - 2], keys[j - 1]) if j >= 2 else None
+        if way is None:
+            walk = math.inf
+        else:
+            walk += 0 if way == before else math.log10(6)
+            if (fresh := best[j - 2] + math.log10(47) + math.log10(6)) < walk:
+                walk, walk_start = fresh, j - 2
+            if j - walk_start >= 3:
+                c = min(c, walk + math.log10(j - walk_start) + CUT)
+        before = way
+        best[j] = c
     return best[-1]
 
 
+def common_words(docs: DataFrame, text_col: str = "text", most: int = MOST_WORDS) -> dict[str, int]:
+    """Ranks of the words of a to z that come in most documents, behind those of RANK: `most` rows at most come to the
+    driver. Every document is counted; each task adds up its own documents first."""
+    bound_batches(docs.sparkSession)
+    word = re.compile(rf"(?<![a-z])[a-z]{{3,{LONGEST_WORD}}}(?![a-z])")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[str] = Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                held.update(set(word.findall(text.lower())))
+                if len(held) > HELD_WORDS:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
+                    held.clear()
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
+
+    counts = docs.select(empty_if_null(text_col).alias("text")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    ranks = dict(RANK)
+    for r in counts.where("n > 1").orderBy(F.desc("n"), "word").limit(most).collect():
+        ranks.setdefault(r["word"], len(ranks) + 1)
+    return ranks
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the base patterns' matches, by start, then kind as listed."""
     out = []
@@ -114,32 +212,36 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return [(a, b, k) for a, _, b, k in sorted(out)]
 
 
-def guessed_spans(text: str, base: list[tuple[int, int, str]], least: float = GUESSES) -> tuple[list[tuple[int, int, str]], float]:
-    """Values in a credential's context that take over 10**least guesses and lie outside base spans; the highest cost of all values."""
+def guessed_spans(text: str, base: list[tuple[int, int, str]], least: float = GUESSES, ranks: Mapping[str, int] = RANK) -> tuple[list[tuple[int, int, str]], float]:
+    """Values in a credential's context that take over 10**least guesses and lie outside base spans; the highest cost of all
+    values. After `is` and `was`, where prose goes on, a value must hold something besides letters."""
     out, highest = [], 0.0
     for m in CONTEXT.finditer(text):
-        a, b = m.span(1)
-        if text[a] in "\"'" and b - a >= 2 and text[b - 1] == text[a]:
+        a, b = m.span("value")
+        quoted = text[a] in "\"'" and b - a >= 2 and text[b - 1] == text[a]
+        if quoted:
             a, b = a + 1, b - 1
         else:
-            b -= len(text[a:b]) - len(text[a:b].rstrip(".:!?)]}")) if text[a] not in "\"'" else 0
-        if a >= b:
+            b = a + len(text[a:b].rstrip(".:!?)]}"))
+        if a >= b or (not quoted and m["sign"] is None and all(c.isalpha() or c in "-'\u2019" for c in text[a:b])):
             continue
-        cost = guess_cost(text[a:b])
+        cost = guess_cost(text[a:b], ranks)
         highest = max(highest, cost)
         if cost > least and not any(x < b and a < y for x, y, _ in base):
             out.append((a, b, "guess"))
     return out, highest
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = GUESSES) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = GUESSES, ranks: Mapping[str, int] | None = None) -> DataFrame:
     """One row per row of docs: doc_id, base and added (arrays of struct start, end, kind, in code points, end exclusive),
-    guess_log10 (of the costliest value in a credential's context; 0 without one).
+    guess_log10 (of the costliest value in a credential's context; 0 without one). Words are those of `ranks`, or the
+    common ones of docs themselves.
 
     A null text counts as empty and holds nothing; a null doc_id stays null; repeated rows come as often as given;
     other columns are not looked at. Each text is looked at whole.
     """
     bound_batches(docs.sparkSession)
+    words = dict(ranks) if ranks is not None else common_words(docs, text_col)
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +249,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least:
             base, added, cost = [], [], []
             for text in batch.column(1).to_pylist():
                 own = base_spans(text)
-                more, highest = guessed_spans(text, own, least)
+                more, highest = guessed_spans(text, own, least, words)
                 base.append([{"start": a, "end": b, "kind": k} for a, b, k in own])
                 added.append([{"start": a, "end": b, "kind": k} for a, b, k in more])
                 cost.append(highest)

@@ -68,9 +68,31 @@ def test_guess_cost_is_the_least(value):
     assert secrets.guess_cost(value) <= brute_cost(value) + 0.6 and secrets.guess_cost(value) >= brute_cost(value) - 1e-9
 
 
+def test_guess_cost_is_the_least_of_random_values():
+    rng = random.Random(4)
+    parts = ["password", "1987-05-12", "qwerty", "aaaa", "abab", "x9", "2019", "P4ss", "zx", "dragon", "12", "!"]
+    for _ in range(60):
+        value = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 3)))[:11]
+        assert brute_cost(value) - 1e-9 <= secrets.guess_cost(value) <= brute_cost(value) + 0.6, value
+
+
 def test_guess_cost_order():
     assert secrets.guess_cost("password") < 2 < secrets.guess_cost("password2019") < secrets.guess_cost("xK9!vQ2#pLm7")
     assert secrets.guess_cost("zxcvbnm") < 4 and secrets.guess_cost("abababab") < 5
+    # repeats of any length and period
+    assert secrets.guess_cost("*" * 192) < 6 and secrets.guess_cost("x9!kQ2#pLmZ7" * 40) < secrets.guess_cost("x9!kQ2#pLmZ7") + 4
+
+
+def test_guess_cost_is_linear_in_the_length():
+    import time
+
+    rng = random.Random(1)
+    value = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABC0123456789+/") for _ in range(40_000))
+    began = time.process_time()
+    secrets.guess_cost(value[:10_000])
+    short = time.process_time() - began
+    secrets.guess_cost(value)
+    assert time.process_time() - began < 8 * short + 0.5 and short < 2
 
 
 def test_secret_spans():
@@ -81,6 +103,27 @@ def test_secret_spans():
     assert [text[a:b] for a, b, _ in added] == ["xK9!vQ2#pLm7"] and highest > 15
 
 
+def test_planted_secrets_are_found_and_prose_is_left(spark):
+    """Words come from the corpus: what many documents say is no secret, and random values outside base patterns are."""
+    rng = random.Random(9)
+    value = lambda: "".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFGH23456789!#%&") for _ in range(14)) + "!"
+    planted = [value() for _ in range(20)]
+    clean = ["my password is extraordinarily long", "password: kindergarten", "the secret is understanding", "the token was never-ending", "pin: 1234", "password = ****************", "login: summer2024", "credentials -> qwertyuiop", "passphrase: 2019-05-12"] * 3
+    usual = ["kindergarten summer is understanding extraordinarily many things"] * 5
+    forms = ["login -> {}", "passphrase: {}", 'credentials => "{}"', "pin is {}", "the private key was {} then"]
+    texts = clean + usual + [f"so {forms[i % 5].format(v)}, and on" for i, v in enumerate(planted)]
+    got = secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    found = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.added] for r in got if r.added}
+    first = len(clean) + len(usual)
+    assert found == {first + i: [v.rstrip(".:!?)]}") if i % 5 != 2 else v] for i, v in enumerate(planted)}
+
+
+def test_common_words_count_every_document(spark):
+    texts = ["Alpha beta beta"] * 3 + ["beta gamma", None, "gamma!"] + ["delta"]
+    ranks = secrets.common_words(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert [w for w in ranks if w not in secrets.RANK] == ["beta", "alpha", "gamma"]
+
+
 def test_secret_query_matches_plain(docs):
     base = {"assign": r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]+"}
     least = {"access": 20, "hex": 24}
