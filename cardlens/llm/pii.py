@@ -20,6 +20,8 @@ NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 #: What is left of a token without outer punctuation.
 TRIM = r"^[\p{Punct}&&[^+]]+|\p{Punct}+$"
+WORDS = 3  # of a context, on either side
+SALTS = 16  # that the edges of a pattern are dealt over
 SPAN = "array<struct<kind:string,start:int,end:int>>"
 
 
@@ -102,67 +104,83 @@ def spans_of(kind: str) -> Column:
 
 
 def ends_of(gap: Column) -> Column:
-    """Length, and the words next to the candidates on both sides ('' at an edge), of the text between two of them."""
+    """Length, and up to WORDS words next to the candidates on both sides ('' at an edge), of the text between two of them."""
     flat = F.translate(gap, "\n\t\r\x0b\x0c", "     ")
-    return F.struct(F.length(gap).alias("length"), F.substring_index(F.ltrim(flat), " ", 1).alias("first"), F.substring_index(F.rtrim(flat), " ", -1).alias("last"))
+    return F.struct(F.length(gap).alias("length"), F.substring_index(F.ltrim(flat), " ", WORDS).alias("first"), F.substring_index(F.rtrim(flat), " ", -WORDS).alias("last"))
 
 
 def normal(word: Column) -> Column:
     return F.lower(F.regexp_replace(word, TRIM, ""))
 
 
+def contexts(left: Column, right: Column, instance: Column) -> Column:
+    """The lexical patterns around an instance: one word on both sides, two or three on the left, two on the right, and, with
+    the other side open, one word together with what kinds of characters the instance has."""
+    words = lambda c: F.filter(F.transform(F.split(c, " +"), normal), lambda w: w != "")
+    before, after = words(left), words(right)
+    kinds = F.concat(*[F.when(instance.rlike(p), F.lit(n)).otherwise(F.lit("")) for n, p in (("a", "[a-z]"), ("9", "[0-9]"), (".", "[^a-z0-9]"))])
+    pattern = lambda n, *parts: F.concat_ws(" ", F.lit(n), *parts)
+    many = lambda c, n: F.size(c) >= n
+    return F.array_compact(
+        F.array(
+            F.when(many(before, 1) & many(after, 1), pattern("1_1", F.element_at(before, -1), F.get(after, F.lit(0)))),
+            F.when(many(before, 2), pattern("2_", *[F.try_element_at(before, F.lit(k)) for k in (-2, -1)])),
+            F.when(many(before, 3), pattern("3_", *[F.try_element_at(before, F.lit(k)) for k in (-3, -2, -1)])),
+            F.when(many(after, 2), pattern("_2", *[F.get(after, F.lit(k)) for k in (0, 1)])),
+            F.when(many(before, 1), pattern("1_*", F.try_element_at(before, F.lit(-1)), kinds)),
+            F.when(many(after, 1), pattern("*_1", F.get(after, F.lit(0)), kinds)),
+        )
+    )
+
+
+def with_patterns(rows: DataFrame, patterns: DataFrame) -> DataFrame:
+    """rows (pattern, instance, ...) with the columns of their pattern; a frequent pattern's rows are dealt over SALTS."""
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64("instance"), F.lit(SALTS)).cast("int"))
+    copies = patterns.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(copies, ["pattern", "_salt"]).drop("_salt")
+
+
 def bootstrap(candidates: DataFrame, rounds: int = 3, min_seeds: int = 3, confident: float = 0.8) -> DataFrame:
-    """Confident patterns (left, right), scored on the graph of patterns and instances.
+    """Confident patterns, scored on the graph of patterns and instances.
 
-    candidates has left, right, instance and seed (0/1). A pattern's score is the mean score of its distinct
-    instances, held back by one instance that counts as wrong; an instance is as good as its best pattern that at
-    least min_seeds distinct seeds support, seeds are 1. Equal pairs are counted once before any shuffle of pairs, so
-    a frequent context costs its distinct instances only.
+    candidates has pattern, instance and seed (0/1). A pattern's score is the mean score of its distinct instances, held
+    back by one instance that counts as wrong; an instance is as good as its best pattern that at least min_seeds
+    distinct seeds support, seeds are 1. Equal pairs are counted once before any shuffle of pairs, so a frequent context
+    costs its distinct instances only.
     """
-    edges = durable(
-        candidates.where("instance <> '' and (left <> '' or right <> '')").groupBy("left", "right", "instance").agg(F.max("seed").cast("double").alias("score")), "edges"
-    )
+    edges = durable(candidates.where("instance <> ''").groupBy("pattern", "instance").agg(F.max("seed").cast("double").alias("score")), "edges")
     score = edges
     supported = None
     for _ in range(rounds):
         supported = durable(
-            score.groupBy("left", "right")
+            score.groupBy("pattern")
             .agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("pattern_score"), F.sum(F.when(F.col("score") >= 1, 1).otherwise(0)).alias("seeds"))
             .where(F.col("seeds") >= min_seeds),
             "patterns",
         )
-        best = edges.join(supported, ["left", "right"]).groupBy("instance").agg(F.max("pattern_score").alias("best"))
-        score = durable(
-            edges.join(best, "instance", "left").select("left", "right", "instance", F.greatest("score", F.coalesce("best", F.lit(0.0))).alias("score")), "scores"
-        )
-    return supported.where(F.col("pattern_score") >= confident).select("left", "right", "pattern_score")
+        best = with_patterns(edges, supported).groupBy("instance").agg(F.max("pattern_score").alias("best"))
+        score = durable(edges.join(best, "instance", "left").select("pattern", "instance", F.greatest("score", F.coalesce("best", F.lit(0.0))).alias("score")), "scores")
+    return supported.where(F.col("pattern_score") >= confident).select("pattern", "pattern_score")
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, min_seeds: int = 3, confident: float = 0.8) -> DataFrame:
     """One row per row of docs: doc_id, text_hash (xxhash64), base and learned, arrays of struct(kind, start, end[, text]) in code points, end exclusive.
 
     Null texts count as empty and have no spans; a null doc_id stays null; rows that are equal in id and text come
-    back as often as they were given. Kind `context` marks a token that a confident pattern surrounds and that no
-    base span touches. Other columns of docs are not looked at.
+    back as often as they were given. Kind `context` marks a token that a confident pattern (see contexts) surrounds and that
+    no base span touches. Other columns of docs are not looked at.
     """
     rows = durable(scan(docs, id_col, text_col), "scan")
     tokens = rows.select("doc_id", "text_hash", "base", F.explode("tokens").alias("t"))
     touching = F.exists("base", lambda b: (b["start"] < F.col("t.end")) & (b["end"] > F.col("t.start")))
     candidates = tokens.select(
-        "doc_id",
-        "text_hash",
-        F.col("t.start").alias("start"),
-        F.col("t.end").alias("end"),
-        normal(F.col("t.left")).alias("left"),
-        normal(F.col("t.right")).alias("right"),
-        normal(F.col("t.text")).alias("instance"),
-        touching.cast("int").alias("seed"),
+        "doc_id", "text_hash", F.col("t.start").alias("start"), F.col("t.end").alias("end"), F.col("t.left").alias("left"), F.col("t.right").alias("right"), normal(F.col("t.text")).alias("instance"), touching.cast("int").alias("seed")
     )
-    candidates = durable(candidates, "candidates")
-    patterns = bootstrap(candidates, rounds, min_seeds, confident)
+    around = candidates.select("doc_id", "text_hash", "start", "end", "instance", "seed", F.explode(contexts(F.col("left"), F.col("right"), F.col("instance"))).alias("pattern"))
+    around = durable(around, "candidates")
+    patterns = bootstrap(around, rounds, min_seeds, confident)
     found = (
-        candidates.where("seed = 0 and instance <> ''")
-        .join(patterns, ["left", "right"])
+        with_patterns(around.where("seed = 0 and instance <> ''"), patterns)
         .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
         .agg(F.array_sort(F.collect_set(F.struct(F.lit("context").alias("kind"), "start", "end"))).alias("learned"))
     )

@@ -298,6 +298,40 @@ def test_learned_context(spark):
     assert learned == {30: ["user[at]mail7.org"]}
 
 
+def test_planted_identifiers_are_found(spark):
+    """Identifiers that no base pattern fits are found by contexts that seeds share, and other numbers are left."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(3))
+    seed = [lambda: f"{word()}{rng.randrange(99)}@{word()}.org", lambda: f"10.{rng.randrange(9)}.{rng.randrange(250)}.{rng.randrange(250)}", lambda: f"+1 555 {rng.randrange(1000, 9999)} {rng.randrange(100, 999)}"]
+    forms = ["please write to {} before noon", "for details contact {}", "host address {} was seen", "{} is my private line", "his personal number is {} these days"]
+    held = [f"{word()} {word()} {forms[i % 5].format(seed[1 if i % 5 == 2 else 2 if i % 5 == 3 else 0]())} {word()} {word()}" for i in range(100)]
+    planted = [(forms[0], "user7[at]mail.org"), (forms[1], "kim9(at)post.net"), (forms[4], "joe12@localhost"), (forms[2], "fe80::1c2e:77"), (forms[0], "ann8@intranet")]
+    hidden = [f"{word()} {word()} {f.format(x)} {word()} {word()}" for f, x in planted]
+    clean = [f"{word()} in {rng.randrange(1900, 2030)} there were {rng.randrange(99)} {word()} and {rng.randrange(9)}th {word()} of {rng.randrange(999)}" for _ in range(60)]
+    texts = held + hidden + clean
+    got = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    learned = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.learned] for r in got if r.learned}
+    assert {k: v for k, v in learned.items() if k >= 100} == {100 + i: [x] for i, (_, x) in enumerate(planted)}
+
+
+def test_base_spans_match_plain(spark):
+    """The query's base spans over a whole table against plain regular expressions."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    plain = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+    def luhn(digits):
+        return sum(d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(map(int, reversed(digits)))) % 10 == 0
+
+    def passes(kind, m):
+        digits = re.sub("[^0-9]", "", m)
+        return kind == "email" or (kind == "ip" and all(int(x) <= 255 for x in m.split("."))) or (kind == "card" and 16 <= len(digits) <= 19 and luhn(digits)) or (kind == "phone" and 8 <= len(digits) <= 15)
+
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in pii.find(docs).collect():
+        want = [(k, m.start(), m.end()) for k, p in plain.items() for m in re.finditer(p, texts[r.doc_id]) if passes(k, m[0])]
+        assert [(x.kind, x.start, x.end) for x in r.base] == want
+
+
 def test_base_patterns_in_odd_texts(spark):
     texts = ["a@b.c_d@e.f x@y", "1.2.3.4.5.6.7.8 256.1.1.1 0010.1.1.1", "4111 1111 1111 1111, 4111-1111-1111-1112", "+1 (555) 010-9999 +12 +1234567890123456", "é 😀 p@q.rs", "a" * 50_000 + "@" + "1" * 50_000]
     want = [[("email", 0, 5), ("email", 5, 11)], [("ip", 0, 7), ("ip", 8, 15), ("ip", 26, 36)], [("card", 0, 19)], [("phone", 0, 17)], [("email", 4, 10)], []]
