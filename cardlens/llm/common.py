@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 #: Arrow batches stay small enough that a batch of very long texts fits a Python worker.
 BATCH_ROWS = 512
 BATCH_BYTES = 8 << 20
+SALTS = 16  # that rows of one component are dealt over
 
 
 def bound_batches(spark: SparkSession) -> None:
@@ -22,9 +23,11 @@ def bound_batches(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where that is unset (tests), one of our own, set for the session."""
+    """The folder named in spark.checkpoint.dir; a local session without it (tests) gets one of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -98,5 +101,18 @@ def components(edges: DataFrame) -> DataFrame:
         )
         if not near.where("was <> root").take(1):
             return near.select("node", "root")
-        up = near.select(F.col("node").alias("root"), F.col("root").alias("higher"))
-        labels = durable(near.join(up, "root", "left").select("node", F.least("root", F.coalesce("higher", "root")).alias("root")), "labels")
+        # only nodes that still are below another one are worth a jump; a root's rows are dealt over SALTS
+        up = near.where("node <> root").select(F.col("node").alias("root"), F.col("root").alias("higher"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+        dealt = near.withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+        labels = durable(dealt.join(up, ["root", "_salt"], "left").select("node", F.least("root", F.coalesce("higher", "root")).alias("root")), "labels")
+
+
+def with_least(rows: DataFrame, value: str, out: str) -> DataFrame:
+    """rows (root, value, ...) with the least value of their root; those with a null root keep their own.
+
+    Least values are made before any shuffle of rows, and the rows of a root are dealt over SALTS.
+    """
+    grouped, single = rows.where("root is not null"), rows.where("root is null")
+    least = grouped.groupBy("root").agg(F.min(value).alias(out)).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = grouped.withColumn("_salt", F.pmod(F.xxhash64(*[c for c in rows.columns if c != "root"]), F.lit(SALTS)).cast("int"))
+    return dealt.join(least, ["root", "_salt"]).drop("_salt").unionByName(single.withColumn(out, F.col(value)))

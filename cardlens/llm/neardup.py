@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardlens.llm.bktree import shard_roots
-from cardlens.llm.common import bound_batches, components, durable, empty_if_null, whole_row
+from cardlens.llm.bktree import shard_roots, tree_edges
+from cardlens.llm.common import bound_batches, components, durable, empty_if_null, whole_row, with_least
 from cardlens.llm.simhash import group_bounds, grouped, shingle_hashes, simhash
 
 MINIMA = 128
@@ -129,12 +129,12 @@ def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col
             for lo, hi in group_bounds(table, 2):
                 own = np.frombuffer(b"".join(table.column("sketch").slice(lo, hi - lo).to_pylist()), "<u2").reshape(hi - lo, MINIMA)
                 roots = shard_roots(codes[lo:hi], RADIUS, lambda i, j, own=own: alike(own, i, j, least), block=16)
-                moved = np.flatnonzero(roots != np.arange(hi - lo))
+                member, parent = tree_edges(roots)
                 _, same = np.unique(own.view(f"V{own.itemsize * MINIMA}").ravel(), return_inverse=True)
                 order = np.argsort(same, kind="stable")
                 equal = np.flatnonzero(same[order][1:] == same[order][:-1])
-                a += [h[lo:hi][moved], h[lo:hi][order[equal + 1]]]
-                b += [h[lo:hi][roots[moved]], h[lo:hi][order[equal]]]
+                a += [h[lo:hi][member], h[lo:hi][order[equal + 1]]]
+                b += [h[lo:hi][parent], h[lo:hi][order[equal]]]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
     proposed = components(placed.mapInArrow(link, "a long, b long").distinct()).toDF("h", "root")
@@ -162,9 +162,8 @@ def near_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col
 
     sets = found.mapInArrow(distinct_shingles, "root long, h long, shingles binary").repartition("root").sortWithinPartitions("root", "h")
     linked = durable(sets.mapInArrow(decide, "h long, root long"), "linked")
-    named = texts.select("h", "code", "sketch", "first").join(linked, "h", "left").withColumn("root", F.coalesce("root", "h"))
-    least_id = named.groupBy("root").agg(F.min("first").alias("kept_id"))
-    final = named.join(least_id, "root").select("code", "sketch", "kept_id")
+    named = texts.select("h", "code", "sketch", "first").join(linked, "h", "left")
+    final = with_least(named, "first", "kept_id").select("code", "sketch", "kept_id")
     return rows.select("doc_id", "code", "sketch").join(final, ["code", "sketch"]).select("doc_id", "kept_id")
 
 

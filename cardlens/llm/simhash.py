@@ -11,10 +11,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardlens.llm.bktree import shard_roots
-from cardlens.llm.common import bound_batches, components, durable, empty_if_null
+from cardlens.llm.bktree import shard_roots, tree_edges
+from cardlens.llm.common import bound_batches, components, durable, empty_if_null, with_least
 
 SEED = 42
+SHARD = 8192  # codes in a tree, about
 
 
 def shingle_hashes(text: str, words: int) -> np.ndarray:
@@ -67,8 +68,8 @@ def block_masks(radius: int, blocks: int) -> list[int]:
 
 
 def blocks_for(codes: int, radius: int) -> int:
-    """So many blocks that a shard's key has about as many bits as the count of codes asks for."""
-    bits = max(1, codes).bit_length() - 6
+    """So many blocks that a shard has about SHARD codes or fewer: the fewer blocks, the fewer copies of a code."""
+    bits = max(1, codes).bit_length() - SHARD.bit_length()
     return next((k for k in range(radius + 1, radius + 5) if 64 * (k - radius) // k >= bits), radius + 4)
 
 
@@ -111,7 +112,7 @@ def code_links(codes: DataFrame, radius: int = 4) -> DataFrame:
     Shards are keyed by a choice of bit blocks on which two codes within the radius must agree, so each link meets
     in some shard. A shard's BK-tree is built in the task that has the shard: shards grow with the data, so they
     are placed by their key instead of broadcast. A shard holds distinct codes, 8 bytes each, and gives at most one
-    edge per code.
+    edge per code, in trees of bounded width.
     """
     distinct = durable(codes.select("code").distinct(), "codes")
     masks = block_masks(radius, blocks_for(distinct.count(), radius))
@@ -126,10 +127,9 @@ def code_links(codes: DataFrame, radius: int = 4) -> DataFrame:
             a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for lo, hi in group_bounds(table, 2):
                 part = own[lo:hi]
-                roots = shard_roots(part, radius)
-                moved = np.flatnonzero(roots != np.arange(len(part)))
-                a.append(part[moved].view(np.int64))
-                b.append(part[roots[moved]].view(np.int64))
+                member, parent = tree_edges(shard_roots(part, radius))
+                a.append(part[member].view(np.int64))
+                b.append(part[parent].view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
     placed = shards.repartition("k", "v").sortWithinPartitions("k", "v", "code")
@@ -145,8 +145,6 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, id_col: st
     """
     rows = durable(fingerprints(docs, words, id_col, text_col), "fingerprints")
     codes = rows.groupBy("code").agg(F.min("doc_id").alias("first"))
-    linked = components(code_links(codes, radius))
-    classes = codes.join(linked.withColumnRenamed("node", "code"), "code", "left").withColumn("root", F.coalesce("root", "code"))
-    smallest = classes.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = durable(classes.join(smallest, "root").select("code", "component_id"), "classes")
+    linked = codes.join(components(code_links(codes, radius)).withColumnRenamed("node", "code"), "code", "left")
+    named = durable(with_least(linked, "first", "component_id").select("code", "component_id"), "classes")
     return rows.join(named, "code").select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")

@@ -507,6 +507,34 @@ def test_bk_tree_finds_all():
     assert set(zip(q.tolist(), i.tolist(), strict=True)) == set(zip(*(x.tolist() for x in np.nonzero(near)), strict=True))
 
 
+def test_shard_roots_in_grown_trees():
+    """Components of a shard with sparse codes, chains and a dense cluster, against all pairs; trees do grow."""
+    rng = np.random.default_rng(8)
+    codes = rng.integers(0, 1 << 63, 600, dtype=np.uint64)
+    for i in range(100, 160):
+        codes[i] = codes[i - 1] ^ np.uint64(0b111 << (i % 60))
+    codes[300:450] = codes[300] ^ (np.uint64(1) << rng.integers(0, 64, 150).astype(np.uint64))
+    codes = np.unique(codes)
+    tree = bktree.BKTree(codes)
+    assert sum(pivot is not None for pivot, _, _ in tree.nodes) > 10
+    near = np.bitwise_count(codes[:, None] ^ codes[None, :]) <= 4
+    assert (tree.accompanied(4) == (near.sum(1) > 1)).all()
+    want = np.arange(len(codes))
+    while True:
+        new = np.where(near, want[None, :], len(codes)).min(1)
+        if (new == want).all():
+            break
+        want = new
+    roots = bktree.shard_roots(codes, 4)
+    assert (roots == want).all()
+    member, parent = bktree.tree_edges(roots, 8)
+    assert len(member) == len(codes) - len(set(want)) and np.bincount(np.r_[member, parent]).max() <= 9
+    joined = np.arange(len(codes))
+    for _ in range(10):
+        np.minimum.at(joined, member, joined[parent])
+    assert (joined == want).all()
+
+
 def test_simhash_components(spark, docs):
     import xxhash
 
