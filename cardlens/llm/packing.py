@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cardlens.llm.common import bound_batches, durable, empty_if_null, ranked_within, salted_rank
 
 CAPACITY = 1024
-SALTS = 64
+GROUP = 1 << 16  # pieces of one length that are ranked in one task, about
 SPECIAL = "<|endoftext|>"
 
 
@@ -141,16 +141,17 @@ def slots(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, i
 
 
 def pack(
-    cut: DataFrame, capacity: int = CAPACITY, salts: int = SALTS, order: tuple[str, ...] = ("doc_id", "start", "ids_crc32"), within: tuple[str, ...] = ()
+    cut: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = ("doc_id", "start", "ids_crc32"), within: tuple[str, ...] = ()
 ) -> DataFrame:
     """Give each row of pieces its sequence_id and offset. Rows are ranked by a salt, or, if given, by `within`, then `order`.
 
     Only the histogram (at most `capacity` rows) comes to the driver, and only the slots (from patterns, whose number
-    follows the number of lengths, not of rows) go back. A length's rows get ranks over salted buckets.
+    follows the number of lengths, not of rows) go back. A length's rows get ranks over salted buckets of about GROUP rows.
     """
     spark = cut.sparkSession
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     table = spark.createDataFrame(slots(shortest_pack_first(histogram, capacity)), "length long, lo long, hi long, first_sequence long, offset long")
+    salts = max(1, -(-max(histogram.values(), default=0) // GROUP))
     ranked = ranked_within(cut, "length", within, order, "_rank") if within else salted_rank(cut, "length", list(order), salts, "_rank")
     inside = (F.col("_rank") >= F.col("lo")) & (F.col("_rank") < F.col("hi"))
     placed = ranked.join(F.broadcast(table.withColumnRenamed("length", "_length")), (F.col("length") == F.col("_length")) & inside)

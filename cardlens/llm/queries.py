@@ -112,7 +112,7 @@ WITH u AS (
   SELECT page_id, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule, max_by(action, length(rule_host || rule_path)) AS action
   FROM s JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id
 ), m AS (
-  SELECT page_id, scheme || host || substr(rest, length(host) + 1) AS plain FROM s WHERE rest IS NOT NULL
+  SELECT page_id, lower(scheme || host || substr(rest, length(host) + 1)) AS plain FROM s WHERE rest IS NOT NULL
 ), v AS (
   SELECT page_id, list_sort(list_filter([
     CASE WHEN regexp_matches(plain, '^[^/]*//(?:[^/?#]*\.)?spam-farm\.') THEN '^[^/]*//(?:[^/?#]*\.)?spam-farm\.' END,

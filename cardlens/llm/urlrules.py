@@ -61,6 +61,47 @@ PATTERN_RULES = (
 )
 
 
+def parse_rule(line: str) -> Rule | None:
+    """A pattern rule from one line of a filter list; None for blank lines, comments and element rules.
+
+    @@ begins an exception (allow); || anchors at the beginning of a host's label, | at the beginning or end of the url;
+    * stands for anything and ^ for a separator or the end. What follows $ (options) is left aside. Letters count in lower
+    case, as urls are matched. A literal token counts for the index only if the line bounds it on both sides.
+    """
+    line = line.strip()
+    if not line or line[0] in "![" or "##" in line or "#@#" in line:
+        return None
+    action = "allow" if line.startswith("@@") else "block"
+    body = line.removeprefix("@@").partition("$")[0].lower()
+    out, bounded = "", ""
+    if body.startswith("||"):
+        out, body, bounded = r"^[^/]*//(?:[^/?#]*\.)?", body[2:], " "
+    elif body.startswith("|"):
+        out, body, bounded = "^", body[1:], " "
+    end = body.endswith("|")
+    body = body.removesuffix("|")
+    if not body.strip("*"):
+        return None
+    whole = bounded + body.replace("*", "\x00") + (" " if end else "")
+    found = tuple(dict.fromkeys(m[0] for m in re.finditer(r"(?<=[^a-z0-9\x00])[a-z0-9]+(?=[^a-z0-9\x00])", whole)))
+    parts = {"*": ".*", "^": r"(?:[^a-z0-9_.%-]|$)"}
+    pattern = out + "".join(parts.get(c, re.escape(c)) for c in body) + ("$" if end else "")
+    return Rule(action, pattern=pattern, tokens=found)
+
+
+def rules_of(table: DataFrame) -> tuple[Rule, ...]:
+    """Rules from a table: column `line` holds lines of a filter list, or action, host and path hold host rules (null
+    counts as empty). A rule that comes twice counts once. More than MOST_RULES are refused."""
+    rows = table.distinct().limit(MOST_RULES + 1).collect()
+    if len(rows) > MOST_RULES:
+        raise ValueError(f"over {MOST_RULES} rules")
+    if "line" in table.columns:
+        held = [parse_rule(r["line"]) for r in rows if r["line"]]
+    else:
+        held = [Rule(r["action"], (r["host"] or "").lower(), r["path"] or "") for r in rows if r["host"]]
+    return tuple(sorted({r for r in held if r}, key=lambda r: (r.name, r.action)))
+
+
 def tokens(url: str) -> set[str]:
     return set(TOKEN.findall(url))
 
@@ -82,13 +123,14 @@ def index_rules(rules: Sequence[Rule], counts: dict[str, int]) -> dict[str, list
     return dict(out)
 
 
-def judge(urls: DataFrame, rules: Sequence[Rule] = BASE + PATTERN_RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge(urls: DataFrame, rules: Sequence[Rule] | DataFrame = BASE + PATTERN_RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row per row of urls: page_id, host, path, rule (name of the host rule that decides, or null), verdict, pattern.
 
-    The longest host rule that fits decides; without one, a url that a blocking pattern fits and no allowing one is
+    Rules are given or read from a table (rules_of). The longest host rule that fits decides; without one, a url that a blocking pattern fits and no allowing one is
     blocked (pattern names the first), and all others are allowed. Null urls and those without :// have an empty host
     and path and are allowed. Repeated rows are judged alike; other columns are not looked at.
     """
+    rules = rules_of(rules) if isinstance(rules, DataFrame) else rules
     if len(rules) > MOST_RULES:
         raise ValueError(f"{len(rules)} rules; at most {MOST_RULES} fit a task's index")
     bound_batches(urls.sparkSession)
@@ -115,11 +157,12 @@ def judge(urls: DataFrame, rules: Sequence[Rule] = BASE + PATTERN_RULES, id_col:
         tail = rest[cut.start() :] if cut else ""
         path = re.split(r"[?#]", tail, maxsplit=1)[0]
         plain = f"{scheme}://{host}{tail}"
+        low = plain.lower()
         fit = []
-        for k in dict.fromkeys([*always, *(k for t in sorted(tokens(plain.lower())) for k in index.get(t, ()))]):
+        for k in dict.fromkeys([*always, *(k for t in sorted(tokens(low)) for k in index.get(t, ()))]):
             if k not in compiled:
                 compiled[k] = re.compile(rules[k].expression(), re.A | re.S)
-            if compiled[k].search(plain):
+            if compiled[k].search(plain if rules[k].host else low):
                 fit.append(rules[k])
         hosts = [r for r in fit if r.host]
         if hosts:

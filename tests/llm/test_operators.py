@@ -685,3 +685,49 @@ def test_url_rules(spark):
 
 def test_rules_sit_under_their_rarest_token():
     assert urlrules.index_rules(urlrules.BASE[1:2], {"example": 90, "net": 40, "en": 70}) == {"net": [0]}
+
+
+def test_a_table_of_many_rules(spark):
+    """10,000 rules of all forms, through the index and by running every expression."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghijk") for _ in range(3))
+    forms = ["||{0}.{1}^", "/{0}/{1}.", "@@||{0}.com/{1}", "|http://{0}-{1}.", "-{0}*{1}.png|", "{0}{1}", "&{0}=^", "||{0}.*/{1}/$third-party"]
+    lines = [rng.choice(forms).format(word(), word()) for _ in range(10_000)] + ["! comment", "", None, "example.com##div", "*"]
+    hosts = lambda: rng.choice([f"{word()}.{word()}", f"www.{word()}.com", f"{word()}-{word()}.org"])
+    urls = [f"http://{hosts()}/{word()}/{rng.choice([word(), word().upper()])}{rng.choice(['.png', '.', '/', f'?a=1&{word()}=', ''])}" for _ in range(500)] + [None, "none", "http://abc.com/" + "x" * 100_000]
+    table = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = urlrules.judge(spark.createDataFrame(list(enumerate(urls)) + [(3, urls[3]), (None, urls[4])], "page_id long, url string"), table)
+    rules = [r for r in (urlrules.parse_rule(x) for x in lines if x) if r]
+    compiled = [(r.action, re.compile(r.pattern, re.A | re.S)) for r in set(rules)]
+    want = {}
+    for i, url in enumerate(urls):
+        low = (url or "").lower()
+        fit = {a for a, p in compiled if "://" in low and p.search(low)}
+        want[i] = "block" if "block" in fit and "allow" not in fit else "allow"
+    found = got.collect()
+    assert {r.page_id: r.verdict for r in found if r.page_id is not None} == want and len(found) == len(urls) + 2
+    assert 20 < sum(v == "block" for v in want.values()) < len(want)
+    index = urlrules.index_rules(rules, {})
+    assert len(index.get("", ())) < 0.3 * len(rules)
+
+
+@pytest.mark.parametrize(("line", "fits", "leaves"), [("||ads.net^", ["http://x.ads.net/a", "http://ads.net"], ["http://bads.net/", "http://ads.network/"]), ("|https://a.b/", ["https://a.b/c"], ["http://x/?https://a.b/"]), ("*.gif|", ["http://a/b.gif"], ["http://a/b.gif?x"]), ("/ad^", ["http://a/ad?x", "http://a/ad"], ["http://a/adx"])])
+def test_rule_lines(line, fits, leaves):
+    pattern = re.compile(urlrules.parse_rule(line).pattern, re.A | re.S)
+    assert all(pattern.search(u) for u in fits) and not any(pattern.search(u) for u in leaves)
+
+
+def test_ids_are_those_of_the_tokenizer():
+    """Over a whole table and odd texts, against the tokenizer itself."""
+    import pandas as pd
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(packing.default_tokenizer()[0])
+    encoder = packing.Encoder(*packing.default_tokenizer())
+    texts = [t or "" for t in pd.read_parquet("/root/testdata/sf0.1/documents.parquet").text]
+    odd = ["".join(map(chr, range(1, 160))), "\u0378\ufffe\U000e0fff\U0010ffff", "a" * 30_000, " " * 5000, "\r\n\t \x00\x01 x", "\u200b\u00a0\u3000y", "é\u0301\u1100\u1161 ﬁ İ", "12345678901234567890", "don't I'LL we'Ve", *[f"a{t}b" for t in tok.get_added_tokens_decoder().values() for t in [t.content]]]
+    for at in range(0, len(texts), 2000):
+        for text, want in zip(texts[at : at + 2000], tok.encode_batch_fast(texts[at : at + 2000], add_special_tokens=False), strict=True):
+            assert encoder.ids(text).tolist() == want.ids
+    for text in odd:
+        assert encoder.ids(text).tolist() == tok.encode(text, add_special_tokens=False).ids, text[:40]
