@@ -5,7 +5,7 @@ from __future__ import annotations
 import bisect
 import heapq
 import math
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator, Mapping
 from fractions import Fraction
 
@@ -206,12 +206,16 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int
     for i, (s, k, *_) in enumerate(plan):
         if not begins[s] or begins[s][-1][1] < i // size:
             begins[s].append((k * block, i // size))
+    # what lies behind a source's last scheduled block goes nowhere
+    for s, count in Counter(s for s, *_ in plan).items():
+        begins[s].append((count * block, -1))
     epochs = epochs_of(plan, blocks)
     seen: dict[str, int] = dict.fromkeys(own, 0)
     groups = []
     for r in sorted(counts, key=lambda r: (r["source"], r["_salt"])):
         s, salt, n = r["source"], r["_salt"], r["n"]
-        groups += [(s, salt, e, seen[s] + e * blocks[s] * block, n) for e in range(epochs[s])]
+        firsts = [(e, seen[s] + e * blocks[s] * block) for e in range(epochs[s])]
+        groups += [(s, salt, e, first, n) for e, first in firsts if first < begins[s][-1][0]]
         seen[s] += n
     groups.sort(key=lambda g: (g[0], g[3]))
     starts = {s: [x for x, _ in pairs] for s, pairs in begins.items()}
@@ -237,7 +241,7 @@ def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int
     known = spark.createDataFrame(table, "source string, _salt int, _epoch int, _keys array<long>, _tos array<int>, _bases array<long>")
     over = F.size(F.filter("_keys", lambda k: k <= F.col("_key")))
     dealt = rows.join(F.broadcast(known), ["source", "_salt"]).withColumn("_to", F.get("_tos", over)).withColumn("_base", F.get("_bases", over))
-    dealt = dealt.drop("_keys", "_tos", "_bases", "_salts").repartitionById(parts, F.col("_to"))
+    dealt = dealt.where("_to >= 0").drop("_keys", "_tos", "_bases", "_salts").repartitionById(parts, F.col("_to"))
     order = Window.partitionBy("_to", "source", "_epoch").orderBy("_salt", "_key")
     ranked = dealt.withColumn("_rank", F.col("_base") + F.row_number().over(order) - 1)
     return with_slots(ranked, plan, block, ("slot",)).sortWithinPartitions("_to", "slot", "place").select("_whole.*")

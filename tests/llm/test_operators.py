@@ -640,6 +640,8 @@ def test_schedule_of_unequal_sources(spark, end):
     # blocks that are not full stand elsewhere, as the order within a source is another one
     assert len(mixed) == pytest.approx(len(got), abs=40) and mixed.doc_id.is_unique == got.doc_id.is_unique
     assert end == "stop" or set(mixed.doc_id) == set(got.doc_id)
+    sizes = [r["count"] for r in mixing.mix(frame, weights, partitions=5, end=end).groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 2 * len(mixed) / 5
     if end == "rest":
         assert mixed.source.tolist() == got.sort_values(["slot", "place"]).source.tolist()
 
