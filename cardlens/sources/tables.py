@@ -86,9 +86,8 @@ def insert_if_absent_jdbc(batch: DataFrame, url: str, table: str, key: str, orde
     ends = batch.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
     if ends["lo"] is None:
         return 0
-    quote = (lambda v: "'" + str(v).replace("'", "''") + "'") if dict(batch.dtypes)[key] == "string" else str
-    inside = f"(SELECT {key} FROM {table} WHERE {key} >= {quote(ends['lo'])} AND {key} <= {quote(ends['hi'])}) known"
-    existing = spark.read.format("jdbc").options(url=url, dbtable=inside, **options).load().toDF(key)
+    known = spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
+    existing = known.select(key).where(F.col(key).between(ends["lo"], ends["hi"]))  # the database filters
     rows = new_rows(batch, existing, key, order).persist()
     try:
         n = rows.count()

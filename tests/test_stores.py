@@ -92,7 +92,7 @@ def test_jdbc_insert_if_absent(spark):
     """Into the database that comes with Spark: a batch that comes again adds nothing."""
     url = "jdbc:derby:memory:cards;create=true"
     rows = spark.createDataFrame([("a'1", 1.0), ("b", 2.0), ("b", 3.0)], "id string, amount double")
-    rows.limit(0).write.format("jdbc").options(url=url, dbtable="tx").mode("append").save()
+    rows.limit(0).write.format("jdbc").options(url=url, dbtable="tx", createTableColumnTypes="id VARCHAR(64)").mode("append").save()
     assert tables.insert_if_absent_jdbc(rows, url, "tx", "id", ["amount"]) == 2
     assert tables.insert_if_absent_jdbc(rows.union(spark.createDataFrame([("c", 4.0)], rows.schema)), url, "tx", "id", ["amount"]) == 1
     numbered = spark.range(10).withColumn("x", F.lit(1))
