@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlens.llm import ann, editprint, mixing, packing, pii, secrets, simhash, toxicity, urlrules, warc
+from cardlens.llm import ann, editprint, mixing, packing, phrases, pii, secrets, simhash, toxicity, urlrules, warc
 from cardlens.llm import pipeline as corpus
 from cardlens.llm.common import read_table
 
@@ -78,12 +78,16 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge(read_table(spark, sf_dir, "pages"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_secret_scan, op2_edit_fingerprint, op3_pack_sequences, op4_multi_index_neighbours, op5_personal_data, op6_toxicity, op7_warc_salvage, op8_simhash_components, op9_pfair_mix, op10_url_rules, pipeline)
+    own = (op1_secret_scan, op2_edit_fingerprint, op3_pack_sequences, op4_multi_index_neighbours, op5_personal_data, op6_toxicity, op7_warc_salvage, op8_simhash_components, op9_pfair_mix, op10_url_rules, op11_collocations, pipeline)
     return {f.__name__: f for f in own}
 
 
@@ -128,8 +132,41 @@ FROM s LEFT JOIN fit USING (page_id) LEFT JOIN v USING (page_id)
 """
 
 
+OP11_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), p AS (
+  SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+), w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p
+), g AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (
+    SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k)
+), f AS (
+  SELECT lang, phrase, k, count(*)::HUGEINT AS a FROM g GROUP BY ALL HAVING count(*) >= 100
+), n AS (
+  SELECT lang, sum(len(w))::HUGEINT AS n FROM w GROUP BY lang
+), c AS (
+  SELECT lang, phrase, k, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1
+), cuts AS (
+  SELECT lang, phrase, a, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:], ' ') AS y FROM (SELECT *, unnest(range(1, k)) AS j FROM c)
+), s AS (
+  SELECT cuts.lang, cuts.phrase, cuts.a, x.a AS l, y.a AS r, n.n, j, (1000 * cuts.a * n.n) // (x.a * y.a) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = cuts.x JOIN f y ON y.lang = cuts.lang AND y.phrase = cuts.y JOIN n ON n.lang = cuts.lang
+), low AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), inner_parts AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer FROM (
+    SELECT lang, w, a, k, m, unnest(range(1, k - m + 2)) AS i FROM c, (SELECT unnest([2, 3, 4]) AS m) WHERE m < k) GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM low LEFT JOIN inner_parts USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a
+QUALIFY rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    sql = {"op7_warc_salvage": OP7_SQL, "op10_url_rules": OP10_SQL}
+    sql = {"op7_warc_salvage": OP7_SQL, "op10_url_rules": OP10_SQL, "op11_collocations": OP11_SQL}
     if corpus.ORACLE_SQL:
         sql["pipeline"] = corpus.ORACLE_SQL
     return sql
