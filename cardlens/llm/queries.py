@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlens.llm import ann, editprint, mixing, packing, phrases, pii, secrets, simhash, toxicity, urlrules, warc
+from cardlens.llm import ann, conversations, editprint, mixing, packing, phrases, pii, secrets, simhash, toxicity, urlrules, warc
 from cardlens.llm import pipeline as corpus
 from cardlens.llm.common import read_table
 
@@ -82,12 +82,16 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(read_table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(read_table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_secret_scan, op2_edit_fingerprint, op3_pack_sequences, op4_multi_index_neighbours, op5_personal_data, op6_toxicity, op7_warc_salvage, op8_simhash_components, op9_pfair_mix, op10_url_rules, op11_collocations, pipeline)
+    own = (op1_secret_scan, op2_edit_fingerprint, op3_pack_sequences, op4_multi_index_neighbours, op5_personal_data, op6_toxicity, op7_warc_salvage, op8_simhash_components, op9_pfair_mix, op10_url_rules, op11_collocations, op12_conversation_repair, pipeline)
     return {f.__name__: f for f in own}
 
 
@@ -165,8 +169,58 @@ QUALIFY rank <= 2000
 """
 
 
+OP12_SQL = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(range(8), lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) ORDER BY i) AS t FROM (SELECT unnest(range(256)) AS i)
+), numbered AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT) AS bytes FROM conversations
+), fated AS (
+  SELECT *, xor(list_reduce(bytes, lambda c, b: xor(t[1 + (xor(c, b) & 255)], c // 256), 4294967295), 4294967295) % 20 AS fate FROM numbered, crc_table
+), hurt AS (
+  SELECT conv_id, turn, CASE fate WHEN 4 THEN 'user' ELSE role END AS role, CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE fate WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM fated WHERE fate <> 0
+), placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS said FROM hurt
+), turns AS (
+  SELECT *, left(role, 1) AS initial, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN said > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE 'fine' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) AS before FROM placed
+), inserts(q, letters, price, lines, q1) AS (
+  VALUES ('0', '', 0, '', '0'), ('0', 'I', 5, chr(10) || 'user:', 'u'), ('0', 'II', 10, chr(10) || 'user:' || chr(10) || 'assistant:', 'a'),
+    ('s', '', 0, '', 's'), ('s', 'I', 5, chr(10) || 'user:', 'u'), ('s', 'II', 10, chr(10) || 'user:' || chr(10) || 'assistant:', 'a'),
+    ('u', '', 0, '', 'u'), ('u', 'I', 5, chr(10) || 'assistant:', 'a'), ('a', '', 0, '', 'a'), ('a', 'I', 5, chr(10) || 'user:', 'u')
+), edits(letter, q1, q2) AS (
+  VALUES ('D', '0', '0'), ('D', 's', 's'), ('D', 'u', 'u'), ('D', 'a', 'a'), ('K', '0', 's'), ('K', '0', 'u'), ('K', 's', 'u'), ('K', 'u', 'a'), ('K', 'a', 'u'),
+    ('R', '0', 'u'), ('R', 's', 'u'), ('R', 'u', 'a'), ('R', 'a', 'u')
+), paths AS (
+  SELECT DISTINCT c, 0::BIGINT AS i, '0' AS q, 0 AS cost, '' AS audit, '' AS repaired FROM turns
+  UNION ALL
+  SELECT c, i, q, new_cost, new_audit, new_repaired FROM (
+    SELECT t.c, t.i, e.q2 AS q, p.cost + n.price + CASE letter WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + CASE WHEN letter <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END AS new_cost,
+      p.audit || n.letters || letter AS new_audit,
+      p.repaired || n.lines || CASE letter WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || role || ':' || text ELSE chr(10) || CASE e.q2 WHEN 'u' THEN 'user:' ELSE 'assistant:' END || text END AS new_repaired
+    FROM paths p JOIN turns t ON t.c = p.c AND t.i = p.i + 1 JOIN inserts n ON n.q = p.q JOIN edits e ON e.q1 = n.q1
+    WHERE letter = 'D' OR (fault IN ('fine', 'truncated') AND (letter = 'R' OR initial = e.q2))
+    QUALIFY row_number() OVER (PARTITION BY t.c, e.q2 ORDER BY new_cost, new_audit) = 1)
+), done AS (
+  SELECT p.c, p.cost + CASE q WHEN 's' THEN 10 WHEN 'u' THEN 5 ELSE 0 END AS cost, audit || CASE q WHEN 's' THEN 'II' WHEN 'u' THEN 'I' ELSE '' END AS audit,
+    repaired || CASE WHEN q = 's' THEN chr(10) || 'user:' ELSE '' END || CASE WHEN q IN ('s', 'u') THEN chr(10) || 'assistant:' ELSE '' END AS repaired
+  FROM paths p JOIN (SELECT c, max(i) AS i FROM turns GROUP BY c) m ON m.c = p.c AND m.i = p.i
+  QUALIFY row_number() OVER (PARTITION BY p.c ORDER BY p.cost + CASE q WHEN 's' THEN 10 WHEN 'u' THEN 5 ELSE 0 END, audit || CASE q WHEN 's' THEN 'II' WHEN 'u' THEN 'I' ELSE '' END) = 1
+), counts AS (
+  SELECT c, conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM turns GROUP BY c, conv_id
+)
+SELECT v.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+  coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(coalesce(repaired[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) v LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM v.conv_id LEFT JOIN done ON done.c = counts.c
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    sql = {"op7_warc_salvage": OP7_SQL, "op10_url_rules": OP10_SQL, "op11_collocations": OP11_SQL}
+    sql = {"op7_warc_salvage": OP7_SQL, "op10_url_rules": OP10_SQL, "op11_collocations": OP11_SQL, "op12_conversation_repair": OP12_SQL}
     if corpus.ORACLE_SQL:
         sql["pipeline"] = corpus.ORACLE_SQL
     return sql
