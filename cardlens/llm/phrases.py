@@ -215,14 +215,18 @@ def phrase_counts(docs: DataFrame, wanted: Filters) -> DataFrame:
     return docs.mapInArrow(count, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def distinct_rows(columns: list[np.ndarray], kinds: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first place, count) of each distinct row of columns of numbers below `kinds`."""
+def distinct_rows(columns: list[np.ndarray], kinds: int, inverse: bool = False) -> tuple[np.ndarray, ...]:
+    """(first place, count) of each distinct row of columns of numbers below `kinds`; with `inverse`, also each row's number
+    among the distinct ones."""
     code, size = columns[0], kinds
     for c in columns[1:]:
         if size * kinds >= 1 << 62:
             _, code = np.unique(code, return_inverse=True)
             size = int(code.max()) + 1
         code, size = code * kinds + c, size * kinds
+    if inverse:
+        _, first, of, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
+        return first, n, of
     _, first, n = np.unique(code, return_index=True, return_counts=True)
     return first, n
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlens.llm import ann, conversations, editprint, mixing, packing, phrases, pii, secrets, simhash, toxicity, urlrules, warc
+from cardlens.llm import ann, conversations, editprint, mixing, packing, phrases, pii, quality, secrets, simhash, toxicity, urlrules, warc
 from cardlens.llm import pipeline as corpus
 from cardlens.llm.common import read_table
 
@@ -86,12 +86,16 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(read_table(spark, sf_dir, "conversations"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.run(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_secret_scan, op2_edit_fingerprint, op3_pack_sequences, op4_multi_index_neighbours, op5_personal_data, op6_toxicity, op7_warc_salvage, op8_simhash_components, op9_pfair_mix, op10_url_rules, op11_collocations, op12_conversation_repair, pipeline)
+    own = (op1_secret_scan, op2_edit_fingerprint, op3_pack_sequences, op4_multi_index_neighbours, op5_personal_data, op6_toxicity, op7_warc_salvage, op8_simhash_components, op9_pfair_mix, op10_url_rules, op11_collocations, op12_conversation_repair, op13_quality_rules, pipeline)
     return {f.__name__: f for f in own}
 
 
