@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,36 +21,43 @@ SAMPLE, SLACK = 0.1, 2.2
 #: counted than needed; it never loses one.
 BITS_A_KEY, MOST_BITS = 16, 1 << 28
 FLUSH = 2_000_000  # occurrences that a task adds up before it sends their sums on
-CHUNK = 4 << 20  # bytes of text cut into words at a time, to the end of a piece
+CHUNK = 8 << 20  # bytes of text cut into words at a time, to the end of a piece
 REMEMBERED = 400_000  # words whose hashes a task keeps
 
 MARK = b"\xff"  # between pieces; in no UTF-8 text
-SEPARATORS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", MARK * 10)
+SEPARATORS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", MARK * 10 + b" ")
 FACTOR, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 Filters = dict[int, np.ndarray]
 
 
-def chunks_of_tokens(texts: list[str | None]) -> Iterator[pa.DictionaryArray]:
-    """The words of the texts in order, with a MARK between pieces, in chunks that end with a piece."""
+Tokens = tuple[list[bytes], np.ndarray]
+
+
+def chunks_of_tokens(texts: list[str | None]) -> Iterator[Tokens]:
+    """(distinct words, the place among them of each word in order), with a MARK between pieces; chunks end with a piece."""
     blob = MARK.join([(t or "").encode() for t in texts]).lower().translate(SEPARATORS)
     start = 0
     while start < len(blob):
         end = blob.find(MARK, start + CHUNK)
         end = len(blob) if end < 0 else end
-        tokens = blob[start:end].replace(MARK, b" \xff ").split()
+        spaced = blob[start:end].replace(MARK, b" \xff ")
         start = end + 1
-        if tokens:
-            yield pa.array(tokens, pa.binary()).dictionary_encode()
+        tokens = pc.split_pattern(pa.array([spaced], pa.binary()), b" ").values.dictionary_encode()
+        words, at = tokens.dictionary.to_pylist(), tokens.indices.to_numpy()
+        if b"" in words:  # between spaces
+            at = at[at != words.index(b"")]
+        if len(at):
+            yield words, at
 
 
-def by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.DictionaryArray]]:
+def by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
     for batch in batches:
         texts: dict[str, list] = {}
         for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
             texts.setdefault(lang, []).append(text)
         for lang, held in texts.items():
-            for tokens in chunks_of_tokens(held):
-                yield lang, tokens
+            for words, at in chunks_of_tokens(held):
+                yield lang, words, at
 
 
 def filters_of(keys: DataFrame) -> Filters:
@@ -113,14 +121,12 @@ class Grams:
             out[i] = h
         return out
 
-    def hashes(self, lang: str, tokens: pa.DictionaryArray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """(hash, inside one piece) of the phrases of 1, 2, ... words at each place."""
-        words = tokens.dictionary.to_pylist()
-        at = tokens.indices.to_numpy()
+    def hashes(self, lang: str, words: list[bytes], at: np.ndarray, longest: int = LONGEST) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """(hash, inside one piece) of the phrases of 1, 2, ... longest words at each place."""
         h = self.word_hashes(lang, words)[at]
         inside = at != (words.index(MARK) if MARK in words else -1)
         all_h, all_inside = [h], [inside]
-        for k in range(1, LONGEST):
+        for k in range(1, longest):
             mixed = (all_h[-1][:-1] * FACTOR) ^ h[k:]
             mixed = (mixed ^ (mixed >> np.uint64(29))) * SPREAD
             all_h.append(mixed ^ (mixed >> np.uint64(32)))
@@ -135,7 +141,7 @@ def extensible(h: list[np.ndarray], inside: list[np.ndarray], passes: list[Filte
     as held if this pass is the first to count it: it then has a border failure within, and may turn out frequent. So all
     longer phrases over a failure are counted in the same pass.
     """
-    known = {k: np.zeros(len(inside[k - 1]), bool) for k in range(2, LONGEST + 1)}
+    known = {k: np.zeros(len(inside[k - 1]), bool) for k in range(2, len(h) + 1)}
     now = known
     for number, filters in enumerate(passes):
         known = {k: known[k] | now[k] for k in known}
@@ -153,9 +159,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, word, n) of all words, added up in the tasks; word is null in the rows of whole languages."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, tokens in by_lang(batches):
-            words, n = tokens.dictionary.to_pylist(), np.bincount(tokens.indices.to_numpy())
-            rows = [(w.decode(), int(c)) for w, c in zip(words, n) if w != MARK]
+        for lang, words, at in by_lang(batches):
+            rows = [(w.decode(), c) for w, c in zip(words, np.bincount(at, minlength=len(words)).tolist()) if c and w != MARK]
             total = sum(c for _, c in rows)
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * (len(rows) + 1)), pa.array([*(w for w, _ in rows), None], pa.string()), pa.array([*(c for _, c in rows), total], pa.int64())], ["lang", "word", "n"])
@@ -178,8 +183,8 @@ def hash_counts(docs: DataFrame, levels: tuple[int, ...], passes: list[Filters])
                     parts.clear()
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), k, np.int32)), pa.array(h.view(np.int64)), pa.array(n)], ["k", "h", "n"])
 
-        for lang, tokens in by_lang(batches):
-            h, inside = grams.hashes(lang, tokens)
+        for lang, words, at in by_lang(batches):
+            h, inside = grams.hashes(lang, words, at, max(levels))
             wanted, known = extensible(h, inside, filters)
             for k in levels:
                 take = wanted[k] & ~known[k]
@@ -199,15 +204,16 @@ def phrase_counts(docs: DataFrame, wanted: Filters) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, filters = Grams(), held.value
-        for lang, tokens in by_lang(batches):
-            h, inside = grams.hashes(lang, tokens)
-            words, at = tokens.dictionary.to_pylist(), tokens.indices.to_numpy().astype(np.int64)
+        for lang, words, at in by_lang(batches):
+            h, inside = grams.hashes(lang, words, at)
+            at = at.astype(np.int64)
             names, counts = [], []
             for k in range(2, LONGEST + 1):
                 place = np.flatnonzero(narrowed(inside[k - 1], filters.get(k), h[k - 1]))
                 if len(place):
                     first, n = distinct_rows([at[place + j] for j in range(k)], len(words))
-                    names += [b" ".join([words[w] for w in at[i : i + k]]).decode() for i in place[first]]
+                    begins = [list(map(words.__getitem__, at[place[first] + j].tolist())) for j in range(k)]
+                    names += [b" ".join(t).decode() for t in zip(*begins)]
                     counts.append(n)
             if names:
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(names)), pa.array(names), pa.array(np.concatenate(counts))], ["lang", "phrase", "n"])
