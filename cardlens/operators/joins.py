@@ -72,11 +72,17 @@ def lookup(requests: DataFrame, snapshot: DataFrame, keys: list[str], columns: l
     return requests.join(snapshot.select(*keys, *columns), keys, "left")
 
 
+def first_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The first row of each key by `order`, then by all columns. Rows are compared before they are shuffled."""
+    columns = [c for c in df.columns if c not in keys]
+    row = F.struct(*columns)
+    first = F.min_by(row, F.struct(*[F.struct(F.col(c).isNotNull(), F.col(c)) for c in order], row))
+    return df.groupBy(*keys).agg(first.alias("_first")).select(*[F.col(c) if c in keys else F.col(f"_first.`{c}`").alias(c) for c in df.columns])
+
+
 def new_rows(batch: DataFrame, existing: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     """Rows of the batch to insert: one per key (the first by `order`), none whose key exists."""
-    first = batch
-    if order:
-        first = batch.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_n = 1").drop("_n")
+    first = first_rows(batch, [key], order) if order else batch
     return first.join(existing.select(key).distinct(), key, "left_anti").select(batch.columns)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cardlens.functions.scalar import encode_categorical, null_nonfinite, to_number, utc_date
-from cardlens.operators.joins import asof_join, spine
+from cardlens.operators.joins import first_rows, asof_join, spine
 from cardlens.operators.ordered import exact_percentiles, ordered_prefix
 
 MOST_CATEGORIES = 10_000
@@ -60,7 +60,7 @@ def impute_for_model(df: DataFrame, columns: list[str], sentinel: float = -999.0
 
 
 def dedupe_by_id(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_n = 1").drop("_n")
+    return first_rows(df, [key], order)
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
@@ -166,20 +166,22 @@ def user_last_seen(tx: DataFrame) -> DataFrame:
     return tx.groupBy("user_id").agg(F.max("created_at").alias("last_at"))
 
 
-def recent_members(tx: DataFrame, key: str, ref, hours: int = 25) -> DataFrame:
-    """(key, members, n_declines) of the last hours before ref, members in time order."""
+def recent_members(tx: DataFrame, key: str, ref, hours: int = 25, slices: tuple[str, ...] = ()) -> DataFrame:
+    """(key, members, n_declines) of the last hours before ref, members in time order; a row for each of `slices`, if given."""
     recent = tx.where((F.col("created_at") >= F.lit(ref).cast("timestamp") - F.expr(f"INTERVAL {hours} HOURS")) & (F.col("created_at") <= F.lit(ref).cast("timestamp")))
     member = F.struct(F.unix_micros("created_at").alias("at"), F.col("id").cast("string").alias("id"), F.col("amount_usd").cast("double").alias("amount"), (F.col("status") == "declined").alias("declined"))
-    return recent.groupBy(key).agg(F.sort_array(F.collect_list(member)).alias("members"), F.sum((F.col("status") == "declined").cast("long")).alias("n_declines"))
+    return recent.groupBy(key, *slices).agg(F.sort_array(F.collect_list(member)).alias("members"), F.sum((F.col("status") == "declined").cast("long")).alias("n_declines"))
 
 
 def initial_state(tx: DataFrame, key: str, ref, hours: int = 25) -> DataFrame:
-    """One row per key: lifetime moments up to ref and the members of the last hours, to seed velocity_stream."""
+    """State up to ref to seed velocity_stream: a row of lifetime moments for each key (members null), and its members of the
+    last hours, a row for each slice of five minutes."""
     past = tx.where(F.col("created_at") <= F.lit(ref).cast("timestamp"))
     x = F.col("amount_usd").cast("double")
     moments = past.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(x).alias("total"), F.sum(x * x).alias("squares"), F.max(F.unix_micros("created_at")).alias("last_us"))
-    recent = recent_members(past, key, ref, hours).select(key, F.col("members"))
-    return moments.join(recent, key, "left")
+    recent = past.withColumn("_slice", F.floor(F.unix_micros("created_at") / 300_000_000))
+    members = recent_members(recent, key, ref, hours, ("_slice",)).select(key, "members")
+    return moments.unionByName(members, allowMissingColumns=True)
 
 
 # Design notes.

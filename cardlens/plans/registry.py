@@ -13,7 +13,7 @@ from cardlens.functions import scalar, windows
 from cardlens.operators import history, joins, monitor, ordered, training
 from cardlens.plans.fixtures import Payments, oracle
 from cardlens.sources import tables
-from cardlens.streaming import ingest
+from cardlens.streaming import ingest, velocity
 
 START, END, REF = "2024-01-10 00:00:00", "2024-01-12 00:00:00", "2024-01-31 00:00:00"
 MID = "2024-01-16 00:00:00"
@@ -125,6 +125,18 @@ def insert_if_absent(p: Payments) -> DataFrame:
     return joins.new_rows(batch.unionByName(batch.where("id % 9 = 0")), p.tx.where("id % 2 = 0"), "id", ["created_at"])
 
 
+@query("insert_if_absent_stored", f"SELECT {TX} FROM f_tx WHERE id % 2 = 0 OR id % 3 = 0")
+def insert_if_absent_stored(p: Payments) -> DataFrame:
+    """Into a table by date: the batch's ids that the table has come under another date, and add nothing."""
+    path = tables.work_folder(p.spark, "transactions")
+    dated = lambda df: df.withColumn("date", scalar.utc_date(C("created_at")))
+    tables.bulk_load(dated(p.tx.where("id % 2 = 0")), path, "date")
+    batch = p.tx.where("id % 3 = 0").withColumn("created_at", C("created_at") + F.expr("CASE WHEN id % 2 = 0 THEN INTERVAL 3 DAYS ELSE INTERVAL 0 DAYS END"))
+    for _ in range(2):
+        tables.insert_if_absent(dated(batch), path, "id", ["created_at"], "date")
+    return p.spark.read.parquet(path).drop("date")
+
+
 query("anti_existing", f"SELECT {TX} FROM f_tx WHERE id NOT IN (SELECT transaction_id FROM f_labels)")(lambda p: joins.new_rows(p.tx, p.labels.select(C("transaction_id").alias("id")), "id"))
 SNAP = " ".join(schemas.SNAPSHOT_COLUMNS)
 query("materialize_latest", f"SELECT user_id, card_id, {rounded(SNAP)}, created_at FROM (SELECT *, row_number() OVER (PARTITION BY user_id, card_id ORDER BY created_at DESC) AS n FROM feats WHERE created_at <= TIMESTAMP '{MID}') WHERE n = 1")(
@@ -290,6 +302,122 @@ def sink_json_stream(p: Payments) -> DataFrame:
     return ingest.decode(p.spark.read.text(path))[0].select("transaction_id", "amount_usd", "created_at", "latency_ms", "status")
 
 
+def _delivered(p: Payments) -> list[str]:
+    """Folders of transactions, log and quarantine after two deliveries. The second one brings messages again under another
+    date, some as new requests, and unreadable ones; the stream goes on from its checkpoint."""
+    root = tables.work_folder(p.spark, "ingest")
+    paths = [f"{root}/{x}" for x in ("transactions", "log", "bad")]
+    first = ingest.encode(_messages(p)).select("value")
+    later = _messages(p).where("CAST(transaction_id AS LONG) % 4 = 0").withColumns(
+        {
+            "transaction_time": F.when(C("transaction_id").cast("long") % 8 == 0, C("transaction_time")).otherwise(F.date_format(scalar.parse_iso_utc(C("transaction_time")) + F.expr("INTERVAL 3 DAYS"), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+            "request_id": F.when(C("transaction_id").cast("long") % 8 == 0, C("request_id")).otherwise(F.concat(F.lit("again"), "transaction_id")),
+        }
+    )
+    again = ingest.encode(later).select(F.explode(F.array("value", F.concat(F.lit("bad "), "value"))).alias("value"))
+    for part in (first, again):
+        part.write.mode("append").text(f"{root}/in")
+        for running in ingest.ingest(ingest.read_messages(p.spark, {"format": "text", "path": f"{root}/in", "files": 1000}), *paths, f"{root}/state"):
+            running.awaitTermination()
+    return paths
+
+
+SENT = "SELECT CAST(id AS VARCHAR) AS id, round(amount_usd, 6) AS amount_usd, status, date_trunc('second', created_at) AS created_at FROM f_tx"
+query("sink_transactions", SENT)(lambda p: p.spark.read.parquet(_delivered(p)[0]).select("id", "amount_usd", "status", "created_at"))
+LOGGED = "SELECT 'r' || CAST(id AS VARCHAR) AS log_id, CAST(id AS VARCHAR) AS transaction_id, amount_usd / (amount_usd + 30) AS s FROM f_tx UNION ALL SELECT 'again' || CAST(id AS VARCHAR), CAST(id AS VARCHAR), amount_usd / (amount_usd + 30) FROM f_tx WHERE id % 8 = 4"
+query("sink_prediction_log", f"SELECT log_id, transaction_id, round(s, 6) AS fraud_score FROM ({LOGGED})")(lambda p: p.spark.read.parquet(_delivered(p)[1]).select("log_id", "transaction_id", "fraud_score"))
+
+
+@query("stream_ingest", f"SELECT 'transactions' AS t, count(*) AS n, count(DISTINCT id) AS ids FROM f_tx UNION ALL SELECT 'log', count(*), count(DISTINCT transaction_id) FROM ({LOGGED}) UNION ALL SELECT 'bad', count(*), count(*) FROM f_tx WHERE id % 4 = 0")
+def stream_ingest(p: Payments) -> DataFrame:
+    tx, log, bad = (p.spark.read.parquet(x) for x in _delivered(p))
+    one = lambda name, df, key: df.agg(F.lit(name).alias("t"), F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("ids"))
+    return one("transactions", tx, "id").unionByName(one("log", log, "transaction_id")).unionByName(one("bad", bad, "value"))
+
+
+# Velocity state.
+
+
+def _replayed(p: Payments, key: str, parts: list[DataFrame], initial: DataFrame | None = None) -> tuple[DataFrame, str]:
+    folder = tables.work_folder(p.spark, "velocity")
+    return velocity.replay(parts, lambda stream: velocity.velocity_stream(stream, key, initial), folder), folder
+
+
+def _state(p: Payments, folder: str, variable: str) -> DataFrame:
+    """What the stream's state holds, by Spark's reader of state."""
+    with velocity.with_rocksdb(p.spark):
+        return p.spark.read.format("statestore").option("path", f"{folder}/state").option("stateVarName", variable).load()
+
+
+def _halves(p: Payments, key: str) -> list[DataFrame]:
+    return [velocity.events(rows, key) for rows in (p.tx.where(C("created_at") < F.lit(MID).cast("timestamp")), joins.time_slice(p.tx, "created_at", MID))]
+
+
+def _hour_before(p: Payments) -> DataFrame:
+    return p.tx.where((C("created_at") < F.lit(MID).cast("timestamp")) & (C("created_at") >= F.lit(MID).cast("timestamp") - F.expr("INTERVAL 6 HOURS")))
+
+
+LATELY = f"created_at < TIMESTAMP '{MID}' AND created_at >= TIMESTAMP '{MID}' - INTERVAL 6 HOUR"
+CARD_STATE = "CAST(transaction_id AS VARCHAR) AS id, card_tx_count_1h AS tx_count_1h, card_tx_count_24h AS tx_count_24h, round(card_amount_sum_24h, 4) AS amount_sum_24h, card_declines_24h AS declines_24h, round(card_seconds_since_last_tx, 4) AS seconds_since_last_tx, round(card_amount_zscore, 4) AS amount_zscore, CAST(card_tx_seq AS BIGINT) AS tx_seq"
+USER_STATE = "CAST(transaction_id AS VARCHAR) AS id, user_tx_count_24h AS tx_count_24h, round(user_amount_sum_24h, 4) AS amount_sum_24h, round(user_seconds_since_last_tx, 4) AS seconds_since_last_tx"
+
+
+def _shown(out: DataFrame, names: str) -> DataFrame:
+    wanted = [c.rpartition(" AS ")[2] for c in names.split(", ") if " AS " in c]
+    return out.select(*[F.round(c, 4).alias(c) if out.schema[c].dataType.typeName() == "double" else C(c) for c in wanted])
+
+
+query("stream_card_velocity", f"SELECT {CARD_STATE} FROM feats")(lambda p: _shown(_replayed(p, "card_id", _halves(p, "card_id"))[0], CARD_STATE))
+query("stream_user_velocity", f"SELECT {USER_STATE} FROM feats")(lambda p: _shown(_replayed(p, "user_id", _halves(p, "user_id"))[0], USER_STATE))
+
+
+@query("state_retry_exact", f"SELECT {CARD_STATE} FROM feats UNION ALL SELECT {CARD_STATE} FROM feats WHERE {LATELY}")
+def state_retry_exact(p: Payments) -> DataFrame:
+    """Transactions of some hours are sent again with the later ones and give the features of their first time."""
+    first, rest = _halves(p, "card_id")
+    return _shown(_replayed(p, "card_id", [first, rest.unionByName(velocity.events(_hour_before(p), "card_id"))])[0], CARD_STATE)
+
+
+MOMENTS = "SELECT card_id, count(*) AS n, round(sum(amount_usd), 4) AS total, round(sum(amount_usd * amount_usd), 3) AS squares, max(created_at) AS last_at FROM f_tx GROUP BY card_id"
+
+
+def _moments(state: DataFrame) -> DataFrame:
+    return state.select("key.card_id", "value.n", F.round("value.total", 4).alias("total"), F.round("value.squares", 3).alias("squares"), F.timestamp_micros("value.last_us").alias("last_at"))
+
+
+@query("state_idempotent_append", MOMENTS)
+def state_idempotent_append(p: Payments) -> DataFrame:
+    """Moments in the state after transactions came again: each counts once."""
+    first, rest = _halves(p, "card_id")
+    _, folder = _replayed(p, "card_id", [first, rest.unionByName(velocity.events(_hour_before(p), "card_id"))])
+    return _moments(_state(p, folder, "totals"))
+
+
+@query("state_bootstrap", MOMENTS)
+def state_bootstrap(p: Payments) -> DataFrame:
+    """Moments in a state that history up to MID has seeded and the rest of the stream has gone on with."""
+    later = p.tx.where(C("created_at") > F.lit(MID).cast("timestamp"))
+    _, folder = _replayed(p, "card_id", [velocity.events(later, "card_id")], training.initial_state(p.tx, "card_id", MID))
+    return _moments(_state(p, folder, "totals"))
+
+
+@query("state_eviction", "SELECT t.card_id, count(*) AS members, min(CAST(t.id AS VARCHAR)) AS one FROM f_tx t JOIN (SELECT card_id, max(created_at) AS last FROM f_tx GROUP BY card_id) l ON l.card_id = t.card_id AND (floor(epoch_us(t.created_at) / 300000000) + 1) * 300000000 > epoch_us(l.last) - 90000000000 GROUP BY t.card_id")
+def state_eviction(p: Payments) -> DataFrame:
+    """Ids that the state holds: those of slices within 25 hours of each card's newest transaction."""
+    _, folder = _replayed(p, "card_id", _halves(p, "card_id"))
+    held = _state(p, folder, "seen").select("key.card_id", C("user_map_key.id").alias("id"))
+    return held.groupBy("card_id").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("one"))
+
+
+@query("state_declines", f"SELECT CAST(transaction_id AS VARCHAR) AS id, card_declines_24h AS declines_24h FROM feats WHERE created_at >= TIMESTAMP '{MID}'")
+def state_declines(p: Payments) -> DataFrame:
+    """Statuses of earlier transactions come by themselves, as events, before the later transactions."""
+    first, rest = _halves(p, "card_id")
+    declined = p.tx.where((C("created_at") < F.lit(MID).cast("timestamp")) & (C("status") == "declined"))
+    out, _ = _replayed(p, "card_id", [first.withColumn("declined", F.lit(False)), velocity.status_events(declined, "card_id"), rest])
+    return out.join(rest.select("id"), "id", "left_semi").select("id", "declines_24h")
+
+
 # Filters and joins.
 
 query("filter_active_entities", f"SELECT {TX} FROM f_tx WHERE card_id IN (SELECT card_id FROM f_tx WHERE created_at >= TIMESTAMP '{START}' AND created_at < TIMESTAMP '{END}') OR user_id IN (SELECT user_id FROM f_tx WHERE created_at >= TIMESTAMP '{START}' AND created_at < TIMESTAMP '{END}')")(

@@ -57,18 +57,16 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def insert_if_absent(batch: DataFrame, path: str, key: str, order: list[str] | None = None, partition_by: str | None = None) -> int:
-    """Append the batch's rows whose key the table lacks; returns how many. A second run of a batch adds nothing.
+    """Append the batch's rows whose key the whole table lacks, whatever partition they would go to; returns how many. A second
+    run of a batch adds nothing. Of rows with the same key the first by `order` stays.
 
-    With partition_by, a column that follows from the key's row (such as its date), only the partitions that the batch has
-    rows of are read for known keys.
+    The table's key column alone is read, and cut down to the batch's keys where it is read: only keys that both sides have
+    are shuffled, and a batch of few keys is sent to the scan. For batches that come all the time, see ingest.write_once.
     """
     spark = batch.sparkSession
     existing = batch.select(key).limit(0)
     if exists(spark, path):
-        table = spark.read.parquet(path)
-        if partition_by:
-            table = table.where(F.col(partition_by).isin([r[0] for r in batch.select(partition_by).distinct().collect()]))
-        existing = table.select(F.col(key).cast(dict(batch.dtypes)[key]))
+        existing = spark.read.parquet(path).select(F.col(key).cast(dict(batch.dtypes)[key])).join(batch.select(key).distinct(), key, "left_semi")
     rows = new_rows(batch, existing, key, order).persist()
     try:
         n = rows.count()

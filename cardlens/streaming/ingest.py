@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cardlens import schemas
 from cardlens.functions.scalar import cold_pair, decide, null_nonfinite, parse_iso_utc, utc_date
 from cardlens.operators.joins import lookup
-from cardlens.sources.tables import insert_if_absent
+from cardlens.streaming.velocity import with_rocksdb
 
 
 def read_messages(spark: SparkSession, source: dict) -> DataFrame:
@@ -63,26 +63,47 @@ def transactions_of(messages: DataFrame) -> DataFrame:
 
 
 def logs_of(messages: DataFrame) -> DataFrame:
-    return messages.select("transaction_id", "model_name", "model_version", "fraud_score", "prediction", "threshold", "latency_ms", "created_at")
-
-
-def write_batch(raw: DataFrame, tx_path: str, log_path: str, bad_path: str, batch_id: int) -> None:
-    """One micro-batch: new transactions and new log rows by their keys, unreadable messages to quarantine under the
-    batch's id. A batch that comes again adds nothing. Tables are partitioned by date, and only the dates that the batch
-    holds are looked up for known keys, so a batch's cost follows the batch and its days."""
-    raw.persist()
-    try:
-        good, bad = decode(raw)
-        for rows, path, key in ((transactions_of(good), tx_path, "id"), (logs_of(good), log_path, "transaction_id")):
-            insert_if_absent(rows.withColumn("date", utc_date(F.col("created_at"))), path, key, ["created_at"], "date")
-        bad.write.mode("overwrite").parquet(f"{bad_path}/batch_id={batch_id}")
-    finally:
-        raw.unpersist()
-
-
-def ingest(stream: DataFrame, tx_path: str, log_path: str, bad_path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """At least once by the checkpoint, once by the keys. A failed batch is tried again on restart, offsets unmoved."""
-    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, k: write_batch(df, tx_path, log_path, bad_path, k)).trigger(**(trigger or {"availableNow": True})).start()
+    """A log row a message. Its log_id is the request's id, and without one a digest of the whole message, so that a message
+    that is delivered again is the same row, and a transaction that is scored again is another."""
+    names = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in messages.columns]
+    log_id = F.coalesce("request_id", F.sha2(F.concat_ws("\1", *names), 256))
+    return messages.select(log_id.alias("log_id"), "transaction_id", "model_name", "model_version", "fraud_score", "prediction", "threshold", "latency_ms", "created_at")
+
+
+def write_once(rows: DataFrame, path: str, checkpoint: str, key: str | None = None, **trigger) -> StreamingQuery:
+    """Append a stream to a table, each row once, and the first row of each value of `key` only, whatever its other columns.
+
+    Keys seen are the query's state, in RocksDB: a batch looks up and adds its own keys, so its cost follows the batch and not
+    the table, and the table is never read. State, offsets and the table's list of files move on together, so a batch that
+    fails or comes again neither loses nor repeats rows. Of rows of one batch with the same key any one stays. What the table
+    held before has to go through the stream first. Tables with created_at are partitioned by its date in UTC.
+    """
+    dated = rows.withColumn("date", utc_date(F.col("created_at"))) if "created_at" in rows.columns else rows
+    once = dated if key is None else dated.dropDuplicates([key])
+    with with_rocksdb(rows.sparkSession):
+        writer = once.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
+        return (writer.partitionBy("date") if "date" in dated.columns else writer).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def sink_transactions(messages: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """The first message of each transaction id, over all dates, becomes its row."""
+    return write_once(transactions_of(messages), path, checkpoint, "id", **trigger)
+
+
+def sink_prediction_log(messages: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Each message's prediction once, see logs_of."""
+    return write_once(logs_of(messages), path, checkpoint, "log_id", **trigger)
+
+
+def ingest(stream: DataFrame, tx_path: str, log_path: str, bad_path: str, checkpoint: str, **trigger) -> list[StreamingQuery]:
+    """Messages to the transactions, the log and the quarantine: three queries, each with its own offsets and state under the
+    checkpoint. A failed one is started again by the same call and goes on where it was."""
+    good, bad = decode(stream)
+    return [
+        sink_transactions(good, tx_path, f"{checkpoint}/transactions", **trigger),
+        sink_prediction_log(good, log_path, f"{checkpoint}/log", **trigger),
+        write_once(bad, bad_path, f"{checkpoint}/bad", **trigger),
+    ]
 
 
 def to_partitions(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:

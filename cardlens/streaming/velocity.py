@@ -2,94 +2,253 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 HOUR = 3_600_000_000
 DAY = 24 * HOUR
-MOMENTS = "n long, total double, squares double, last_us long"
-MEMBERS = "id string, amount double, at long, declined boolean, features string"
+#: Members are kept in slices of this length; an hour and a day are whole numbers of them.
+SLICE = 300_000_000
+TOTALS = "n long, total double, squares double, last_us long, slices array<long>, counts array<long>, amounts array<double>, declines array<long>"
+MEMBERS = "at array<long>, amount array<double>, declined array<boolean>, id array<string>"
 OUT = "{key} {kind}, id string, tx_count_1h int, tx_count_24h int, amount_sum_24h double, declines_24h int, seconds_since_last_tx double, amount_zscore double, tx_seq long, late boolean"
 INPUT = ("id", "amount", "at", "declined", "kind")
 FIELDS = ("tx_count_1h", "tx_count_24h", "amount_sum_24h", "declines_24h", "seconds_since_last_tx", "amount_zscore", "tx_seq", "late")
 
 
+class Slice:
+    """A slice's members in order of time, with running sums of amounts and declines."""
+
+    def __init__(self, at=(), amount=(), declined=(), ids=()):
+        self.at, self.amount, self.declined, self.ids = list(at), list(amount), list(declined), list(ids)
+        self.run(0)
+
+    def run(self, start: int) -> None:
+        """Run the sums up again from a place on."""
+        if start == 0:
+            self.sums, self.declines = [0.0], [0]
+        del self.sums[start + 1 :], self.declines[start + 1 :]
+        for x, d in zip(self.amount[start:], self.declined[start:]):
+            self.sums.append(self.sums[-1] + x)
+            self.declines.append(self.declines[-1] + bool(d))
+
+    def add(self, at: int, amount: float, declined: bool, member: str) -> None:
+        i = bisect_right(self.at, at)
+        for held, x in ((self.at, at), (self.amount, amount), (self.declined, declined), (self.ids, member)):
+            held.insert(i, x)
+        self.run(i)
+
+    def until(self, at: int) -> tuple[int, float, int]:
+        i = bisect_right(self.at, at)
+        return i, self.sums[i], self.declines[i]
+
+    def since(self, at: int) -> tuple[int, float, int]:
+        i = bisect_left(self.at, at)
+        return len(self.at) - i, self.sums[-1] - self.sums[i], self.declines[-1] - self.declines[i]
+
+    def mark(self, at: int, member: str, declined: bool) -> int:
+        """Set a member's decline flag; returns the change of the slice's declines."""
+        for i in range(bisect_left(self.at, at), bisect_right(self.at, at)):
+            if self.ids[i] == member:
+                change = int(declined) - int(self.declined[i])
+                self.declined[i] = declined
+                if change:
+                    self.run(i)
+                return change
+        return 0
+
+
+class History:
+    """One key's state during a batch. Slices' totals are read and written as one value, the members of a slice and the ids
+    only where rows touch them: those of the row's own slice and of the slices in which its windows begin."""
+
+    def __init__(self, totals, members, seen):
+        self.totals, self.members, self.seen = totals, members, seen
+        self.n, self.total, self.squares, self.last = 0, 0.0, 0.0, None
+        self.sums: dict[int, list] = {}
+        if totals.exists():
+            self.n, self.total, self.squares, self.last, slices, *sums = totals.get()
+            self.sums = {b: list(x) for b, *x in zip(slices, *sums)}
+        self.oldest = min(self.sums, default=None)
+        self.held: dict[int, Slice] = {}
+        self.changed: set[int] = set()
+        self.ids: dict[str, tuple[int, str | None]] = {}
+        self.new_ids: set[str] = set()
+        self.between: dict[tuple[int, int], tuple[int, float, int]] = {}
+
+    def slice(self, b: int) -> Slice:
+        if b not in self.held:
+            stored = self.members.getValue((b,)) if b in self.sums else None
+            self.held[b] = Slice(*stored) if stored else Slice()
+        return self.held[b]
+
+    def known(self, member: str) -> tuple[int, str | None] | None:
+        """(time, features of its first time) of a member of the retention."""
+        if member not in self.ids and self.seen.containsKey((member,)):
+            self.ids[member] = tuple(self.seen.getValue((member,)))
+        return self.ids.get(member)
+
+    def window(self, at: int, span: int) -> tuple[int, float, int]:
+        """(count, sum, declines) of members from at - span to at, both included."""
+        b = at // SLICE
+        first = b - span // SLICE
+        if (b, first) not in self.between:
+            inner = [self.sums[x] for x in range(first + 1, b) if x in self.sums]
+            self.between[b, first] = tuple(map(sum, zip(*inner))) if inner else (0, 0.0, 0)
+        parts = [self.between[b, first]]
+        if b in self.sums:
+            parts.append(self.slice(b).until(at))
+        if first in self.sums:
+            parts.append(self.slice(first).since(at - span))
+        return tuple(map(sum, zip(*parts)))
+
+    def _sum_up(self, b: int, n: int, amount: float, declines: int) -> None:
+        self.changed.add(b)
+        sums = self.sums.setdefault(b, [0, 0.0, 0])
+        sums[0], sums[1], sums[2] = sums[0] + n, sums[1] + amount, sums[2] + declines
+        self.oldest = b if self.oldest is None else min(self.oldest, b)
+        self.between = {k: v for k, v in self.between.items() if not k[1] < b < k[0]}
+
+    def remember(self, member: str, at: int, features: str | None) -> None:
+        self.ids[member] = (at, features)
+        self.new_ids.add(member)
+
+    def append(self, at: int, amount: float, declined: bool, member: str, features: str | None) -> None:
+        self.slice(at // SLICE).add(at, amount, declined, member)
+        self._sum_up(at // SLICE, 1, amount, int(declined))
+        self.remember(member, at, features)
+
+    def mark(self, member: str, declined: bool) -> None:
+        if found := self.known(member):
+            b = found[0] // SLICE
+            change = self.slice(b).mark(found[0], member, declined)
+            self._sum_up(b, 0, 0.0, change)
+
+    def evict(self, before: int) -> None:
+        """Drop slices that end before a time, with their ids; each member once."""
+        while self.oldest is not None and (self.oldest + 1) * SLICE <= before:
+            b = self.oldest
+            for member in self.slice(b).ids:
+                self.ids.pop(member, None)
+                self.new_ids.discard(member)
+                if self.seen.containsKey((member,)):
+                    self.seen.removeKey((member,))
+            del self.held[b], self.sums[b]
+            self.changed.discard(b)
+            if self.members.containsKey((b,)):
+                self.members.removeKey((b,))
+            self.oldest = min(self.sums, default=None)
+
+    def store(self) -> None:
+        order = sorted(self.sums)
+        columns = [list(x) for x in zip(*(self.sums[b] for b in order))] or [[], [], []]
+        self.totals.update((self.n, self.total, self.squares, self.last, order, *columns))
+        for b in self.changed:
+            s = self.held[b]
+            self.members.updateValue((b,), (s.at, s.amount, s.declined, s.ids))
+        for member in self.new_ids:
+            self.seen.updateValue((member,), self.ids[member])
+
+
 class Velocity(StatefulProcessor):
-    """Members of the last `retention` are kept as a list, lifetime moments as one value; times are whole microseconds.
+    """Members of the last `retention` are kept in slices of five minutes, with a map of their ids; lifetime moments and the
+    slices' totals are one value. Times are whole microseconds. A batch reads and writes the slices that its rows touch and
+    looks each id up once, so its cost follows its rows and not the key's day.
 
     A transaction seen before gives the features of its first time. A status event (kind 'status') marks a member as
-    declined. Rows of a batch are taken in order of (time, id); a row behind the last one seen is marked late.
+    declined. Rows of a batch are taken in order of (time, id); a row behind the last one seen is marked late, and one
+    behind the retention counts in the moments only. With event-time timers, members of a key that falls silent leave when
+    the watermark passes their retention.
     """
 
-    def __init__(self, key: str, retention_us: int, ttl_ms: int | None):
-        self.key, self.retention, self.ttl = key, retention_us, ttl_ms
+    def __init__(self, key: str, retention_us: int, ttl_ms: int | None, timers: bool = False):
+        self.key, self.retention, self.ttl, self.timers = key, retention_us, ttl_ms, timers
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.moments = handle.getValueState("moments", MOMENTS, ttlDurationMs=self.ttl)
-        self.members = handle.getListState("members", MEMBERS, ttlDurationMs=self.ttl)
+        self.handle = handle
+        self.totals = handle.getValueState("totals", TOTALS, ttlDurationMs=self.ttl)
+        self.members = handle.getMapState("members", "slice long", MEMBERS, ttlDurationMs=self.ttl)
+        self.seen = handle.getMapState("seen", "id string", "at long, features string", ttlDurationMs=self.ttl)
 
-    def _load(self) -> tuple[list[int | float], list[tuple]]:
-        moments = list(self.moments.get()) if self.moments.exists() else [0, 0.0, 0.0, None]
-        return moments, [tuple(x) for x in self.members.get()] if self.members.exists() else []
-
-    def _store(self, moments: list, members: list[tuple]) -> None:
-        self.moments.update(tuple(moments))
-        if members:
-            self.members.put(members)
-        else:
-            self.members.clear()
+    def _history(self) -> History:
+        return History(self.totals, self.members, self.seen)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        past = self._history()
         for row in initialState.itertuples(index=False):
-            held = [] if row.members is None else [(m["id"], float(m["amount"]), int(m["at"]), bool(m["declined"]), None) for m in row.members]
-            self._store([int(row.n), float(row.total), float(row.squares), int(row.last_us)], held)
+            if row.members is None:
+                past.n, past.total, past.squares, past.last = int(row.n), float(row.total), float(row.squares), int(row.last_us)
+            else:
+                for m in row.members:
+                    past.append(int(m["at"]), float(m["amount"]), bool(m["declined"]), m["id"], None)
+        past.store()
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        moments, members = self._load()
+        past = self._history()
         batch = pd.concat(list(rows)).sort_values(["at", "id"], kind="stable")
-        out = []
-        for row in batch.itertuples(index=False):
-            known = next((m for m in members if m[0] == row.id), None)
-            if row.kind == "status":
-                members = [(*m[:3], bool(row.declined), m[4]) if m[0] == row.id else m for m in members]
-                continue
-            if known and known[4]:
-                out.append((row.id, *self._decode(known[4])))
-                continue
-            features = self._features(moments, members, row)
-            out.append((row.id, *features))
-            if not known:
-                n, total, squares, last = moments
-                at = int(row.at)
-                moments = [n + 1, total + row.amount, squares + row.amount * row.amount, at if last is None else max(last, at)]
-                members.append((row.id, float(row.amount), at, bool(row.declined), self._encode(features)))
-            newest = moments[3]
-            members = [m for m in members if m[2] >= newest - self.retention]
-        self._store(moments, members)
+        out = self.features(past, batch)
+        past.store()
+        if self.timers and past.sums:
+            for timer in self.handle.listTimers():
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer((past.last + self.retention) // 1000 + SLICE // 1000)
         frame = pd.DataFrame(out, columns=["id", *FIELDS])
         frame.insert(0, self.key, key[0])
         yield frame
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        past = self._history()
+        past.evict(expiredTimerInfo.getExpiryTimeInMs() * 1000 - self.retention)
+        past.store()
+        return iter(())
+
+    def features(self, past: History, batch: pd.DataFrame) -> list[tuple]:
+        out = []
+        for member, amount, at, declined, kind in zip(*(batch[c].tolist() for c in INPUT)):
+            if kind == "status":
+                past.mark(member, bool(declined))
+                continue
+            known = past.known(member)
+            if known and known[1]:
+                out.append((member, *self._decode(known[1])))
+                continue
+            found = self._features(past, at, amount, known)
+            out.append((member, *found))
+            if known:
+                past.remember(member, known[0], self._encode(found))
+                continue
+            past.n, past.total, past.squares = past.n + 1, past.total + amount, past.squares + amount * amount
+            past.last = at if past.last is None else max(past.last, at)
+            if at >= past.last - self.retention:
+                past.append(at, float(amount), bool(declined), member, self._encode(found))
+            past.evict(past.last - self.retention)
+        return out
+
     @staticmethod
-    def _features(moments: list, members: list[tuple], row) -> tuple:
-        n, total, squares, last = moments
-        day = [m for m in members if row.at - DAY <= m[2] <= row.at and m[0] != row.id]
-        z = None
-        if n >= 2 and (variance := (squares - total * total / n) / (n - 1)) > 1e-12 * max(1.0, squares):
-            z = (row.amount - total / n) / variance**0.5
+    def _features(past: History, at: int, amount: float, known: tuple | None) -> tuple:
+        """A seeded member (known, without features) is in the state already and is left out of its own past."""
+        hour, _, _ = past.window(at, HOUR)
+        day, total, declines = past.window(at, DAY)
+        n, sums, squares = past.n, past.total, past.squares
+        if known and at - DAY <= known[0] <= at:
+            s = past.slice(known[0] // SLICE)
+            i = next(i for i in range(bisect_left(s.at, known[0]), len(s.at)) if s.amount[i] == amount or s.at[i] > known[0])
+            hour, day, total, declines = hour - (known[0] >= at - HOUR), day - 1, total - amount, declines - bool(s.declined[i])
         return (
-            1 + sum(m[2] >= row.at - HOUR for m in day),
-            1 + len(day),
-            row.amount + sum(m[1] for m in day),
-            sum(m[3] for m in day),
-            None if last is None else (row.at - last) / 1e6,
-            z,
+            1 + hour,
+            1 + day,
+            amount + total,
+            declines,
+            None if past.last is None else (at - past.last) / 1e6,
+            zscore_of(amount, n, sums, squares),
             n + 1,
-            last is not None and row.at < last,
+            past.last is not None and at < past.last,
         )
 
     @staticmethod
@@ -107,6 +266,14 @@ class Velocity(StatefulProcessor):
         pass
 
 
+def zscore_of(x: float, n: int, total: float, squares: float) -> float | None:
+    """scalar.zscore for one row: None for under two values, or no spread beyond what rounding leaves."""
+    if n < 2:
+        return None
+    variance = (squares - total * total / n) / (n - 1)
+    return (x - total / n) / variance**0.5 if variance > 1e-12 * max(1.0, squares) else None
+
+
 def events(tx: DataFrame, key: str) -> DataFrame:
     """Transactions in the form that the state takes."""
     return tx.select(
@@ -126,20 +293,47 @@ def status_events(status: DataFrame, key: str) -> DataFrame:
     )
 
 
-def velocity_stream(stream: DataFrame, key: str, initial: DataFrame | None = None, retention_hours: int = 25, ttl_days: int | None = None) -> DataFrame:
+def velocity_stream(stream: DataFrame, key: str, initial: DataFrame | None = None, retention_hours: int = 25, ttl_days: int | None = None, delay: str | None = None) -> DataFrame:
     """Velocity features of a stream of events() rows. `initial` comes from training.initial_state(). The state store
-    must be RocksDB's. ttl_days drops state so long after its last write, by processing time."""
-    processor = Velocity(key, retention_hours * HOUR, None if ttl_days is None else ttl_days * 86_400_000)
-    seed = None if initial is None else initial.groupBy(key)
+    must be RocksDB's, see with_rocksdb. ttl_days drops state so long after its last write, by processing time. With a
+    delay, rows are taken up to so much behind the newest of the stream, and timers evict the members of silent keys."""
+    processor = Velocity(key, retention_hours * HOUR, None if ttl_days is None else ttl_days * 86_400_000, delay is not None)
+    if delay is not None:
+        stream = stream.withColumn("event_time", F.timestamp_micros("at")).withWatermark("event_time", delay)
     return stream.groupBy(key).transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=OUT.format(key=key, kind=dict(stream.dtypes)[key]),
         outputMode="Append",
-        timeMode="None" if ttl_days is None else "ProcessingTime",
-        initialState=seed,
+        timeMode="EventTime" if delay is not None else "None" if ttl_days is None else "ProcessingTime",
+        initialState=None if initial is None else initial.groupBy(key),
     )
 
 
+@contextmanager
+def with_rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Queries that start within keep their state in RocksDB; the session's own setting comes back after."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
+def replay(parts: list[DataFrame], transform: Callable[[DataFrame], DataFrame], folder: str) -> DataFrame:
+    """Send rows through a stream part by part, each time going on from the checkpoint, and read what it has written."""
+    spark = parts[0].sparkSession
+    schema = parts[0].schema
+    for part in parts:
+        part.select(*schema.names).write.mode("append").parquet(f"{folder}/in")
+        with with_rocksdb(spark):
+            out = transform(spark.readStream.schema(schema).parquet(f"{folder}/in"))
+            query = out.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+            query.awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{folder}/out")
+
+
 class Welford(StatefulProcessor):
     """Running count, mean and deviation of a key's values."""
 

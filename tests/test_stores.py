@@ -18,6 +18,14 @@ def test_insert_if_absent_twice(spark, tmp_path):
     assert spark.read.parquet(path).count() == 50
 
 
+def test_an_id_under_two_dates_is_stored_once(spark, tmp_path):
+    path = f"file://{tmp_path}/dated"
+    rows = lambda *r: spark.createDataFrame(list(r), "id string, at int, date string")
+    assert tables.insert_if_absent(rows(("a", 1, "d1"), ("b", 2, "d1"), ("b", 1, "d2")), path, "id", ["at"], "date") == 2
+    assert tables.insert_if_absent(rows(("a", 9, "d3"), ("c", 9, "d3")), path, "id", ["at"], "date") == 1
+    assert sorted((r.id, r.at, r.date) for r in spark.read.parquet(path).collect()) == [("a", 1, "d1"), ("b", 1, "d2"), ("c", 9, "d3")]
+
+
 def test_slices_and_snapshots(spark, tmp_path):
     p = Payments(spark, SF)
     path = f"file://{tmp_path}/f"
