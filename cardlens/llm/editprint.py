@@ -101,7 +101,7 @@ def likeness(a: str, b: str) -> float:
 def in_ring(docs: DataFrame, rows_a_bucket: int = 4096, least: int = 48, most: int = 20_000) -> DataFrame:
     """Rows (bucket, doc_id, text, guard), a bucket's rows in one partition, by descending doc_id (ties by the text's hash).
 
-    A bucket is a range of doc_ids; its last row, the guard, is a copy of the first row of the bucket that follows (after
+    A bucket is a range of doc_ids as doubles, within which the ids themselves order the rows; its last row, the guard, is a copy of the first row of the bucket that follows (after
     the last bucket: of the first). Texts are shuffled once. The driver holds at most `most` cuts and first rows.
     """
     n = docs.count()
@@ -111,16 +111,17 @@ def in_ring(docs: DataFrame, rows_a_bucket: int = 4096, least: int = 48, most: i
     splitter = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="key", outputCol="range") if cuts else None
     rows = splitter.transform(keyed) if splitter else keyed.withColumn("range", F.lit(0.0))
     rows = rows.withColumn("bucket", (F.lit(len(cuts)) - F.col("range")).cast("int")).withColumn("text_hash", F.xxhash64("text"))
-    firsts = rows.groupBy("bucket").agg(F.max(F.struct("key", (-F.col("text_hash").cast("decimal(20,0)")).alias("h"))).alias("x")).select("bucket", "x.key", "x.h").orderBy("bucket").collect()
+    firsts = rows.groupBy("bucket").agg(F.max(F.struct("doc_id", (-F.col("text_hash").cast("decimal(20,0)")).alias("h"))).alias("x")).select("bucket", "x.doc_id", "x.h").orderBy("bucket").collect()
     before = {r["bucket"]: firsts[i - 1]["bucket"] for i, r in enumerate(firsts)}
-    guards = docs.sparkSession.createDataFrame([(r["bucket"], r["key"], int(-r["h"]), before[r["bucket"]]) for r in firsts], "bucket int, key double, text_hash long, before int")
-    marked = rows.join(F.broadcast(guards), ["bucket", "key", "text_hash"], "left")
+    guards = docs.sparkSession.createDataFrame([(r["bucket"], r["doc_id"], int(-r["h"]), before[r["bucket"]]) for r in firsts], "_bucket int, _id long, _hash long, before int")
+    first = (F.col("bucket") == F.col("_bucket")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    marked = rows.join(F.broadcast(guards), first, "left")  # a row a bucket
     own = F.struct(F.col("bucket").alias("bucket"), F.lit(0).alias("guard"))
     copies = F.when(F.col("before").isNotNull(), F.array(own, F.struct(F.col("before").alias("bucket"), F.lit(1).alias("guard")))).otherwise(F.array(own))
-    dealt = marked.select("key", "text_hash", "doc_id", "text", F.explode(copies).alias("to"))
-    dealt = dealt.select(F.col("to.bucket").alias("bucket"), F.col("to.guard").alias("guard"), "key", "text_hash", "doc_id", "text")
+    dealt = marked.select("text_hash", "doc_id", "text", F.explode(copies).alias("to"))
+    dealt = dealt.select(F.col("to.bucket").alias("bucket"), F.col("to.guard").alias("guard"), "text_hash", "doc_id", "text")
     placed = dealt.repartitionById(len(cuts) + 1, F.col("bucket"))
-    return placed.sortWithinPartitions("bucket", "guard", F.desc("key"), "text_hash").select("bucket", "guard", "doc_id", "text")
+    return placed.sortWithinPartitions("bucket", "guard", F.desc_nulls_last("doc_id"), "text_hash").select("bucket", "guard", "doc_id", "text")
 
 
 def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
