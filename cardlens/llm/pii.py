@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,12 @@ NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 #: What is left of a token without outer punctuation.
 TRIM = r"^[\p{Punct}&&[^+]]+|\p{Punct}+$"
+# Words of four letters and more that tell nothing about what stands beside them (English, German, French, Spanish). Fixed values.
+STOP_WORDS = """also been does from have into more only over some such than that their them then there these they this those under very
+were what when where which while will with would your aber alle auch dann dass dein denn dich diese doch durch eine einem einen einer
+haben hatte ihre kann mehr mein nach nicht noch oder ohne sein sich sind ueber unter viel vom wenn werden wird zwischen avec avoir
+bien cette comme dans deux donc elle elles encore entre etre leur mais meme nous pour quand sans sont sous tout tous tres vous como
+cuando desde donde ella ellos entre esta este esto hasta mas muy nada otro para pero porque sobre todo todos tras unas unos""".split()
 WORDS = 3  # of a context, on either side
 SALTS = 16  # that the edges of a pattern are dealt over
 SPAN = "array<struct<kind:string,start:int,end:int>>"
@@ -43,6 +51,13 @@ def passes(kind: str, m: Column) -> Column:
     return (n >= 8) & (n <= 15)
 
 
+def rejected(kind: str, m: Column) -> Column:
+    """Whether a match has the shape of the kind and is none: a card number's length without its check digit, a part of an
+    address over 255, a phone number of too few or too many digits."""
+    n = F.length(digits(m))
+    return ~passes(kind, m) & ((n >= 16) & (n <= 19) if kind == "card" else F.lit(kind in ("ip", "phone")))
+
+
 def matches(text: Column, kind: str | None, pattern: str) -> Column:
     """array<struct<start,end,text>> of all matches, in code points: the texts between matches give the places."""
     found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
@@ -71,10 +86,8 @@ def steps(found: Column, gaps: Column) -> Column:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: row_id, doc_id, base (spans of the base kinds) and tokens (candidates with their neighbours).
-
-    row_id tells repeated and null doc_ids apart; it comes from the id and the text's hash, with equal rows alike.
-    """
+    """Per row: doc_id, text_hash, base (spans of the base kinds), turned_down (matches that look like a kind and are none) and
+    tokens (candidates with their neighbours)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), empty_if_null(text_col).alias("text"))
     text = F.col("text")
     rows = rows.select("doc_id", "text", *[matches(text, k, p).alias(f"m_{k}") for k, p in PATTERNS.items()], matches(text, None, CANDIDATE).alias("m_token"))
@@ -83,12 +96,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     places = [placed(text, F.col(f"m_{k}"), p).alias(f"p_{k}") for k, p in PATTERNS.items()]
     apart = F.when(F.size("m_token") > 0, F.transform(F.split("text", CANDIDATE, -1), ends_of)).otherwise(F.array().cast("array<struct<length:int,first:string,last:string>>"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), *places, "m_token", apart.alias("apart"))
-    rows = rows.select("doc_id", "text_hash", F.concat(*[spans_of(k) for k in PATTERNS]).alias("base"), "m_token", "apart")
+    rows = rows.select("doc_id", "text_hash", F.concat(*[spans_of(k, passes) for k in PATTERNS]).alias("base"), F.concat(*[spans_of(k, rejected) for k in ("card", "ip", "phone")]).alias("turned_down"), "m_token", "apart")
     tokens = steps(F.col("m_token"), F.transform("apart", lambda a: a["length"]))
     return rows.select(
         "doc_id",
         "text_hash",
         "base",
+        "turned_down",
         F.zip_with(
             F.zip_with(tokens, F.slice("apart", 1, F.greatest(F.size("m_token"), F.lit(0))), lambda t, a: F.struct(t.alias("t"), a["last"].alias("left"))),
             F.slice("apart", 2, F.greatest(F.size("m_token"), F.lit(0))),
@@ -97,9 +111,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     )
 
 
-def spans_of(kind: str) -> Column:
-    """The matches of a kind that pass, as array<struct<kind,start,end,text>>."""
-    kept = F.filter(steps(F.col(f"p_{kind}.found"), F.col(f"p_{kind}.gaps")), lambda m: passes(kind, m["text"]))
+def spans_of(kind: str, test: Callable[[str, Column], Column]) -> Column:
+    """The matches of a kind that pass the test, as array<struct<kind,start,end,text>>."""
+    kept = F.filter(steps(F.col(f"p_{kind}.found"), F.col(f"p_{kind}.gaps")), lambda m: test(kind, m["text"]))
     return F.transform(kept, lambda m: F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), m["text"].alias("text")))
 
 
@@ -113,9 +127,14 @@ def normal(word: Column) -> Column:
     return F.lower(F.regexp_replace(word, TRIM, ""))
 
 
+def telling(word: Column) -> Column:
+    """Whether a word may be a pattern by itself: four letters or more, and no stop word."""
+    return word.rlike(r"\p{L}{4}") & ~word.isin(*STOP_WORDS)
+
+
 def contexts(left: Column, right: Column, instance: Column) -> Column:
     """The lexical patterns around an instance: one word on both sides, two or three on the left, two on the right, and, with
-    the other side open, one word together with what kinds of characters the instance has."""
+    the other side open, one word that tells something (see telling) with what kinds of characters the instance has."""
     words = lambda c: F.filter(F.transform(F.split(c, " +"), normal), lambda w: w != "")
     before, after = words(left), words(right)
     kinds = F.concat(*[F.when(instance.rlike(p), F.lit(n)).otherwise(F.lit("")) for n, p in (("a", "[a-z]"), ("9", "[0-9]"), (".", "[^a-z0-9]"))])
@@ -127,8 +146,8 @@ def contexts(left: Column, right: Column, instance: Column) -> Column:
             F.when(many(before, 2), pattern("2_", *[F.try_element_at(before, F.lit(k)) for k in (-2, -1)])),
             F.when(many(before, 3), pattern("3_", *[F.try_element_at(before, F.lit(k)) for k in (-3, -2, -1)])),
             F.when(many(after, 2), pattern("_2", *[F.get(after, F.lit(k)) for k in (0, 1)])),
-            F.when(many(before, 1), pattern("1_*", F.try_element_at(before, F.lit(-1)), kinds)),
-            F.when(many(after, 1), pattern("*_1", F.get(after, F.lit(0)), kinds)),
+            F.when(telling(F.try_element_at(before, F.lit(-1))), pattern("1_*", F.try_element_at(before, F.lit(-1)), kinds)),
+            F.when(telling(F.get(after, F.lit(0))), pattern("*_1", F.get(after, F.lit(0)), kinds)),
         )
     )
 
@@ -143,12 +162,12 @@ def with_patterns(rows: DataFrame, patterns: DataFrame) -> DataFrame:
 def bootstrap(candidates: DataFrame, rounds: int = 3, min_seeds: int = 3, confident: float = 0.8) -> DataFrame:
     """Confident patterns, scored on the graph of patterns and instances.
 
-    candidates has pattern, instance and seed (0/1). A pattern's score is the mean score of its distinct instances, held
+    candidates has pattern, instance, seed and negative (0/1). A negative instance has score 0 for good. A pattern's score is the mean score of its distinct instances, held
     back by one instance that counts as wrong; an instance is as good as its best pattern that at least min_seeds
     distinct seeds support, seeds are 1. Equal pairs are counted once before any shuffle of pairs, so a frequent context
     costs its distinct instances only.
     """
-    edges = durable(candidates.where("instance <> ''").groupBy("pattern", "instance").agg(F.max("seed").cast("double").alias("score")), "edges")
+    edges = durable(candidates.where("instance <> ''").groupBy("pattern", "instance").agg(F.max("seed").cast("double").alias("seed"), F.max("negative").alias("negative")).select("pattern", "instance", "negative", F.when(F.col("negative") == 1, 0.0).otherwise(F.col("seed")).alias("score")), "edges")
     score = edges
     supported = None
     for _ in range(rounds):
@@ -159,7 +178,7 @@ def bootstrap(candidates: DataFrame, rounds: int = 3, min_seeds: int = 3, confid
             "patterns",
         )
         best = with_patterns(edges, supported).groupBy("instance").agg(F.max("pattern_score").alias("best"))
-        score = durable(edges.join(best, "instance", "left").select("pattern", "instance", F.greatest("score", F.coalesce("best", F.lit(0.0))).alias("score")), "scores")
+        score = durable(edges.join(best, "instance", "left").select("pattern", "instance", "negative", F.when(F.col("negative") == 1, 0.0).otherwise(F.greatest("score", F.coalesce("best", F.lit(0.0)))).alias("score")), "scores")
     return supported.where(F.col("pattern_score") >= confident).select("pattern", "pattern_score")
 
 
@@ -168,19 +187,19 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds
 
     Null texts count as empty and have no spans; a null doc_id stays null; rows that are equal in id and text come
     back as often as they were given. Kind `context` marks a token that a confident pattern (see contexts) surrounds and that
-    no base span touches. Other columns of docs are not looked at.
+    touches neither a base span nor a match that a base kind has turned down; those count against the patterns around them. Other columns of docs are not looked at.
     """
     rows = durable(scan(docs, id_col, text_col), "scan")
-    tokens = rows.select("doc_id", "text_hash", "base", F.explode("tokens").alias("t"))
-    touching = F.exists("base", lambda b: (b["start"] < F.col("t.end")) & (b["end"] > F.col("t.start")))
+    tokens = rows.select("doc_id", "text_hash", "base", "turned_down", F.explode("tokens").alias("t"))
+    touching = lambda spans: F.exists(spans, lambda b: (b["start"] < F.col("t.end")) & (b["end"] > F.col("t.start"))).cast("int")
     candidates = tokens.select(
-        "doc_id", "text_hash", F.col("t.start").alias("start"), F.col("t.end").alias("end"), F.col("t.left").alias("left"), F.col("t.right").alias("right"), normal(F.col("t.text")).alias("instance"), touching.cast("int").alias("seed")
-    )
-    around = candidates.select("doc_id", "text_hash", "start", "end", "instance", "seed", F.explode(contexts(F.col("left"), F.col("right"), F.col("instance"))).alias("pattern"))
+        "doc_id", "text_hash", F.col("t.start").alias("start"), F.col("t.end").alias("end"), F.col("t.left").alias("left"), F.col("t.right").alias("right"), normal(F.col("t.text")).alias("instance"), touching("base").alias("seed"), touching("turned_down").alias("negative")
+    ).withColumn("negative", F.col("negative") * (1 - F.col("seed")))
+    around = candidates.select("doc_id", "text_hash", "start", "end", "instance", "seed", "negative", F.explode(contexts(F.col("left"), F.col("right"), F.col("instance"))).alias("pattern"))
     around = durable(around, "candidates")
     patterns = bootstrap(around, rounds, min_seeds, confident)
     found = (
-        with_patterns(around.where("seed = 0 and instance <> ''"), patterns)
+        with_patterns(around.where("seed = 0 and negative = 0 and instance <> ''"), patterns)
         .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
         .agg(F.array_sort(F.collect_set(F.struct(F.lit("context").alias("kind"), "start", "end"))).alias("learned"))
     )

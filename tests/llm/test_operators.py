@@ -291,6 +291,16 @@ def test_index_prunes_what_is_far():
 # 5
 
 
+def test_the_next_document_by_ids_over_two_to_the_53(spark):
+    ids = [2**60 + i for i in range(11)] + [-(2**62), 7, None]
+    rows = [(i, f"text {k} " * (k + 1), "en", "s", 0) for k, i in enumerate(ids)]
+    got = {r.doc_id: r.edited_sha256 for r in editprint.edit_fingerprints(spark.createDataFrame(rows, DOCS).repartition(3)).collect()}
+    ring = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0), reverse=True)
+    for (i, own, *_), (_, after, *_) in zip(ring, ring[1:] + ring[:1]):
+        half = len(own) // 2
+        assert got[i] == hashlib.sha256((own[: len(own) - half] + after[:half]).encode()).hexdigest()
+
+
 def test_learned_context(spark):
     lines = [f"reach me at user{i}@mail{i}.org today" for i in range(30)] + ["reach me at user[at]mail7.org today", "there were 123 birds on 45 trees", None]
     got = pii.find(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
@@ -298,6 +308,25 @@ def test_learned_context(spark):
     assert learned == {30: ["user[at]mail7.org"]}
 
 
+def test_decoys_beside_seeds_are_left_alone(spark):
+    """Numbers that a base kind turns down, in the very contexts of true ones, are neither learned nor masked."""
+    rng = random.Random(13)
+    luhn = lambda d: sum(x if i % 2 == 0 else (2 * x) // 10 + (2 * x) % 10 for i, x in enumerate(map(int, reversed(d)))) % 10 == 0
+    numbers = ["".join(str(rng.randrange(10)) for _ in range(16)) for _ in range(900)]
+    good, bad = [n for n in numbers if luhn(n)], [n for n in numbers if not luhn(n)][:40]
+    held = [f"said the {n} and went" for n in good[:40]] + [f"from host 10.0.{i}.7 it came" for i in range(40)] + [f"please call +1 555 010 {1000 + i} soon" for i in range(40)]
+    decoys = [f"said the {n} and went" for n in bad] + [f"from host 10.{300 + i}.0.7 it came" for i in range(5)] + [f"please call +1 {20 + i} soon" for i in range(9)]
+    planted = ["from host fe80::1c2e:77 it came"]
+    texts = held + decoys + planted
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], DOCS)
+    got = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.learned] for r in pii.find(frame).collect() if r.learned}
+    assert got == {len(texts) - 1: ["fe80::1c2e:77"]}
+    from cardlens.llm import pipeline
+
+    masked = {r.doc_id: r.text for r in pipeline.mask_personal_data(spark, frame, SF).collect()}
+    assert all(masked[len(held) + i] == t for i, t in enumerate(decoys)) and all(masked[i] != t for i, t in enumerate(held))
+
+
 def test_planted_identifiers_are_found(spark):
     """Identifiers that no base pattern fits are found by contexts that seeds share, and other numbers are left."""
     rng = random.Random(12)
