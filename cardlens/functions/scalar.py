@@ -105,10 +105,11 @@ def drift_band(distance: Column) -> Column:
 
 
 def zscore(x: Column, n: Column, total: Column, squares: Column) -> Column:
-    """(x - mean) / sample deviation from count, sum and sum of squares; null below two values or without spread."""
+    """(x - mean) / sample deviation from count, sum and sum of squares; null below two values, or with no more spread than rounding
+    leaves (a 10^12th of the squares)."""
     n, total, squares = (c.cast("double") for c in (n, total, squares))
     variance = F.when(n >= 2, (squares - total * total / F.nullif(n, F.lit(0.0))) / F.nullif(n - 1, F.lit(0.0)))
-    return F.when(variance > 0, (x - total / F.nullif(n, F.lit(0.0))) / F.sqrt(variance))
+    return F.when(variance > squares * 1e-12, (x - total / F.nullif(n, F.lit(0.0))) / F.sqrt(variance))
 
 
 def cold_pair(columns: list[str]) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
@@ -43,12 +43,7 @@ def trailing_declines(key: str, span: str, ts: str = "created_at", status: str =
     return F.greatest(trailing(f"sum({own})", key, span, ts) - F.expr(own), F.lit(0)).cast("int")
 
 
-def trailing_distinct(value: str, key: str, span: str, ts: str = "created_at") -> Column:
-    """Distinct values in the frame; a set per row, so for values of few kinds."""
-    return F.size(trailing(f"collect_set({value})", key, span, ts)).cast("int")
-
-
-def running_prior(value: str, key: str, ts: str = "created_at", tie: str = "id") -> tuple[Column, Column, Column]:
-    """Count, sum and mean of a key's rows before this one."""
-    prior = by_time(key, ts, tie).rowsBetween(Window.unboundedPreceding, -1)
-    return F.count(value).over(prior), F.coalesce(F.sum(value).over(prior), F.lit(0.0)), F.avg(value).over(prior)
+def multi_window(rows: DataFrame, key: str, spans: dict[str, str], value: str = "amount_usd") -> DataFrame:
+    """rows with n_, sum_ and max_ of each named span, in one sort."""
+    wanted = {"n": "count(*)", "sum": f"sum({value})", "max": f"max({value})"}
+    return rows.select("*", *[(trailing(f, key, span).cast("int") if what == "n" else trailing(f, key, span)).alias(f"{what}_{name}") for name, span in spans.items() for what, f in wanted.items()])

@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cardlens.functions import windows
+from cardlens.functions import scalar, windows
+from cardlens.operators import segments
+from cardlens.operators.ordered import RANGE_ROWS
 
-#: Keys with so many rows are split by day.
+#: Keys with so many rows go over segments of time.
 HOT_ROWS = 5_000_000
-NO_DAY = -1_000_000
+MICROS = {"1 hour": 3_600_000_000, "24 hours": 86_400_000_000}
 
 CARD_FIELDS = {
     "card_tx_count_1h": ("count", "1 hour"),
@@ -55,14 +57,14 @@ def hot_keys(rows: DataFrame, keys: tuple[str, ...], hot_rows: int = HOT_ROWS) -
     return out
 
 
-def with_field(tx: DataFrame, key: str, fields: dict[str, tuple[str, str]], hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_field(tx: DataFrame, key: str, fields: dict[str, tuple[str, str]], hot_rows: int = HOT_ROWS, segment_rows: int = RANGE_ROWS) -> DataFrame:
     """(id, fields) of transactions from one key's history."""
     rows = tx.select("id", key, "created_at", F.col("amount_usd").cast("double").alias("amount_usd"), "status")
-    return with_history(rows, key, fields, hot_keys(rows, (key,), hot_rows).get(key)).select("id", *fields)
+    return with_history(rows, key, fields, hot_keys(rows, (key,), hot_rows).get(key), segment_rows).select("id", *fields)
 
 
-def with_history(rows: DataFrame, key: str, fields: dict[str, tuple[str, str]], hot: DataFrame | None = None) -> DataFrame:
-    """rows (id, created_at, amount_usd, status, key, ...) with the fields; those of hot keys are made day by day.
+def with_history(rows: DataFrame, key: str, fields: dict[str, tuple[str, str]], hot: DataFrame | None = None, segment_rows: int = RANGE_ROWS) -> DataFrame:
+    """rows (id, created_at, amount_usd, status, key, ...) with the fields; hot keys go over segments of time.
 
     Without hot keys all fields share one shuffle and sort.
     """
@@ -70,45 +72,55 @@ def with_history(rows: DataFrame, key: str, fields: dict[str, tuple[str, str]],
     if hot is None:
         return rows.select("*", *[c.alias(name) for name, c in usual.items()])
     few = rows.join(hot, F.col(key) == F.col("_hot"), "left_anti").select("*", *[c.alias(name) for name, c in usual.items()])
-    return few.unionByName(by_day(rows.join(hot, F.col(key) == F.col("_hot")).drop("_hot"), key, fields).select(few.columns))
-
-
-def by_day(rows: DataFrame, key: str, fields: dict[str, tuple[str, str]]) -> DataFrame:
-    """The fields from windows of one key and day each.
-
-    Frames of at most 24 hours see their day and the day before, whose rows are copied over. What reaches back to a
-    key's beginning is run up within the day; the totals of the days before (a row per key and day) are added.
-    """
-    micros, amount = F.unix_micros("created_at"), F.col("amount_usd") - F.col("_base")
-    day = F.coalesce(F.floor(micros / 86_400_000_000).cast("long"), F.lit(NO_DAY))
-    dated = rows.withColumn("_day", day)
-    earlier = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    totals = dated.groupBy(key, "_day").agg(
-        F.count(F.lit(1)).alias("_rows"), F.count(amount).alias("_n"), F.sum(amount).alias("_s"), F.sum(amount * amount).alias("_q"), F.max(micros).alias("_last")
-    )
-    before = totals.select(
-        key, "_day", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in ("_rows", "_n", "_s", "_q")], F.max("_last").over(earlier).alias("_last_before")
-    )
-    copies = dated.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("_day", F.col("_day") + F.col("_copy"))
-    spans = {name: trailing_field(kind, span, f"{key}, _day") for name, (kind, span) in fields.items() if span}
-    own = copies.select("*", *[c.alias(name) for name, c in spans.items()]).where("_copy = 0")
-    order = Window.partitionBy(key, "_day").orderBy("created_at", "id")
-    prior = order.rowsBetween(Window.unboundedPreceding, -1)
-    run = own.select(
-        "*",
-        F.row_number().over(order).alias("_own"),
-        F.lag(micros).over(order).alias("_lag"),
-        F.count(amount).over(prior).alias("_own_n"),
-        F.coalesce(F.sum(amount).over(prior), F.lit(0.0)).alias("_own_s"),
-        F.coalesce(F.sum(amount * amount).over(prior), F.lit(0.0)).alias("_own_q"),
-    ).join(before, [key, "_day"])
-    n, s, q = (F.col(f"_own_{c}") + F.col(f"_{c}_before") for c in "nsq")
-    variance = F.when(n >= 2, (q - s * s / F.nullif(n, F.lit(0))) / F.nullif(n - 1, F.lit(0)))
-    # rounding leaves a little where all amounts are equal
-    deviation = F.when(variance > q * 1e-12, F.sqrt(variance))
-    long_fields = {
-        "gap": (micros - F.when(F.col("_own") > 1, F.col("_lag")).otherwise(F.col("_last_before"))) / 1e6,
-        "zscore": (amount - s / F.nullif(n, F.lit(0))) / F.nullif(deviation, F.lit(0.0)),
-        "sequence": (F.col("_own") + F.col("_rows_before")).cast("int"),
+    many = rows.join(hot, F.col(key) == F.col("_hot")).drop("_hot")
+    return few.unionByName(by_segments(many, key, fields, segment_rows).select(few.columns))
+
+
+def by_segments(rows: DataFrame, key: str, fields: dict[str, tuple[str, str]], segment_rows: int = RANGE_ROWS) -> DataFrame:
+    """The fields of rows with _base, a value that amounts are counted from, by running totals over segments: any number of
+    tasks a key and day. Sums of trailing frames are exact to ten places."""
+    timed = segments.timed(rows)
+    declined = F.when(F.col("status") == "declined", 1).otherwise(0)
+    value = {"count": F.lit(1).cast("long"), "sum": F.col("amount_usd").cast(segments.EXACT), "declines": declined.cast("long")}
+    trailing = {name: (MICROS[span], value[kind]) for name, (kind, span) in fields.items() if span}
+    amount = F.col("_row.amount_usd") - F.col("_row._base")
+    before = {
+        "_rows": F.lit(1).cast("long"),
+        "_n": F.when(amount.isNotNull(), 1).otherwise(0).cast("long"),
+        "_s": amount,
+        "_q": amount * amount,
+    }
+    splits = segments.splits_of(timed, segment_rows)
+    run = segments.frames(timed, [key], ["id"], trailing, before, splits)
+    n, s, q = (F.coalesce(F.col(c), F.lit(0)) for c in ("_n", "_s", "_q"))
+    moments = scalar.zscore(F.col("amount_usd") - F.col("_base"), n, s, q)
+    out = {
+        "count": lambda c: F.col(c).cast("int"),
+        "sum": lambda c: F.col(c).cast("double"),
+        "declines": lambda c: F.greatest(F.col(c) - declined, F.lit(0)).cast("int"),
+        "zscore": lambda c: moments,
+        "sequence": lambda c: (F.coalesce("_rows", F.lit(0)) + 1).cast("int"),
+        "gap": lambda c: F.col("_gap"),
     }
-    return run.select("*", *[long_fields[kind].alias(name) for name, (kind, span) in fields.items() if not span])
+    if any(kind == "gap" for kind, _ in fields.values()):
+        run = with_gap(run, key, splits)
+    return run.select(*rows.columns, *[out[kind](name).alias(name) for name, (kind, _) in fields.items()])
+
+
+def with_gap(rows: DataFrame, key: str, splits: list[float]) -> DataFrame:
+    """rows with _gap, the seconds since the key's row before: the one before in the segment, or the last of earlier ones."""
+    cut = segments.in_ranges(rows, "_at", splits, "_seg")
+    own = cut.withColumn("_lag", F.lag("_at").over(Window.partitionBy(key, "_seg").orderBy("_at", "id")))
+    last = Window.partitionBy(key).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    carried = cut.groupBy(key, "_seg").agg(F.max("_at").alias("_last")).select(key, "_seg", F.max("_last").over(last).alias("_before"))
+    known = F.when(F.coalesce("_lag", "_before") > segments.NO_TIME, F.coalesce("_lag", "_before"))
+    gap = F.when(F.col("_at") > segments.NO_TIME, (F.col("_at") - known) / 1e6)
+    return segments.joined(own, carried, [key]).withColumn("_gap", gap)
+
+
+def running_prior(rows: DataFrame, key: str, value: str, segment_rows: int = RANGE_ROWS) -> DataFrame:
+    """rows (id, created_at, ...) with n, total and mean of the values of the key's rows before, over segments of time."""
+    timed = segments.timed(rows)
+    sums = {"n": F.when(F.col(value).isNotNull(), 1).otherwise(0).cast("long"), "total": F.col(value).cast("double")}
+    out = segments.running(timed, [key], ["id"], sums, {}, segments.splits_of(timed, segment_rows)).drop("_at")
+    return out.withColumns({"n": F.coalesce("n", F.lit(0)), "mean": F.col("total") / F.nullif(F.col("n"), F.lit(0)), "total": F.coalesce("total", F.lit(0.0))})

@@ -1,4 +1,4 @@
-"""Joins, as-of joins, snapshots and keyed inserts."""
+"""Joins, snapshots and keyed inserts."""
 
 from __future__ import annotations
 
@@ -39,23 +39,6 @@ def semi_active_history(tx: DataFrame, start, end) -> DataFrame:
     return by_card.unionByName(by_user)
 
 
-def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_ts: str, right_ts: str, columns: list[str], tie: str | None = None, tolerance: str | None = None) -> DataFrame:
-    """Each left row with `columns` of the latest right row of its keys at or before left_ts (ties: largest `tie`).
-
-    Both sides go through one shuffle on the keys; the latest right row is carried along in one window.
-    """
-    held = F.struct(F.col(right_ts).alias("_at"), *[F.col(c).alias(c) for c in columns])
-    r = right.select(*on, F.col(right_ts).alias("_ts"), F.lit(0).alias("_side"), (F.col(tie) if tie else F.lit(0)).cast("string").alias("_tie"), held.alias("_held"))
-    names = left.columns
-    l = left.select(*on, F.col(left_ts).alias("_ts"), F.lit(1).alias("_side"), F.lit(None).cast("string").alias("_tie"), F.struct(*names).alias("_left"))
-    both = r.unionByName(l, allowMissingColumns=True)
-    seen = F.last("_held", ignorenulls=True).over(Window.partitionBy(*on).orderBy("_ts", "_side", "_tie").rowsBetween(Window.unboundedPreceding, 0))
-    out = both.withColumn("_seen", seen).where("_side = 1")
-    if tolerance:
-        out = out.withColumn("_seen", F.when(F.col("_seen._at") >= F.col("_ts") - F.expr(f"INTERVAL {tolerance}"), F.col("_seen")))
-    return out.select("_left.*", *[F.col(f"_seen.{c}").alias(c) for c in columns])
-
-
 def latest_snapshot(feats: DataFrame, keys: list[str], columns: list[str], until=None, previous: DataFrame | None = None, order: tuple[str, ...] = ("created_at", "computed_at")) -> DataFrame:
     """The newest row per key up to `until`, merged with an earlier snapshot."""
     rows = feats if until is None else feats.where(F.col(order[0]) <= F.lit(until).cast("timestamp"))

@@ -12,16 +12,28 @@ RANGE_ROWS = 200_000
 MOST_RANGES = 20_000
 
 
-def with_range(levels: DataFrame, order: str, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """levels with _range, the number of the range of values that the row lies in: as many ranges as the count of rows asks
-    for, cut by approximate quantiles."""
-    ranges = min(MOST_RANGES, -(-levels.count() // range_rows))
+def range_splits(rows: DataFrame, order: str, range_rows: int = RANGE_ROWS) -> list[float]:
+    """Cuts of the values of a numeric column by approximate quantiles, into as many ranges as the count of rows asks for."""
+    ranges = min(MOST_RANGES, -(-rows.count() // range_rows))
     if ranges <= 1:
-        return levels.withColumn("_range", F.lit(0))
-    keyed = levels.withColumn("_order", F.col(order).cast("double"))
-    cuts = sorted(set(keyed.approxQuantile("_order", [i / ranges for i in range(1, ranges)], max(1e-4, 0.2 / ranges))))
-    splits = [float("-inf"), *[c for c in cuts if abs(c) != float("inf")], float("inf")]
-    return Bucketizer(splits=splits, inputCol="_order", outputCol="_cut").transform(keyed).withColumn("_range", F.col("_cut").cast("int")).drop("_order", "_cut")
+        return []
+    keyed = rows.select(F.col(order).cast("double").alias("_order"))
+    cuts = keyed.approxQuantile("_order", [i / ranges for i in range(1, ranges)], max(1e-4, 0.2 / ranges))
+    return sorted({c for c in cuts if abs(c) != float("inf")})
+
+
+def in_ranges(rows: DataFrame, order: str, cuts: list[float], out: str = "_range") -> DataFrame:
+    """rows with the number of the range that the value of `order`, which must not be null, lies in."""
+    if not cuts:
+        return rows.withColumn(out, F.lit(0))
+    keyed = rows.withColumn("_order", F.col(order).cast("double"))
+    splits = [float("-inf"), *cuts, float("inf")]
+    return Bucketizer(splits=splits, inputCol="_order", outputCol="_cut").transform(keyed).withColumn(out, F.col("_cut").cast("int")).drop("_order", "_cut")
+
+
+def with_range(levels: DataFrame, order: str, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """levels with _range, the number of the range of values that the row lies in."""
+    return in_ranges(levels, order, range_splits(levels, order, range_rows))
 
 
 def ordered_prefix(levels: DataFrame, order: str, sums: list[str], groups: tuple[str, ...] = (), range_rows: int = RANGE_ROWS) -> DataFrame:

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cardlens.functions.scalar import encode_categorical, null_nonfinite, to_number, utc_date
-from cardlens.operators.joins import first_rows, asof_join, spine
+from cardlens.operators.joins import first_rows, spine
+from cardlens.operators.ordered import RANGE_ROWS
+from cardlens.operators.segments import asof
 from cardlens.operators.ordered import exact_percentiles, ordered_prefix
 
 MOST_CATEGORIES = 10_000
@@ -73,7 +75,7 @@ def training_frame(feats: DataFrame, labels: DataFrame, start=None, end=None, po
     s = spine(feats, labels, start, end)
     columns = [c for c in feats.columns if c not in ("transaction_id", "user_id", "card_id", "created_at")]
     if point_in_time:
-        joined = asof_join(s, feats, ["user_id", "card_id"], "event_timestamp", "created_at", columns, tie="transaction_id")
+        joined = asof(s, feats, ["user_id", "card_id"], "event_timestamp", "created_at", columns, tie="transaction_id")
     else:
         joined = s.join(feats.select("transaction_id", *columns), "transaction_id")
     return dedupe_by_id(joined, "transaction_id", ["event_timestamp"])
@@ -197,9 +199,13 @@ def scd2_merge(dim: DataFrame, changes: DataFrame, key: str, attributes: list[st
     return rows.withColumn("valid_to", F.lead("valid_from").over(w)).withColumn("is_current", F.col("valid_to").isNull())
 
 
-def scd2_asof(fact: DataFrame, dim: DataFrame, key: str, ts: str) -> DataFrame:
-    inside = (fact[ts] >= dim.valid_from) & (dim.valid_to.isNull() | (fact[ts] < dim.valid_to))
-    return fact.join(dim, (fact[key] == dim[key]) & inside, "left").drop(dim[key])
+def scd2_asof(fact: DataFrame, dim: DataFrame, key: str, ts: str, segment_rows: int = RANGE_ROWS) -> DataFrame:
+    """fact with the columns of the version of its key that is valid at ts; null where none is. Versions of a key begin at
+    different times, so the last one begun is the one, if it hasn't ended."""
+    others = [c for c in dim.columns if c != key]
+    out = asof(fact, dim, [key], ts, "valid_from", others, segment_rows=segment_rows)
+    valid = F.col("valid_to").isNull() | (F.col(ts) < F.col("valid_to"))
+    return out.select(*fact.columns, *[F.when(valid, F.col(c)).alias(c) for c in others])
 
 
 def uid_stats(df: DataFrame, uid: str, target: str) -> DataFrame:

@@ -9,24 +9,25 @@ from cardlens import schemas
 from cardlens.functions import scalar
 from cardlens.operators import history
 from cardlens.operators.joins import join_star, semi_active_history, time_slice
+from cardlens.operators.ordered import RANGE_ROWS
 
 
 def build_features(
-    tx: DataFrame, users: DataFrame, cards: DataFrame, merchants: DataFrame, start=None, end=None, hot_rows: int = history.HOT_ROWS
+    tx: DataFrame, users: DataFrame, cards: DataFrame, merchants: DataFrame, start=None, end=None, hot_rows: int = history.HOT_ROWS, segment_rows: int = RANGE_ROWS
 ) -> DataFrame:
     """The 39 feature columns of each transaction of [start, end), or of all; no feature looks past its transaction.
 
     For a slice, only cards and users active in it are read back in full, and the slice is cut after the windows. The
-    card's frames share one shuffle and sort, the user's another. Cards and users of hot_rows transactions or more are
-    done day by day instead, see history.
+    card's frames share one shuffle and sort, the user's another. Cards and users of hot_rows transactions or more go
+    over segments of about segment_rows rows instead, see history.
     """
     scope = tx if start is None and end is None else semi_active_history(tx, start, end)
     scope = scope.withColumn("amount_usd", F.col("amount_usd").cast("double"))
     ctx = join_star(scope, users, cards, merchants)
     t, c = F.col("created_at"), F.col
     hot = history.hot_keys(scope, ("card_id", "user_id"), hot_rows)
-    rows = history.with_history(ctx, "card_id", history.CARD_FIELDS, hot.get("card_id"))
-    rows = history.with_history(rows, "user_id", history.USER_FIELDS, hot.get("user_id"))
+    rows = history.with_history(ctx, "card_id", history.CARD_FIELDS, hot.get("card_id"), segment_rows)
+    rows = history.with_history(rows, "user_id", history.USER_FIELDS, hot.get("user_id"), segment_rows)
     rows = time_slice(rows, "created_at", start, end)
     full = rows.select(
         "*",

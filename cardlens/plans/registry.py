@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from cardlens import schemas
 from cardlens.functions import scalar, windows
-from cardlens.operators import history, joins, monitor, ordered, training
+from cardlens.operators import history, joins, monitor, ordered, segments, training
 from cardlens.plans.fixtures import Payments, oracle
 from cardlens.sources import tables
 from cardlens.streaming import ingest, velocity
@@ -435,7 +435,7 @@ query("join_star", "SELECT t.id, u.customer_segment, u.kyc_level, c.brand AS car
 query("join_labels", "SELECT f.transaction_id, f.card_tx_seq, l.label FROM feats f JOIN f_labels l USING (transaction_id)")(lambda p: p.features().select("transaction_id", "card_tx_seq").join(p.labels.select("transaction_id", "label"), "transaction_id"))
 query("join_spine", f"SELECT f.transaction_id, f.user_id, f.card_id, f.created_at AS event_timestamp, l.label FROM feats f JOIN f_labels l USING (transaction_id) WHERE f.created_at >= TIMESTAMP '{START}' AND f.created_at < TIMESTAMP '{END}'")(lambda p: joins.spine(p.features(), p.labels, START, END))
 query("join_point_in_time", f"WITH s AS (SELECT transaction_id, user_id, card_id, created_at - INTERVAL 1 MINUTE AS event_timestamp FROM feats WHERE created_at >= TIMESTAMP '{START}') SELECT s.transaction_id, f.card_tx_seq, round(f.amount_usd, 6) AS amount_usd FROM s ASOF LEFT JOIN feats f ON s.user_id = f.user_id AND s.card_id = f.card_id AND s.event_timestamp >= f.created_at")(
-    lambda p: (lambda f: joins.asof_join(joins.time_slice(f, "created_at", START).select("transaction_id", "user_id", "card_id", (C("created_at") - F.expr("INTERVAL 1 MINUTE")).alias("event_timestamp")), f, ["user_id", "card_id"], "event_timestamp", "created_at", ["card_tx_seq", "amount_usd"], tie="transaction_id"))(p.features()).select("transaction_id", "card_tx_seq", "amount_usd")
+    lambda p: (lambda f: segments.asof(joins.time_slice(f, "created_at", START).select("transaction_id", "user_id", "card_id", (C("created_at") - F.expr("INTERVAL 1 MINUTE")).alias("event_timestamp")), f, ["user_id", "card_id"], "event_timestamp", "created_at", ["card_tx_seq", "amount_usd"], tie="transaction_id"))(p.features()).select("transaction_id", "card_tx_seq", "amount_usd")
 )
 query("join_logs_labels", "SELECT transaction_id, prediction, label FROM f_logs JOIN f_labels USING (transaction_id)")(lambda p: p.logs.select("transaction_id", "prediction").join(p.labels.select("transaction_id", "label"), "transaction_id"))
 query("join_tx_labels", "SELECT t.id, t.status, l.label FROM f_tx t JOIN f_labels l ON l.transaction_id = t.id")(lambda p: p.tx.select("id", "status").join(p.labels.select(C("transaction_id").alias("id"), "label"), "id"))
@@ -563,7 +563,7 @@ query("d_is_late", "SELECT id, CAST(id % 3 * 45 > 60 AS INT) AS is_late FROM f_t
 W = "OVER (PARTITION BY card_id ORDER BY created_at RANGE BETWEEN INTERVAL {0} PRECEDING AND CURRENT ROW)"
 SPANS = {"1m": ("1 MINUTE", "1 MINUTE"), "5m": ("5 MINUTE", "5 MINUTE"), "1h": ("1 HOUR", "1 HOUR"), "24h": ("24 HOUR", "24 HOUR"), "7d": ("7 DAY", "7 DAY"), "30d": ("30 DAY", "30 DAY")}
 query("d_multi_window", "SELECT id, " + ", ".join(f"CAST(count(*) {W.format(s)} AS INT) AS n_{k}, round(sum(amount_usd) {W.format(s)}, 6) AS sum_{k}, round(max(amount_usd) {W.format(s)}, 6) AS max_{k}" for k, (s, _) in SPANS.items()) + f", CAST(count(DISTINCT merchant_id) {W.format('24 HOUR')} AS INT) AS merchants_24h FROM f_tx")(
-    lambda p: p.tx.select("id", *[x for k, (s, _) in SPANS.items() for x in (windows.trailing_count("card_id", s).alias(f"n_{k}"), windows.trailing_sum("amount_usd", "card_id", s).alias(f"sum_{k}"), windows.trailing("max(amount_usd)", "card_id", s).alias(f"max_{k}"))], windows.trailing_distinct("merchant_id", "card_id", "24 hours").alias("merchants_24h"))
+    lambda p: windows.multi_window(segments.distinct_in_span(*(lambda t: (t, "card_id", "merchant_id", 86_400_000_000, "merchants_24h", segments.splits_of(t)))(segments.timed(p.tx.select("id", "card_id", "merchant_id", "amount_usd", "created_at")))), "card_id", {k: s for k, (s, _) in SPANS.items()}).drop("card_id", "merchant_id", "amount_usd", "created_at", "_at")
 )
 query("d_gap_median", f"WITH g AS (SELECT id, card_id, created_at, (epoch_us(created_at) - lag(epoch_us(created_at)) OVER (PARTITION BY card_id ORDER BY created_at, id)) / 1e6 AS gap FROM f_tx) SELECT id, round(median(gap) {W.format('24 HOUR')}, 6) AS gap_median FROM g")(lambda p: training.gap_median(p.tx, "card_id", "24 hours"))
 query("d_chargeback_rate", f"WITH b AS (SELECT merchant_id, CAST(t.created_at AS DATE) AS day, label FROM f_tx t JOIN f_labels l ON l.transaction_id = t.id WHERE l.created_at <= TIMESTAMP '{REF}'), d AS (SELECT merchant_id, day, count(*) AS n, sum(label) AS bad FROM b GROUP BY 1, 2) SELECT merchant_id, CAST(day AS VARCHAR) AS day, round(sum(bad) OVER w / sum(n) OVER w, 6) AS rate FROM d WINDOW w AS (PARTITION BY merchant_id ORDER BY day RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)")(
@@ -574,7 +574,7 @@ query("d_uid_keys", "SELECT id, CAST(card_id AS VARCHAR) AS uid1, card_id || '|'
 )
 query("d_uid_stats", "SELECT t.id, s.* FROM f_tx t JOIN (SELECT card_id, round(avg(amount_usd), 6) AS card_id_amount_usd_mean, round(stddev_samp(amount_usd), 6) AS card_id_amount_usd_std, count(*) AS card_id_freq FROM f_tx GROUP BY card_id) s USING (card_id)")(lambda p: training.uid_stats(p.tx.select("id", "card_id", "amount_usd"), "card_id", "amount_usd").drop("amount_usd"))
 query("d_running_prior", "SELECT id, count(amount_usd) OVER w AS n, round(coalesce(sum(amount_usd) OVER w, 0), 6) AS total, round(avg(amount_usd) OVER w, 6) AS mean FROM f_tx WINDOW w AS (PARTITION BY card_id ORDER BY created_at, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")(
-    lambda p: p.tx.select("id", *[c.alias(n) for n, c in zip(("n", "total", "mean"), windows.running_prior("amount_usd", "card_id"), strict=True)])
+    lambda p: history.running_prior(p.tx.select("id", "card_id", "created_at", "amount_usd"), "card_id", "amount_usd").select("id", "n", "total", "mean")
 )
 query("d_freq_encode", f"SELECT t.id, t.device_id, coalesce(f.n, 1) AS device_id_freq FROM f_tx t LEFT JOIN (SELECT device_id, count(*) AS n FROM f_tx WHERE created_at < TIMESTAMP '{START}' AND device_id % 5 <> 0 GROUP BY 1) f USING (device_id)")(
     lambda p: training.frequency_encode(p.tx.select("id", "device_id"), "device_id", joins.time_slice(p.tx, "created_at", None, START).where("device_id % 5 <> 0"))

@@ -267,11 +267,11 @@ class Velocity(StatefulProcessor):
 
 
 def zscore_of(x: float, n: int, total: float, squares: float) -> float | None:
-    """scalar.zscore for one row: None for under two values, or no spread beyond what rounding leaves."""
+    """scalar.zscore for one row."""
     if n < 2:
         return None
     variance = (squares - total * total / n) / (n - 1)
-    return (x - total / n) / variance**0.5 if variance > 1e-12 * max(1.0, squares) else None
+    return (x - total / n) / variance**0.5 if variance > 1e-12 * squares else None
 
 
 def events(tx: DataFrame, key: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cardlens.operators import joins, model, ordered, training
+from cardlens.operators import joins, model, ordered, segments, training
 from cardlens.plans.fixtures import Payments
 from cardlens.plans.registry import CONTRACT
 from cardlens.sources import tables
@@ -72,9 +72,9 @@ def test_train_score_save(spark, tmp_path):
 def test_asof_tolerance_and_ties(spark):
     left = spark.createDataFrame([(1, 10), (1, 3), (2, 5)], "k int, t int").select("k", F.timestamp_seconds("t").alias("t"))
     right = spark.createDataFrame([(1, 2, "a", 1), (1, 2, "b", 2), (1, 9, "c", 3)], "k int, t int, v string, tie int").select("k", F.timestamp_seconds("t").alias("rt"), "v", "tie")
-    got = joins.asof_join(left, right, ["k"], "t", "rt", ["v"], tie="tie").select(F.unix_seconds("t"), "v").collect()
+    got = segments.asof(left, right, ["k"], "t", "rt", ["v"], tie="tie").select(F.unix_seconds("t"), "v").collect()
     assert sorted(map(tuple, got), key=str) == [(10, "c"), (3, "b"), (5, None)]
-    near = joins.asof_join(left, right, ["k"], "t", "rt", ["v"], tie="tie", tolerance="0 seconds").select("v").collect()
+    near = segments.asof(left, right, ["k"], "t", "rt", ["v"], tie="tie", tolerance="0 seconds").select("v").collect()
     assert {r.v for r in near} == {None}
 
 
