@@ -51,13 +51,24 @@ def chunks_of_tokens(texts: list[str | None]) -> Iterator[Tokens]:
 
 
 def by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
+    """The tokens of a task's texts by language, which are held until they make a chunk: a word is looked at once a chunk."""
+    held: dict[str, list] = {}
+    size: dict[str, int] = {}
+
+    def tokens(langs: list[str]) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
+        for lang in langs:
+            size.pop(lang)
+            for words, at in chunks_of_tokens(held.pop(lang)):
+                yield lang, words, at
+
     for batch in batches:
-        texts: dict[str, list] = {}
         for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
-            texts.setdefault(lang, []).append(text)
-        for lang, held in texts.items():
-            for words, at in chunks_of_tokens(held):
-                yield lang, words, at
+            held.setdefault(lang, []).append(text)
+            size[lang] = size.get(lang, 0) + len(text or "")
+        yield from tokens([lang for lang, n in size.items() if n >= CHUNK])
+        if sum(size.values()) >= 2 * CHUNK:
+            yield from tokens(list(size))
+    yield from tokens(list(size))
 
 
 def filters_of(keys: DataFrame) -> Filters:
