@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import groupby
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
 from cardlens.functions import scalar, windows
@@ -124,3 +130,73 @@ def running_prior(rows: DataFrame, key: str, value: str, segment_rows: int = RAN
     sums = {"n": F.when(F.col(value).isNotNull(), 1).otherwise(0).cast("long"), "total": F.col(value).cast("double")}
     out = segments.running(timed, [key], ["id"], sums, {}, segments.splits_of(timed, segment_rows)).drop("_at")
     return out.withColumns({"n": F.coalesce("n", F.lit(0)), "mean": F.col("total") / F.nullif(F.col("n"), F.lit(0)), "total": F.coalesce("total", F.lit(0.0))})
+
+
+def gap_median(tx: DataFrame, key: str, span: str = "1 hour", segment_rows: int = RANGE_ROWS) -> DataFrame:
+    """(id, gap_median): the median of the seconds between a key's transactions over the trailing span, rows of the same time
+    included; null where the span has none. An even number of them has the mean of the two in the middle.
+
+    A key is split by blocks of one span, and a block sees a copy of the one before. In a block, counts of the gaps' ranks in
+    a binary tree take up rows as they come and give them back as they leave; a row costs the logarithm of the block's rows.
+    """
+    width = MICROS[span]
+    timed = segments.timed(tx.select("id", key, "created_at"))
+    gaps = with_gap(timed, key, segments.splits_of(timed, segment_rows))
+    block = F.floor(F.col("_at") / width).cast("long")
+    copies = gaps.select("id", key, "_at", "_gap", F.explode(F.array(F.lit(0), F.lit(1))).alias("_copy")).withColumn("_block", block + F.col("_copy"))
+    placed = copies.select(F.xxhash64(key).alias("_hash"), F.col(key).cast("string").alias("_key"), "_block", "_at", "_gap", "_copy", "id").repartition("_key", "_block").sortWithinPartitions("_hash", "_key", "_block", "_at")
+
+    def medians(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in zip(*(b[c].to_pylist() for c in ("_hash", "_key", "_block", "_at", "_gap", "_copy", "id"))))
+        for _, held in groupby(rows, lambda r: r[:3]):
+            out = block_medians([r[3:] for r in held], width)
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], kind), pa.array([m for _, m in out], pa.float64())], ["id", "gap_median"])
+
+    kind = to_arrow_type(tx.schema["id"].dataType)
+    return placed.mapInArrow(medians, f"id {dict(tx.dtypes)['id']}, gap_median double").select("id", F.round("gap_median", 6).alias("gap_median"))
+
+
+def block_medians(rows: list[tuple], width: int) -> list[tuple]:
+    """(id, median) of the rows (at, gap, copy, id), in order of at, that are no copies."""
+    values = np.array([np.nan if g is None else g for _, g, _, _ in rows])
+    kinds, ranks = np.unique(values[~np.isnan(values)], return_inverse=True)
+    rank = np.full(len(rows), -1)
+    rank[~np.isnan(values)] = ranks
+    tree, top = [0] * (len(kinds) + 1), 1 << max(0, len(kinds).bit_length() - 1)
+    held = 0
+
+    def change(r: int, by: int) -> None:
+        r += 1
+        while r < len(tree):
+            tree[r] += by
+            r += r & -r
+
+    def smallest(k: int) -> float:
+        """The k-th smallest value held, from 0."""
+        at, step = 0, top
+        while step:
+            if at + step < len(tree) and tree[at + step] <= k:
+                at += step
+                k -= tree[at]
+            step >>= 1
+        return float(kinds[at])
+
+    out, left, i = [], 0, 0
+    while i < len(rows):
+        now, j = rows[i][0], i
+        while j < len(rows) and rows[j][0] == now:
+            if rank[j] >= 0:
+                change(int(rank[j]), 1)
+                held += 1
+            j += 1
+        while rows[left][0] < now - width:
+            if rank[left] >= 0:
+                change(int(rank[left]), -1)
+                held -= 1
+            left += 1
+        wanted = [r[3] for r in rows[i:j] if not r[2]]
+        if wanted:
+            median = (smallest((held - 1) // 2) + smallest(held // 2)) / 2 if held else None
+            out += [(r, median) for r in wanted]
+        i = j
+    return out

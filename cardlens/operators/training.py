@@ -81,11 +81,20 @@ def training_frame(feats: DataFrame, labels: DataFrame, start=None, end=None, po
     return dedupe_by_id(joined, "transaction_id", ["event_timestamp"])
 
 
-def score_levels(df: DataFrame, label: str, score: str) -> DataFrame:
-    """(s, p, n, p_before, n_before): positives and negatives at and below each score."""
+def score_levels(df: DataFrame, label: str, score: str, groups: tuple[str, ...] = ()) -> DataFrame:
+    """(groups, s, p, n, p_before, n_before): positives and negatives at and below each score."""
     rows = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
-    levels = rows.groupBy(F.col(score).cast("double").alias("s")).agg(F.sum((F.col(label) == 1).cast("long")).alias("p"), F.sum((F.col(label) != 1).cast("long")).alias("n"))
-    return ordered_prefix(levels, "s", ["p", "n"])
+    levels = rows.groupBy(*groups, F.col(score).cast("double").alias("s")).agg(F.sum((F.col(label) == 1).cast("long")).alias("p"), F.sum((F.col(label) != 1).cast("long")).alias("n"))
+    return ordered_prefix(levels, "s", ["p", "n"], groups)
+
+
+def average_precisions(df: DataFrame, label: str, score: str, group: str) -> DataFrame:
+    """(group, average_precision) of each group's scores, from one run over counts of scores; null without positives."""
+    run = score_levels(df, label, score, (group,))
+    total = run.groupBy(group).agg(F.sum("p").alias("tp"), F.sum("n").alias("tn"))
+    above_p, above = F.col("tp") - F.col("p_before"), F.col("tp") + F.col("tn") - F.col("p_before") - F.col("n_before")
+    gain = F.col("p") / F.nullif(F.col("tp").cast("double"), F.lit(0.0)) * above_p / above
+    return run.join(total, group).groupBy(group).agg(F.sum(gain).alias("average_precision"))
 
 
 def ranking(df: DataFrame, label: str, score: str, tie: str | None = None, fractions: dict[str, float] | None = None) -> DataFrame:
@@ -272,13 +281,6 @@ def daily_precision_at_k(df: DataFrame, ts: str, label: str, score: str, tie: st
     return ranked.where("_r <= _k").groupBy("day").agg(F.round(F.avg((F.col(label) == 1).cast("double")), 6).alias("precision"))
 
 
-def gap_median(tx: DataFrame, key: str, span: str = "1 hour") -> DataFrame:
-    """(id, median seconds between a key's transactions of the trailing span)."""
-    gaps = tx.withColumn("_gap", (F.unix_micros("created_at") - F.lag(F.unix_micros("created_at")).over(Window.partitionBy(key).orderBy("created_at", "id"))) / 1e6)
-    frame = F.expr(f"percentile(_gap, 0.5) OVER (PARTITION BY {key} ORDER BY created_at RANGE BETWEEN INTERVAL {span} PRECEDING AND CURRENT ROW)")
-    return gaps.select("id", F.round(frame, 6).alias("gap_median"))
-
-
 def daily_kpi(tx: DataFrame) -> DataFrame:
     return tx.groupBy(utc_date(F.col("created_at")).alias("day")).agg(F.count(F.lit(1)).alias("n_tx"), F.round(F.sum("amount_usd"), 4).alias("volume"), F.round(F.avg((F.col("status") == "declined").cast("double")), 6).alias("decline_rate"))
 

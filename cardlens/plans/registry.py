@@ -565,7 +565,7 @@ SPANS = {"1m": ("1 MINUTE", "1 MINUTE"), "5m": ("5 MINUTE", "5 MINUTE"), "1h": (
 query("d_multi_window", "SELECT id, " + ", ".join(f"CAST(count(*) {W.format(s)} AS INT) AS n_{k}, round(sum(amount_usd) {W.format(s)}, 6) AS sum_{k}, round(max(amount_usd) {W.format(s)}, 6) AS max_{k}" for k, (s, _) in SPANS.items()) + f", CAST(count(DISTINCT merchant_id) {W.format('24 HOUR')} AS INT) AS merchants_24h FROM f_tx")(
     lambda p: windows.multi_window(segments.distinct_in_span(*(lambda t: (t, "card_id", "merchant_id", 86_400_000_000, "merchants_24h", segments.splits_of(t)))(segments.timed(p.tx.select("id", "card_id", "merchant_id", "amount_usd", "created_at")))), "card_id", {k: s for k, (s, _) in SPANS.items()}).drop("card_id", "merchant_id", "amount_usd", "created_at", "_at")
 )
-query("d_gap_median", f"WITH g AS (SELECT id, card_id, created_at, (epoch_us(created_at) - lag(epoch_us(created_at)) OVER (PARTITION BY card_id ORDER BY created_at, id)) / 1e6 AS gap FROM f_tx) SELECT id, round(median(gap) {W.format('24 HOUR')}, 6) AS gap_median FROM g")(lambda p: training.gap_median(p.tx, "card_id", "24 hours"))
+query("d_gap_median", f"WITH g AS (SELECT id, card_id, created_at, (epoch_us(created_at) - lag(epoch_us(created_at)) OVER (PARTITION BY card_id ORDER BY created_at, id)) / 1e6 AS gap FROM f_tx) SELECT id, round(median(gap) {W.format('24 HOUR')}, 6) AS gap_median FROM g")(lambda p: history.gap_median(p.tx, "card_id", "24 hours"))
 query("d_chargeback_rate", f"WITH b AS (SELECT merchant_id, CAST(t.created_at AS DATE) AS day, label FROM f_tx t JOIN f_labels l ON l.transaction_id = t.id WHERE l.created_at <= TIMESTAMP '{REF}'), d AS (SELECT merchant_id, day, count(*) AS n, sum(label) AS bad FROM b GROUP BY 1, 2) SELECT merchant_id, CAST(day AS VARCHAR) AS day, round(sum(bad) OVER w / sum(n) OVER w, 6) AS rate FROM d WINDOW w AS (PARTITION BY merchant_id ORDER BY day RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW)")(
     lambda p: training.chargeback_rate(p.tx, p.labels, mature_by=REF)
 )

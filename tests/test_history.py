@@ -89,3 +89,22 @@ def test_versions_valid_at_a_time(spark, busy):
     inside = (F.col("created_at") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("created_at") < F.col("valid_to")))
     want = {r.id: r.version for r in busy.alias("b").join(dim.alias("d"), (F.col("b.card_id") == F.col("d.card_id")) & inside, "left").select("id", "version").collect()}
     assert got == want
+
+
+def test_medians_of_gaps(spark, busy):
+    """Against Spark's percentile over each row's frame."""
+    rows = busy.where("created_at is not null")
+    gaps = rows.withColumn("g", windows.gap_seconds("card_id"))
+    want = gaps.select("id", F.round(windows.trailing("percentile(g, 0.5)", "card_id", "1 hours"), 6).alias("m"))
+    assert {r.id: r.gap_median for r in history.gap_median(rows, "card_id", "1 hour", 40).collect()} == {r.id: r.m for r in want.collect()}
+    assert history.gap_median(busy, "card_id").count() == 900
+
+
+def test_a_block_of_many_rows_takes_no_frame_each():
+    rng = random.Random(1)
+    rows = [(i * 10, rng.random(), 0, i) for i in range(60_000)]
+    out = history.block_medians(rows, 300_000)
+    assert len(out) == 60_000
+    for i in rng.sample(range(60_000), 30):
+        held = sorted(r[1] for r in rows if rows[i][0] - 300_000 <= r[0] <= rows[i][0])
+        assert out[i][1] == (held[(len(held) - 1) // 2] + held[len(held) // 2]) / 2

@@ -123,3 +123,24 @@ def test_precision_among_ties(spark):
         want = sum(r.y for r in sorted(rows.collect(), key=lambda r: (-r.s, r.t))[:k]) / k
         assert abs(training.precision_at_k(rows, "y", "s", frac, "t").first()[0] - want) < 1e-6
     assert training.precision_at_k(rows.where("false"), "y", "s", 0.1, "t").first()[0] is None
+
+
+def test_rounds_are_chosen_by_average_precision(spark):
+    """The prefixes' precisions are those of models of that many trees, and the choice is that of a search over them."""
+    p = Payments(spark, SF)
+    frame = training.training_frame(p.features(), p.labels)
+    train, val = ordered.split_by_time(frame, "event_timestamp", "transaction_id")
+    contract = {"columns": ["card_amount_zscore", "channel", "card_tx_seq", "hour"], "encoders": {"channel": {"mobile_app": 0, "pos": 1, "web": 2}}}
+    train, val = train.cache(), val.cache()
+    rounds = 5
+    whole = model.train_classifier(train, None, contract, rounds=rounds, depth=3)
+    got = {r.rounds: r.average_precision for r in model.precision_by_rounds(whole, val, contract).collect()}
+    want = {}
+    for n in range(1, rounds + 1):
+        part = model.train_classifier(train, None, contract, rounds=n, depth=3)
+        scored = model.score_batch(val, part, contract, ("transaction_id", "label"))
+        want[n] = training.average_precision(scored, "label", "fraud_score").first()[0]
+    assert got.keys() == want.keys() and all(abs(got[n] - want[n]) < 1e-5 for n in want)
+    stopped = model.train_classifier(train, val, contract, rounds=rounds, depth=3, patience=2)
+    assert stopped.stages[-1].getNumTrees == model.best_rounds([want[n] for n in sorted(want)], 2)
+    assert model.best_rounds([0.1, 0.3, 0.2, 0.3, 0.9], 2) == 2 and model.best_rounds([0.1, 0.3, 0.2, 0.3, 0.9], 3) == 5 and model.best_rounds([None], 2) == 1
