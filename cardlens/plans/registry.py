@@ -10,9 +10,9 @@ from pyspark.sql.window import Window
 
 from cardlens import schemas
 from cardlens.functions import scalar, windows
-from cardlens.operators import history, joins, monitor, ordered, segments, training
+from cardlens.operators import history, joins, monitor, ordered, segments, sketches, training
 from cardlens.plans.fixtures import Payments, oracle
-from cardlens.sources import tables
+from cardlens.sources import slices, tables
 from cardlens.streaming import ingest, velocity
 
 START, END, REF = "2024-01-10 00:00:00", "2024-01-12 00:00:00", "2024-01-31 00:00:00"
@@ -61,31 +61,30 @@ def _stored(p: Payments, name: str, marked: bool = False) -> str:
     rows = p.features().withColumn("date", scalar.utc_date(C("created_at")))
     if marked:
         rows = rows.withColumn("amount_usd", F.when(C("created_at").between(START, END), -1.0).otherwise(C("amount_usd")))
-    tables.bulk_load(rows, path, "date")
+    if marked:
+        slices.replace_slices(rows, path, "date")
+    else:
+        tables.bulk_load(rows, path, "date")
     return path
 
 
-def _read_back(p: Payments, path: str) -> DataFrame:
-    return p.spark.read.parquet(path).select(*schemas.FEATURE_COLUMNS)
-
-
 @query("overwrite_slice", f"SELECT {FEATURE_LIST} FROM feats")
 def overwrite_slice(p: Payments) -> DataFrame:
     path = _stored(p, "features", marked=True)
-    tables.overwrite_slice(p.features(START, END).withColumn("date", scalar.utc_date(C("created_at"))), path, "date")
-    return _read_back(p, path)
+    slices.replace_slices(p.features(START, END).withColumn("date", scalar.utc_date(C("created_at"))), path, "date")
+    return slices.read_slices(p.spark, path).select(*schemas.FEATURE_COLUMNS)
 
 
 @query("d_backfill", f"SELECT {FEATURE_LIST} FROM feats")
 def d_backfill(p: Payments) -> DataFrame:
     path = _stored(p, "backfilled", marked=True)
     tables.backfill(p.features, path, START, END)
-    return _read_back(p, path)
+    return slices.read_slices(p.spark, path).select(*schemas.FEATURE_COLUMNS)
 
 
 @query("bulk_load", f"SELECT {FEATURE_LIST} FROM feats")
 def bulk_load(p: Payments) -> DataFrame:
-    return _read_back(p, _stored(p, "loaded"))
+    return p.spark.read.parquet(_stored(p, "loaded")).select(*schemas.FEATURE_COLUMNS)
 
 
 @query("write_training_snapshot", "SELECT count(*) AS n, CAST(sum(label) AS BIGINT) AS positives, round(sum(card_tx_seq), 6) AS seq, 1 AS versions FROM feats JOIN f_labels USING (transaction_id)")
@@ -459,6 +458,12 @@ query("requests_by_version", "SELECT date_trunc('hour', created_at) AS bucket, m
 query("traffic_share", "SELECT model_version, count(*) AS requests, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM f_logs GROUP BY 1")(lambda p: monitor.traffic_share(p.logs))
 query("flags_by_version", "SELECT date_trunc('hour', created_at) AS bucket, model_version, count(*) FILTER (WHERE prediction = 1) AS flags FROM f_logs GROUP BY 1, 2")(lambda p: monitor.flags_by_version(p.logs))
 query("latency_by_version", "SELECT date_trunc('hour', created_at) AS bucket, model_version, round(quantile_cont(latency_ms, 0.5), 6) AS p50, round(quantile_cont(latency_ms, 0.99), 6) AS p99 FROM f_logs GROUP BY 1, 2")(lambda p: monitor.latency_by_version(p.logs))
+query("latency_sketches", "SELECT date_trunc('hour', created_at) AS bucket, model_version, count(*) AS n, round(quantile_disc(latency_ms, 0.5), 6) AS p50, round(quantile_disc(latency_ms, 0.99), 6) AS p99 FROM f_logs GROUP BY 1, 2")(
+    lambda p: sketches.quantiles(sketches.latency_by_version(p.logs, size=4000), {"p50": 0.5, "p99": 0.99})
+)
+query("latency_sketches_merged", "SELECT date_trunc('day', created_at) AS day, count(*) AS n, round(quantile_disc(latency_ms, 0.5), 6) AS p50 FROM f_logs GROUP BY 1")(
+    lambda p: sketches.quantiles(sketches.merged(sketches.latency_by_version(p.logs, size=8000).withColumn("day", F.date_trunc("day", "bucket")), ("day",)), {"p50": 0.5})
+)
 query("table_counts", "SELECT 'transactions' AS table_name, count(*) AS n FROM f_tx UNION ALL SELECT 'users', count(*) FROM f_users UNION ALL SELECT 'cards', count(*) FROM f_cards UNION ALL SELECT 'labels', count(*) FROM f_labels")(lambda p: monitor.table_counts({"transactions": p.tx, "users": p.users, "cards": p.cards, "labels": p.labels}))
 query("label_rate", "SELECT round(avg(label), 6) AS rate FROM f_labels")(lambda p: monitor.label_rate(p.labels))
 query("separation_stats", "SELECT label, count(*) AS n, round(avg(CAST(billing_country_code IS DISTINCT FROM ip_country_code AS INT)), 6) AS geo_mismatch_rate, round(avg(amount_usd), 4) AS mean_amount, round(avg(CAST(status = 'declined' AS INT)), 6) AS decline_rate FROM f_tx t JOIN f_labels l ON l.transaction_id = t.id GROUP BY label")(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cardlens import schemas
 from cardlens.functions.scalar import utc_date
 from cardlens.operators.joins import new_rows, time_slice
+from cardlens.sources import slices
 
 
 def scan_table(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -42,7 +43,7 @@ def digest(df: DataFrame) -> str:
 def write_snapshot(df: DataFrame, path: str) -> str:
     """Write a training frame under version=<digest>; the same content has the same version and is written once."""
     version = digest(df)
-    df.write.mode("overwrite").parquet(f"{path}/version={version}")
+    slices.write_version(df, path, version)
     return version
 
 
@@ -108,14 +109,9 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def backfill(build: Callable[..., DataFrame], path: str, start: str, end: str, partition_by: str = "date") -> list:
-    """Build the rows of [start, end) again and replace their partitions; returns the partitions that were written."""
-    rows = build(start, end).withColumn(partition_by, utc_date(F.col("created_at"))).persist()
-    try:
-        overwrite_slice(rows, path, partition_by)
-        return sorted(r[0] for r in rows.select(partition_by).distinct().collect())
-    finally:
-        rows.unpersist()
+def backfill(build: Callable[..., DataFrame], path: str, start: str, end: str, partition_by: str = "date") -> int:
+    """Build the rows of [start, end) again and replace their slices at once; returns the number of the new manifest."""
+    return slices.replace_slices(build(start, end).withColumn(partition_by, utc_date(F.col("created_at"))), path, partition_by)
 
 
 def patch_labels(path: str, labels: DataFrame, since, until, partition_by: str = "date") -> None:

@@ -1,11 +1,13 @@
 """Writers, keyed inserts, models and contracts."""
 
+import pytest
+
 from pyspark.sql import functions as F
 
-from cardlens.operators import joins, model, ordered, segments, training
+from cardlens.operators import joins, model, monitor, ordered, segments, sketches, training
 from cardlens.plans.fixtures import Payments
 from cardlens.plans.registry import CONTRACT
-from cardlens.sources import tables
+from cardlens.sources import slices, tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -144,3 +146,60 @@ def test_rounds_are_chosen_by_average_precision(spark):
     stopped = model.train_classifier(train, val, contract, rounds=rounds, depth=3, patience=2)
     assert stopped.stages[-1].getNumTrees == model.best_rounds([want[n] for n in sorted(want)], 2)
     assert model.best_rounds([0.1, 0.3, 0.2, 0.3, 0.9], 2) == 2 and model.best_rounds([0.1, 0.3, 0.2, 0.3, 0.9], 3) == 5 and model.best_rounds([None], 2) == 1
+
+
+def test_readers_never_see_half_a_slice(spark, tmp_path, monkeypatch):
+    path = f"file://{tmp_path}/slices"
+    rows = lambda *r: spark.createDataFrame(list(r), "id int, x string, day string")
+    seen = lambda n=None: sorted(map(tuple, slices.read_slices(spark, path, n).select("id", "x", "day").collect()))
+    with pytest.raises(FileNotFoundError):
+        slices.read_slices(spark, path)
+    assert slices.replace_slices(rows((1, "a", "d1"), (2, "b", "d2")), path, "day") == 1
+    old = seen()
+    with monkeypatch.context() as m:
+
+        def fail(*_):
+            raise RuntimeError("lost between write and switch")
+
+        m.setattr(slices, "_switch", fail)
+        with pytest.raises(RuntimeError, match="between write and switch"):
+            slices.replace_slices(rows((9, "z", "d1"), (9, "z", "d2")), path, "day")
+    assert seen() == old == [(1, "a", "d1"), (2, "b", "d2")]
+    assert slices.replace_slices(rows((3, "c", "d2"), (4, "d", "d3")), path, "day") == 2
+    assert seen() == [(1, "a", "d1"), (3, "c", "d2"), (4, "d", "d3")] and seen(1) == old
+    assert slices.replace_slices(rows((5, "e", "d4")), path, "day", drop=("day=d1",)) == 3 and [r[0] for r in seen()] == [3, 4, 5]
+    with pytest.raises(RuntimeError, match="another writer"):
+        slices._switch(spark, path, 3, {})
+
+
+def test_a_version_is_there_whole_or_not(spark, tmp_path):
+    path = f"file://{tmp_path}/versions"
+    assert slices.write_version(spark.range(5), path, "v1") and not slices.write_version(spark.range(9), path, "v1")
+    assert spark.read.parquet(path).where("version = 'v1'").count() == 5
+
+
+def test_quantile_sketches_keep_their_bound_and_merge(spark):
+    rows = spark.range(60_000, numPartitions=6).select((F.col("id") % 3).alias("g"), (F.hash("id") % 10_000).cast("double").alias("x"), (F.col("id") % 7).alias("part"))
+    rows = rows.unionByName(spark.createDataFrame([(0, None, 0), (9, None, 0)], "g long, x double, part long"))
+    parts = sketches.quantile_sketches(rows, "x", ("g", "part"))
+    for made in (sketches.quantile_sketches(rows, "x", ("g",)), sketches.merged(parts, ("g",))):
+        for r in sketches.quantiles(made, {"p10": 0.1, "p50": 0.5, "p99": 0.99}).collect():
+            held = sorted(x.x for x in rows.where((F.col("g") == r.g) & F.col("x").isNotNull()).collect())
+            assert r.n == len(held) == 20_000
+            for name, p in (("p10", 0.1), ("p50", 0.5), ("p99", 0.99)):
+                below, until = sum(x < r[name] for x in held), sum(x <= r[name] for x in held)
+                error = sketches.rank_error() * 1.5 * len(held)  # the bound holds for 99 % of sketches
+                assert below - error <= p * len(held) <= until + error
+    shifted = rows.withColumn("x", F.col("x") * 0.8 + 500)
+    exact = monitor.psi(rows, shifted, "x").first()[0]
+    near = sketches.psi(sketches.quantile_sketches(rows, "x", (), 4000), sketches.quantile_sketches(shifted, "x", (), 4000)).first()[0]
+    assert abs(exact - near) < 0.02
+
+
+def test_sketches_of_a_stream(spark, tmp_path):
+    logs = Payments(spark, SF).logs.withColumn("created_at", F.col("created_at").cast("timestamp"))
+    logs.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(logs.schema).parquet(f"{tmp_path}/in").withWatermark("created_at", "1 hour")
+    sketches.latency_by_version(stream, "1 day").writeStream.format("memory").queryName("sk").outputMode("complete").trigger(availableNow=True).start().awaitTermination()
+    got = {(r.bucket, r.model_version): r.p50 for r in sketches.quantiles(spark.table("sk"), {"p50": 0.5}).collect()}
+    assert got == {(r.bucket, r.model_version): r.p50 for r in sketches.quantiles(sketches.latency_by_version(logs, "1 day"), {"p50": 0.5}).collect()} and len(got) > 30
