@@ -18,15 +18,15 @@ BASE = {
     "access": re.compile(r"AKIA[A-Z0-9]+"),
     "hex": re.compile(r"[0-9a-f]{24,}"),
 }
-#: Words that announce a credential, and what may stand between them and the value.
+#: Words that announce a credential, by themselves or behind a small letter as in dbPassword, and what may stand between them and the value.
 CONTEXT = re.compile(
-    r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_\x20-]?key|access[_\x20-]?key|private[_\x20-]?key|client[_\x20-]?secret|credentials?|authorization|bearer|login|pin)"""
+    r"""(?:(?<![A-Za-z])|(?-i:(?<=[a-z])(?=[A-Z])))(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_\x20-]?key|access[_\x20-]?key|private[_\x20-]?key|client[_\x20-]?secret|credentials?|authorization|bearer|login|pin)"""
     r"""(?![A-Za-z])["']?(?:(?P<sign>[\x20\t]*(?:[:=]=?|=>|->)[\x20\t]*)|[\x20\t]+(?:is|was)[\x20\t]+)(?:bearer[\x20\t]+|basic[\x20\t]+)?(?P<value>"[^"\n]+"|'[^'\n]+'|[^\s"'<>,;]+)""",
     re.I | re.A,
 )
 GUESSES = 8.0  # log10; a value that takes more is taken for a secret
-MOST_WORDS = 20_000  # of the corpus, that count as words
-LONGEST_WORD = 20
+MOST_WORDS = 200_000  # of the corpus, that count as words
+LONGEST_WORD = 40
 PERIODS = 8  # of repeats inside a value; a repeat that is the whole value may have any
 HELD_WORDS = 200_000  # counted in a task before they are handed on
 CUT = math.log10(2)  # that a known span costs besides its own guesses
@@ -46,6 +46,15 @@ LEET = str.maketrans("4@8301!$57", "aabeoiisst")
 DATE = re.compile(r"(?:19|20)\d{2}([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:(?:19|20)\d{2}|\d{2})|(?:19|20)\d{2}")
 
 
+#: Addresses, and the parts of urls in which there are words only: they are public, and one guesses them as a whole. A word in
+#: a large first letter, as nouns of other languages are, may be unknown if its letters go like a word's.
+ADDRESS = re.compile(
+    r"(?<![A-Za-z0-9._-])[A-Za-z]++(?:[._-][A-Za-z]++)*+[0-9]{0,4}+@[A-Za-z0-9-]++(?:\.[A-Za-z-]{2,}+)++"
+    r"|(?<![a-z0-9+])[a-z][a-z0-9+]*+://[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+(?::[0-9]++)?+(?:/[A-Za-z]*+(?:[-_.][A-Za-z]++)*+)*+",
+    re.A,
+)
+NOUN = re.compile(r"(?<![^\W\d_])(?=[^\W\d_]{8,40}+(?![^\W\d_]))[A-ZÀ-Þ](?:[^\W\d_aeiouyA-Z]{0,4}+[aeiouyà-ÿ]{1,3}+)++[^\W\d_aeiouyA-Z]{0,4}+(?![^\W\d_])")
+ADDRESS_COST, NOUN_COST = 5.0, 6.0
 DATES = (4, 6, 8, 10)  # lengths of what it matches
 
 
@@ -112,6 +121,15 @@ def span_cost(s: str, ranks: Mapping[str, int] = RANK) -> float | None:
     return min(known) if known else None
 
 
+def whole_spans(value: str) -> dict[int, list[tuple[int, float]]]:
+    """End of each address and noun in the value -> (start, cost)."""
+    out: dict[int, list[tuple[int, float]]] = {}
+    for pattern, cost in ((ADDRESS, ADDRESS_COST), (NOUN, NOUN_COST)):
+        for m in pattern.finditer(value):
+            out.setdefault(m.end(), []).append((m.start(), cost))
+    return out
+
+
 def smallest_period(s: str) -> int:
     """By the table of borders, in linear time."""
     border, k = [0] * len(s), 0
@@ -126,7 +144,7 @@ def smallest_period(s: str) -> int:
 def guess_cost(value: str, ranks: Mapping[str, int] = RANK) -> float:
     """log10 of the guesses for value: the least over all ways to cut it into spans, and 0.3 a known span.
 
-    A dynamic program over ends: the last span is a brute-force character, a word, a date, a repeat or a walk. Words and
+    A dynamic program over ends: the last span is a brute-force character, a word, an address, a date, a repeat or a walk. Words and
     dates end within a few characters of their start. Repeats (a period each) and walks are carried along: the cheapest
     start that the run at hand still covers goes on, so time is linear in the length. A value that as a whole repeats a
     longer part costs that part.
@@ -146,8 +164,11 @@ def guess_cost(value: str, ranks: Mapping[str, int] = RANK) -> float:
     run = [0] * (PERIODS + 1)  # characters that equal the one a period before
     repeat: list[tuple[float, int]] = [(math.inf, 0)] * (PERIODS + 1)  # cost without length, and start
     walk, walk_start, before = math.inf, 0, None
+    whole = whole_spans(value)
     for j in range(1, n + 1):
         c = best[j - 1] + single[j - 1]
+        for i, cost in whole.get(j, ()):
+            c = min(c, best[i] + cost + CUT)
         for length in range(2, min(LONGEST_WORD, j) + 1):
             i = j - length
             if (low[i:j] in ranks or plain[i:j] in ranks) and best[i] + CUT < c and (w := word_cost(value[i:j], ranks)) is not None:
@@ -213,8 +234,8 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def guessed_spans(text: str, base: list[tuple[int, int, str]], least: float = GUESSES, ranks: Mapping[str, int] = RANK) -> tuple[list[tuple[int, int, str]], float]:
-    """Values in a credential's context that take over 10**least guesses and lie outside base spans; the highest cost of all
-    values. After `is` and `was`, where prose goes on, a value must hold something besides letters."""
+    """Values in a credential's context that take over 10**least guesses and that no base span covers whole; the highest cost
+    of all values. After `is` and `was`, where prose goes on, a value must hold something besides letters."""
     out, highest = [], 0.0
     for m in CONTEXT.finditer(text):
         a, b = m.span("value")
@@ -227,7 +248,7 @@ def guessed_spans(text: str, base: list[tuple[int, int, str]], least: float = GU
             continue
         cost = guess_cost(text[a:b], ranks)
         highest = max(highest, cost)
-        if cost > least and not any(x < b and a < y for x, y, _ in base):
+        if cost > least and not any(x <= a and b <= y for x, y, _ in base):
             out.append((a, b, "guess"))
     return out, highest
 

@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -132,6 +133,23 @@ def test_secret_query_matches_plain(docs):
         assert sorted((s.start, s.end, s.kind) for s in r.base) == sorted(want)
 
 
+def test_whole_values_and_public_ones():
+    def added(text):
+        return [text[a:b] for a, b, _ in secrets.guessed_spans(text, secrets.base_spans(text))[0]]
+
+    assert added("password: hunter22!xK9vQ2#pLm7 end") == ["hunter22!xK9vQ2#pLm7"]
+    assert added("password: Tr0ub4dor&3xQ!z now") == ["Tr0ub4dor&3xQ!z"]
+    assert added('dbPassword = "zT7!kk#91QpL"') == ["zT7!kk#91QpL"] and not added('compassword = "zT7!kk#91QpL"')
+    for clean in ("login: jonathan.vanderbilt@corp-mail.example.org", "authorization: https://example.org/docs/how-to-log-in-safely", "bearer: Konstantinopolitanisch", "token: 0123456789abcdef0123"):
+        assert not added(clean), clean
+    assert added("authorization: https://example.org/in?k=aX9!bQ2zzT7 now") and added("login: xkqzvbtrw@") and added("pin: correcthorsebatterystaple")
+    long = "A" + "ba" * 200_000
+    began = time.process_time()
+    secrets.whole_spans(long + "@" + long)
+    secrets.whole_spans("Abcdfg" * 30_000)
+    assert time.process_time() - began < 5
+
+
 # 2
 
 
