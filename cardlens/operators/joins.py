@@ -30,13 +30,13 @@ def trailing(df: DataFrame, ts: str, ref, interval: str) -> DataFrame:
 
 
 def semi_active_history(tx: DataFrame, start, end) -> DataFrame:
-    """The whole history of every card and of every user with a transaction in the slice, each row once."""
+    """The whole history of every card and of every user with a transaction in the slice, each row once. The table is read
+    once, and the slice's keys twice."""
     active = time_slice(tx, "created_at", start, end)
-    by_card = tx.join(active.select("card_id").distinct(), "card_id", "left_semi").select(tx.columns)
-    users = active.select("user_id").distinct()
-    cards = active.select("card_id").distinct()
-    by_user = tx.join(users, "user_id", "left_semi").join(cards, "card_id", "left_anti").select(tx.columns)
-    return by_card.unionByName(by_user)
+    marked = tx
+    for key in ("card_id", "user_id"):
+        marked = marked.join(active.select(F.col(key).alias(f"_{key}")).where(F.col(f"_{key}").isNotNull()).distinct(), F.col(key) == F.col(f"_{key}"), "left")
+    return marked.where(F.col("_card_id").isNotNull() | F.col("_user_id").isNotNull()).select(tx.columns)
 
 
 def latest_snapshot(feats: DataFrame, keys: list[str], columns: list[str], until=None, previous: DataFrame | None = None, order: tuple[str, ...] = ("created_at", "computed_at")) -> DataFrame:

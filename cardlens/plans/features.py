@@ -25,7 +25,8 @@ def build_features(
     scope = scope.withColumn("amount_usd", F.col("amount_usd").cast("double"))
     ctx = join_star(scope, users, cards, merchants)
     t, c = F.col("created_at"), F.col
-    hot = history.hot_keys(scope, ("card_id", "user_id"), hot_rows)
+    # a table of fewer rows has no such key, and its rows are counted without reading columns
+    hot = history.hot_keys(scope, ("card_id", "user_id"), hot_rows) if tx.count() >= hot_rows else {}
     rows = history.with_history(ctx, "card_id", history.CARD_FIELDS, hot.get("card_id"), segment_rows)
     rows = history.with_history(rows, "user_id", history.USER_FIELDS, hot.get("user_id"), segment_rows)
     rows = time_slice(rows, "created_at", start, end)
