@@ -61,18 +61,35 @@ PATTERN_RULES = (
 )
 
 
+#: Options of filter lists that don't narrow a rule down for pages. Fixed values.
+PLAIN_OPTIONS = {"all", "doc", "document", "important"}
+
+
 def parse_rule(line: str) -> Rule | None:
     """A pattern rule from one line of a filter list; None for blank lines, comments and element rules.
 
     @@ begins an exception (allow); || anchors at the beginning of a host's label, | at the beginning or end of the url;
-    * stands for anything and ^ for a separator or the end. What follows $ (options) is left aside. Letters count in lower
-    case, as urls are matched. A literal token counts for the index only if the line bounds it on both sides.
+    * stands for anything and ^ for a separator or the end; a line between two / is a regular expression. Letters count in
+    lower case, as urls are matched. A literal token counts for the index only if the line bounds it on both sides.
+    Options behind $ narrow a rule down by what a url doesn't tell (who asks for it, and for what): such rules are left out,
+    but for the options of PLAIN_OPTIONS, which leave a rule as wide as it is.
     """
     line = line.strip()
     if not line or line[0] in "![" or "##" in line or "#@#" in line:
         return None
     action = "allow" if line.startswith("@@") else "block"
-    body = line.removeprefix("@@").partition("$")[0].lower()
+    body = line.removeprefix("@@")
+    expression = re.fullmatch(r"/(.+)/(?:\$([a-z0-9~=|.,_-]+))?", body)
+    body, options = (body, expression[2] or "") if expression else (lambda b, _, o: (b, o))(*body.partition("$"))
+    if {o for o in options.lower().split(",") if o} - PLAIN_OPTIONS:
+        return None
+    if expression:
+        try:
+            re.compile(expression[1])
+        except re.error:
+            return None
+        return Rule(action, pattern=f"(?i:{expression[1]})")
+    body = body.lower()
     out, bounded = "", ""
     if body.startswith("||"):
         out, body, bounded = r"^[^/]*//(?:[^/?#]*\.)?", body[2:], " "

@@ -780,3 +780,12 @@ def test_ids_are_those_of_the_tokenizer():
             assert encoder.ids(text).tolist() == want.ids
     for text in odd:
         assert encoder.ids(text).tolist() == tok.encode(text, add_special_tokens=False).ids, text[:40]
+
+
+def test_options_and_expressions_of_filter_lines():
+    for line in ("||ads.net^$third-party", "||a.net^$domain=b.com", "/banner[0-9]+/$script", "/ban(ner/"):
+        assert urlrules.parse_rule(line) is None, line
+    assert urlrules.parse_rule("||a.net^$important,document") == urlrules.parse_rule("||a.net^")
+    rule = urlrules.parse_rule("/banner[0-9]+/")
+    assert re.search(rule.pattern, "http://x.org/banner12/a") and not re.search(rule.pattern, "http://x.org/banner/a") and rule.tokens == ()
+    assert urlrules.parse_rule("@@/price$[a-z]/").action == "allow"
