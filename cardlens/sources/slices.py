@@ -85,3 +85,13 @@ def write_version(df: DataFrame, path: str, version: str) -> bool:
     if not fs.rename(_file_system(spark, aside)[1], target):
         raise RuntimeError(f"{path}: version {version} can't be put in place")
     return True
+
+
+def move_files(spark: SparkSession, source: str, target: str, prefix: str) -> None:
+    """Move what Spark has written into another folder under names with a prefix; each file is there whole or not."""
+    fs, folder = _file_system(spark, source)
+    fs.mkdirs(_file_system(spark, target)[1])
+    for s in fs.listStatus(folder):
+        name = s.getPath().getName()
+        if s.isFile() and name.startswith("part-") and not fs.rename(s.getPath(), _file_system(spark, f"{target}/{prefix}{name}")[1]):
+            raise RuntimeError(f"{target}/{prefix}{name} can't be put in place")
