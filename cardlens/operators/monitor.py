@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cardlens.functions.scalar import drift_band, utc_date, utc_hour_start
+from cardlens.operators.joins import time_slice
 from cardlens.operators.ordered import cumulative_shares, exact_percentiles
 
 
@@ -86,10 +87,6 @@ def review_rate(logs: DataFrame) -> DataFrame:
     return logs.agg(F.coalesce(100.0 * F.sum((F.col("prediction") == 1).cast("double")) / F.nullif(F.count(F.lit(1)).cast("double"), F.lit(0.0)), F.lit(0.0)).alias("review_rate"))
 
 
-def bucket(ts: str, span: str) -> Column:
-    return F.window(F.col(ts), span)["start"].alias("bucket")
-
-
 def requests_by_version(logs: DataFrame, span: str = "1 hour") -> DataFrame:
     """Also for streams, behind a watermark."""
     return logs.where("model_version is not null").groupBy(F.window("created_at", span).alias("w"), "model_version").agg(F.count(F.lit(1)).alias("requests")).select(F.col("w.start").alias("bucket"), "model_version", "requests")
@@ -273,13 +270,17 @@ def check_source(tx: DataFrame, labels: DataFrame) -> DataFrame:
     return tx.agg(F.count(F.lit(1)).alias("n_transactions")).crossJoin(labels.agg(F.count(F.lit(1)).alias("n_labels")))
 
 
-def check_coverage(tx: DataFrame, feats: DataFrame) -> DataFrame:
-    """One row: expected, actual, and how many transactions have no feature row."""
-    lost = tx.select(F.col("id").alias("transaction_id")).join(feats.select("transaction_id"), "transaction_id", "left_anti").agg(F.count(F.lit(1)).alias("missing"))
-    return tx.agg(F.count(F.lit(1)).alias("expected")).crossJoin(feats.agg(F.count(F.lit(1)).alias("actual"))).crossJoin(lost)
+def check_coverage(tx: DataFrame, feats: DataFrame, start=None, end=None) -> DataFrame:
+    """One row: expected, actual, and how many transactions have no feature row, of [start, end) or of all. Only ids and times
+    are read."""
+    ids = time_slice(tx.select(F.col("id").alias("transaction_id"), "created_at"), "created_at", start, end)
+    made = time_slice(feats.select("transaction_id", "created_at"), "created_at", start, end)
+    lost = ids.join(made, "transaction_id", "left_anti").agg(F.count(F.lit(1)).alias("missing"))
+    return ids.agg(F.count(F.lit(1)).alias("expected")).crossJoin(made.agg(F.count(F.lit(1)).alias("actual"))).crossJoin(lost)
 
 
 def raise_if_uncovered(coverage: DataFrame) -> None:
+    """Stop a job whose slice isn't covered; see check_coverage."""
     row = coverage.first()
     if row["missing"] or row["expected"] != row["actual"]:
         raise ValueError(f"{row['expected']} transactions, {row['actual']} feature rows, {row['missing']} without one")

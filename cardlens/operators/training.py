@@ -289,9 +289,3 @@ def merchant_leaderboard(tx: DataFrame, labels: DataFrame, k: int = 10) -> DataF
     both = tx.select("id", "merchant_id", "amount_usd").join(labels.select(F.col("transaction_id").alias("id"), "label"), "id", "left")
     per = both.groupBy("merchant_id").agg(F.count(F.lit(1)).alias("n_tx"), F.round(F.sum("amount_usd"), 4).alias("volume"), F.coalesce(F.sum(F.col("label").cast("long")), F.lit(0)).alias("frauds"))
     return per.orderBy(F.desc("n_tx"), "merchant_id").limit(k)
-
-
-def label_patch(feats: DataFrame, labels: DataFrame, since, until) -> DataFrame:
-    """Feature rows whose label came in [since, until), with it: the rows whose date partitions are to be rewritten."""
-    new = labels.where((F.col("created_at") >= F.lit(since).cast("timestamp")) & (F.col("created_at") < F.lit(until).cast("timestamp"))).select("transaction_id", "label")
-    return feats.join(new, "transaction_id")

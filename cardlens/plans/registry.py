@@ -460,6 +460,9 @@ query("d_identity_left_join", "SELECT t.id, u.customer_segment FROM f_tx t LEFT
 
 query("check_source", "SELECT (SELECT count(*) FROM f_tx) AS n_transactions, (SELECT count(*) FROM f_labels) AS n_labels")(lambda p: monitor.check_source(p.tx, p.labels))
 query("check_coverage", "SELECT (SELECT count(*) FROM f_tx) AS expected, (SELECT count(*) FROM feats) AS actual, (SELECT count(*) FROM f_tx WHERE id NOT IN (SELECT transaction_id FROM feats)) AS missing")(lambda p: monitor.check_coverage(p.tx, p.features()))
+query("check_coverage_slice", f"SELECT (SELECT count(*) FROM f_tx WHERE created_at >= TIMESTAMP '{START}' AND created_at < TIMESTAMP '{END}') AS expected, (SELECT count(*) FROM feats WHERE created_at >= TIMESTAMP '{START}' AND created_at < TIMESTAMP '{END}' AND transaction_id % 7 > 0) AS actual, (SELECT count(*) FROM f_tx WHERE created_at >= TIMESTAMP '{START}' AND created_at < TIMESTAMP '{END}' AND id % 7 = 0) AS missing")(
+    lambda p: monitor.check_coverage(p.tx, p.features(START, END).where("transaction_id % 7 > 0"), START, END)
+)
 query("agg_active_entities", f"SELECT DISTINCT card_id, user_id FROM f_tx WHERE created_at >= TIMESTAMP '{START}' AND created_at < TIMESTAMP '{END}'")(lambda p: joins.time_slice(p.tx, "created_at", START, END).select("card_id", "user_id").distinct())
 query("agg_card_moments", "SELECT card_id, count(*) AS n, round(sum(amount_usd), 6) AS total, round(sum(amount_usd * amount_usd), 4) AS squares, max(created_at) AS last_at FROM f_tx GROUP BY card_id")(lambda p: training.card_moments(p.tx).withColumn("squares", F.round("squares", 4)))
 query("agg_user_last_seen", "SELECT user_id, max(created_at) AS last_at FROM f_tx GROUP BY user_id")(lambda p: training.user_last_seen(p.tx))

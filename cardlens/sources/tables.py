@@ -27,11 +27,6 @@ def scan_jdbc(spark: SparkSession, url: str, table: str, column: str, lower, upp
     return spark.read.format("jdbc").options(url=url, dbtable=table, **ranges, **options).load()
 
 
-def scan_column(spark: SparkSession, path: str, column: str) -> DataFrame:
-    """One column without nulls; the scan reads no other."""
-    return spark.read.parquet(path).select(column).where(F.col(column).isNotNull())
-
-
 def digest(df: DataFrame) -> str:
     """Content digest that row order and partitioning don't change: row count and two sums of row hashes."""
     row = df.select(F.xxhash64(*df.columns).alias("h"), F.hash(*df.columns).alias("g")).agg(

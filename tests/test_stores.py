@@ -4,6 +4,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from cardlens import schemas
 from cardlens.operators import joins, model, monitor, ordered, segments, sketches, training
 from cardlens.plans.fixtures import Payments
 from cardlens.plans.registry import CONTRACT
@@ -203,3 +204,17 @@ def test_sketches_of_a_stream(spark, tmp_path):
     sketches.latency_by_version(stream, "1 day").writeStream.format("memory").queryName("sk").outputMode("complete").trigger(availableNow=True).start().awaitTermination()
     got = {(r.bucket, r.model_version): r.p50 for r in sketches.quantiles(spark.table("sk"), {"p50": 0.5}).collect()}
     assert got == {(r.bucket, r.model_version): r.p50 for r in sketches.quantiles(sketches.latency_by_version(logs, "1 day"), {"p50": 0.5}).collect()} and len(got) > 30
+
+
+def test_a_slice_that_is_not_covered_stops_the_job(spark):
+    p = Payments(spark, SF)
+    monitor.raise_if_uncovered(monitor.check_coverage(p.tx, p.features("2024-01-10", "2024-01-12"), "2024-01-10", "2024-01-12"))
+    with pytest.raises(ValueError, match="feature rows"):
+        monitor.raise_if_uncovered(monitor.check_coverage(p.tx, p.features("2024-01-10", "2024-01-12"), "2024-01-10", "2024-01-13"))
+
+
+def test_a_table_is_read_by_its_schema(spark, tmp_path):
+    p = Payments(spark, SF)
+    p.labels.select(*[F.col(f.name).cast(f.dataType) for f in schemas.schema("labels")], F.lit(1).alias("more")).write.parquet(f"{tmp_path}/labels")
+    got = tables.scan_table(spark, f"{tmp_path}/labels", "labels")
+    assert "more" not in got.columns and got.schema.simpleString() == schemas.schema("labels").simpleString()
