@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cardlens.llm.common import bound_batches, durable
+from cardlens.llm.common import SALTS, bound_batches, durable
 
 LONGEST = 5
 #: Share of documents in the sample, and how far below its expectation a proposal's count there may lie, in deviations.
@@ -330,5 +330,9 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, share: int
     )
     inside = split.where(size > 2).select("lang", F.explode(inner).alias("phrase"), F.col("a").alias("longer")).groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     kept = lowest.join(inside, ["lang", "phrase"], "left").where(F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * share))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return kept.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")
+    order = (F.desc("score"), F.desc("a"), F.col("phrase"))
+    # a language's phrases are cut down by salts first, so that its last task ranks at most SALTS * top of them
+    dealt = kept.withColumn("_salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    few = dealt.withColumn("_r", F.row_number().over(Window.partitionBy("lang", "_salt").orderBy(*order))).where(F.col("_r") <= top)
+    ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
+    return ranked.select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")
