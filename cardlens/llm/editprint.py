@@ -214,30 +214,35 @@ def edit_distance(a: str, b: str, most: int) -> int:
     return most + 1
 
 
-def edit_classes(docs: DataFrame, similarity: float = 0.9, bands: int = 24, width: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def edit_classes(docs: DataFrame, similarity: float = 0.9, bands: int = 24, width: int = 6, further: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, class_id (smallest doc_id of texts linked to it), n_links of its text.
 
     A band is `width` samples of one level; texts that agree on a band are compared, by their edit distance (at most
-    1 - similarity of the longer text). Equal texts meet once. In a band's bucket the texts are compared with the
-    one of the smallest hash and with the next in order of hash, so a bucket gives two pairs a text and never all.
+    1 - similarity of the longer text). Equal texts meet once. A band's bucket is sorted by `further` more samples of the
+    band's own order, which splits a large one as narrower bands would, and a text is compared with the next two there and
+    with the one of the smallest hash: three pairs a text, never all. A pair that no band brings side by side is missed;
+    a test holds the share against all pairs.
     """
     prints = fingerprint_texts(docs, id_col, text_col).withColumn("h", F.xxhash64("text"))
     rows = durable(prints, "prints")
     texts = rows.groupBy("h").agg(F.min("doc_id").alias("first"), F.first("fingerprint").alias("fingerprint"), F.first("text").alias("text"))
     rng = np.random.default_rng([SEED, bands, width])
-    chosen = [sorted(rng.choice(SAMPLES, width, replace=False).tolist()) for _ in range(bands)]
+    drawn = [rng.permutation(SAMPLES)[: width + further].tolist() for _ in range(bands)]
     level = F.conv(F.substring("fingerprint", 1, 2), 16, 10).cast("int")
+    samples = lambda half, places: F.concat(*[F.substring("fingerprint", 3 + 2 * (half * SAMPLES + p), 2) for p in places])
     keys = [
-        F.struct((level + half).alias("level"), F.lit(k).alias("band"), F.concat(*[F.substring("fingerprint", 3 + 2 * (half * SAMPLES + p), 2) for p in some]).alias("v"))
+        F.struct(F.struct((level + half).alias("level"), F.lit(k).alias("band"), samples(half, some[:width]).alias("v")).alias("key"), samples(half, some[width:]).alias("rest"))
         for half in (0, 1)
-        for k, some in enumerate(chosen)
+        for k, some in enumerate(drawn)
     ]
-    banded = texts.select("h", F.explode(F.array(*keys)).alias("key")).where(~F.col("key.v").rlike("^0*$"))
+    banded = texts.select("h", F.explode(F.array(*keys)).alias("b")).select("h", "b.key", "b.rest").where(~F.col("key.v").rlike("^0*$"))
     from pyspark.sql.window import Window
 
     smallest = banded.groupBy("key").agg(F.min("h").alias("a")).join(banded, "key").where("a <> h").select("a", F.col("h").alias("b"))
-    chained = banded.select("h", F.lag("h").over(Window.partitionBy("key").orderBy("h")).alias("a")).where("a <> h").select("a", F.col("h").alias("b"))
-    pairs = smallest.union(chained).distinct()
+    order = Window.partitionBy("key").orderBy("rest", "h")
+    beside = banded.select("h", F.lag("h").over(order).alias("one"), F.lag("h", 2).over(order).alias("two"))
+    chained = beside.select("h", F.explode(F.array("one", "two")).alias("a")).where("a <> h").select("a", F.col("h").alias("b"))
+    pairs = smallest.union(chained).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     sides = texts.select("h", "text")
     both = pairs.join(sides.toDF("a", "ta"), "a").join(sides.toDF("b", "tb"), "b")
 
