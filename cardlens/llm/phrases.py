@@ -20,8 +20,8 @@ SAMPLE, SLACK = 0.1, 2.2
 #: Membership filters have at least this many bits a key, up to MOST_BITS (32 MB). A fuller filter lets more phrases be
 #: counted than needed; it never loses one.
 BITS_A_KEY, MOST_BITS = 16, 1 << 28
-FLUSH = 2_000_000  # occurrences that a task adds up before it sends their sums on
-CHUNK = 8 << 20  # bytes of text cut into words at a time, to the end of a piece
+FLUSH = 1_000_000  # occurrences that a task adds up before it sends their sums on
+CHUNK = 4 << 20  # bytes of text cut into words at a time, to the end of a piece
 REMEMBERED = 400_000  # words whose hashes a task keeps
 
 MARK = b"\xff"  # between pieces; in no UTF-8 text
