@@ -197,6 +197,26 @@ def test_quantile_sketches_keep_their_bound_and_merge(spark):
     assert abs(exact - near) < 0.02
 
 
+def test_quantiles_between_sketches_are_exact(spark):
+    """Groups of many more rows than a sketch holds, a null group, one without values, and sketches that mislead."""
+    rows = spark.range(50_000, numPartitions=4).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"), (F.hash("id") % 20_000).cast("double").alias("x"))
+    rows = rows.unionByName(spark.createDataFrame([(1, None), (9, None)], "g long, x double"))
+    names = {"p0": 0.0, "p50": 0.5, "p99": 0.99, "p100": 1.0}
+    made = sketches.quantile_sketches(rows, "x", ("g",))
+    held = {}
+    for r in rows.collect():
+        held.setdefault(r.g, []).append(r.x)
+    want = {}
+    for g, xs in held.items():
+        v = sorted(x for x in xs if x is not None)
+        want[g] = (len(xs), *[v[max(1, -(-len(v) * round(p * 100) // 100)) - 1] if v else None for p in names.values()])
+    misled = sketches.quantile_sketches(rows.withColumn("x", F.col("x") + 1e6), "x", ("g",))
+    for found in (made, misled):
+        assert {r.g: tuple(r)[1:] for r in sketches.exact_quantiles(rows, "x", found, ("g",), names).collect()} == want
+    near = {r.g: (r.p50, r.p99) for r in sketches.quantiles(made, names).collect()}
+    assert any(near[g] != (want[g][2], want[g][3]) for g in near)
+
+
 def test_sketches_of_a_stream(spark, tmp_path):
     logs = Payments(spark, SF).logs.withColumn("created_at", F.col("created_at").cast("timestamp"))
     logs.write.parquet(f"{tmp_path}/in")
