@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -15,6 +15,8 @@ HOUR = 3_600_000_000
 DAY = 24 * HOUR
 #: Members are kept in slices of this length; an hour and a day are whole numbers of them.
 SLICE = 300_000_000
+#: Sums between two slices that a batch keeps for its next rows.
+MOST_BETWEEN = 16
 TOTALS = "n long, total double, squares double, last_us long, slices array<long>, counts array<long>, amounts array<double>, declines array<long>"
 MEMBERS = "at array<long>, amount array<double>, declined array<boolean>, id array<string>"
 OUT = "{key} {kind}, id string, tx_count_1h int, tx_count_24h int, amount_sum_24h double, declines_24h int, seconds_since_last_tx double, amount_zscore double, tx_seq long, late boolean"
@@ -66,9 +68,11 @@ class Slice:
 
 class History:
     """One key's state during a batch. Slices' totals are read and written as one value, the members of a slice and the ids
-    only where rows touch them: those of the row's own slice and of the slices in which its windows begin."""
+    only where rows touch them: those of the row's own slice and of the slices in which its windows begin. What a batch both
+    brings and drops never reaches the state. Where a batch has as many rows as the state has slices, the slices tell which
+    ids are there; otherwise each id is looked up."""
 
-    def __init__(self, totals, members, seen):
+    def __init__(self, totals, members, seen, rows: int = 0):
         self.totals, self.members, self.seen = totals, members, seen
         self.n, self.total, self.squares, self.last = 0, 0.0, 0.0, None
         self.sums: dict[int, list] = {}
@@ -76,11 +80,18 @@ class History:
             self.n, self.total, self.squares, self.last, slices, *sums = totals.get()
             self.sums = {b: list(x) for b, *x in zip(slices, *sums)}
         self.oldest = min(self.sums, default=None)
+        self.stored = set(self.sums)
+        self.dropped: set[int] = set()
+        self.gone: set[str] = set()
         self.held: dict[int, Slice] = {}
         self.changed: set[int] = set()
         self.ids: dict[str, tuple[int, str | None]] = {}
         self.new_ids: set[str] = set()
         self.between: dict[tuple[int, int], tuple[int, float, int]] = {}
+        #: Ids that the state holds; None where they are looked up.
+        self.there: set[str] | None = None
+        if len(self.stored) <= rows:
+            self.there = {member for b in self.stored for member in self.slice(b).ids}
 
     def slice(self, b: int) -> Slice:
         if b not in self.held:
@@ -90,7 +101,7 @@ class History:
 
     def known(self, member: str) -> tuple[int, str | None] | None:
         """(time, features of its first time) of a member of the retention."""
-        if member not in self.ids and self.seen.containsKey((member,)):
+        if member not in self.ids and member not in self.gone and (self.there is None or member in self.there) and self.seen.containsKey((member,)):
             self.ids[member] = tuple(self.seen.getValue((member,)))
         return self.ids.get(member)
 
@@ -99,7 +110,9 @@ class History:
         b = at // SLICE
         first = b - span // SLICE
         if (b, first) not in self.between:
-            inner = [self.sums[x] for x in range(first + 1, b) if x in self.sums]
+            inner = [x for s, x in self.sums.items() if first < s < b] if len(self.sums) < b - first else [self.sums[x] for x in range(first + 1, b) if x in self.sums]
+            if len(self.between) > MOST_BETWEEN:
+                self.between.clear()
             self.between[b, first] = tuple(map(sum, zip(*inner))) if inner else (0, 0.0, 0)
         parts = [self.between[b, first]]
         if b in self.sums:
@@ -134,18 +147,26 @@ class History:
         """Drop slices that end before a time, with their ids; each member once."""
         while self.oldest is not None and (self.oldest + 1) * SLICE <= before:
             b = self.oldest
-            for member in self.slice(b).ids:
+            members = self.slice(b).ids
+            for member in members:
                 self.ids.pop(member, None)
                 self.new_ids.discard(member)
-                if self.seen.containsKey((member,)):
-                    self.seen.removeKey((member,))
+            if b in self.stored:
+                self.dropped.add(b)
+                self.gone.update(members)
             del self.held[b], self.sums[b]
             self.changed.discard(b)
-            if self.members.containsKey((b,)):
-                self.members.removeKey((b,))
             self.oldest = min(self.sums, default=None)
 
     def store(self) -> None:
+        if self.dropped and self.dropped == self.stored:
+            self.members.clear()
+            self.seen.clear()
+        else:
+            for b in self.dropped:
+                self.members.removeKey((b,))
+            for member in self.gone:
+                self.seen.removeKey((member,))
         order = sorted(self.sums)
         columns = [list(x) for x in zip(*(self.sums[b] for b in order))] or [[], [], []]
         self.totals.update((self.n, self.total, self.squares, self.last, order, *columns))
@@ -176,41 +197,44 @@ class Velocity(StatefulProcessor):
         self.members = handle.getMapState("members", "slice long", MEMBERS, ttlDurationMs=self.ttl)
         self.seen = handle.getMapState("seen", "id string", "at long, features string", ttlDurationMs=self.ttl)
 
-    def _history(self) -> History:
-        return History(self.totals, self.members, self.seen)
+    def _history(self, rows: int = 0) -> History:
+        return History(self.totals, self.members, self.seen, rows)
 
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
         past = self._history()
-        for row in initialState.itertuples(index=False):
-            if row.members is None:
-                past.n, past.total, past.squares, past.last = int(row.n), float(row.total), float(row.squares), int(row.last_us)
-            else:
-                for m in row.members:
-                    past.append(int(m["at"]), float(m["amount"]), bool(m["declined"]), m["id"], None)
+        if initialState.members is None:
+            past.n, past.total, past.squares, past.last = initialState.n, initialState.total, initialState.squares, initialState.last_us
+        else:
+            for m in initialState.members:
+                past.append(m["at"], m["amount"], m["declined"], m["id"], None)
         past.store()
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        past = self._history()
-        batch = pd.concat(list(rows)).sort_values(["at", "id"], kind="stable")
-        out = self.features(past, batch)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        batch = sorted(((r.id, float("nan") if r.amount is None else r.amount, r.at, r.declined, r.kind) for r in rows), key=lambda r: (r[2], r[0]))
+        past = self._history(len(batch))
+        out = self.taken(past, batch)
         past.store()
         if self.timers and past.sums:
             for timer in self.handle.listTimers():
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer((past.last + self.retention) // 1000 + SLICE // 1000)
-        frame = pd.DataFrame(out, columns=["id", *FIELDS])
-        frame.insert(0, self.key, key[0])
-        yield frame
+        named = Row(self.key, "id", *FIELDS)
+        for found in out:
+            yield named(key[0], *found)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         past = self._history()
         past.evict(expiredTimerInfo.getExpiryTimeInMs() * 1000 - self.retention)
         past.store()
         return iter(())
 
     def features(self, past: History, batch: pd.DataFrame) -> list[tuple]:
+        return self.taken(past, zip(*(batch[c].tolist() for c in INPUT)))
+
+    def taken(self, past: History, batch: Iterable[tuple]) -> list[tuple]:
+        """Rows (INPUT) in order into the state; returns id and features of each transaction."""
         out = []
-        for member, amount, at, declined, kind in zip(*(batch[c].tolist() for c in INPUT)):
+        for member, amount, at, declined, kind in batch:
             if kind == "status":
                 past.mark(member, bool(declined))
                 continue
@@ -300,7 +324,7 @@ def velocity_stream(stream: DataFrame, key: str, initial: DataFrame | None = Non
     processor = Velocity(key, retention_hours * HOUR, None if ttl_days is None else ttl_days * 86_400_000, delay is not None)
     if delay is not None:
         stream = stream.withColumn("event_time", F.timestamp_micros("at")).withWatermark("event_time", delay)
-    return stream.groupBy(key).transformWithStateInPandas(
+    return stream.groupBy(key).transformWithState(
         statefulProcessor=processor,
         outputStructType=OUT.format(key=key, kind=dict(stream.dtypes)[key]),
         outputMode="Append",

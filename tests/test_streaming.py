@@ -231,6 +231,21 @@ def test_cost_of_a_busy_key_follows_its_rows():
     assert last[0][2] == 100_001 and Held.calls < 20  # a row reads no more than the slices its windows begin in
 
 
+def test_members_that_come_and_go_within_a_batch_never_reach_the_state():
+    """Rows a day apart: a key's batches make fewer calls than they have rows, and the state holds the last members only."""
+    t, state, n = 1_700_000_000_000_000, (Held(), Held(), Held()), 20
+    processor = velocity.Velocity("card_id", 25 * velocity.HOUR, None)
+    Held.calls = 0
+    for b in range(3):
+        rows = [(f"m{b}-{i}", 1.0, t + (b * n + i) * 26 * velocity.HOUR, False, "transaction") for i in range(n)]
+        past = velocity.History(*state, n)
+        out = processor.features(past, pd.DataFrame(rows, columns=list(velocity.INPUT)))
+        past.store()
+        assert [r[2] for r in out] == [1] * n and out[-1][7] == (b + 1) * n
+    assert Held.calls < n
+    assert list(state[2]) == [(f"m2-{n - 1}",)] and len(state[1]) == 1
+
+
 def test_timers_evict_members_of_silent_keys(spark, tmp_path):
     hour, t = velocity.HOUR, 1_700_000_000_000_000
     rows = [(1, "a", 10.0, t, False, "transaction"), (2, "b", 5.0, t + 40 * hour, False, "transaction"), (2, "c", 5.0, t + 41 * hour, False, "transaction"), (2, "d", 5.0, t + 42 * hour, False, "transaction")]
