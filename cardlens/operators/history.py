@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -18,6 +19,9 @@ from cardlens.operators.ordered import RANGE_ROWS
 
 #: Keys with so many rows go over segments of time.
 HOT_ROWS = 5_000_000
+#: Blocks of gaps up to this size go without a tree.
+FEW_ROWS = 256
+OUT_ROWS = 10_000
 MICROS = {"1 hour": 3_600_000_000, "24 hours": 86_400_000_000}
 
 CARD_FIELDS = {
@@ -136,8 +140,9 @@ def gap_median(tx: DataFrame, key: str, span: str = "1 hour", segment_rows: int
     """(id, gap_median): the median of the seconds between a key's transactions over the trailing span, rows of the same time
     included; null where the span has none. An even number of them has the mean of the two in the middle.
 
-    A key is split by blocks of one span, and a block sees a copy of the one before. In a block, counts of the gaps' ranks in
-    a binary tree take up rows as they come and give them back as they leave; a row costs the logarithm of the block's rows.
+    A key is split by blocks of one span, and a block sees a copy of the one before. In a block,
+    counts of the gaps' ranks in a binary tree take up rows as they come and give them back as they leave; a row costs the
+    logarithm of the block's rows. Blocks of few rows keep their gaps in a sorted list. Blocks share batches of results.
     """
     width = MICROS[span]
     timed = segments.timed(tx.select("id", key, "created_at"))
@@ -146,18 +151,28 @@ def gap_median(tx: DataFrame, key: str, span: str = "1 hour", segment_rows: int
     copies = gaps.select("id", key, "_at", "_gap", F.explode(F.array(F.lit(0), F.lit(1))).alias("_copy")).withColumn("_block", block + F.col("_copy"))
     placed = copies.select(F.xxhash64(key).alias("_hash"), F.col(key).cast("string").alias("_key"), "_block", "_at", "_gap", "_copy", "id").repartition("_key", "_block").sortWithinPartitions("_hash", "_key", "_block", "_at")
 
-    def medians(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (r for b in batches for r in zip(*(b[c].to_pylist() for c in ("_hash", "_key", "_block", "_at", "_gap", "_copy", "id"))))
-        for _, held in groupby(rows, lambda r: r[:3]):
-            out = block_medians([r[3:] for r in held], width)
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], kind), pa.array([m for _, m in out], pa.float64())], ["id", "gap_median"])
-
     kind = to_arrow_type(tx.schema["id"].dataType)
-    return placed.mapInArrow(medians, f"id {dict(tx.dtypes)['id']}, gap_median double").select("id", F.round("gap_median", 6).alias("gap_median"))
+    return placed.mapInArrow(lambda batches: medians_of(batches, width, kind), f"id {dict(tx.dtypes)['id']}, gap_median double").select("id", F.round("gap_median", 6).alias("gap_median"))
+
+
+def medians_of(batches: Iterator[pa.RecordBatch], width: int, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """(id, gap_median) of rows in order of block and time, OUT_ROWS or a block's a batch."""
+    rows = (r for b in batches for r in zip(*(b[c].to_pylist() for c in ("_hash", "_key", "_block", "_at", "_gap", "_copy", "id"))))
+    told = lambda out: pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], kind), pa.array([m for _, m in out], pa.float64())], ["id", "gap_median"])
+    out = []
+    for _, held in groupby(rows, lambda r: r[:3]):
+        out += block_medians([r[3:] for r in held], width)
+        if len(out) >= OUT_ROWS:
+            yield told(out)
+            out = []
+    if out:
+        yield told(out)
 
 
 def block_medians(rows: list[tuple], width: int) -> list[tuple]:
     """(id, median) of the rows (at, gap, copy, id), in order of at, that are no copies."""
+    if len(rows) <= FEW_ROWS:
+        return sorted_medians(rows, width)
     values = np.array([np.nan if g is None else g for _, g, _, _ in rows])
     kinds, ranks = np.unique(values[~np.isnan(values)], return_inverse=True)
     rank = np.full(len(rows), -1)
@@ -200,3 +215,23 @@ def block_medians(rows: list[tuple], width: int) -> list[tuple]:
             out += [(r, median) for r in wanted]
         i = j
     return out
+
+
+def sorted_medians(rows: list[tuple], width: int) -> list[tuple]:
+    """block_medians for few rows."""
+    out, held, left, i = [], [], 0, 0
+    while i < len(rows):
+        now, j = rows[i][0], i
+        while j < len(rows) and rows[j][0] == now:
+            if rows[j][1] is not None and rows[j][1] == rows[j][1]:
+                insort(held, rows[j][1])
+            j += 1
+        while rows[left][0] < now - width:
+            if rows[left][1] is not None and rows[left][1] == rows[left][1]:
+                del held[bisect_left(held, rows[left][1])]
+            left += 1
+        n = len(held)
+        median = (held[(n - 1) // 2] + held[n // 2]) / 2 if n else None
+        out += [(r[3], median) for r in rows[i:j] if not r[2]]
+        i = j
+    return out

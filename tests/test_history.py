@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -100,6 +101,21 @@ def test_medians_of_gaps(spark, busy):
     assert history.gap_median(busy, "card_id").count() == 900
 
 
+def test_small_blocks_share_batches_and_agree_with_the_tree(monkeypatch):
+    names = ["_hash", "_key", "_block", "_at", "_gap", "_copy", "id"]
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in ([1] * 5000, ["k"] * 5000, range(5000), range(5000), [1.5] * 5000, [0] * 5000, range(5000))], names)
+    out = list(history.medians_of(iter([batch]), 10, pa.int64()))
+    assert len(out) == 1 and out[0].num_rows == 5000 and set(out[0]["gap_median"].to_pylist()) == {1.5}
+    rng = random.Random(3)
+    for _ in range(50):
+        times = sorted(rng.randrange(1000) for _ in range(rng.randrange(1, 200)))
+        rows = [(t, rng.choice([None, float(rng.randrange(20))]), rng.randrange(2), i) for i, t in enumerate(times)]
+        few = history.block_medians(rows, 100)
+        monkeypatch.setattr(history, "FEW_ROWS", 0)
+        assert few == history.block_medians(rows, 100)
+        monkeypatch.undo()
+
+
 def test_a_block_of_many_rows_takes_no_frame_each():
     rng = random.Random(1)
     rows = [(i * 10, rng.random(), 0, i) for i in range(60_000)]
