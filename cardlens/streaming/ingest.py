@@ -17,10 +17,10 @@ from cardlens.streaming.velocity import with_rocksdb
 
 def read_messages(spark: SparkSession, source: dict) -> DataFrame:
     """A stream with the column value: Kafka from the earliest offset; a log of files, so many messages a poll (format
-    message_log); or text files where a folder is given."""
+    message_log; with span, polled by executors over ranges of so many bytes); or text files where a folder is given."""
     if source.get("format") == "message_log":
         register(spark)
-        return spark.readStream.format("message_log").options(path=source["path"], most=str(source.get("most", 100))).load().select("value")
+        return spark.readStream.format("message_log").options(path=source["path"], most=str(source.get("most", 100)), **({"span": str(source["span"])} if "span" in source else {})).load().select("value")
     if source.get("format", "kafka") == "kafka":
         options = {"kafka.bootstrap.servers": source["servers"], "subscribe": source["topic"], "startingOffsets": "earliest", "maxOffsetsPerTrigger": str(source.get("most", 100_000))}
         return spark.readStream.format("kafka").options(**options).load().selectExpr("CAST(value AS STRING) AS value")

@@ -360,6 +360,30 @@ def test_message_log_polls_and_goes_on_after_a_restart(spark, tmp_path):
     assert [x for k, x in sizes if k == last] == before * 2
 
 
+def test_message_log_is_polled_by_executors_over_ranges(spark, tmp_path):
+    """Lines across cuts, blank lines and other line ends come once each; the micro-batches don't grow with the messages."""
+    from cardlens.sources.message_log import RangeReader
+
+    log = tmp_path / "log"
+    log.mkdir()
+    want = [f"message {i} " + "\u00e9" * (i % 17) for i in range(500)]
+    (log / "a.txt").write_text("\n".join(want[:300]) + "\r\n\n")
+    (log / "b.txt").write_text("\n".join(want[300:400]))
+    for span in (1, 7, 64, 10_000):
+        r = RangeReader({"path": str(log), "most": "9", "span": str(span)})
+        batches = [b for p in r.partitions(r.initialOffset(), r.latestOffset()) for b in r.read(p)]
+        assert [x for b in batches for x in b["value"].to_pylist()] == want[:400] and max(b.num_rows for b in batches) <= 9
+        assert not r.partitions(r.latestOffset(), r.latestOffset())
+    sizes = []
+    for _ in range(2):
+        stream = ingest.read_messages(spark, {"format": "message_log", "path": f"file://{log}", "most": 9, "span": 100})
+        q = stream.writeStream.foreachBatch(lambda df, k: sizes.append(sorted(r.value for r in df.collect()))).option("checkpointLocation", f"{tmp_path}/ck").start()
+        q.processAllAvailable()
+        q.stop()
+        (log / "c.txt").write_text("\n".join(want[400:]))
+    assert [x for x in sizes if x] == [sorted(want[:400]), sorted(want[400:])]
+
+
 def test_message_log_offsets(tmp_path):
     from cardlens.sources.message_log import MessageLogReader
 
