@@ -70,6 +70,16 @@ def test_threshold_lies_in_the_gap(spark):
     assert quality.threshold(mixed) == float("-inf")  # no junk is worth so many trusted ones
 
 
+def test_all_labelled_rows_count(spark):
+    """Also beyond the 200,000 of the least hashes, and with ids that come twice or are null."""
+    labels = spark.range(300_000).selectExpr("id AS doc_id", "CAST(id % 5 > 0 AS INT) AS quality", "0 AS toxic")
+    marks = quality.labelled(labels)
+    assert marks.count() == 300_000 and 0.3 < marks.where("not fit").count() / 300_000 < 0.36
+    rows = spark.createDataFrame([(i % 6 if i % 7 else None, f"t{i}") for i in range(60)], "doc_id long, text string")
+    got = {r["text"]: r["trusted"] for r in quality.with_trust(rows, spark.createDataFrame([(1,), (4,)], "_id long")).collect()}
+    assert got == {f"t{i}": bool(i % 7) and i % 6 in (1, 4) for i in range(60)}
+
+
 def test_odd_rows(spark):
     rows = [(1, None, 1, 2, "h"), (None, "a text of ten words or more than that, it should be", 1, 2, "h"), (2, "", 1, 2, "h"), (3, "x" * 300_000, 1, 2, "h"), (4, "same " * 30, 1, 2, "h"), (4, "same " * 30, 1, 2, "h")]
     docs = spark.createDataFrame(rows, DOCS)
