@@ -100,15 +100,19 @@ def sink_prediction_log(messages: DataFrame, path: str, checkpoint: str, **trigg
     return write_once(logs_of(messages), path, checkpoint, "log_id", **trigger)
 
 
-def ingest(stream: DataFrame, tx_path: str, log_path: str, bad_path: str, checkpoint: str, **trigger) -> list[StreamingQuery]:
-    """Messages to the transactions, the log and the quarantine: three queries, each with its own offsets and state under the
-    checkpoint. A failed one is started again by the same call and goes on where it was."""
+SINKS = ("transactions", "log", "bad")
+
+
+def ingest(stream: DataFrame, tx_path: str, log_path: str, bad_path: str, checkpoint: str, sinks: tuple[str, ...] = SINKS, **trigger) -> list[StreamingQuery]:
+    """Messages to the transactions, the log and the quarantine: a query for each of the sinks, with its own offsets and state
+    under the checkpoint. A failed one is started again by the same call and goes on where it was."""
     good, bad = decode(stream)
-    return [
-        sink_transactions(good, tx_path, f"{checkpoint}/transactions", **trigger),
-        sink_prediction_log(good, log_path, f"{checkpoint}/log", **trigger),
-        write_once(bad, bad_path, f"{checkpoint}/bad", **trigger),
-    ]
+    start = {
+        "transactions": lambda at: sink_transactions(good, tx_path, at, **trigger),
+        "log": lambda at: sink_prediction_log(good, log_path, at, **trigger),
+        "bad": lambda at: write_once(bad, bad_path, at, **trigger),
+    }
+    return [start[name](f"{checkpoint}/{name}") for name in sinks]
 
 
 def to_partitions(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:

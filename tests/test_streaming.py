@@ -91,6 +91,19 @@ def test_ingest_stores_an_id_once_and_quarantines(spark, tmp_path):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("RocksDBStateStoreProvider")
 
 
+def test_a_sink_runs_by_itself(spark, tmp_path):
+    """Its table alone is written; the others catch up when they are asked for."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.txt").write_text("\n".join([GOOD % ("r1", "t1", 1), GOOD % ("r2", "t1", 2), "not json"]))
+    where = [f"file://{tmp_path}/{x}" for x in ("tx", "logs", "bad")]
+    for sinks, there in ((("transactions",), 1), (("transactions", "log", "bad"), 3)):
+        started = ingest.ingest(ingest.read_messages(spark, {"format": "text", "path": f"{tmp_path}/in"}), *where, f"{tmp_path}/ck", sinks)
+        for q in started:
+            q.awaitTermination()
+        assert len(started) == there == sum((tmp_path / x).exists() for x in ("tx", "logs", "bad"))
+    assert [spark.read.parquet(w).count() for w in where] == [1, 2, 1]
+
+
 def test_a_batch_that_failed_comes_again_without_loss_or_repeats(spark, tmp_path):
     """The commit of a batch is lost after its rows were written."""
     deliver(spark, tmp_path, "1.txt", [GOOD % ("r1", "t1", 1)])
