@@ -5,8 +5,11 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from itertools import chain
+from operator import itemgetter
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -17,9 +20,17 @@ DAY = 24 * HOUR
 SLICE = 300_000_000
 #: Sums between two slices that a batch keeps for its next rows.
 MOST_BETWEEN = 16
+#: Keys of a stream are dealt over so many groups where their states are packed, see PackedVelocity.
+GROUPS = 4096
+#: Rows of a task that are packed by group before their shuffle, and rows of a group that come out as one.
+PACKED_IN, PACKED_OUT = 500_000, 10_000
+#: Members of a key that a group's pack holds; a key with more has slices of its own.
+MOST_PACKED = 64
 TOTALS = "n long, total double, squares double, last_us long, slices array<long>, counts array<long>, amounts array<double>, declines array<long>"
 MEMBERS = "at array<long>, amount array<double>, declined array<boolean>, id array<string>"
+PACK = "{key} array<{kind}>, n array<long>, total array<double>, squares array<double>, last_us array<long>, large array<boolean>, of array<int>, at array<long>, amount array<double>, declined array<boolean>, id array<string>, features array<string>"
 OUT = "{key} {kind}, id string, tx_count_1h int, tx_count_24h int, amount_sum_24h double, declines_24h int, seconds_since_last_tx double, amount_zscore double, tx_seq long, late boolean"
+OUT_PACKED = "{key} array<{kind}>, id array<string>, tx_count_1h array<int>, tx_count_24h array<int>, amount_sum_24h array<double>, declines_24h array<int>, seconds_since_last_tx array<double>, amount_zscore array<double>, tx_seq array<long>, late array<boolean>"
 INPUT = ("id", "amount", "at", "declined", "kind")
 FIELDS = ("tx_count_1h", "tx_count_24h", "amount_sum_24h", "declines_24h", "seconds_since_last_tx", "amount_zscore", "tx_seq", "late")
 
@@ -70,10 +81,10 @@ class History:
     """One key's state during a batch. Slices' totals are read and written as one value, the members of a slice and the ids
     only where rows touch them: those of the row's own slice and of the slices in which its windows begin. What a batch both
     brings and drops never reaches the state. Where a batch has as many rows as the state has slices, the slices tell which
-    ids are there; otherwise each id is looked up."""
+    ids are there; otherwise each id is looked up. Maps that hold other keys too (alone false) are never cleared."""
 
-    def __init__(self, totals, members, seen, rows: int = 0):
-        self.totals, self.members, self.seen = totals, members, seen
+    def __init__(self, totals, members, seen, rows: int = 0, alone: bool = True):
+        self.totals, self.members, self.seen, self.alone = totals, members, seen, alone
         self.n, self.total, self.squares, self.last = 0, 0.0, 0.0, None
         self.sums: dict[int, list] = {}
         if totals.exists():
@@ -159,7 +170,7 @@ class History:
             self.oldest = min(self.sums, default=None)
 
     def store(self) -> None:
-        if self.dropped and self.dropped == self.stored:
+        if self.alone and self.dropped and self.dropped == self.stored:
             self.members.clear()
             self.seen.clear()
         else:
@@ -202,12 +213,16 @@ class Velocity(StatefulProcessor):
 
     def handleInitialState(self, key, initialState: Row, timerValues) -> None:
         past = self._history()
-        if initialState.members is None:
-            past.n, past.total, past.squares, past.last = initialState.n, initialState.total, initialState.squares, initialState.last_us
+        self._seed(past, initialState.asDict())
+        past.store()
+
+    @staticmethod
+    def _seed(past: History, row: dict) -> None:
+        if row["members"] is None:
+            past.n, past.total, past.squares, past.last = row["n"], row["total"], row["squares"], row["last_us"]
         else:
-            for m in initialState.members:
+            for m in row["members"]:
                 past.append(m["at"], m["amount"], m["declined"], m["id"], None)
-        past.store()
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         batch = sorted(((r.id, float("nan") if r.amount is None else r.amount, r.at, r.declined, r.kind) for r in rows), key=lambda r: (r[2], r[0]))
@@ -290,6 +305,185 @@ class Velocity(StatefulProcessor):
         pass
 
 
+class Memory(dict):
+    """A state variable's calls on values that a pack holds."""
+
+    def exists(self) -> bool:
+        return () in self
+
+    def get(self) -> tuple:
+        return self[()]
+
+    def update(self, value: tuple) -> None:
+        self[()] = value
+
+    def containsKey(self, key: tuple) -> bool:
+        return key in self
+
+    def getValue(self, key: tuple) -> tuple:
+        return self[key]
+
+    def updateValue(self, key: tuple, value: tuple) -> None:
+        self[key] = value
+
+    def removeKey(self, key: tuple) -> None:
+        self.pop(key, None)
+
+
+class Part:
+    """One key's part of a map state of many keys: a map of its own, or its one value under the key alone."""
+
+    def __init__(self, state, key):
+        self.state, self.key = state, key
+
+    def exists(self) -> bool:
+        return self.containsKey(())
+
+    def get(self) -> tuple:
+        return self.getValue(())
+
+    def update(self, value: tuple) -> None:
+        self.updateValue((), value)
+
+    def containsKey(self, key: tuple) -> bool:
+        return self.state.containsKey((self.key, *key))
+
+    def getValue(self, key: tuple) -> tuple:
+        return self.state.getValue((self.key, *key))
+
+    def updateValue(self, key: tuple, value: tuple) -> None:
+        self.state.updateValue((self.key, *key), value)
+
+    def removeKey(self, key: tuple) -> None:
+        self.state.removeKey((self.key, *key))
+
+
+Moments = tuple[int, float, float, "int | None"]
+Members = list[tuple[int, float, bool, str, "str | None"]]
+
+
+class PackedVelocity(Velocity):
+    """Velocity over groups of keys, of rows packed as arrays. A call of the state costs far more than a row, so the states of
+    a group's keys are one value, read and written once a batch: calls follow the groups and not the keys. A key of more than MOST_PACKED members has
+    its slices and ids in maps, as Velocity's; the pack keeps its moments only. A batch's rows of one group are held at once.
+    """
+
+    def __init__(self, key: str, kind: str, retention_us: int, ttl_ms: int | None, timers: bool = False):
+        super().__init__(key, retention_us, ttl_ms, timers)
+        self.kind = kind
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.pack = handle.getValueState("pack", PACK.format(key=self.key, kind=self.kind), ttlDurationMs=self.ttl)
+        self.totals = handle.getMapState("totals", f"{self.key} {self.kind}", TOTALS, ttlDurationMs=self.ttl)
+        self.members = handle.getMapState("members", f"{self.key} {self.kind}, slice long", MEMBERS, ttlDurationMs=self.ttl)
+        self.seen = handle.getMapState("seen", f"{self.key} {self.kind}, id string", "at long, features string", ttlDurationMs=self.ttl)
+
+    def _unpacked(self) -> dict[object, tuple[Moments, Members | None]]:
+        """Moments and members of each key of the group; members are None where they are in the maps."""
+        value = self.pack.get()
+        if value is None:
+            return {}
+        keys, n, total, squares, last, large, of, *columns = value
+        members: list[Members] = [[] for _ in keys]
+        for i, *member in zip(of, *columns):
+            members[i].append(tuple(member))
+        return {k: (moments, None if apart else m) for k, moments, apart, m in zip(keys, zip(n, total, squares, last), large, members)}
+
+    def _pack(self, keys: dict) -> None:
+        moments = [list(x) for x in zip(*(m for m, _ in keys.values()))]
+        flat = [(i, *member) for i, (_, members) in enumerate(keys.values()) for member in members or ()]
+        columns = [list(x) for x in zip(*flat)] or [[] for _ in range(6)]
+        self.pack.update((list(keys), *moments, [m is None for _, m in keys.values()], *columns))
+
+    def _past(self, keys: dict, key, rows: int = 0) -> History:
+        moments, members = keys.get(key, (None, []))
+        if members is None:
+            return History(Part(self.totals, key), Part(self.members, key), Part(self.seen, key), rows, alone=False)
+        totals, slices, seen = Memory(), Memory(), Memory()
+        if moments:
+            by_slice: dict[int, Members] = {}
+            for member in members:
+                by_slice.setdefault(member[0] // SLICE, []).append(member)
+                seen[member[3],] = (member[0], member[4])
+            for b, m in by_slice.items():
+                slices[b,] = tuple(zip(*m))[:4]
+            sums = [(len(m), sum(x[1] for x in m), sum(bool(x[2]) for x in m)) for m in by_slice.values()]
+            totals.update((*moments, list(by_slice), *([list(x) for x in zip(*sums)] or [[], [], []])))
+        return History(totals, slices, seen, rows)
+
+    def _keep(self, keys: dict, key, past: History) -> None:
+        past.store()
+        moments = (past.n, past.total, past.squares, past.last)
+        if isinstance(past.totals, Part):
+            if not past.sums:
+                past.totals.removeKey(())
+            keys[key] = (moments, None if past.sums else [])
+        elif sum(n for n, *_ in past.sums.values()) > MOST_PACKED:
+            self.totals.updateValue((key,), past.totals.get())
+            for own, name in ((past.members, "members"), (past.seen, "seen")):
+                for k, value in own.items():
+                    getattr(self, name).updateValue((key, *k), value)
+            keys[key] = (moments, None)
+        else:
+            features = lambda member: dict.get(past.seen, (member,), (0, None))[1]
+            keys[key] = (moments, [(at, x, d, m, features(m)) for b in sorted(past.members) for at, x, d, m in zip(*past.members[b])])
+
+    def _due(self, moments: Moments) -> int:
+        return (moments[3] + self.retention) // 1000 + SLICE // 1000
+
+    def _set_timer(self, keys: dict) -> None:
+        for timer in self.handle.listTimers():
+            self.handle.deleteTimer(timer)
+        due = [self._due(moments) for moments, members in keys.values() if members is None or members]
+        if due:
+            self.handle.registerTimer(min(due))
+
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        keys = self._unpacked()
+        rows: dict[object, list] = {}
+        for row in initialState.past:
+            rows.setdefault(row[self.key], []).append(row)
+        for k, own in rows.items():
+            past = self._past(keys, k)
+            for row in own:
+                self._seed(past, row)
+            self._keep(keys, k, past)
+        self._pack(keys)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        batches: dict[object, list[tuple]] = {}
+        take = None
+        for row in rows:
+            take = take or itemgetter(*(row.__fields__.index(c) for c in (self.key, *INPUT)))
+            for k, member, amount, at, declined, kind in zip(*take(row)):
+                batches.setdefault(k, []).append((member, float("nan") if amount is None else amount, at, declined, kind))
+        keys = self._unpacked()
+        out = []
+        for k, batch in batches.items():
+            batch.sort(key=lambda r: (r[2], r[0]))
+            past = self._past(keys, k, len(batch))
+            out += [(k, *found) for found in self.taken(past, batch)]
+            self._keep(keys, k, past)
+        self._pack(keys)
+        if self.timers:
+            self._set_timer(keys)
+        named = Row(self.key, "id", *FIELDS)
+        for i in range(0, len(out), PACKED_OUT):
+            yield named(*map(list, zip(*out[i : i + PACKED_OUT])))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        keys = self._unpacked()
+        for k, (moments, members) in list(keys.items()):
+            if (members is None or members) and self._due(moments) <= expiredTimerInfo.getExpiryTimeInMs():
+                past = self._past(keys, k)
+                past.evict(self._due(moments) * 1000 - self.retention)
+                self._keep(keys, k, past)
+        self._pack(keys)
+        self._set_timer(keys)
+        return iter(())
+
+
 def zscore_of(x: float, n: int, total: float, squares: float) -> float | None:
     """scalar.zscore for one row."""
     if n < 2:
@@ -317,20 +511,64 @@ def status_events(status: DataFrame, key: str) -> DataFrame:
     )
 
 
-def velocity_stream(stream: DataFrame, key: str, initial: DataFrame | None = None, retention_hours: int = 25, ttl_days: int | None = None, delay: str | None = None) -> DataFrame:
+def velocity_stream(stream: DataFrame, key: str, initial: DataFrame | None = None, retention_hours: int = 25, ttl_days: int | None = None, delay: str | None = None, groups: int | None = None) -> DataFrame:
     """Velocity features of a stream of events() rows. `initial` comes from training.initial_state(). The state store
     must be RocksDB's, see with_rocksdb. ttl_days drops state so long after its last write, by processing time. With a
-    delay, rows are taken up to so much behind the newest of the stream, and timers evict the members of silent keys."""
-    processor = Velocity(key, retention_hours * HOUR, None if ttl_days is None else ttl_days * 86_400_000, delay is not None)
+    delay, rows are taken up to so much behind the newest of the stream, and timers evict the members of silent keys. With
+    groups, keys are dealt over so many and a group's states are packed (PackedVelocity), for streams of many keys; the number
+    must not change while a stream lives. Without, each key has its own state."""
+    kind, out = dict(stream.dtypes)[key], OUT if groups is None else OUT_PACKED
+    settings = retention_hours * HOUR, None if ttl_days is None else ttl_days * 86_400_000, delay is not None
+    processor, by = (Velocity(key, *settings), key) if groups is None else (PackedVelocity(key, kind, *settings), "_group")
+    if groups is not None:
+        group = F.pmod(F.xxhash64(key), F.lit(groups))
+        stream = stream.select(group.alias(by), key, *INPUT)
+        stream = packed_rows(stream, by) if delay is None else stream.withColumn("event_time", F.timestamp_micros("at")).select(by, "event_time", *[F.array(c).alias(c) for c in (key, *INPUT)])
+        if initial is not None:  # a row a group; slices of very busy keys come by the hour
+            chunk = F.when(F.size("members") > MOST_PACKED, F.floor(F.col("members")[0]["at"] / HOUR))
+            past = F.collect_list(F.struct(*initial.columns)).alias("past")
+            initial = initial.groupBy(group.alias(by), chunk.alias("_chunk")).agg(past).drop("_chunk")
     if delay is not None:
-        stream = stream.withColumn("event_time", F.timestamp_micros("at")).withWatermark("event_time", delay)
-    return stream.groupBy(key).transformWithState(
+        stream = (stream if groups else stream.withColumn("event_time", F.timestamp_micros("at"))).withWatermark("event_time", delay)
+    found = stream.groupBy(by).transformWithState(
         statefulProcessor=processor,
-        outputStructType=OUT.format(key=key, kind=dict(stream.dtypes)[key]),
+        outputStructType=out.format(key=key, kind=kind),
         outputMode="Append",
         timeMode="EventTime" if delay is not None else "None" if ttl_days is None else "ProcessingTime",
-        initialState=None if initial is None else initial.groupBy(key),
+        initialState=None if initial is None else initial.groupBy(by),
     )
+    return found if groups is None else found.select(F.inline(F.arrays_zip(*found.columns)).alias(*found.columns))
+
+
+def packed_rows(stream: DataFrame, by: str) -> DataFrame:
+    """A row for each value of `by` in a stretch of a task's rows, its other columns as arrays: a row costs more on its way to
+    the state and back than an element does."""
+    names = [c for c in stream.columns if c != by]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in chain(batches, [None]):
+            if held and (batch is None or n >= PACKED_IN):
+                grouped = pa.Table.from_batches(held).group_by(by, use_threads=False).aggregate([(c, "list") for c in names])
+                yield from grouped.select([by, *(f"{c}_list" for c in names)]).rename_columns([by, *names]).to_batches()
+                held, n = [], 0
+            if batch is not None and batch.num_rows:
+                held, n = [*held, batch], n + batch.num_rows
+
+    kinds = dict(stream.dtypes)
+    return stream.mapInArrow(pack, ", ".join(f"{c} {kinds[c]}" if c == by else f"{c} array<{kinds[c]}>" for c in stream.columns))
+
+
+def packed_moments(pack: DataFrame, key: str) -> DataFrame:
+    """(key, n, total, squares, last_us) from rows of the state variable `pack`, as Spark's reader of state gives them."""
+    names = (key, "n", "total", "squares", "last_us")
+    return pack.select(F.inline(F.arrays_zip(*[F.col(f"value.{c}").alias(c) for c in names])).alias(*names))
+
+
+def packed_ids(pack: DataFrame, seen: DataFrame, key: str) -> DataFrame:
+    """(key, id) of all members in the state, from rows of the state variables `pack` and `seen`."""
+    inside = pack.select(F.col(f"value.{key}").alias("keys"), F.explode(F.arrays_zip(F.col("value.of").alias("of"), F.col("value.id").alias("id"))).alias("m"))
+    return inside.select(F.col("keys")[F.col("m.of")].alias(key), "m.id").unionByName(seen.select(f"user_map_key.{key}", "user_map_key.id"))
 
 
 @contextmanager

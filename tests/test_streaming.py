@@ -6,6 +6,7 @@ import time
 
 import pandas as pd
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from cardlens.operators import training
@@ -259,6 +260,94 @@ def test_members_that_come_and_go_within_a_batch_never_reach_the_state():
     assert list(state[2]) == [(f"m2-{n - 1}",)] and len(state[1]) == 1
 
 
+class HeldValue(Held):
+    """A value state; none yet gives None."""
+
+    def get(self):
+        Held.calls += 1
+        return self["value"] if "value" in self else None
+
+    def update(self, value):
+        Held.calls += 1
+        self["value"] = value
+
+
+def packed_processor():
+    processor = velocity.PackedVelocity("card_id", "long", 25 * velocity.HOUR, None)
+    processor.pack, processor.totals, processor.members, processor.seen = HeldValue(), Held(), Held(), Held()
+    return processor
+
+
+def packed_rows(rows):
+    return Row("_group", "card_id", *velocity.INPUT)(0, *map(list, zip(*rows)))
+
+
+def test_packed_keys_give_what_keys_of_their_own_give():
+    """Cards of a group over batches with a busy one, late rows, statuses and retries; members outgrow the pack and leave."""
+    rng, t = random.Random(5), 1_700_000_000_000_000
+    processor, plain, batches, n = packed_processor(), {}, [], 0
+    for b in range(25):
+        rows = []
+        for card in [1, 2, None, *[7] * (60 if b < 12 else 2)]:
+            n += 1
+            at = t + (b + 40 * (b > 20)) * velocity.HOUR + rng.randrange(-30 * velocity.HOUR if rng.random() < 0.1 else -velocity.HOUR, velocity.HOUR)
+            rows.append((card, f"m{n}", round(rng.random() * 100, 2), at, rng.random() < 0.3, "transaction"))
+        if batches:
+            rows += [(*r[:4], True, "status") for r in rng.sample(batches[-1], 3)] + rng.sample(batches[-1], 3)
+        batches.append(rows)
+        got = []
+        for out in processor.handleInputRows((0,), iter([packed_rows(rows)]), None):
+            got += zip(*out)
+        want = []
+        for card in dict.fromkeys(r[0] for r in rows):
+            state = plain.setdefault(card, (Held(), Held(), Held()))
+            past = velocity.History(*state, 10)
+            found = velocity.Velocity("card_id", 25 * velocity.HOUR, None).taken(past, sorted((r[1:] for r in rows if r[0] == card), key=lambda r: (r[2], r[0])))
+            want += [(card, *f) for f in found]
+            past.store()
+        assert len(got) == len(want)
+        for g, w in zip(got, want):
+            assert g[:4] == w[:4] and g[5] == w[5] and g[8:] == w[8:] and all(x == y or abs(x - y) < 1e-6 for x, y in zip((g[4], g[6]), (w[4], w[6])))
+        if b == 11:
+            assert {k[0] for k in processor.seen} == {7} and len(processor.seen) > velocity.MOST_PACKED
+    assert {k[1] for k in processor.seen} <= {k[0] for k in plain[7][2]}
+    keys = processor._unpacked()
+    assert {card: m[0] for card, (m, _) in keys.items()} == {card: state[0]["value"][0] for card, state in plain.items()}
+    for card, (_, members) in keys.items():
+        assert sorted(m[3] for m in members or ()) == sorted(k[0] for k in plain[card][2]) or members is None
+
+
+def test_calls_of_the_state_follow_the_groups():
+    """A batch of a thousand cards of one group makes as few calls as a batch of ten."""
+    t, processor = 1_700_000_000_000_000, packed_processor()
+    for b in range(3):
+        rows = [(card, f"m{b}-{card}", 1.0, t + b * velocity.HOUR, False, "transaction") for card in range(1000)]
+        Held.calls = 0
+        (out,) = processor.handleInputRows((0,), iter([packed_rows(rows)]), None)
+        assert Held.calls == 2 and out[2] == [1 + bool(b)] * 1000 and out[3] == [1 + b] * 1000
+
+
+def test_groups_with_timers_and_seeds(spark, tmp_path):
+    """Packed keys and one that has outgrown the pack, of a stream with a watermark, and of one that history has seeded."""
+    hour, t = velocity.HOUR, 1_700_000_000_000_000
+    rows = [(1, "a", 10.0, t, False, "transaction"), *((3, f"x{i}", 1.0, t + i, False, "transaction") for i in range(100)), (2, "b", 5.0, t + 40 * hour, False, "transaction"), (2, "c", 5.0, t + 41 * hour, False, "transaction"), (2, "d", 5.0, t + 42 * hour, False, "transaction")]
+    parts = [spark.createDataFrame(r, EVENTS) for r in (rows[:-3], rows[-3:-2], rows[-2:-1], rows[-1:])]
+    out = velocity.replay(parts, lambda s: velocity.velocity_stream(s, "card_id", delay="1 hour", groups=1), f"file://{tmp_path}/v")
+    assert sorted(r.id for r in out.collect()) == sorted(r[1] for r in rows)
+    state = lambda name: spark.read.format("statestore").option("path", f"file://{tmp_path}/v/state").option("stateVarName", name).load()
+    assert sorted(r.id for r in velocity.packed_ids(state("pack"), state("seen"), "card_id").collect()) == ["b", "c", "d"]
+    assert {(r.card_id, r.n) for r in velocity.packed_moments(state("pack"), "card_id").collect()} == {(1, 1), (2, 3), (3, 100)}
+
+    p = Payments(spark, SF)
+    ref = "2024-01-15 00:00:00"
+    later = velocity.events(p.tx.where(f"created_at > TIMESTAMP '{ref}'"), "user_id")
+    seeded = training.initial_state(p.tx, "user_id", ref)
+    got = velocity.replay([later], lambda s: velocity.velocity_stream(s, "user_id", seeded, groups=3), f"file://{tmp_path}/s").toPandas().set_index("id").sort_index()
+    want = p.features().where(f"created_at > TIMESTAMP '{ref}'").select(F.col("transaction_id").cast("string").alias("id"), "user_tx_count_24h", "user_amount_sum_24h").toPandas().set_index("id").sort_index()
+    assert (got["tx_count_24h"].astype(int) == want["user_tx_count_24h"].astype(int)).all()
+    assert (got["amount_sum_24h"] - want["user_amount_sum_24h"]).abs().max() < 1e-6
+
+
 def test_timers_evict_members_of_silent_keys(spark, tmp_path):
     hour, t = velocity.HOUR, 1_700_000_000_000_000
     rows = [(1, "a", 10.0, t, False, "transaction"), (2, "b", 5.0, t + 40 * hour, False, "transaction"), (2, "c", 5.0, t + 41 * hour, False, "transaction"), (2, "d", 5.0, t + 42 * hour, False, "transaction")]
