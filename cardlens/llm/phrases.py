@@ -21,8 +21,7 @@ SAMPLE, SLACK = 0.1, 2.2
 #: counted than needed; it never loses one.
 BITS_A_KEY, MOST_BITS = 16, 1 << 28
 FLUSH = 1_000_000  # occurrences that a task adds up before it sends their sums on
-CHUNK = 4 << 20  # bytes of text cut into words at a time, to the end of a piece
-REMEMBERED = 400_000  # words whose hashes a task keeps
+CHUNK = 2 << 20  # bytes of text cut into words at a time, to the end of a piece
 
 MARK = b"\xff"  # between pieces; in no UTF-8 text
 SEPARATORS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", MARK * 10 + b" ")
@@ -114,23 +113,13 @@ def narrowed(mask: np.ndarray, bits: np.ndarray | None, h: np.ndarray) -> np.nda
 
 
 class Grams:
-    """Hashes of the phrases that begin at each word of a chunk. A phrase's hash follows from its words' and its language."""
+    """Hashes of the phrases that begin at each word of a chunk. A phrase's hash follows from its words' and its language.
+    Nothing is kept from chunk to chunk: a word's hash is made again as fast as it would be looked up."""
 
-    def __init__(self) -> None:
-        self.seen: dict[tuple[str, bytes], int] = {}
-
-    def word_hashes(self, lang: str, words: list[bytes]) -> np.ndarray:
-        seen = self.seen
-        if len(seen) > REMEMBERED:
-            seen.clear()
+    @staticmethod
+    def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
         seed = xxhash.xxh32_intdigest(lang.encode())
-        out = np.empty(len(words), np.uint64)
-        for i, w in enumerate(words):
-            h = seen.get((lang, w))
-            if h is None:
-                h = seen[(lang, w)] = xxhash.xxh64_intdigest(w, seed)
-            out[i] = h
-        return out
+        return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
     def hashes(self, lang: str, words: list[bytes], at: np.ndarray, longest: int = LONGEST) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """(hash, inside one piece) of the phrases of 1, 2, ... longest words at each place."""

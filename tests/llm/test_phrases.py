@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import tracemalloc
 
 import pytest
 
@@ -58,3 +59,18 @@ def test_no_rows(spark):
     assert phrases.collocations(empty).count() == 0
     assert phrases.collocations(spark.createDataFrame([(1, None, None, 0, 0)], DOCS)).count() == 0
     assert phrases.collocations(empty).columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+
+
+def test_words_of_earlier_chunks_are_not_kept():
+    """Hashes of 300,000 words leave nothing behind, and the same words give the same hashes."""
+    grams, before = phrases.Grams(), None
+    tracemalloc.start()
+    for chunk in range(30):
+        words = [b"w%d" % i for i in range(chunk * 10_000, (chunk + 1) * 10_000)]
+        h = grams.word_hashes("en", words)
+        assert h[7] == phrases.xxhash.xxh64_intdigest(words[7], phrases.xxhash.xxh32_intdigest(b"en"))
+        del words, h
+        before = before or tracemalloc.get_traced_memory()[0]
+    grown = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    assert grown < 1_000_000
