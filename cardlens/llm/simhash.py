@@ -112,9 +112,9 @@ def code_links(codes: DataFrame, radius: int = 4) -> DataFrame:
     Shards are keyed by a choice of bit blocks on which two codes within the radius must agree, so each link meets
     in some shard. A shard's BK-tree is built in the task that has the shard: shards grow with the data, so they
     are placed by their key instead of broadcast. A shard holds distinct codes, 8 bytes each, and gives at most one
-    edge per code, in trees of bounded width.
+    edge per code, in trees of bounded width. Codes are read twice and should come from files.
     """
-    distinct = durable(codes.select("code").distinct(), "codes")
+    distinct = codes.select("code").distinct()
     masks = block_masks(radius, blocks_for(distinct.count(), radius))
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     shards = distinct.select(
@@ -141,10 +141,11 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, id_col: st
 
     Null texts count as empty; empty texts have fingerprint zero and link like any other. A null doc_id never is a
     component_id unless all of its component are null. Repeated rows give repeated results; other columns of docs
-    are not looked at. Equal fingerprints meet once, as one code.
+    are not looked at. Equal fingerprints meet once, as one code. Beside fingerprints and components nothing is written:
+    codes and classes come from these by one shuffle, and a task's file costs the executor several processes.
     """
     rows = durable(fingerprints(docs, words, id_col, text_col), "fingerprints")
     codes = rows.groupBy("code").agg(F.min("doc_id").alias("first"))
     linked = codes.join(components(code_links(codes, radius)).withColumnRenamed("node", "code"), "code", "left")
-    named = durable(with_least(linked, "first", "component_id").select("code", "component_id"), "classes")
+    named = with_least(linked, "first", "component_id").select("code", "component_id")
     return rows.join(named, "code").select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")

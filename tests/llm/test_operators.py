@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cardlens.llm import ann, bktree, editprint, mixing, neardup, packing, pii, secrets, simhash, toxicity, urlrules, warc
+from cardlens.llm import ann, bktree, common, editprint, mixing, neardup, packing, pii, secrets, simhash, toxicity, urlrules, warc
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -608,6 +608,15 @@ def test_simhash_components(spark, docs):
     assert got == {i: (f"{held[i]:016x}", find(i)) for i in ids}
 
 
+def test_simhash_writes_fingerprints_and_components_only(spark, docs, monkeypatch):
+    """A task's file costs an executor several processes, and each counts the executor's memory again until it is off."""
+    names, plain = set(), common.durable
+    for module in (common, simhash):
+        monkeypatch.setattr(module, "durable", lambda df, name="step": names.add(name) or plain(df, name))
+    simhash.near_duplicates(docs.limit(20)).collect()
+    assert names == {"fingerprints", "edges", "labels"}
+
+
 # 9
 
 
