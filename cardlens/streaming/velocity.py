@@ -26,6 +26,8 @@ GROUPS = 4096
 PACKED_IN, PACKED_OUT = 500_000, 10_000
 #: Members of a key that a group's pack holds; a key with more has slices of its own.
 MOST_PACKED = 64
+#: Members and rows of a batch of a packed key that plain lists take; a key with more goes through slices.
+FEW = 1024
 TOTALS = "n long, total double, squares double, last_us long, slices array<long>, counts array<long>, amounts array<double>, declines array<long>"
 MEMBERS = "at array<long>, amount array<double>, declined array<boolean>, id array<string>"
 PACK = "{key} array<{kind}>, n array<long>, total array<double>, squares array<double>, last_us array<long>, large array<boolean>, of array<int>, at array<long>, amount array<double>, declined array<boolean>, id array<string>, features array<string>"
@@ -33,6 +35,12 @@ OUT = "{key} {kind}, id string, tx_count_1h int, tx_count_24h int, amount_sum_24
 OUT_PACKED = "{key} array<{kind}>, id array<string>, tx_count_1h array<int>, tx_count_24h array<int>, amount_sum_24h array<double>, declines_24h array<int>, seconds_since_last_tx array<double>, amount_zscore array<double>, tx_seq array<long>, late array<boolean>"
 INPUT = ("id", "amount", "at", "declined", "kind")
 FIELDS = ("tx_count_1h", "tx_count_24h", "amount_sum_24h", "declines_24h", "seconds_since_last_tx", "amount_zscore", "tx_seq", "late")
+#: What each of them is read with from the text that the state keeps.
+KINDS = (int, int, float, int, float, float, int, "True".__eq__)
+
+
+Moments = tuple[int, float, float, "int | None"]
+Members = list[tuple[int, float, bool, str, "str | None"]]
 
 
 class Slice:
@@ -77,6 +85,15 @@ class Slice:
         return 0
 
 
+def encoded(features: tuple | str | None) -> str | None:
+    """Features as the state keeps them."""
+    return "|".join(["" if f is None else repr(f) for f in features]) if isinstance(features, tuple) else features
+
+
+def decoded(text: str) -> tuple:
+    return tuple([kind(x) if x else None for kind, x in zip(KINDS, text.split("|"))])
+
+
 class History:
     """One key's state during a batch. Slices' totals are read and written as one value, the members of a slice and the ids
     only where rows touch them: those of the row's own slice and of the slices in which its windows begin. What a batch both
@@ -96,7 +113,7 @@ class History:
         self.gone: set[str] = set()
         self.held: dict[int, Slice] = {}
         self.changed: set[int] = set()
-        self.ids: dict[str, tuple[int, str | None]] = {}
+        self.ids: dict[str, tuple[int, tuple | str | None]] = {}
         self.new_ids: set[str] = set()
         self.between: dict[tuple[int, int], tuple[int, float, int]] = {}
         #: Ids that the state holds; None where they are looked up.
@@ -110,7 +127,7 @@ class History:
             self.held[b] = Slice(*stored) if stored else Slice()
         return self.held[b]
 
-    def known(self, member: str) -> tuple[int, str | None] | None:
+    def known(self, member: str) -> tuple[int, tuple | str | None] | None:
         """(time, features of its first time) of a member of the retention."""
         if member not in self.ids and member not in self.gone and (self.there is None or member in self.there) and self.seen.containsKey((member,)):
             self.ids[member] = tuple(self.seen.getValue((member,)))
@@ -132,6 +149,9 @@ class History:
             parts.append(self.slice(first).since(at - span))
         return tuple(map(sum, zip(*parts)))
 
+    def count(self, at: int, span: int) -> int:
+        return self.window(at, span)[0]
+
     def _sum_up(self, b: int, n: int, amount: float, declines: int) -> None:
         self.changed.add(b)
         sums = self.sums.setdefault(b, [0, 0.0, 0])
@@ -139,11 +159,11 @@ class History:
         self.oldest = b if self.oldest is None else min(self.oldest, b)
         self.between = {k: v for k, v in self.between.items() if not k[1] < b < k[0]}
 
-    def remember(self, member: str, at: int, features: str | None) -> None:
+    def remember(self, member: str, at: int, features: tuple | str | None) -> None:
         self.ids[member] = (at, features)
         self.new_ids.add(member)
 
-    def append(self, at: int, amount: float, declined: bool, member: str, features: str | None) -> None:
+    def append(self, at: int, amount: float, declined: bool, member: str, features: tuple | str | None) -> None:
         self.slice(at // SLICE).add(at, amount, declined, member)
         self._sum_up(at // SLICE, 1, amount, int(declined))
         self.remember(member, at, features)
@@ -185,7 +205,59 @@ class History:
             s = self.held[b]
             self.members.updateValue((b,), (s.at, s.amount, s.declined, s.ids))
         for member in self.new_ids:
-            self.seen.updateValue((member,), self.ids[member])
+            at, features = self.ids[member]
+            self.seen.updateValue((member,), (at, encoded(features)))
+
+
+class Few:
+    """History's calls on the members of a key that has few in a batch: plain lists in order of time and sums of stretches of them."""
+
+    def __init__(self, moments: Moments | None, members: Members):
+        self.n, self.total, self.squares, self.last = moments or (0, 0.0, 0.0, None)
+        self.at, self.amount, self.declined, self.members, features = map(list, zip(*members)) if members else ([], [], [], [], [])
+        self.ids = {member: known for member, *known in zip(self.members, self.at, features)}
+
+    def slice(self, _: int) -> Few:
+        return self
+
+    def known(self, member: str) -> list | tuple | None:
+        return self.ids.get(member)
+
+    def count(self, at: int, span: int) -> int:
+        return bisect_right(self.at, at) - bisect_left(self.at, at - span)
+
+    def window(self, at: int, span: int) -> tuple[int, float, int]:
+        i, j = bisect_left(self.at, at - span), bisect_right(self.at, at)
+        return j - i, sum(self.amount[i:j]), sum(self.declined[i:j])
+
+    def remember(self, member: str, at: int, features: tuple | str | None) -> None:
+        self.ids[member] = (at, features)
+
+    def append(self, at: int, amount: float, declined: bool, member: str, features: tuple | str | None) -> None:
+        i = bisect_right(self.at, at)
+        self.at.insert(i, at)
+        self.amount.insert(i, amount)
+        self.declined.insert(i, declined)
+        self.members.insert(i, member)
+        self.ids[member] = (at, features)
+
+    def mark(self, member: str, declined: bool) -> None:
+        if member in self.ids:
+            self.declined[self.members.index(member)] = declined
+
+    def evict(self, before: int) -> None:
+        """Drop members of slices that end before a time."""
+        before = before // SLICE * SLICE
+        if self.at and self.at[0] < before:
+            i = bisect_left(self.at, before)
+            for member in self.members[:i]:
+                self.ids.pop(member, None)
+            for held in (self.at, self.amount, self.declined, self.members):
+                del held[:i]
+
+    def stored(self) -> tuple[Moments, Members]:
+        features = [encoded(self.ids[member][1]) for member in self.members]
+        return (self.n, self.total, self.squares, self.last), list(zip(self.at, self.amount, self.declined, self.members, features))
 
 
 class Velocity(StatefulProcessor):
@@ -243,10 +315,10 @@ class Velocity(StatefulProcessor):
         past.store()
         return iter(())
 
-    def features(self, past: History, batch: pd.DataFrame) -> list[tuple]:
+    def features(self, past: History | Few, batch: pd.DataFrame) -> list[tuple]:
         return self.taken(past, zip(*(batch[c].tolist() for c in INPUT)))
 
-    def taken(self, past: History, batch: Iterable[tuple]) -> list[tuple]:
+    def taken(self, past: History | Few, batch: Iterable[tuple]) -> list[tuple]:
         """Rows (INPUT) in order into the state; returns id and features of each transaction."""
         out = []
         for member, amount, at, declined, kind in batch:
@@ -255,24 +327,24 @@ class Velocity(StatefulProcessor):
                 continue
             known = past.known(member)
             if known and known[1]:
-                out.append((member, *self._decode(known[1])))
+                out.append((member, *(decoded(known[1]) if isinstance(known[1], str) else known[1])))
                 continue
             found = self._features(past, at, amount, known)
             out.append((member, *found))
             if known:
-                past.remember(member, known[0], self._encode(found))
+                past.remember(member, known[0], found)
                 continue
             past.n, past.total, past.squares = past.n + 1, past.total + amount, past.squares + amount * amount
             past.last = at if past.last is None else max(past.last, at)
             if at >= past.last - self.retention:
-                past.append(at, float(amount), bool(declined), member, self._encode(found))
+                past.append(at, float(amount), bool(declined), member, found)
             past.evict(past.last - self.retention)
         return out
 
     @staticmethod
-    def _features(past: History, at: int, amount: float, known: tuple | None) -> tuple:
+    def _features(past: History | Few, at: int, amount: float, known: list | tuple | None) -> tuple:
         """A seeded member (known, without features) is in the state already and is left out of its own past."""
-        hour, _, _ = past.window(at, HOUR)
+        hour = past.count(at, HOUR)
         day, total, declines = past.window(at, DAY)
         n, sums, squares = past.n, past.total, past.squares
         if known and at - DAY <= known[0] <= at:
@@ -290,17 +362,6 @@ class Velocity(StatefulProcessor):
             past.last is not None and at < past.last,
         )
 
-    @staticmethod
-    def _encode(features: tuple) -> str:
-        return "|".join("" if f is None else repr(f) for f in features)
-
-    @staticmethod
-    def _decode(text: str) -> tuple:
-        def one(x: str):
-            return None if not x else x == "True" if x in ("True", "False") else float(x) if any(c in x for c in ".en") else int(x)
-
-        return tuple(map(one, text.split("|")))
-
     def close(self) -> None:
         pass
 
@@ -358,8 +419,11 @@ class Part:
         self.state.removeKey((self.key, *key))
 
 
-Moments = tuple[int, float, float, "int | None"]
-Members = list[tuple[int, float, bool, str, "str | None"]]
+class Columns(Row):
+    """A row of arrays of plain values: none of them is looked into on the way to Arrow."""
+
+    def asDict(self, recursive: bool = False) -> dict:
+        return super().asDict()
 
 
 class PackedVelocity(Velocity):
@@ -396,10 +460,14 @@ class PackedVelocity(Velocity):
         columns = [list(x) for x in zip(*flat)] or [[] for _ in range(6)]
         self.pack.update((list(keys), *moments, [m is None for _, m in keys.values()], *columns))
 
-    def _past(self, keys: dict, key, rows: int = 0) -> History:
+    def _past(self, keys: dict, key, rows: int = 0) -> History | Few:
         moments, members = keys.get(key, (None, []))
         if members is None:
             return History(Part(self.totals, key), Part(self.members, key), Part(self.seen, key), rows, alone=False)
+        return Few(moments, members) if len(members) + rows <= FEW else self._sliced(moments, members, rows)
+
+    @staticmethod
+    def _sliced(moments: Moments | None, members: Members, rows: int = 0) -> History:
         totals, slices, seen = Memory(), Memory(), Memory()
         if moments:
             by_slice: dict[int, Members] = {}
@@ -412,7 +480,12 @@ class PackedVelocity(Velocity):
             totals.update((*moments, list(by_slice), *([list(x) for x in zip(*sums)] or [[], [], []])))
         return History(totals, slices, seen, rows)
 
-    def _keep(self, keys: dict, key, past: History) -> None:
+    def _keep(self, keys: dict, key, past: History | Few) -> None:
+        if isinstance(past, Few):
+            keys[key] = past.stored()
+            if len(past.at) <= MOST_PACKED:
+                return
+            past = self._sliced(*keys[key])
         past.store()
         moments = (past.n, past.total, past.squares, past.last)
         if isinstance(past.totals, Part):
@@ -445,7 +518,7 @@ class PackedVelocity(Velocity):
         for row in initialState.past:
             rows.setdefault(row[self.key], []).append(row)
         for k, own in rows.items():
-            past = self._past(keys, k)
+            past = self._past(keys, k, sum(len(row["members"] or ()) for row in own))
             for row in own:
                 self._seed(past, row)
             self._keep(keys, k, past)
@@ -468,9 +541,9 @@ class PackedVelocity(Velocity):
         self._pack(keys)
         if self.timers:
             self._set_timer(keys)
-        named = Row(self.key, "id", *FIELDS)
+        names = (self.key, "id", *FIELDS)
         for i in range(0, len(out), PACKED_OUT):
-            yield named(*map(list, zip(*out[i : i + PACKED_OUT])))
+            yield Columns(**dict(zip(names, map(list, zip(*out[i : i + PACKED_OUT])))))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         keys = self._unpacked()

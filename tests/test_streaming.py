@@ -2,6 +2,7 @@
 
 import json
 import random
+import sys
 import time
 
 import pandas as pd
@@ -327,6 +328,49 @@ def test_calls_of_the_state_follow_the_groups():
         assert Held.calls == 2 and out[2] == [1 + bool(b)] * 1000 and out[3] == [1 + b] * 1000
 
 
+def test_plain_lists_give_what_slices_give(monkeypatch):
+    """Cards of a group with late rows, statuses and retries, of one batch and of earlier ones, by plain lists, by slices and by
+    both in turn: the same features, held members and moments."""
+    found = {}
+    for few in (0, 12, 10**6):
+        monkeypatch.setattr(velocity, "FEW", few)
+        rng, t, processor, found[few], sent = random.Random(9), 1_700_000_000_000_000, packed_processor(), [], []
+        for b in range(20):
+            rows = []
+            for n in range(60):
+                at = t + (6 * b + rng.choice((0, 0, 0, -3, -20, -40))) * velocity.HOUR + rng.choice((0, velocity.SLICE, rng.randrange(velocity.HOUR)))
+                rows.append((rng.choice((1, 1, 1, 2, 3, 4)), f"m{b}-{n}", rng.randrange(400) / 4, at, rng.random() < 0.3, "transaction"))
+            sent += rows
+            rows += rng.sample(sent, 20) + [(*r[:4], rng.random() < 0.5, "status") for r in rng.sample(sent, 20)]
+            for out in processor.handleInputRows((0,), iter([packed_rows(rows)]), None):
+                found[few] += zip(*out)
+            held = {k: (m, members and sorted(members)) for k, (m, members) in processor._unpacked().items()}
+            found[few] += [held, sorted(processor.seen.items())]
+    assert found[0] == found[12] == found[10**6]
+    assert processor.seen or any(members for _, members in held.values())
+
+
+@pytest.mark.parametrize("case", ["declines", "retry", "eviction", "append"])
+def test_a_row_of_a_packed_key_costs_few_calls(case):
+    """Python calls a row where a batch brings some rows of each of many cards: rows that push others out, statuses, retries."""
+    t, processor = 1_700_000_000_000_000, packed_processor()
+    batch = lambda b: [(card, f"m{b}-{card}-{i}", 1.0, t + (48 * b + i) * velocity.HOUR, False, "transaction") for card in range(50) for i in range(20)]
+    list(processor.handleInputRows((0,), iter([packed_rows(batch(0))]), None))
+    rows = {"declines": [(*r[:4], True, "status") for r in batch(0)], "retry": batch(0), "eviction": batch(1), "append": batch(0) + batch(1)}[case]
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event == "call" and frame.f_code.co_filename == velocity.__file__
+
+    sys.setprofile(count)
+    try:
+        list(processor.handleInputRows((0,), iter([packed_rows(rows)]), None))
+    finally:
+        sys.setprofile(None)
+    assert calls < 10 * len(rows)
+
+
 def test_groups_with_timers_and_seeds(spark, tmp_path):
     """Packed keys and one that has outgrown the pack, of a stream with a watermark, and of one that history has seeded."""
     hour, t = velocity.HOUR, 1_700_000_000_000_000
